@@ -142,10 +142,11 @@ def unmatched_keys(keys: DataFrame, lookup: DataFrame, key_col: str = "legajo")
 
 def unmatched_sample(unmatched: DataFrame, n: int = 3) -> DataFrame:
     """First ``n`` unmatched messages by row position, plus how many more."""
-    from .pick import ordered_with_position
-    pos = ordered_with_position(unmatched.select(ROW_NO, "message"), [ROW_NO], "pos")
+    from .pick import small_ordinal
+    top = unmatched.select(ROW_NO, "message").orderBy(ROW_NO).limit(n)  # top-k, no full sort
+    pos = small_ordinal(top, [ROW_NO], "pos")
     total = unmatched.agg(F.count(F.lit(1)).alias("_total"))
-    return (pos.filter(F.col("pos") <= n).crossJoin(F.broadcast(total))
+    return (pos.crossJoin(F.broadcast(total))
             .select("pos", ROW_NO, "message",
                     F.greatest(F.col("_total") - F.lit(n), F.lit(0)).alias("more")))
 

@@ -72,6 +72,8 @@ def project(df: DataFrame, cols: Sequence[tuple[str, str | Column]]) -> DataFram
     """Select ``(name, 'alias.col' | Column)`` pairs."""
     out = []
     for name, src in cols:
+        if callable(src) and not isinstance(src, Column):
+            src = src()
         out.append((F.col(q(src)) if isinstance(src, str) else src).alias(name))
     return df.select(*out)
 
@@ -202,7 +204,7 @@ def lookup_contact(catalog, keys: DataFrame | None = None) -> DataFrame:
 
 
 FULL_COLUMNS = [
-    ("cod_propuesta", key_text("p.legajo")), ("nombre_cliente", "c.nombre"),
+    ("cod_propuesta", lambda: key_text("p.legajo")), ("nombre_cliente", "c.nombre"),
     ("cod_cliente", "cc.cod_cliente"), ("sucursal", "s.nombre"), ("monto", "cr.monto"),
     ("fecha_contrato", "ct.fecha"), ("nombre_anterior", "pvm.nombre"),
     ("cod_contrato", "cc.cod_contrato"), ("estado", "ec.estado"), ("tipo_contrato", "tc.nombre"),
@@ -218,15 +220,15 @@ FULL_COLUMNS = [
     ("cod_barra_oxxo", "tx.codigo_barra"), ("clabe_banco", "cb.clabe"),
     ("tipo_documento", "c.tipo_documento"), ("nro_documento", "c.nro_documento"),
     ("rfc1", "c.cuit"), ("medio_cobro_cuenta", "mcb.nro_cuenta"),
-    ("titular_cobro", "mcb.titular"), ("clabe_banco_formatted", None),
+    ("titular_cobro", "mcb.titular"),
+    ("clabe_banco_formatted", lambda: bank_code(F.col("cb__clabe"))),
 ]
 
 
 def lookup_full(catalog, keys: DataFrame | None = None) -> DataFrame:
     """The 29-table, 38-column record, DISTINCT."""
     df = run_chain(catalog, ROOT, FULL_INNER + FULL_LEFT, keys)
-    cols = [(n, s if s is not None else bank_code(F.col("cb__clabe"))) for n, s in FULL_COLUMNS]
-    return project(df, cols).distinct()
+    return project(df, FULL_COLUMNS).distinct()
 
 
 def holder_rows(catalog, keys: DataFrame | None = None) -> DataFrame:

@@ -90,25 +90,49 @@ def number_within_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFram
 
 
 def ordered_with_position(df: DataFrame, order: Sequence[str | Column], pos: str = "pos",
-                          num_partitions: int | None = None) -> DataFrame:
+                          num_buckets: int | None = None) -> DataFrame:
     """O1/O2: a listing with its 1-based position in ``order`` (nulls first).
 
     ``row_number`` over an unpartitioned window would pull every row into one
-    task. Instead: range-partition on the order, sort inside partitions,
-    number rows inside each partition, and add the running row count of the
-    earlier partitions (a table with one row per partition, broadcast).
-    Rows equal in ``order`` share a range partition, so positions are dense.
+    task, so the position is built from deterministic range buckets:
+
+    1. ``num_buckets - 1`` boundary values of the first order column are
+       taken once (range-partition the column, minimum per partition; a
+       bounded list reaches the driver, as Spark's own sort sampling does);
+    2. each row's bucket is a pure function of its key and those literals;
+    3. rank inside the bucket: ``row_number`` over (bucket, order);
+    4. offset of the bucket: running count of earlier buckets (one row per
+       bucket, broadcast).
+
+    Nothing depends on task or partition ids, so re-evaluation (retries,
+    lost executors, plan branches) gives the same positions. ``order`` must
+    be total for positions to be unique among distinct rows.
     """
     from .safety import broadcast_if_bounded
 
     spec = _asc(order)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *spec).sortWithinPartitions(*spec)
-              .withColumn("_part", F.spark_partition_id())
-              .withColumn("_id", F.monotonically_increasing_id()))
-    parts = ranged.groupBy("_part").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = parts.select("_part", "_first", (F.sum("_n").over(w) - F.col("_n")).alias("_before"))
-    return (ranged.join(broadcast_if_bounded(offsets, n), "_part")
-            .withColumn(pos, F.col("_before") + F.col("_id") - F.col("_first") + 1)
-            .drop("_part", "_id", "_first", "_before"))
+    first = order[0] if isinstance(order[0], Column) else F.col(order[0])
+    spark = df.sparkSession
+    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    probe = df.select(first.alias("_k")).filter(F.col("_k").isNotNull())
+    mins = (probe.repartitionByRange(n, "_k").groupBy(F.spark_partition_id().alias("_p"))
+            .agg(F.min("_k").alias("_m")).collect())
+    bounds = sorted({r["_m"] for r in mins})[1:]
+    bucket = F.lit(0)
+    for i, b in enumerate(bounds, start=1):
+        bucket = F.when(first >= F.lit(b), F.lit(i)).otherwise(bucket)
+    bucket = F.when(first.isNull(), F.lit(0)).otherwise(bucket)
+    t = df.withColumn("_bucket", bucket)
+    local = t.withColumn("_local", F.row_number().over(Window.partitionBy("_bucket").orderBy(*spec)))
+    counts = t.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = counts.select("_bucket", (F.sum("_n").over(w) - F.col("_n")).alias("_before"))
+    return (local.join(broadcast_if_bounded(offsets, len(bounds) + 1), "_bucket")
+            .withColumn(pos, F.col("_before") + F.col("_local"))
+            .drop("_bucket", "_local", "_before"))
+
+
+def small_ordinal(df: DataFrame, order: Sequence[str | Column], pos: str = "pos") -> DataFrame:
+    """Position over a small, bounded set (a top-k or a distinct code list):
+    a plain ``row_number`` over one ordered window."""
+    return df.withColumn(pos, F.row_number().over(Window.orderBy(*_asc(order))))

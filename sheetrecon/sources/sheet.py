@@ -74,12 +74,13 @@ def parse_lines(lines: DataFrame, n_cols: int, sep: str = ",",
                 value_col: str = "value", keep: Iterable[str] = (FILE, ROW_NO)) -> DataFrame:
     """Split each text line into ``c0..c{n_cols-1}`` string cells.
 
-    CSV quoting rules apply inside a line. Missing cells are null, extra
-    cells are dropped, an unparsable line gives all-null cells (permissive).
-    A blank line gives all-null cells.
+    CSV quoting rules apply inside a line. Missing cells and empty unquoted
+    cells are null (as a headerless all-text read gives them), a quoted
+    empty cell is ''. Extra cells are dropped, an unparsable line gives
+    all-null cells (permissive). A blank line gives all-null cells.
     """
     schema = sheet_schema(n_cols)
-    opts = {"sep": sep, "mode": "PERMISSIVE", "nullValue": "\u0000", "emptyValue": ""}
+    opts = {"sep": sep, "mode": "PERMISSIVE", "emptyValue": ""}
     parsed = F.from_csv(F.col(value_col), schema.simpleString(), opts)
     keep = [k for k in keep if k in lines.columns]
     return lines.select(*keep, *[parsed.getField(c).alias(c) for c in cell_names(n_cols)])
@@ -97,8 +98,7 @@ def read_sheet(spark: SparkSession, path: str | list[str], n_cols: int, sep: str
         return parse_lines(number_lines(spark, path, path_glob), n_cols, sep)
     reader = (spark.read.schema(sheet_schema(n_cols))
               .option("sep", sep).option("header", False).option("multiLine", True)
-              .option("mode", "PERMISSIVE").option("nullValue", "\u0000")
-              .option("emptyValue", ""))
+              .option("mode", "PERMISSIVE").option("emptyValue", ""))
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     raw = reader.csv(path).select(
