@@ -37,7 +37,12 @@ def q(ref: str) -> str:
 
 
 def qualify(df: DataFrame, alias: str) -> DataFrame:
-    return df.select([F.col(f"`{c}`").alias(f"{alias}__{c}") for c in df.columns])
+    """Rename every column to ``alias__column`` (memoized on the DataFrame,
+    since the same catalog table is qualified by many chains)."""
+    memo = df.__dict__.setdefault("_sheetrecon_qualified", {})
+    if alias not in memo:
+        memo[alias] = df.toDF(*[f"{alias}__{c}" for c in df.columns])
+    return memo[alias]
 
 
 def run_chain(catalog: Mapping[str, DataFrame], root: tuple[str, str],

@@ -81,12 +81,85 @@ def last_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return pick_first(df, key, order, descending=True)
 
 
-def number_within_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Ordinal of each row inside its key; key text only on the first."""
-    w = Window.partitionBy(key).orderBy(*_asc(order))
-    return (df.withColumn("n_in_key", F.row_number().over(w))
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the session's checkpoint dir (the shared
+    folder a cluster names in ``spark.checkpoint.dir``): cuts the lineage
+    of an input that is read several times, and survives lost executors."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def number_within_key(df: DataFrame, key: str, order: Sequence[str],
+                      checkpoint_input: bool = True) -> DataFrame:
+    """Ordinal of each row inside its key; key text only on the first.
+
+    Built on global positions in (key, order...) so that a hot key is not
+    numbered by a single task: ordinal = position - first position of the
+    key + 1 (the first position per key is a partial-aggregated minimum).
+    The input is read several times (bounds, counts, ranks), so by default
+    it is checkpointed once first.
+    """
+    if checkpoint_input:
+        df = materialize(df)
+    pos = ordered_with_position(df, [key, *order], "_pos")
+    first = pos.groupBy(key).agg(F.min("_pos").alias("_first"))
+    return (pos.join(first, key)
+            .withColumn("n_in_key", F.col("_pos") - F.col("_first") + 1)
             .withColumn("key_display", F.when(F.col("n_in_key") == 1, F.col(key).cast("string"))
-                        .otherwise(F.lit(""))))
+                        .otherwise(F.lit("")))
+            .drop("_pos", "_first"))
+
+
+def _order_struct(order: Sequence[str | Column]) -> Column:
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
+
+
+def range_buckets(df: DataFrame, order: Sequence[str | Column],
+                  num_buckets: int | None = None) -> tuple[DataFrame, int]:
+    """Add ``_bucket``: the range bucket of each row's full order tuple.
+
+    Bucket bounds are taken once from a range partitioning of the order
+    tuple (minimum tuple per partition; at most ``num_buckets`` small rows
+    reach the driver, as in Spark's own sort sampling). The bucket is then a
+    pure function of the row and those literals, so every re-evaluation
+    agrees. Bounds are on the whole tuple, so one hot leading value (a key
+    holding a third of all rows) still spreads over many buckets.
+    Returns (DataFrame, number of buckets).
+    """
+    spark = df.sparkSession
+    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = _order_struct(order)
+    probe = df.select(key.alias("_k"))
+    mins = (probe.repartitionByRange(n, F.col("_k").asc_nulls_first())
+            .groupBy(F.spark_partition_id().alias("_p")).agg(F.min("_k").alias("_m"))
+            .collect())
+    ktype = probe.schema["_k"].dataType
+    bounds = sorted((tuple(r["_m"]) for r in mins), key=_null_first_key)[1:]
+    bucket = F.lit(0)
+    for i, b in enumerate(bounds, start=1):
+        lit = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, ktype.fields)])
+        bucket = F.when(_struct_ge(key, lit, len(b)), F.lit(i)).otherwise(bucket)
+    return df.withColumn("_bucket", bucket), len(bounds) + 1
+
+
+def _null_first_key(t):
+    return tuple((v is not None, v if v is not None else 0) for v in t)
+
+
+def _struct_ge(a: Column, b: Column, n: int) -> Column:
+    """a >= b for order tuples with nulls first in every field."""
+    # Spark orders structs field by field with nulls first (ascending), the
+    # same total order as the window / sort specs used here.
+    return F.coalesce(a >= b, F.lit(False)) | _struct_eq_nullsafe(a, b, n)
+
+
+def _struct_eq_nullsafe(a: Column, b: Column, n: int) -> Column:
+    out = F.lit(True)
+    for i in range(n):
+        out = out & a.getField(f"k{i}").eqNullSafe(b.getField(f"k{i}"))
+    return out
 
 
 def ordered_with_position(df: DataFrame, order: Sequence[str | Column], pos: str = "pos",
@@ -94,44 +167,56 @@ def ordered_with_position(df: DataFrame, order: Sequence[str | Column], pos: str
     """O1/O2: a listing with its 1-based position in ``order`` (nulls first).
 
     ``row_number`` over an unpartitioned window would pull every row into one
-    task, so the position is built from deterministic range buckets:
-
-    1. ``num_buckets - 1`` boundary values of the first order column are
-       taken once (range-partition the column, minimum per partition; a
-       bounded list reaches the driver, as Spark's own sort sampling does);
-    2. each row's bucket is a pure function of its key and those literals;
-    3. rank inside the bucket: ``row_number`` over (bucket, order);
-    4. offset of the bucket: running count of earlier buckets (one row per
-       bucket, broadcast).
-
-    Nothing depends on task or partition ids, so re-evaluation (retries,
-    lost executors, plan branches) gives the same positions. ``order`` must
-    be total for positions to be unique among distinct rows.
+    task. Instead rows get deterministic range buckets on the order tuple
+    (``range_buckets``), a rank inside the bucket (``row_number`` over the
+    bucket) and the bucket's offset (running count of earlier buckets, one
+    row per bucket, broadcast). Nothing depends on task or partition ids,
+    so retries and lost executors reproduce the same positions. ``order``
+    must be total for positions to be unique among distinct rows.
     """
     from .safety import broadcast_if_bounded
 
     spec = _asc(order)
-    first = order[0] if isinstance(order[0], Column) else F.col(order[0])
-    spark = df.sparkSession
-    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    probe = df.select(first.alias("_k")).filter(F.col("_k").isNotNull())
-    mins = (probe.repartitionByRange(n, "_k").groupBy(F.spark_partition_id().alias("_p"))
-            .agg(F.min("_k").alias("_m")).collect())
-    bounds = sorted({r["_m"] for r in mins})[1:]
-    bucket = F.lit(0)
-    for i, b in enumerate(bounds, start=1):
-        bucket = F.when(first >= F.lit(b), F.lit(i)).otherwise(bucket)
-    bucket = F.when(first.isNull(), F.lit(0)).otherwise(bucket)
-    t = df.withColumn("_bucket", bucket)
+    t, nb = range_buckets(df, order, num_buckets)
     local = t.withColumn("_local", F.row_number().over(Window.partitionBy("_bucket").orderBy(*spec)))
     counts = t.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select("_bucket", (F.sum("_n").over(w) - F.col("_n")).alias("_before"))
-    return (local.join(broadcast_if_bounded(offsets, len(bounds) + 1), "_bucket")
+    return (local.join(broadcast_if_bounded(offsets, nb), "_bucket")
             .withColumn(pos, F.col("_before") + F.col("_local"))
             .drop("_bucket", "_local", "_before"))
 
 
+def running_aggregate(df: DataFrame, value: str, order: Sequence[str], partition: Sequence[str],
+                      num_buckets: int | None = None) -> DataFrame:
+    """Running sum (decimal-exact when ``value`` is decimal) and count of
+    ``value`` per ``partition`` in ``order``, as ``_run_sum`` / ``_run_n``.
+
+    Parallel prefix sum: range buckets on (partition, order); running sums
+    inside (bucket, partition); per (bucket, partition) totals - at most
+    #partitions + #buckets rows - get a running offset over earlier buckets
+    of the same partition; the offset is joined back. A partition holding a
+    third of all rows is spread over many buckets and tasks.
+    """
+    keys = [*partition, *order]
+    t, nb = range_buckets(df, keys, num_buckets)
+    inner = (Window.partitionBy("_bucket", *partition).orderBy(*_asc(order))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = (t.withColumn("_ls", F.sum(value).over(inner))
+             .withColumn("_ln", F.count(F.lit(1)).over(inner)))
+    tot = t.groupBy("_bucket", *partition).agg(F.sum(value).alias("_bs"), F.count(F.lit(1)).alias("_bn"))
+    prior = (Window.partitionBy(*partition).orderBy("_bucket")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    offs = tot.select("_bucket", *partition,
+                      F.coalesce(F.sum("_bs").over(prior), F.lit(0).cast(tot.schema["_bs"].dataType))
+                      .alias("_os"),
+                      F.coalesce(F.sum("_bn").over(prior), F.lit(0)).alias("_on"))
+    out = local.join(offs, ["_bucket", *[c for c in partition]], "inner")
+    return (out.withColumn("_run_sum", F.col("_os") + F.col("_ls"))
+            .withColumn("_run_n", F.col("_on") + F.col("_ln"))
+            .drop("_bucket", "_ls", "_ln", "_os", "_on"))
+
+
 def small_ordinal(df: DataFrame, order: Sequence[str | Column], pos: str = "pos") -> DataFrame:
     """Position over a small, bounded set (a top-k or a distinct code list):
     a plain ``row_number`` over one ordered window."""

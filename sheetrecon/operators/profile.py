@@ -113,13 +113,14 @@ def cells_by_column(sheet: DataFrame, first_row: int = 1, last_row: int | None =
     each, with how many more the column holds."""
     c = cells(_rows(sheet, first_row, last_row), max_cols, include_nulls=False)
     hits = c.filter(is_strict_key("value")).select(FILE, ROW_NO, "col_ix", strip("value").alias("value"))
+    # top-k per column (partial top-k before the shuffle) and totals by a
+    # partial aggregate: no column's cells are gathered in one task.
     w = Window.partitionBy(FILE, "col_ix").orderBy(ROW_NO)
-    wall = Window.partitionBy(FILE, "col_ix")
-    return (hits.withColumn("pos", F.row_number().over(w))
-            .withColumn("total", F.count(F.lit(1)).over(wall))
-            .filter(F.col("pos") <= per_column)
-            .withColumn("more", F.greatest(F.col("total") - per_column, F.lit(0)))
-            .drop("total"))
+    top = hits.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= per_column)
+    totals = hits.groupBy(FILE, "col_ix").agg(F.count(F.lit(1)).alias("_total"))
+    return (top.join(totals, [FILE, "col_ix"])
+            .withColumn("more", F.greatest(F.col("_total") - per_column, F.lit(0)))
+            .drop("_total"))
 
 
 def search_cells(sheet: DataFrame, text: str | None = None, numeric: bool = False,

@@ -31,15 +31,19 @@ def run_log_totals(log: DataFrame, seconds: str = "execution_time", records: str
 
 
 def running_average(log: DataFrame, value: str, order: Sequence[str],
-                    partition: Sequence[str]) -> DataFrame:
+                    partition: Sequence[str] = ()) -> DataFrame:
     """Running mean of ``value`` over the runs logged so far, per
-    ``partition`` (one log per source; a global running mean would need a
-    single ordered task)."""
-    w = (Window.partitionBy(*partition).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    s = F.sum(F.col(value).cast("decimal(18,2)")).over(w)
-    n = F.count(F.lit(1)).over(w)
-    return log.withColumn("running_avg", F.round(s.cast("double") / n, 6))
+    ``partition`` (empty: one global log). Sums are decimal(18,2), exact.
+
+    Uses a parallel prefix sum (``pick.running_aggregate``), so neither a
+    global log nor one source holding most runs is processed by one task.
+    """
+    from .pick import running_aggregate
+    cols = log.columns
+    v = log.withColumn("_v", F.col(value).cast("decimal(18,2)"))
+    out = running_aggregate(v, "_v", order, partition)
+    return out.select(*cols, F.round(F.col("_run_sum").cast("double") / F.col("_run_n"), 6)
+                      .alias("running_avg"))
 
 
 def check_summary(checks: DataFrame, name: str = "check", ok: str = "success",

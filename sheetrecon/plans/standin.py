@@ -36,13 +36,46 @@ CONTRACT_TYPES = [("1-URGENT", "CONTADO"), ("2-HIGH", "CREDITO 12"),
                   ("3-MEDIUM", "CREDITO 24"), ("4-NOT SPECIFIED", "CREDITO 36")]
 
 
+TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+               "events", "documents", "labels", "pages", "benchmark", "conversations")
+
+# DataFrames are immutable plans, so the ones built here are memoized per
+# (application, directory): building them costs driver time (file listing,
+# footer reads, analysis), not executor work.
+_MEMO: dict[tuple, object] = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
+class _Tables(dict):
+    """Test tables read on first access."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in TABLE_NAMES:
+            raise KeyError(name)
+        df = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        self[name] = df
+        return df
+
+
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-             "events", "documents", "labels", "pages", "benchmark", "conversations"]
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+    return _memo("tables", spark, sf_dir, lambda: _Tables(spark, sf_dir))
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return _memo("catalog", spark, sf_dir, lambda: _catalog(spark, sf_dir))
+
+
+def _catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     t = tables(spark, sf_dir)
     o, li, s, c, n, r, p = (t["orders"], t["lineitem"], t["supplier"], t["customer"],
                             t["nation"], t["region"], t["part"])
@@ -152,6 +185,10 @@ def values_table(spark: SparkSession, rows, ddl: str) -> DataFrame:
 
 
 def sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _memo("sheet", spark, sf_dir, lambda: _sheet(spark, sf_dir))
+
+
+def _sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A 9-column sheet: 10 banner rows (from nation), then one data row per
     order at row ``o_orderkey + 11``.
 
@@ -206,6 +243,10 @@ def sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stand-in sheet as raw comma-separated text lines, ragged: a
     row's trailing null cells are left out, as a spreadsheet export does."""
+    return _memo("lines", spark, sf_dir, lambda: _sheet_lines(spark, sf_dir))
+
+
+def _sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     sh = sheet(spark, sf_dir)
     cells = [F.coalesce(F.col(f"c{i}"), F.lit("")) for i in range(SHEET_WIDTH)]
     last = F.greatest(*[F.when(F.col(f"c{i}").isNotNull(), F.lit(i + 1)).otherwise(F.lit(0))

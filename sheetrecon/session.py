@@ -20,7 +20,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
+STATIC = ("spark.ui.enabled", "spark.ui.showConsoleProgress")
 
 
 def get_session(master: str | None = None, app_name: str = "sheetrecon",
@@ -34,7 +36,7 @@ def get_session(master: str | None = None, app_name: str = "sheetrecon",
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     for k, v in DEFAULTS.items():
-        if k == "spark.ui.enabled":
+        if k in STATIC:
             continue  # static, cannot be changed after start
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
