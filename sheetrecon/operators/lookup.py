@@ -251,6 +251,19 @@ def lookup_by_key(lookup: DataFrame, key: str, order: Sequence[str], key_col: st
             .withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"))
 
 
+def lookup_by_key_or_first(lookup: DataFrame, key: str, order: Sequence[str],
+                           key_col: str = "legajo") -> DataFrame:
+    """O3: the point lookup of ``key``; when the key is absent, the first
+    existing key (lowest in key order) stands in. One aggregate decides
+    which key to use; no row is collected."""
+    probe = lookup.agg(F.max(F.when(F.col(key_col) == F.lit(key), F.col(key_col))).alias("_hit"),
+                       F.min(key_col).alias("_first"))
+    target = probe.select(F.coalesce("_hit", "_first").alias("_target"))
+    rows = lookup.join(F.broadcast(target), F.col(key_col) == F.col("_target"), "left_semi")
+    w = Window.partitionBy(key_col).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
 # ------------------------------------------------------------ combination
 def merge_lookups(tiers: Sequence[DataFrame], key_col: str = "legajo") -> DataFrame:
     """Union of lookups where a later tier's row replaces an earlier

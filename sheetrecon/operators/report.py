@@ -1,32 +1,77 @@
-"""Profile assembly (C18, C19): the per-file profile as one struct row and
-as a printable text report."""
+"""Sheet profile and its text report.
+
+``profile`` builds one row per file from a handful of per-file aggregates
+(each partial-aggregated, so a huge sheet is never gathered in one task)
+and ``profile_report`` renders it as text with plain column expressions.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .profile import key_profile, quality, sheet_dims
+from ..functions import fmt
+from ..sources.sheet import FILE
+from .profile import key_profile, quality, ragged_check, special_chars
+
+# Fixed values that must match the reference's behaviour (format warnings).
+RAGGED_WARNING = "[WARNING] Inconsistencia en número de columnas por fila"
+SPECIAL_WARNING = "[WARNING] Caracteres especiales detectados en columna B"
+
+
+def file_stats(lines: DataFrame) -> DataFrame:
+    """Per file: bytes (with line ends), rows, widest row."""
+    return lines.groupBy(FILE).agg(
+        F.sum(F.octet_length("value") + 1).alias("size_bytes"),
+        F.count(F.lit(1)).alias("total_rows"),
+        F.max(F.size(F.split("value", ",", -1))).alias("total_cols"))
+
+
+def profile(sheet: DataFrame, lines: DataFrame, key_cell: str = "c1",
+            start_row: int = 11) -> DataFrame:
+    """Per file: size, dimensions, format issues, key analysis, quality,
+    strategy and time estimate, as nested structs."""
+    st = file_stats(lines).withColumn("file_size_mb", F.col("size_bytes") / (1024.0 * 1024.0))
+    q = quality(sheet)
+    k = key_profile(sheet, key_cell, start_row)
+    rg = ragged_check(sheet).select(FILE, "ragged")
+    sc = special_chars(sheet, key_cell, start_row).select(FILE, "has_special")
+    issues = F.filter(F.array(F.when(F.col("ragged"), F.lit(RAGGED_WARNING)),
+                              F.when(F.col("has_special"), F.lit(SPECIAL_WARNING))),
+                      lambda x: x.isNotNull())
+    j = st.join(q, FILE).join(k, FILE, "left").join(rg, FILE).join(sc, FILE, "left")
+    return j.select(
+        FILE, "file_size_mb", "total_rows", "total_cols",
+        issues.alias("format_issues"),
+        F.struct(F.coalesce("valid", F.lit(0)).alias("valid"),
+                 F.coalesce("empty", F.lit(0)).alias("empty"),
+                 F.coalesce("sample_values", F.array().cast("array<string>")).alias("sample_values"))
+        .alias("propuesta_analysis"),
+        F.struct("empty_pct", "quality_score", "quality_level").alias("data_quality"),
+        fmt.size_strategy(F.col("file_size_mb"), F.col("total_rows")).alias("performance"),
+        fmt.time_estimate(F.col("total_rows")).alias("estimate"))
 
 
-def profile(sheet: DataFrame, lines: DataFrame) -> DataFrame:
-    """Per file: dimensions, data quality and key-column profile."""
-    q = quality(sheet).select("file_path", "quality_score", "quality_level")
-    dims = sheet_dims(lines)
-    k = key_profile(sheet)
-    return q.join(dims, "file_path").join(k, "file_path")
+def _f1(c):
+    """One decimal, half to even (Python's '.1f')."""
+    return F.format_string("%.1f", F.bround(c.cast("double"), 1))
 
 
 def profile_report(sheet: DataFrame, lines: DataFrame) -> DataFrame:
-    """Per file: the profile as report text (one line per section)."""
+    """Per file: the profile as report text, one line per item."""
     p = profile(sheet, lines)
-    return p.select("file_path", F.concat_ws(
-        "\n",
-        F.concat(F.lit("REPORTE: "), F.col("file_path")),
-        F.concat(F.lit("Filas: "), F.col("total_rows").cast("string"), F.lit(", columnas: "),
-                 F.col("total_cols").cast("string")),
-        F.concat(F.lit("Calidad: "), F.col("quality_level"), F.lit(" ("),
-                 F.col("quality_score").cast("string"), F.lit(")")),
-        F.concat(F.lit("Claves validas: "), F.col("valid").cast("string"), F.lit(", vacias: "),
-                 F.col("empty").cast("string")),
-        F.concat(F.lit("Muestra: "), F.array_join("sample_values", ", "))).alias("report"))
+    pa, dq, pf = F.col("propuesta_analysis"), F.col("data_quality"), F.col("performance")
+    head = F.array(
+        F.concat(F.lit("REPORTE DE ANALISIS: "), fmt.basename(F.col(FILE))),
+        F.concat(F.lit("Tamano: "), _f1(F.col("file_size_mb")), F.lit(" MB")),
+        F.concat(F.lit("Dimensiones: "), F.format_number(F.col("total_rows"), 0), F.lit(" filas x "),
+                 F.col("total_cols").cast("string"), F.lit(" columnas")),
+        F.concat(F.lit("Claves validas: "), pa["valid"].cast("string"), F.lit(", vacias: "),
+                 pa["empty"].cast("string"), F.lit(", ejemplos: "),
+                 F.array_join(F.slice(pa["sample_values"], 1, 3), ", ")),
+        F.concat(F.lit("Calidad: "), _f1(dq["quality_score"]), F.lit("/100 ("), dq["quality_level"],
+                 F.lit("), celdas vacias: "), _f1(dq["empty_pct"]), F.lit("%")),
+        F.concat(F.lit("Estrategia: "), F.initcap(pf["strategy"]), F.lit(", memoria estimada: "),
+                 _f1(pf["memory_estimate_mb"]), F.lit(" MB")),
+        F.concat(F.lit("Tiempo estimado: "), F.col("estimate.human_readable")))
+    return p.select(FILE, F.array_join(F.concat(head, F.col("format_issues")), "\n").alias("report"))

@@ -214,6 +214,19 @@ def lookup_by_key(spark, d):
     return lk.lookup_by_key(rows, "10153", order).unionByName(lk.lookup_by_key(rows, "116090", order))
 
 
+@register("lookup_probe_or_first", o.with_ctes(
+    "SELECT legajo, nombre_cliente, caracter_titular, sucursal, monto, fecha_contrato FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY legajo ORDER BY nombre_cliente NULLS FIRST, "
+    "caracter_titular NULLS FIRST, sucursal NULLS FIRST, monto NULLS FIRST, "
+    "fecha_contrato NULLS FIRST) AS rn FROM role_rows WHERE legajo = coalesce("
+    "(SELECT max(legajo) FROM role_rows WHERE legajo = 'NO-EXISTE'), "
+    "(SELECT min(legajo) FROM role_rows))) WHERE rn = 1", "role_rows"))
+def lookup_probe_or_first(spark, d):
+    rows = lk.lookup_role(_cat(spark, d))
+    order = ["nombre_cliente", "caracter_titular", "sucursal", "monto", "fecha_contrato"]
+    return lk.lookup_by_key_or_first(rows, "NO-EXISTE", order)
+
+
 @register("amount_filter", o.with_ctes(
     "SELECT trim(p.legajo) AS legajo, cr.monto FROM creditos cr JOIN propuesta p "
     "ON cr.cod_propuesta = p.cod_propuesta WHERE cr.monto > 1500", "creditos", "propuesta"))
@@ -765,31 +778,62 @@ def normalize_symbols_q(spark, d):
     return docs.select("doc_id", normalize_symbols("text").alias("text"))
 
 
+_PROFILE_SQL = """
+SELECT st.file_path, st.size_bytes / 1048576.0 AS mb, st.total_rows, st.total_cols,
+  q.quality_score, q.quality_level, q.empty_pct, coalesce(k.valid, 0) AS valid,
+  coalesce(k.empty, 0) AS empty, coalesce(k.sample_values, []) AS sample_values,
+  list_filter([CASE WHEN rg.ragged THEN '[WARNING] Inconsistencia en número de columnas por fila' END,
+               CASE WHEN sc.n_special > 0 THEN '[WARNING] Caracteres especiales detectados en columna B' END],
+              lambda x: x IS NOT NULL) AS issues
+FROM (SELECT file_path, sum(octet_length(encode(value)) + 1) AS size_bytes, count(*) AS total_rows,
+             max(len(string_split(value, ','))) AS total_cols FROM lines GROUP BY file_path) st
+JOIN (SELECT file_path, empty_pct, round(greatest(0.0, 100.0 - empty_pct), 4) AS quality_score,
+             CASE WHEN round(greatest(0.0, 100.0 - empty_pct), 4) >= 90 THEN 'Excelente'
+                  WHEN round(greatest(0.0, 100.0 - empty_pct), 4) >= 70 THEN 'Buena'
+                  WHEN round(greatest(0.0, 100.0 - empty_pct), 4) >= 50 THEN 'Regular'
+                  ELSE 'Necesita revisión' END AS quality_level
+      FROM (SELECT file_path, round(sum(EMPTYROW) * 100.0 / (count(*) * 9), 4) AS empty_pct
+            FROM sheet GROUP BY file_path)) q ON q.file_path = st.file_path
+LEFT JOIN (SELECT a.file_path, a.valid, a.empty, b.sample_values FROM (
+      SELECT file_path, count(*) FILTER (WHERE length(trim(c1)) > 0) AS valid,
+             count(*) FILTER (WHERE NOT coalesce(length(trim(c1)) > 0, false)) AS empty
+      FROM sheet WHERE row_no >= 11 GROUP BY file_path) a LEFT JOIN (
+      SELECT file_path, list(v ORDER BY row_no) AS sample_values FROM (
+        SELECT file_path, row_no, trim(c1) AS v, row_number() OVER (PARTITION BY file_path
+               ORDER BY row_no) AS n FROM sheet WHERE row_no >= 11 AND length(trim(c1)) > 0)
+      WHERE n <= 5 GROUP BY file_path) b ON a.file_path = b.file_path) k ON k.file_path = st.file_path
+JOIN (SELECT file_path, count(*) > 10 AND count(DISTINCT NNROW) > 2 AS ragged
+      FROM sheet GROUP BY file_path) rg ON rg.file_path = st.file_path
+LEFT JOIN (SELECT file_path, count(*) FILTER (WHERE regexp_matches(c1, '["\r\n]')) AS n_special
+      FROM sheet WHERE row_no >= 11 GROUP BY file_path) sc ON sc.file_path = st.file_path
+""".replace("EMPTYROW", _EMPTY_ROW).replace("NNROW", _NN_ROW)
+
+
+def _f1_sql(x: str) -> str:
+    return f"format('{{:.1f}}', round_even(CAST({x} AS DOUBLE), 1))"
+
+
+_SECS = "total_rows / 3000.0"
+_STRAT = ("CASE WHEN mb > 100 THEN 'streaming' WHEN mb > 10 THEN 'chunked' ELSE 'standard' END")
+_MEM = "round(CASE WHEN mb > 100 THEN mb * 0.3 WHEN mb > 10 THEN mb * 0.8 ELSE mb * 1.5 END, 1)"
+_HUMAN = (f"CASE WHEN {_SECS} < 60 THEN CAST(CAST(round_even({_SECS}, 0) AS BIGINT) AS VARCHAR) || ' segundos' "
+          f"WHEN {_SECS} < 3600 THEN format('{{:,.1f}}', round_even({_SECS} / 60, 1)) || ' minutos' "
+          f"ELSE format('{{:,.1f}}', round_even({_SECS} / 3600, 1)) || ' horas' END")
+
+
 @register("profile_report", o.with_ctes(
-    "SELECT q.file_path, concat_ws(chr(10), 'REPORTE: ' || q.file_path, "
-    "'Filas: ' || d.total_rows || ', columnas: ' || d.total_cols, "
-    "'Calidad: ' || q.quality_level || ' (' || CAST(q.quality_score AS VARCHAR) || ')', "
-    "'Claves validas: ' || k.valid || ', vacias: ' || k.empty, "
-    "'Muestra: ' || array_to_string(k.sample_values, ', ')) AS report FROM ("
-    "SELECT file_path, round(greatest(0.0, 100.0 - round(sum(" + _EMPTY_ROW + ") * 100.0 / "
-    "(count(*) * 9), 4)), 4) AS quality_score, "
-    "CASE WHEN round(greatest(0.0, 100.0 - round(sum(" + _EMPTY_ROW + ") * 100.0 / (count(*) * 9), 4)), 4) >= 90 "
-    "THEN 'Excelente' WHEN round(greatest(0.0, 100.0 - round(sum(" + _EMPTY_ROW + ") * 100.0 / "
-    "(count(*) * 9), 4)), 4) >= 70 THEN 'Buena' WHEN round(greatest(0.0, 100.0 - round(sum("
-    + _EMPTY_ROW + ") * 100.0 / (count(*) * 9), 4)), 4) >= 50 THEN 'Regular' "
-    "ELSE 'Necesita revisión' END AS quality_level FROM sheet GROUP BY file_path) q "
-    "JOIN (SELECT file_path, count(*) AS total_rows, max(len(string_split(value, ','))) AS total_cols "
-    "FROM lines GROUP BY file_path) d ON d.file_path = q.file_path "
-    "JOIN (SELECT a.file_path, a.valid, a.empty, b.sample_values FROM ("
-    "SELECT file_path, count(*) FILTER (WHERE length(trim(c1)) > 0) AS valid, "
-    "count(*) FILTER (WHERE NOT coalesce(length(trim(c1)) > 0, false)) AS empty "
-    "FROM sheet WHERE row_no >= 11 GROUP BY file_path) a JOIN ("
-    "SELECT file_path, list(v ORDER BY row_no) AS sample_values FROM ("
-    "SELECT file_path, row_no, trim(c1) AS v, row_number() OVER (PARTITION BY file_path "
-    "ORDER BY row_no) AS n FROM sheet WHERE row_no >= 11 AND length(trim(c1)) > 0) "
-    "WHERE n <= 5 GROUP BY file_path) b ON a.file_path = b.file_path) k ON k.file_path = q.file_path",
+    "SELECT file_path, array_to_string(list_concat(["
+    "'REPORTE DE ANALISIS: ' || regexp_extract(file_path, '[^/]*$'), "
+    f"'Tamano: ' || {_f1_sql('mb')} || ' MB', "
+    "'Dimensiones: ' || format('{:,}', total_rows) || ' filas x ' || total_cols || ' columnas', "
+    "'Claves validas: ' || valid || ', vacias: ' || empty || ', ejemplos: ' || "
+    "array_to_string(sample_values[1:3], ', '), "
+    f"'Calidad: ' || {_f1_sql('quality_score')} || '/100 (' || quality_level || '), celdas vacias: ' || "
+    f"{_f1_sql('empty_pct')} || '%', "
+    f"'Estrategia: ' || upper(substr({_STRAT}, 1, 1)) || substr({_STRAT}, 2) || "
+    f"', memoria estimada: ' || {_f1_sql(_MEM)} || ' MB', "
+    f"'Tiempo estimado: ' || {_HUMAN}], issues), chr(10)) AS report FROM ({_PROFILE_SQL})",
     "sheet", "lines"))
 def profile_report(spark, d):
     from ..operators.report import profile_report as build
-    s = _sheet(spark, d)
-    return build(s, standin.sheet_lines(spark, d))
+    return build(_sheet(spark, d), standin.sheet_lines(spark, d))

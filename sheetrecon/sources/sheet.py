@@ -187,3 +187,21 @@ def require_width(df: DataFrame, min_cols: int) -> DataFrame:
     if n < min_cols:
         raise ValueError(f"sheet has {n} columns, at least {min_cols} needed")
     return df
+
+
+def append_column(sheet: DataFrame) -> tuple[DataFrame, str]:
+    """Add the next free cell column (all null); returns (sheet, its name)."""
+    cells = [c for c in sheet.columns if c.startswith("c") and c[1:].isdigit()]
+    name = f"c{len(cells)}"
+    return sheet.withColumn(name, F.lit(None).cast("string")), name
+
+
+def target_column(sheet: DataFrame, label: str, header_rows: int = 10) -> tuple[DataFrame, str]:
+    """P3 for one sheet: the column whose banner holds ``label``, else a new
+    appended column. One small aggregate row reaches the driver."""
+    from ..operators.profile import find_label_column
+    row = find_label_column(sheet, [label], header_rows).agg(F.min("col_ix").alias("ix")).first()
+    cells = [c for c in sheet.columns if c.startswith("c") and c[1:].isdigit()]
+    if row is None or row.ix is None or row.ix >= len(cells):
+        return append_column(sheet)
+    return sheet, cells[row.ix]
