@@ -50,3 +50,20 @@ def split_bound(scan: DataFrame) -> int:
     full piece, so splits <= files + partitions.
     """
     return len(scan.inputFiles()) + scan.rdd.getNumPartitions()
+
+
+def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that has fewer partitions than the cluster can run.
+
+    A single small file (one row group) is read by one task, and every
+    broadcast join probed by it then runs in that task. Such a scan gets a
+    round-robin repartition (skew-free); a scan that is already as wide as
+    the cluster - any large input - is returned unchanged, so this costs
+    nothing at scale.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
+        return df
+    return df.repartition(n) if have < n else df
