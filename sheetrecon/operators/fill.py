@@ -38,6 +38,27 @@ def sheet_keys(sheet: DataFrame, key_cell: str = "c1", start_row: int = 11,
     return sheet.filter(cond).select(*keep, strip(key_cell).alias("key"))
 
 
+def decimal_keys(sheet: DataFrame, key_cell: str = "c1", start_row: int = 11,
+                 end_row: int | None = None, first_n: int | None = None) -> DataFrame:
+    """Cells that are digits once every '.' is removed (skip-listed
+    labels excluded), with the digits-only key. ``end_row`` bounds the scan
+    window and ``first_n`` keeps the first n per file by row (options; the
+    reference's diagnostic used rows 11-30 and the first 5)."""
+    from pyspark.sql import Window
+    from ..functions.text import is_decimal_key
+    cond = (F.col(ROW_NO) >= start_row) & is_decimal_key(key_cell)
+    if end_row is not None:
+        cond = cond & (F.col(ROW_NO) <= end_row)
+    keep = [c for c in ("file_path", ROW_NO) if c in sheet.columns]
+    out = sheet.filter(cond).select(*keep, F.col(key_cell).alias("key"),
+                                    F.replace(F.col(key_cell), F.lit("."), F.lit("")).alias("key_digits"))
+    if first_n is not None:
+        part = ["file_path"] if "file_path" in out.columns else []
+        w = Window.partitionBy(*part).orderBy(ROW_NO)
+        out = out.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= first_n).drop("_n")
+    return out
+
+
 def _attach(sheet: DataFrame, lookup: DataFrame, key_cell: str, start_row: int,
             key_col: str, values: Mapping[str, str]) -> DataFrame:
     """Left-join the one-row-per-key ``lookup`` onto data rows of ``sheet``.

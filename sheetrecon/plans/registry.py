@@ -125,10 +125,7 @@ def extract_keys_loose(spark, d):
     "WHERE row_no >= 11 AND c1 NOT IN ('', 'PROPUESTA JKM', 'NUMERO') "
     "AND regexp_full_match(replace(c1, '.', ''), '[0-9]+')", "sheet"))
 def extract_keys_decimal(spark, d):
-    s = sh.data_region(_sheet(spark, d), 11)
-    return s.filter(is_decimal_key("c1")).select(
-        "file_path", "row_no", F.col("c1").alias("key"),
-        F.replace(F.col("c1"), F.lit("."), F.lit("")).alias("key_digits"))
+    return fl.decimal_keys(_sheet(spark, d), "c1", 11)
 
 
 @register("fillable_cells", o.with_ctes(

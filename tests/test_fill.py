@@ -96,3 +96,19 @@ def test_pipeline_end_to_end(spark):
     rows = {r.row_no: r for r in out.collect()}
     assert rows[11].c5 == "CARLA" and rows[11].c7 == "2024-01-05"
     assert out.count() == s.count()
+
+
+def test_scan_window_and_decimal_first_n(spark):
+    s = _sheet(spark)
+    win = fl.sheet_keys(s, predicate="loose", end_row=13).collect()
+    assert sorted(r.row_no for r in win) == [11, 12, 13]
+    dec = fl.decimal_keys(s, first_n=2).collect()
+    assert [r.row_no for r in sorted(dec, key=lambda r: r.row_no)] == [11, 13]
+
+
+def test_small_frame_filters(spark):
+    fr1 = spark.createDataFrame([("P1", "ANA", 1000), ("P2", "LUIS", 2000), ("P3", "EVA", 3000)],
+                                "propuesta string, cliente string, monto int")
+    assert fr1.filter("monto > 1500").count() == 2
+    fr2 = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "A int, B string")
+    assert [r.B for r in fr2.filter("A > 1").select("B").orderBy("B").collect()] == ["b", "c"]
