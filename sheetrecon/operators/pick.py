@@ -220,4 +220,4 @@ def running_aggregate(df: DataFrame, value: str, order: Sequence[str], partition
 def small_ordinal(df: DataFrame, order: Sequence[str | Column], pos: str = "pos") -> DataFrame:
     """Position over a small, bounded set (a top-k or a distinct code list):
     a plain ``row_number`` over one ordered window."""
-    return df.withColumn(pos, F.row_number().over(Window.orderBy(*_asc(order))))
+    return df.withColumn(pos, F.row_number().over(Window.orderBy(*_asc(order))).cast("long"))

@@ -102,7 +102,7 @@ def score_key_columns(sheet: DataFrame, first_row: int = 10, last_row: int | Non
     scored = (c.filter(is_strict_key("value", min_len))
               .groupBy(FILE, "col_ix").agg(F.count(F.lit(1)).alias("n_keys")))
     w = Window.partitionBy(FILE).orderBy(F.col("n_keys").desc(), F.col("col_ix"))
-    return (scored.withColumn("rank", F.row_number().over(w))
+    return (scored.withColumn("rank", F.row_number().over(w).cast("long"))
             .withColumn("col_letter", letter(F.col("col_ix")))
             .withColumn("is_best", F.col("rank") == 1))
 
@@ -116,7 +116,7 @@ def cells_by_column(sheet: DataFrame, first_row: int = 1, last_row: int | None =
     # top-k per column (partial top-k before the shuffle) and totals by a
     # partial aggregate: no column's cells are gathered in one task.
     w = Window.partitionBy(FILE, "col_ix").orderBy(ROW_NO)
-    top = hits.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= per_column)
+    top = hits.withColumn("pos", F.row_number().over(w).cast("long")).filter(F.col("pos") <= per_column)
     totals = hits.groupBy(FILE, "col_ix").agg(F.count(F.lit(1)).alias("_total"))
     return (top.join(totals, [FILE, "col_ix"])
             .withColumn("more", F.greatest(F.col("_total") - per_column, F.lit(0)))

@@ -22,7 +22,7 @@ def run_log_totals(log: DataFrame, seconds: str = "execution_time", records: str
         F.count(F.lit(1)).alias("runs"),
         F.sum(F.col(records).cast("long")).alias("total_records"),
         F.count_if(~F.col(success)).alias("errors"),
-        F.sum(secs).alias("total_seconds"))
+        F.sum(secs).cast("decimal(38,2)").alias("total_seconds"))
     return (agg.withColumn("avg_seconds",
                            F.round(F.col("total_seconds").cast("double") / F.col("runs"), 6))
             .withColumn("records_per_sec",

@@ -138,7 +138,7 @@ def fillable_cells(spark, d):
 
 @register("key_cell_detail", o.with_ctes(
     "SELECT file_path, row_no, c1 AS value, coalesce(regexp_full_match(c1, '[0-9]+'), false) "
-    "AS is_digit, coalesce(length(c1), 0) AS length FROM sheet", "sheet"))
+    "AS is_digit, CAST(coalesce(length(c1), 0) AS INTEGER) AS length FROM sheet", "sheet"))
 def key_cell_detail(spark, d):
     s = _sheet(spark, d)
     return s.select("file_path", "row_no", F.col("c1").alias("value"),
