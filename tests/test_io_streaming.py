@@ -103,3 +103,22 @@ def test_running_totals_stream(spark, tmpdir_path):
     q.awaitTermination(60)
     r = spark.sql("SELECT * FROM totals_t").first()
     assert (r.runs, r.total_records, r.errors) == (2, 30, 1)
+
+
+def test_batch_fill_job(spark, tmpdir_path):
+    from sheetrecon.plans.jobs import run_fill_job
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    banner = "".join("banner,,,,,\n" for _ in range(10))
+    write(os.path.join(src, "a.csv"), banner + "1,10153,,,,\n2,999,,,,CLIENTE\n")
+    write(os.path.join(src, "b.csv"), banner + "1,116090,,,,nan\n")
+    out = os.path.join(tmpdir_path, "out")
+    summary = {os.path.basename(r.file_path): r for r in run_fill_job(
+        spark, src, catalog(spark), out, 6,
+        FillRequest(targets={"c5": "nombre_cliente"}, dimension_filters=False),
+        run_log_dir=os.path.join(tmpdir_path, "log")).collect()}
+    assert (summary["a.csv"].data_rows, summary["a.csv"].filled) == (2, 1)
+    assert summary["b.csv"].filled == 1
+    a_text = open(glob.glob(os.path.join(out, "sheets", "sheet=a.csv", "part-*"))[0]).read()
+    assert a_text.splitlines()[10] == "1,10153,,,,CARLA"
+    assert spark.read.parquet(os.path.join(tmpdir_path, "log")).count() == 2
