@@ -72,11 +72,6 @@ def _attach(sheet: DataFrame, lookup: DataFrame, key_cell: str, start_row: int,
     return out.withColumn("_matched", F.col("_lk").isNotNull()).drop("_lk", "_k")
 
 
-def _text(v: Column) -> Column:
-    """A looked-up value as sheet text: decimals plain, dates ISO."""
-    return v
-
-
 def fill_column(sheet: DataFrame, lookup: DataFrame, target: str = "c5", key_cell: str = "c1",
                 value: str = "nombre_cliente", key_col: str = "legajo", start_row: int = 11,
                 overwrite: bool = False, tokens: Iterable[str] = FILLABLE_TOKENS) -> DataFrame:
@@ -111,9 +106,6 @@ def fill_gated(sheet: DataFrame, lookup: DataFrame, targets: Mapping[str, str],
     """when the ``gate`` cell is blank, set every ``targets`` cell
     (sheet column -> lookup column) together. Amounts are written with two
     decimals, dates as yyyy-MM-dd. Adds ``filled`` and ``is_holder``."""
-    values = dict(targets)
-    if role:
-        values["_role"] = role
     j = _attach(sheet, lookup, key_cell, start_row, key_col,
                 {f"t_{k}": v for k, v in targets.items()} | ({"role": role} if role else {}))
     go = F.col("_matched") & is_fillable(F.col(gate), tokens) & (F.col(ROW_NO) >= start_row)

@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fmt
-from ..functions.columns import letter
 from ..functions.symbols import normalize_symbols
-from ..functions.text import clip, is_decimal_key, is_fillable, strip
+from ..functions.text import clip, is_fillable
 from ..operators import fill as fl
 from ..operators import lookup as lk
 from ..operators import pick as pk

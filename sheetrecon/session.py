@@ -59,3 +59,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="sheetrecon-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
+
+
+def recommended_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Sizing for a cluster run over ``input_bytes`` of input on
+    ``total_cores`` executor cores (apply at submit time; nothing here
+    overrides a running session).
+
+    * scan splits of 256 MB, shuffle partitions sized to about 200 MB each
+      (at least 3 per core), AQE coalescing back to 256 MB targets;
+    * skew join splitting for partitions 5x the median and above 256 MB;
+    * broadcast only below 64 MB (size-checked by the optimizer / AQE).
+    """
+    mb = 1024 * 1024
+    shuffle = max(total_cores * 3, min(200_000, input_bytes // (200 * mb)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * mb),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mb),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * mb),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * mb),
+    }

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from fixtures import catalog
 from sheetrecon.operators import fill as fl
 from sheetrecon.operators import lookup as lk

@@ -1,8 +1,5 @@
 import glob
 import os
-import time
-
-from pyspark.sql import functions as F
 
 from conftest import write
 from fixtures import catalog

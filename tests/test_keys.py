@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from sheetrecon.functions.text import (
     is_decimal_key, is_fillable, is_loose_key, is_strict_key, strip)
 

@@ -106,3 +106,21 @@ def test_global_positions_match_python_sort(spark):
     key = lambda r: ((r[0] is not None, r[0] or ""), r[1], r[2])
     want = {t[2]: n for n, t in enumerate(sorted(data, key=key), start=1)}
     assert {r.i: r.pos for r in got} == want
+
+
+def test_hot_key_spreads_over_buckets_and_stays_exact(spark):
+    # one key holds a third of all rows
+    rows = [("HOT" if i % 3 == 0 else f"k{i % 50}", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    b, nb = pk.range_buckets(df, ["k", "v"], num_buckets=8)
+    hot_buckets = {r._bucket for r in b.filter("k = 'HOT'").select("_bucket").distinct().collect()}
+    assert len(hot_buckets) >= 2
+    n = pk.number_within_key(df, "k", ["v"], checkpoint_input=False).filter("k = 'HOT'")
+    assert sorted(r.n_in_key for r in n.collect()) == list(range(1, 1001))
+    from sheetrecon.operators.runlog import running_average
+    ra = running_average(df.withColumn("x", F.lit(1.0)), "x", ["v"], ["k"]).filter("k = 'HOT'")
+    assert {r.running_avg for r in ra.collect()} == {1.0}
+    picked = pk.first_per_key(df, "k", ["v"])
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert {r.k: r.v for r in picked.collect()}["HOT"] == 0

@@ -1,7 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
-
 from conftest import write
 from sheetrecon.sources import sheet as sh
 
