@@ -26,10 +26,16 @@ STATIC = ("spark.ui.enabled", "spark.ui.showConsoleProgress")
 
 
 def get_session(master: str | None = None, app_name: str = "sheetrecon",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None,
+                local_memory: str = "12g") -> SparkSession:
+    """Session with the library's defaults. For a ``local[...]`` master that
+    starts a new JVM, the driver heap (which is the whole executor memory in
+    local mode) is sized to ``local_memory``; on a cluster nothing is set."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local") and SparkSession.getActiveSession() is None:
+            builder = builder.config("spark.driver.memory", local_memory)
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
