@@ -51,20 +51,29 @@ def number_lines(spark: SparkSession, path: str | list[str],
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     raw = reader.load(path)
-    lines = raw.select(
-        F.col("_metadata.file_path").alias(FILE),
-        F.col("_metadata.file_block_start").alias("_blk"),
-        F.monotonically_increasing_id().alias("_id"),
-        "value",
-    )
+    scan = raw.select(F.col("_metadata.file_path").alias(FILE),
+                      F.col("_metadata.file_block_start").alias("_blk"), "value")
+    return number_text_scan(scan, split_bound(raw))
+
+
+def number_text_scan(scan: DataFrame, row_bound: int | None = None) -> DataFrame:
+    """Line numbers for a text scan with ``file_path, _blk, value`` columns
+    (a batch read, or one micro-batch of a file stream: every file of a
+    micro-batch is complete, so per-file numbering holds there too).
+
+    ``row_bound`` bounds the number of (file, split) pairs; when known and
+    small, the per-split offsets table is broadcast.
+    """
+    lines = scan.select(FILE, "_blk", F.monotonically_increasing_id().alias("_id"), "value")
     blocks = (lines.groupBy(FILE, "_blk")
               .agg(F.min("_id").alias("_first_id"), F.count(F.lit(1)).alias("_n")))
     w = (Window.partitionBy(FILE).orderBy("_blk")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     offsets = blocks.select(FILE, "_blk", "_first_id",
                             (F.sum("_n").over(w) - F.col("_n")).alias("_before"))
-    bound = split_bound(raw)
-    return (lines.join(broadcast_if_bounded(offsets, bound), [FILE, "_blk"], "inner")
+    if row_bound is not None:
+        offsets = broadcast_if_bounded(offsets, row_bound)
+    return (lines.join(offsets, [FILE, "_blk"], "inner")
             .select(FILE,
                     (F.col("_before") + (F.col("_id") - F.col("_first_id")) + 1).alias(ROW_NO),
                     "value"))

@@ -1,10 +1,16 @@
 """Structured Streaming variants.
 
-T1 - incremental fill: new sheets landing in a folder are read as whole
-files (one row per file, so line positions are exact: ``posexplode`` of the
-file's lines), parsed, filled against the static lookup and written per
-micro-batch. The write is keyed by batch id (overwrite of that batch's
-folder), so a retried batch replaces its own output: exactly-once files.
+T1 - incremental fill: new sheets landing in a folder are read as text
+lines with ``_metadata.file_path`` / ``file_block_start``. Each micro-batch
+holds whole files, so inside ``foreachBatch`` the batch is numbered exactly
+as a batch read is (split offsets, no shuffle of the lines, files of any
+size read in parallel splits), parsed, filled against the static lookup and
+written. The write is keyed by batch id (overwrite of that batch's folder),
+so a retried batch replaces its own output: exactly-once files.
+
+``stream_sheet_lines`` is the pure-streaming variant (whole-text rows and
+``posexplode``) for pipelines that stay streaming after numbering; it
+holds a file in one row, so it suits sheet-sized files.
 
 T2 - running run-log totals: a streaming global aggregate in complete mode.
 """
@@ -18,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators.runlog import run_log_totals
 from ..plans.pipeline import FillRequest, fill_sheet
-from ..sources.sheet import FILE, ROW_NO, parse_lines
+from ..sources.sheet import FILE, ROW_NO, number_text_scan, parse_lines
 
 
 def stream_sheet_lines(spark: SparkSession, landing: str, pattern: str = "*.csv",
@@ -39,14 +45,16 @@ def start_incremental_fill(spark: SparkSession, landing: str, catalog: Mapping[s
                            out_dir: str, checkpoint: str, n_cols: int, sep: str = ",",
                            req: FillRequest = FillRequest(), available_now: bool = True):
     """Start T1; returns the StreamingQuery."""
-    lines = stream_sheet_lines(spark, landing)
+    scan = (spark.readStream.format("text").option("pathGlobFilter", "*.csv").load(landing)
+            .select(F.col("_metadata.file_path").alias(FILE),
+                    F.col("_metadata.file_block_start").alias("_blk"), "value"))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        sheet = parse_lines(batch, n_cols, sep)
+        sheet = parse_lines(number_text_scan(batch), n_cols, sep)
         filled = fill_sheet(sheet, catalog, req)
         filled.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
-    w = lines.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = scan.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 

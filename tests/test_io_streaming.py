@@ -119,3 +119,25 @@ def test_batch_fill_job(spark, tmpdir_path):
     a_text = open(glob.glob(os.path.join(out, "sheets", "sheet=a.csv", "part-*"))[0]).read()
     assert a_text.splitlines()[10] == "1,10153,,,,CARLA"
     assert spark.read.parquet(os.path.join(tmpdir_path, "log")).count() == 2
+
+
+def test_incremental_fill_multi_split_file(spark, tmpdir_path):
+    landing = os.path.join(tmpdir_path, "landing")
+    os.makedirs(landing)
+    banner = "".join("banner,,,,,\n" for _ in range(10))
+    body = "".join(f"{i},{'10153' if i % 2 else '999'},,,,\n" for i in range(200))
+    write(os.path.join(landing, "big.csv"), banner + body)
+    out = os.path.join(tmpdir_path, "out")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    try:
+        q = start_incremental_fill(spark, landing, catalog(spark), out, os.path.join(tmpdir_path, "ck"),
+                                   n_cols=6, req=FillRequest(targets={"c5": "nombre_cliente"},
+                                                             dimension_filters=False))
+        q.awaitTermination(120)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 210
+    assert all(int(r.c0) + 11 == r.row_no for r in rows if r.row_no > 10)
+    assert sum(1 for r in rows if r.filled) == 100
