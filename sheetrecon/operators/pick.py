@@ -9,6 +9,7 @@ land whole in one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -116,52 +117,57 @@ def _order_struct(order: Sequence[str | Column]) -> Column:
     return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
 
 
+MAX_BUCKETS = 4096
+
+
 def range_buckets(df: DataFrame, order: Sequence[str | Column],
                   num_buckets: int | None = None) -> tuple[DataFrame, int]:
     """Add ``_bucket``: the range bucket of each row's full order tuple.
 
     Bucket bounds are taken once from a range partitioning of the order
     tuple (minimum tuple per partition; at most ``num_buckets`` small rows
-    reach the driver, as in Spark's own sort sampling). The bucket is then a
-    pure function of the row and those literals, so every re-evaluation
-    agrees. Bounds are on the whole tuple, so one hot leading value (a key
-    holding a third of all rows) still spreads over many buckets.
-    Returns (DataFrame, number of buckets).
+    reach the driver, as in Spark's own sort sampling). A row's bucket is
+    the number of bounds not above its tuple, found by a binary search over
+    the literal bounds array (``aggregate`` over log2(n) steps), so the
+    expression stays small for thousands of buckets and is a pure function
+    of the row: every re-evaluation agrees. Bounds are on the whole tuple,
+    so one hot leading value (a key holding a third of all rows) still
+    spreads over many buckets. Returns (DataFrame, number of buckets).
     """
     spark = df.sparkSession
-    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_buckets or min(MAX_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                            spark.sparkContext.defaultParallelism))
     key = _order_struct(order)
     probe = df.select(key.alias("_k"))
     mins = (probe.repartitionByRange(n, F.col("_k").asc_nulls_first())
             .groupBy(F.spark_partition_id().alias("_p")).agg(F.min("_k").alias("_m"))
             .collect())
     ktype = probe.schema["_k"].dataType
-    bounds = sorted((tuple(r["_m"]) for r in mins), key=_null_first_key)[1:]
-    bucket = F.lit(0)
-    for i, b in enumerate(bounds, start=1):
-        lit = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, ktype.fields)])
-        bucket = F.when(_struct_ge(key, lit, len(b)), F.lit(i)).otherwise(bucket)
-    return df.withColumn("_bucket", bucket), len(bounds) + 1
+    bounds = sorted({tuple(r["_m"]) for r in mins}, key=_null_first_key)[1:]
+    if not bounds:
+        return df.withColumn("_bucket", F.lit(0)), 1
+    arr = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                               for v, f in zip(b, ktype.fields)]) for b in bounds])
+    nb = len(bounds)
+    steps = max(1, math.ceil(math.log2(nb + 1)))
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi + 1) / 2).cast("int")
+        ok = F.coalesce(key >= F.element_at(arr, F.greatest(mid, F.lit(1))), F.lit(False))
+        go = lo < hi
+        return F.struct(F.when(go & ok, mid).otherwise(lo).alias("lo"),
+                        F.when(go & ~ok, mid - 1).otherwise(hi).alias("hi"))
+
+    init = F.struct(F.lit(0).alias("lo"), F.lit(nb).alias("hi"))
+    bucket = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+    return df.withColumn("_bucket", bucket), nb + 1
 
 
 def _null_first_key(t):
     return tuple((v is not None, v if v is not None else 0) for v in t)
 
 
-def _struct_ge(a: Column, b: Column, n: int) -> Column:
-    """a >= b for order tuples with nulls first in every field."""
-    # Spark orders structs field by field with nulls first (ascending), the
-    # same total order as the window / sort specs used here.
-    return F.coalesce(a >= b, F.lit(False)) | _struct_eq_nullsafe(a, b, n)
-
-
-def _struct_eq_nullsafe(a: Column, b: Column, n: int) -> Column:
-    out = F.lit(True)
-    for i in range(n):
-        out = out & a.getField(f"k{i}").eqNullSafe(b.getField(f"k{i}"))
-    return out
-
-
 def ordered_with_position(df: DataFrame, order: Sequence[str | Column], pos: str = "pos",
                           num_buckets: int | None = None) -> DataFrame:
     """O1/O2: a listing with its 1-based position in ``order`` (nulls first).

@@ -51,10 +51,13 @@ def get_session(master: str | None = None, app_name: str = "sheetrecon",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster checkpoint dir; set a scratch one only when unset.
+    """Return the cluster checkpoint dir; set a scratch one only when unset
+    in local mode.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is missing (local tests) is a fresh temp folder used.
+    as is; if it is missing there, this raises instead of pointing executors
+    at machine-local folders. Only a ``local[...]`` session (tests) gets a
+    fresh temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -62,6 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                           "(e.g. on HDFS or object storage) for checkpoints")
     local = tempfile.mkdtemp(prefix="sheetrecon-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local

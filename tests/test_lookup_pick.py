@@ -97,13 +97,17 @@ def test_merge_and_fallback(spark):
     assert fb == {"1": ("A1", 1), "2": ("A2", 1), "3": ("B3", 2)}
 
 
-def test_global_positions_match_python_sort(spark):
+import pytest
+
+
+@pytest.mark.parametrize("buckets", [1, 6, 64])
+def test_global_positions_match_python_sort(spark, buckets):
     import random
     random.seed(7)
-    data = [(random.choice(["x", "y", None, "z"]), random.randint(0, 50), i) for i in range(500)]
+    data = [(random.choice(["x", "y", None, "z"]), random.choice([None, *range(50)]), i) for i in range(800)]
     df = spark.createDataFrame(data, "a string, b int, i int")
-    got = pk.ordered_with_position(df, ["a", "b", "i"], num_buckets=6).collect()
-    key = lambda r: ((r[0] is not None, r[0] or ""), r[1], r[2])
+    got = pk.ordered_with_position(df, ["a", "b", "i"], num_buckets=buckets).collect()
+    key = lambda r: ((r[0] is not None, r[0] or ""), (r[1] is not None, r[1] or 0), r[2])
     want = {t[2]: n for n, t in enumerate(sorted(data, key=key), start=1)}
     assert {r.i: r.pos for r in got} == want
 
