@@ -1,10 +1,12 @@
 """Sheet and run-summary sinks (K1-K4).
 
-A filled sheet is written headerless, in row order: range-partitioned on
+A filled sheet is written headerless and in row order: range-partitioned on
 (file_path, row_no) and sorted inside partitions, so reading the part files
-in name order gives the rows in order; no single task holds a whole sheet.
-``per_sheet=True`` instead writes one directory per input sheet (one task
-per sheet), which is what a generated header line needs.
+in name order gives the rows in order, and no task holds a whole sheet (a
+sheet with a third of all rows is written by many tasks). ``per_sheet=True``
+writes one folder per input sheet, same ordering. A generated header line
+(K2) is added as a data row at position 0 of each sheet, so it lands first
+in that sheet's first part file without a single-task write.
 """
 
 from __future__ import annotations
@@ -25,19 +27,23 @@ def write_sheet(df: DataFrame, out_dir: str, sep: str = ",", header: bool = Fals
                 mode: str = "overwrite") -> None:
     """Write sheet cells (c0..cN) as CSV: nulls and '' both as empty fields."""
     cells = sheet_cells(df)
+    data = df.select(FILE, ROW_NO, *cells)
+    if header:
+        names = data.select(FILE).distinct().select(
+            FILE, F.lit(0).cast("long").alias(ROW_NO), *[F.lit(c).alias(c) for c in cells])
+        data = names.unionByName(data)
+    n = num_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if per_sheet:
-        out = (df.withColumn("sheet", basename(F.col(FILE)))
-               .repartition("sheet").sortWithinPartitions("sheet", ROW_NO)
-               .select("sheet", *cells))
-        writer = out.write.partitionBy("sheet")
+        # The writer needs rows grouped by the partition column; ordering by
+        # (sheet, file, row) satisfies that, so it adds no (unstable) sort.
+        keyed = data.withColumn("sheet", basename(F.col(FILE)))
+        order = ["sheet", FILE, ROW_NO]
+        ordered = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        writer = ordered.select("sheet", *cells).write.partitionBy("sheet")
     else:
-        if header:
-            raise ValueError("a header line needs per_sheet=True (one file per sheet)")
-        n = num_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = (df.repartitionByRange(n, FILE, ROW_NO).sortWithinPartitions(FILE, ROW_NO)
-               .select(*cells))
-        writer = out.write
-    (writer.mode(mode).option("sep", sep).option("header", header)
+        ordered = data.repartitionByRange(n, FILE, ROW_NO).sortWithinPartitions(FILE, ROW_NO)
+        writer = ordered.select(*cells).write
+    (writer.mode(mode).option("sep", sep).option("header", False)
      .option("emptyValue", "").option("nullValue", "").csv(out_dir))
 
 

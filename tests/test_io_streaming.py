@@ -27,9 +27,10 @@ def test_per_sheet_header(spark, tmpdir_path):
     s = sh.read_sheet(spark, tmpdir_path, 2)
     out = os.path.join(tmpdir_path, "out")
     write_sheet(s, out, header=True, per_sheet=True)
-    got = sorted(glob.glob(os.path.join(out, "sheet=*", "part-*")))
-    assert len(got) == 2
-    assert open(got[0]).read().splitlines() == ["c0,c1", "a1,a2", "a3,a4"]
+    for n in ("a", "b"):
+        parts = sorted(glob.glob(os.path.join(out, f"sheet={n}.csv", "part-*")))
+        text = "".join(open(p).read() for p in parts)
+        assert text.splitlines() == ["c0,c1", f"{n}1,{n}2", f"{n}3,{n}4"]
 
 
 def test_list_generate_and_summary(spark, tmpdir_path):
@@ -116,7 +117,7 @@ def test_batch_fill_job(spark, tmpdir_path):
         run_log_dir=os.path.join(tmpdir_path, "log")).collect()}
     assert (summary["a.csv"].data_rows, summary["a.csv"].filled) == (2, 1)
     assert summary["b.csv"].filled == 1
-    a_text = open(glob.glob(os.path.join(out, "sheets", "sheet=a.csv", "part-*"))[0]).read()
+    a_text = "".join(open(p).read() for p in sorted(glob.glob(os.path.join(out, "sheets", "sheet=a.csv", "part-*"))))
     assert a_text.splitlines()[10] == "1,10153,,,,CARLA"
     assert spark.read.parquet(os.path.join(tmpdir_path, "log")).count() == 2
 
@@ -141,3 +142,16 @@ def test_incremental_fill_multi_split_file(spark, tmpdir_path):
     assert len(rows) == 210
     assert all(int(r.c0) + 11 == r.row_no for r in rows if r.row_no > 10)
     assert sum(1 for r in rows if r.filled) == 100
+
+
+def test_per_sheet_order_across_many_parts(spark, tmpdir_path):
+    rows = [f"{i},v{i}" for i in range(600)]
+    write(os.path.join(tmpdir_path, "big.csv"), "\n".join(rows) + "\n")
+    write(os.path.join(tmpdir_path, "small.csv"), "x,y\n")
+    s = sh.read_sheet(spark, tmpdir_path, 2)
+    out = os.path.join(tmpdir_path, "out")
+    write_sheet(s, out, per_sheet=True, header=True, num_parts=5)
+    parts = sorted(glob.glob(os.path.join(out, "sheet=big.csv", "part-*")))
+    assert len(parts) > 1
+    text = "".join(open(p).read() for p in parts).splitlines()
+    assert text == ["c0,c1"] + rows
