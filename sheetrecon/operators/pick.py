@@ -134,9 +134,10 @@ def range_buckets(df: DataFrame, order: Sequence[str | Column],
     so one hot leading value (a key holding a third of all rows) still
     spreads over many buckets. Returns (DataFrame, number of buckets).
     """
+    from .safety import parallelism
     spark = df.sparkSession
     n = num_buckets or min(MAX_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                            spark.sparkContext.defaultParallelism))
+                                            parallelism(spark)))
     key = _order_struct(order)
     probe = df.select(key.alias("_k"))
     mins = (probe.repartitionByRange(n, F.col("_k").asc_nulls_first())

@@ -13,6 +13,15 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
 
+def parallelism(spark) -> int:
+    """Cores the session can run at once (shuffle partitions when the
+    context is not reachable, e.g. over Spark Connect)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (optimized plan stats), or None."""
     try:
@@ -49,7 +58,10 @@ def split_bound(scan: DataFrame) -> int:
     a full ``maxPartitionBytes`` piece, and every partition holds at most one
     full piece, so splits <= files + partitions.
     """
-    return len(scan.inputFiles()) + scan.rdd.getNumPartitions()
+    try:
+        return len(scan.inputFiles()) + scan.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view: unknown bound, no broadcast
+        return 1 << 40
 
 
 def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -61,7 +73,7 @@ def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     the cluster - any large input - is returned unchanged, so this costs
     nothing at scale.
     """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = min_partitions or parallelism(df.sparkSession)
     try:
         have = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)

@@ -52,7 +52,7 @@ _MEMO: dict[tuple, object] = {}
 
 
 def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
-    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    key = (kind, id(spark), spark.conf.get("spark.app.id", ""), sf_dir)
     if key not in _MEMO:
         _MEMO[key] = build()
     return _MEMO[key]

@@ -59,7 +59,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     at machine-local folders. Only a ``local[...]`` session (tests) gets a
     fresh temporary folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
