@@ -44,3 +44,55 @@ def fill_sheet(sheet: DataFrame, catalog: Mapping[str, DataFrame],
     picked = pick_parties(catalog, keys, req.dimension_filters)
     return fill_gated(sheet, picked, targets, gate=req.gate, key_cell=req.key_cell,
                       start_row=req.start_row)
+
+
+@dataclass(frozen=True)
+class ProcessRequest:
+    """The reference's processing request: target column as a letter ('F'),
+    a cell name ('c5') or a banner label ('CLIENTE'); data start row; key
+    column as a letter or cell name."""
+    target_column: str = "CLIENTE"
+    data_start_row: int = 11
+    propuesta_column: str = "B"
+
+
+def resolve_column(sheet: DataFrame, spec: str, header_rows: int = 10) -> tuple[DataFrame, str]:
+    """Letter -> cell name; cell name as is; otherwise a banner label found
+    in the first ``header_rows`` rows, or a newly appended column (P2, P3)."""
+    import re
+
+    from ..functions.columns import index_of
+    from ..sources.sheet import target_column
+    if re.fullmatch(r"c\d+", spec):
+        return sheet, spec
+    if re.fullmatch(r"[A-Za-z]{1,2}", spec):
+        return sheet, f"c{index_of(spec)}"
+    return target_column(sheet, spec, header_rows)
+
+
+def process_sheet(sheet: DataFrame, catalog: Mapping[str, DataFrame],
+                  req: ProcessRequest = ProcessRequest(), file_label: str = ""):
+    """The request path (F4 with J2): loose keys of the key column, the
+    12-field proposal record per key (last row per key in a total order),
+    every matched row's target cell set to the client name.
+
+    Returns (filled sheet, one-row result, unmatched messages).
+    """
+    from pyspark.sql import functions as F
+
+    from ..operators.fill import fill_always, matched_keys, sheet_keys, unmatched_keys
+    from ..operators.lookup import lookup_contact
+    from ..operators.pick import last_per_key
+    from ..operators.runlog import run_summary
+
+    sheet, target = resolve_column(sheet, req.target_column)
+    _, key_cell = resolve_column(sheet, req.propuesta_column)
+    keys = sheet_keys(sheet, key_cell, req.data_start_row, "loose")
+    rows = lookup_contact(catalog, keys)
+    record = last_per_key(rows, "cod_propuesta", [c for c in rows.columns if c != "cod_propuesta"])
+    filled = fill_always(sheet, record, target=target, key_cell=key_cell,
+                         key_col="cod_propuesta", start_row=req.data_start_row)
+    lk = record.select(F.col("cod_propuesta").alias("legajo"))
+    unmatched = unmatched_keys(keys, lk)
+    result = run_summary(keys, matched_keys(keys, lk), file_label, unmatched)
+    return filled, result, unmatched

@@ -110,3 +110,18 @@ def test_small_frame_filters(spark):
     assert fr1.filter("monto > 1500").count() == 2
     fr2 = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "A int, B string")
     assert [r.B for r in fr2.filter("A > 1").select("B").orderBy("B").collect()] == ["b", "c"]
+
+
+def test_process_request_path(spark):
+    from sheetrecon.plans.pipeline import ProcessRequest, process_sheet
+    s = _sheet(spark)
+    filled, result, unmatched = process_sheet(s, catalog(spark), ProcessRequest("CLIENTE", 11, "B"), "f")
+    r = result.first()
+    assert (r.processed_count, r.matched_count, r.error_count) == (8, 5, 3)   # 999, 0123, abc
+    rows = {x.row_no: x for x in filled.collect()}
+    assert rows[11].c5 == "ZOE" and rows[19].c5 == "ZOE"      # last by name among 10153's parties
+    assert rows[14].c5 == "CLIENTE"                            # 999 unmatched
+    f2, _, _ = process_sheet(s, catalog(spark), ProcessRequest("H", 11, "B"))
+    assert "c7" in f2.columns
+    f3, _, _ = process_sheet(s, catalog(spark), ProcessRequest("NUEVA", 11, "c1"))
+    assert "c8" in f3.columns
