@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .safety import broadcast_if_small
+from .safety import broadcast_if_small, widen
 
 
 @dataclass(frozen=True)
@@ -58,6 +58,9 @@ def run_chain(catalog: Mapping[str, DataFrame], root: tuple[str, str],
     df = qualify(catalog[table], alias)
     if keys is not None:
         df = restrict_to_keys(df, keys, q(key_ref))
+    if links:
+        # a root narrower than the cluster is spread on the first join key
+        df = widen(df, F.col(q(links[0].on[0][0])))
     for link in links:
         right = qualify(catalog[link.table], link.alias)
         cond = reduce(lambda a, b: a & b,

@@ -64,18 +64,21 @@ def split_bound(scan: DataFrame) -> int:
         return 1 << 40
 
 
-def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that has fewer partitions than the cluster can run.
+def widen(df: DataFrame, *keys, min_partitions: int | None = None) -> DataFrame:
+    """Spread a DataFrame that has fewer partitions than the cluster can run.
 
     A single small file (one row group) is read by one task, and every
-    broadcast join probed by it then runs in that task. Such a scan gets a
-    round-robin repartition (skew-free); a scan that is already as wide as
-    the cluster - any large input - is returned unchanged, so this costs
-    nothing at scale.
+    broadcast join probed by it then runs in that task. Such input is
+    hash-partitioned on ``keys`` (the next join's key, so a following
+    sort-merge join reuses the partitioning) or round-robin without keys.
+    Input already as wide as the cluster - any large input - is returned
+    unchanged, so this costs nothing at scale.
     """
     n = min_partitions or parallelism(df.sparkSession)
     try:
         have = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
         return df
-    return df.repartition(n) if have < n else df
+    if have >= n:
+        return df
+    return df.repartition(n, *keys) if keys else df.repartition(n)
