@@ -165,23 +165,26 @@ def unmatched_sample(unmatched: DataFrame, n: int = 3) -> DataFrame:
 
 
 # ------------------------------------------------------------ statistics
-def fill_stats(filled: DataFrame, keys: DataFrame, lookup: DataFrame,
-               key_col: str = "legajo") -> DataFrame:
+def fill_stats(filled: DataFrame, key_cell: str = "c1", start_row: int = 11,
+               predicate: str = "strict") -> DataFrame:
     """A4/A5: key occurrences, distinct keys found, per-action counts, rates.
 
-    ``filled`` is the output of ``fill_column``; ``keys`` the key
-    occurrences of ``sheet_keys``; ``lookup`` one row per key.
+    ``filled`` is the output of ``fill_column``: every data row carries its
+    key cell and its ``fill_action`` (``unmatched`` when the key has no
+    lookup row), so all figures come from one aggregate over it - the
+    lookup is not evaluated a second time.
     """
-    acts = filled.agg(
+    data = filled.filter(F.col(ROW_NO) >= start_row)
+    is_key = is_strict_key(key_cell) if predicate == "strict" else is_loose_key(key_cell)
+    k = strip(key_cell)
+    found = is_key & (F.col("fill_action") != UNMATCHED)
+    row = data.agg(
         F.count_if(F.col("fill_action") == NEW).alias("newly_filled"),
         F.count_if(F.col("fill_action") == SAME).alias("already_filled"),
-        F.count_if(F.col("fill_action") == OVER).alias("overwritten"))
-    k = keys.agg(F.count(F.lit(1)).alias("total_legajos"),
-                 F.count_distinct("key").alias("distinct_legajos"))
-    found = (keys.select("key").distinct()
-             .join(lookup.select(F.col(key_col).alias("key")).distinct(), "key", "left_semi")
-             .agg(F.count(F.lit(1)).alias("found_in_db")))
-    row = acts.crossJoin(k).crossJoin(found)
+        F.count_if(F.col("fill_action") == OVER).alias("overwritten"),
+        F.count_if(is_key).alias("total_legajos"),
+        F.count_distinct(F.when(is_key, k)).alias("distinct_legajos"),
+        F.count_distinct(F.when(found, k)).alias("found_in_db"))
     filled_n = F.col("newly_filled") + F.col("already_filled") + F.col("overwritten")
     return row.select(
         "total_legajos", "distinct_legajos", "found_in_db", "already_filled", "newly_filled",

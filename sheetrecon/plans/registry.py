@@ -496,7 +496,7 @@ def _rates_sql(inner: str) -> str:
                                     "fill_base", "keys_strict"))
 def fill_stats(spark, d):
     filled = fl.fill_column(_sheet(spark, d), _picked(spark, d), overwrite=True)
-    return fl.fill_stats(filled, _keys(spark, d), _picked(spark, d))
+    return fl.fill_stats(filled)
 
 
 @register("coverage_rates", o.with_ctes(
@@ -504,7 +504,7 @@ def fill_stats(spark, d):
     + _rates_sql(_STATS_SQL.format(fill=_fill_sql(False))) + ")", "fill_base", "keys_strict"))
 def coverage_rates(spark, d):
     filled = fl.fill_column(_sheet(spark, d), _picked(spark, d), overwrite=False)
-    return fl.fill_stats(filled, _keys(spark, d), _picked(spark, d)).select(
+    return fl.fill_stats(filled).select(
         "efficiency_pct", "distinct_efficiency_pct", "fill_pct")
 
 

@@ -80,11 +80,12 @@ def test_fill_always_and_membership(spark):
 def test_fill_stats_rates(spark):
     s = _sheet(spark)
     picked = _picked(spark)
-    keys = fl.sheet_keys(s)
-    st = fl.fill_stats(fl.fill_column(s, picked), keys, picked).first()
+    st = fl.fill_stats(fl.fill_column(s, picked)).first()
     assert st.total_legajos == 5          # strict keys: 10153 x3, 116090, 0123
+    assert st.distinct_legajos == 3
     assert st.found_in_db == 2
     assert st.efficiency_pct == 40.0
+    assert st.distinct_efficiency_pct == round(2 * 100 / 3, 1)
 
 
 def test_pipeline_end_to_end(spark):
