@@ -118,33 +118,48 @@ def _order_struct(order: Sequence[str | Column]) -> Column:
 
 
 MAX_BUCKETS = 4096
+MIN_BUCKET_ROWS = 200_000
 
 
 def range_buckets(df: DataFrame, order: Sequence[str | Column],
                   num_buckets: int | None = None) -> tuple[DataFrame, int]:
     """Add ``_bucket``: the range bucket of each row's full order tuple.
 
-    Bucket bounds are taken once from a range partitioning of the order
-    tuple (minimum tuple per partition; at most ``num_buckets`` small rows
-    reach the driver, as in Spark's own sort sampling). A row's bucket is
-    the number of bounds not above its tuple, found by a binary search over
-    the literal bounds array (``aggregate`` over log2(n) steps), so the
-    expression stays small for thousands of buckets and is a pure function
-    of the row: every re-evaluation agrees. Bounds are on the whole tuple,
-    so one hot leading value (a key holding a third of all rows) still
-    spreads over many buckets. Returns (DataFrame, number of buckets).
+    One small job range-partitions the order tuple and returns, per range,
+    its minimum tuple and row count (at most a few thousand small rows
+    reach the driver, as in Spark's own sort sampling). Adjacent ranges are
+    merged until a bucket holds at least ``MIN_BUCKET_ROWS`` rows (or
+    total / ``num_buckets`` when a count is given), so small inputs get few
+    buckets and large ones up to ``MAX_BUCKETS``.
+
+    A row's bucket is the number of bounds not above its tuple, found by a
+    binary search over the literal bounds (``aggregate`` over log2(n)
+    steps): a pure function of the row, so every re-evaluation agrees.
+    Bounds are on the whole tuple, so one hot leading value (a key holding
+    a third of all rows) still spreads over many buckets.
+    Returns (DataFrame, number of buckets).
     """
     from .safety import parallelism
     spark = df.sparkSession
+    explicit = num_buckets is not None
     n = num_buckets or min(MAX_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                                             parallelism(spark)))
     key = _order_struct(order)
     probe = df.select(key.alias("_k"))
-    mins = (probe.repartitionByRange(n, F.col("_k").asc_nulls_first())
-            .groupBy(F.spark_partition_id().alias("_p")).agg(F.min("_k").alias("_m"))
-            .collect())
+    stats = (probe.repartitionByRange(n, F.col("_k").asc_nulls_first())
+             .groupBy(F.spark_partition_id().alias("_p"))
+             .agg(F.min("_k").alias("_m"), F.count(F.lit(1)).alias("_c"))
+             .collect())
     ktype = probe.schema["_k"].dataType
-    bounds = sorted({tuple(r["_m"]) for r in mins}, key=_null_first_key)[1:]
+    ranges = sorted(((tuple(r["_m"]), r["_c"]) for r in stats), key=lambda t: _null_first_key(t[0]))
+    total = sum(c for _, c in ranges)
+    target = max(1, math.ceil(total / n)) if explicit else max(MIN_BUCKET_ROWS, math.ceil(total / n))
+    bounds, acc = [], 0
+    for i, (m, c) in enumerate(ranges):
+        if i > 0 and acc >= target and (not bounds or m != bounds[-1]):
+            bounds.append(m)
+            acc = 0
+        acc += c
     if not bounds:
         return df.withColumn("_bucket", F.lit(0)), 1
     arr = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
