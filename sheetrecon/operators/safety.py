@@ -64,6 +64,15 @@ def split_bound(scan: DataFrame) -> int:
         return 1 << 40
 
 
+def planned_partitions(df: DataFrame) -> int | None:
+    """Partition count of ``df``'s physical plan, read from the plan without
+    running it (``df.rdd`` would execute adaptive query stages)."""
+    try:
+        return int(df._jdf.queryExecution().executedPlan().outputPartitioning().numPartitions())
+    except Exception:  # noqa: BLE001 - no JVM plan (e.g. Spark Connect)
+        return None
+
+
 def widen(df: DataFrame, *keys, min_partitions: int | None = None) -> DataFrame:
     """Spread a DataFrame that has fewer partitions than the cluster can run.
 
@@ -75,10 +84,7 @@ def widen(df: DataFrame, *keys, min_partitions: int | None = None) -> DataFrame:
     unchanged, so this costs nothing at scale.
     """
     n = min_partitions or parallelism(df.sparkSession)
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
-        return df
-    if have >= n:
+    have = planned_partitions(df)
+    if have is None or have >= n:
         return df
     return df.repartition(n, *keys) if keys else df.repartition(n)
