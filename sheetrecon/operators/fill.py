@@ -158,10 +158,9 @@ def unmatched_sample(unmatched: DataFrame, n: int = 3) -> DataFrame:
     from .pick import small_ordinal
     top = unmatched.select(ROW_NO, "message").orderBy(ROW_NO).limit(n)  # top-k, no full sort
     pos = small_ordinal(top, [ROW_NO], "pos")
-    total = unmatched.agg(F.count(F.lit(1)).alias("_total"))
-    return (pos.crossJoin(F.broadcast(total))
-            .select("pos", ROW_NO, "message",
-                    F.greatest(F.col("_total") - F.lit(n), F.lit(0)).alias("more")))
+    total = unmatched.agg(F.count(F.lit(1))).scalar()  # scalar subquery, one value
+    return pos.select("pos", ROW_NO, "message",
+                      F.greatest(total - F.lit(n), F.lit(0)).alias("more"))
 
 
 # ------------------------------------------------------------ statistics

@@ -147,8 +147,8 @@ def find_label_column(sheet: DataFrame, labels: Sequence[str], header_rows: int
     found = (head.join(F.broadcast(lab), head["value"] == lab["label"])
              .groupBy(FILE, "label").agg(F.min("col_ix").alias("col_ix")))
     files = sheet.filter(F.col(ROW_NO) == 1).select(FILE).distinct()
-    return (files.crossJoin(F.broadcast(lab))
-            .join(found, [FILE, "label"], "left")
+    per_file = files.select(FILE, F.explode(F.array(*[F.lit(x) for x in labels])).alias("label"))
+    return (per_file.join(found, [FILE, "label"], "left")
             .select(FILE, "label", F.coalesce("col_ix", F.lit(width)).alias("col_ix"),
                     F.col("col_ix").isNull().alias("appended")))
 

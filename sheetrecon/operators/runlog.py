@@ -81,12 +81,10 @@ def run_summary(keys: DataFrame, matched: DataFrame, file_path: str | Column,
                 errors: DataFrame | None = None) -> DataFrame:
     """K4/A3: one row: success, processed and matched counts, error count."""
     fp = F.lit(file_path) if isinstance(file_path, str) else file_path
-    k = keys.agg(F.count(F.lit(1)).alias("processed_count"))
-    m = matched.agg(F.count(F.lit(1)).alias("matched_count"))
-    row = k.crossJoin(m)
-    if errors is not None:
-        row = row.crossJoin(errors.agg(F.count(F.lit(1)).alias("error_count")))
-    else:
-        row = row.withColumn("error_count", F.lit(0).cast("long"))
-    return row.select(F.lit(True).alias("success"), "processed_count", "matched_count",
-                      "error_count", fp.alias("file_path"))
+    # one row from the keys aggregate; the other counts are scalar subqueries
+    m = matched.agg(F.count(F.lit(1))).scalar()
+    e = (errors.agg(F.count(F.lit(1))).scalar() if errors is not None
+         else F.lit(0).cast("long"))
+    return keys.agg(F.count(F.lit(1)).alias("processed_count")).select(
+        F.lit(True).alias("success"), "processed_count", m.alias("matched_count"),
+        e.alias("error_count"), fp.alias("file_path"))
