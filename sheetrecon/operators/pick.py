@@ -117,7 +117,7 @@ def _order_struct(order: Sequence[str | Column]) -> Column:
     return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
 
 
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 32768
 MIN_BUCKET_ROWS = 200_000
 
 
@@ -126,15 +126,18 @@ def range_buckets(df: DataFrame, order: Sequence[str | Column],
     """Add ``_bucket``: the range bucket of each row's full order tuple.
 
     One small job range-partitions the order tuple and returns, per range,
-    its minimum tuple and row count (at most a few thousand small rows
+    its minimum tuple and row count (at most ``MAX_BUCKETS`` small rows
     reach the driver, as in Spark's own sort sampling). Adjacent ranges are
     merged until a bucket holds at least ``MIN_BUCKET_ROWS`` rows (or
     total / ``num_buckets`` when a count is given), so small inputs get few
     buckets and large ones up to ``MAX_BUCKETS``.
 
     A row's bucket is the number of bounds not above its tuple, found by a
-    binary search over the literal bounds (``aggregate`` over log2(n)
-    steps): a pure function of the row, so every re-evaluation agrees.
+    binary search (``aggregate`` over log2(n) steps) in the sorted bounds
+    array: a pure function of the row, so every re-evaluation agrees. The
+    array reaches the tasks as a one-value scalar subquery over the bounds
+    (one small local relation), not as thousands of plan literals; it is
+    carried in a column because subqueries may not sit inside lambdas.
     Bounds are on the whole tuple, so one hot leading value (a key holding
     a third of all rows) still spreads over many buckets.
     Returns (DataFrame, number of buckets).
@@ -162,22 +165,28 @@ def range_buckets(df: DataFrame, order: Sequence[str | Column],
         acc += c
     if not bounds:
         return df.withColumn("_bucket", F.lit(0)), 1
-    arr = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
-                               for v, f in zip(b, ktype.fields)]) for b in bounds])
+    from pyspark.sql.types import IntegerType, StructField, StructType
+    bdf = spark.createDataFrame(list(enumerate(bounds)),
+                                StructType([StructField("_i", IntegerType()),
+                                            StructField("_m", ktype)]))
+    arr = bdf.agg(F.transform(F.sort_array(F.collect_list(F.struct("_i", "_m"))),
+                              lambda x: x["_m"])).scalar()
     nb = len(bounds)
     steps = max(1, math.ceil(math.log2(nb + 1)))
 
     def step(acc, _):
         lo, hi = acc["lo"], acc["hi"]
         mid = F.floor((lo + hi + 1) / 2).cast("int")
-        ok = F.coalesce(key >= F.element_at(arr, F.greatest(mid, F.lit(1))), F.lit(False))
+        ok = F.coalesce(key >= F.element_at(F.col("_bounds"), F.greatest(mid, F.lit(1))),
+                        F.lit(False))
         go = lo < hi
         return F.struct(F.when(go & ok, mid).otherwise(lo).alias("lo"),
                         F.when(go & ~ok, mid - 1).otherwise(hi).alias("hi"))
 
     init = F.struct(F.lit(0).alias("lo"), F.lit(nb).alias("hi"))
     bucket = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
-    return df.withColumn("_bucket", bucket), nb + 1
+    return (df.withColumn("_bounds", arr).withColumn("_bucket", bucket).drop("_bounds"),
+            nb + 1)
 
 
 def _null_first_key(t):
