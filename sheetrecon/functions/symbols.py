@@ -51,13 +51,24 @@ def emoji_class() -> str:
     return "[" + "".join(parts) + "]+"
 
 
+def symbol_lead_class() -> str:
+    """Regex class of the first code point of every mapped symbol: a text
+    without any of them has nothing for the replacement chain to do."""
+    leads = sorted({ord(sym[0]) for sym, _ in SYMBOL_TEXT})
+    return "[" + "".join(f"\\x{{{cp:X}}}" for cp in leads) + "]"
+
+
 def normalize_symbols(c: Column | str) -> Column:
     """Replace known symbols by their text, then each run of other
-    emoji by ``[EMOJI]``."""
+    emoji by ``[EMOJI]``. The chain of replacements (one pass per symbol)
+    runs only on texts that hold a symbol's first code point; the rest pay
+    for one regex scan."""
     col = F.col(c) if isinstance(c, str) else c
+    chained = col
     for sym, text in SYMBOL_TEXT:
-        col = F.replace(col, F.lit(sym), F.lit(text))
-    return F.regexp_replace(col, emoji_class(), EMOJI_MARK)
+        chained = F.replace(chained, F.lit(sym), F.lit(text))
+    replaced = F.when(col.rlike(symbol_lead_class()), chained).otherwise(col)
+    return F.regexp_replace(replaced, emoji_class(), EMOJI_MARK)
 
 
 def decode_text(b: Column | str) -> Column:

@@ -20,6 +20,7 @@ from ..operators import lookup as lk
 from ..operators import pick as pk
 from ..operators import profile as pr
 from ..operators import runlog as rl
+from ..operators.safety import widen
 from ..sources import sheet as sh
 from . import oracle as o
 from . import standin
@@ -771,7 +772,8 @@ def time_estimate(spark, d):
 @register("normalize_symbols", f"SELECT doc_id, {o.symbols_sql('text')} AS text FROM documents")
 def normalize_symbols_q(spark, d):
     docs = standin.tables(spark, d)["documents"]
-    return docs.select("doc_id", normalize_symbols("text").alias("text"))
+    # text-heavy single-file test table: spread it over the cores
+    return widen(docs).select("doc_id", normalize_symbols("text").alias("text"))
 
 
 _PROFILE_SQL = """

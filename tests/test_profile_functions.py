@@ -93,3 +93,27 @@ def test_decode_text(spark):
     df = spark.createDataFrame([(bytearray("﻿cañón".encode("utf-8")),),
                                 (bytearray("cañón".encode("latin-1")),)], "b binary")
     assert [r.t for r in df.select(decode_text("b").alias("t")).collect()] == ["cañón", "cañón"]
+
+
+def test_normalize_symbols_every_entry(spark):
+    """Each mapped symbol, alone and amid text, matches a plain Python
+    replace chain; texts without any symbol skip the chain unchanged."""
+    import re
+
+    from sheetrecon.functions.symbols import EMOJI_MARK, EMOJI_RANGES, SYMBOL_TEXT
+
+    residual = re.compile("[" + "".join(chr(a) if a == b else f"{chr(a)}-{chr(b)}"
+                                        for a, b in EMOJI_RANGES) + "]+")
+
+    def expected(s):
+        if s is None:
+            return None
+        for sym, text in SYMBOL_TEXT:
+            s = s.replace(sym, text)
+        return residual.sub(EMOJI_MARK, s)
+
+    texts = [f"a {sym} b" for sym, _ in SYMBOL_TEXT]
+    texts += ["plain ascii", "cañón ─ 中文", "😀 only emoji", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.t for r in df.select("i", normalize_symbols("t").alias("t")).collect()}
+    assert [got[i] for i in range(len(texts))] == [expected(t) for t in texts]
