@@ -118,6 +118,7 @@ def _order_struct(order: Sequence[str | Column]) -> Column:
 
 
 MAX_BUCKETS = 32768
+UNROLL_STEPS = 4
 MIN_BUCKET_ROWS = 200_000
 
 
@@ -128,16 +129,16 @@ def range_buckets(df: DataFrame, order: Sequence[str | Column],
     One small job range-partitions the order tuple and returns, per range,
     its minimum tuple and row count (at most ``MAX_BUCKETS`` small rows
     reach the driver, as in Spark's own sort sampling). Adjacent ranges are
-    merged until a bucket holds at least ``MIN_BUCKET_ROWS`` rows (or
+    merged until a bucket holds at least ``MIN_BUCKET_ROWS`` rows (but no
+    more than 1/parallelism of the rows, so every core gets a bucket; or
     total / ``num_buckets`` when a count is given), so small inputs get few
     buckets and large ones up to ``MAX_BUCKETS``.
 
     A row's bucket is the number of bounds not above its tuple, found by a
-    binary search (``aggregate`` over log2(n) steps) in the sorted bounds
-    array: a pure function of the row, so every re-evaluation agrees. The
-    array reaches the tasks as a one-value scalar subquery over the bounds
-    (one small local relation), not as thousands of plan literals; it is
-    carried in a column because subqueries may not sit inside lambdas.
+    binary search (log2(n) projections) in the sorted bounds array: a pure
+    function of the row, so every re-evaluation agrees. The array reaches
+    the tasks as a one-value scalar subquery over the bounds (one small
+    local relation), not as thousands of plan literals.
     Bounds are on the whole tuple, so one hot leading value (a key holding
     a third of all rows) still spreads over many buckets.
     Returns (DataFrame, number of buckets).
@@ -156,7 +157,11 @@ def range_buckets(df: DataFrame, order: Sequence[str | Column],
     ktype = probe.schema["_k"].dataType
     ranges = sorted(((tuple(r["_m"]), r["_c"]) for r in stats), key=lambda t: _null_first_key(t[0]))
     total = sum(c for _, c in ranges)
-    target = max(1, math.ceil(total / n)) if explicit else max(MIN_BUCKET_ROWS, math.ceil(total / n))
+    if explicit:
+        target = max(1, math.ceil(total / n))
+    else:  # big enough to be worth a task, small enough to keep every core busy
+        target = max(math.ceil(total / n),
+                     min(MIN_BUCKET_ROWS, math.ceil(total / parallelism(spark))), 1)
     bounds, acc = [], 0
     for i, (m, c) in enumerate(ranges):
         if i > 0 and acc >= target and (not bounds or m != bounds[-1]):
@@ -174,19 +179,32 @@ def range_buckets(df: DataFrame, order: Sequence[str | Column],
     nb = len(bounds)
     steps = max(1, math.ceil(math.log2(nb + 1)))
 
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi + 1) / 2).cast("int")
-        ok = F.coalesce(key >= F.element_at(F.col("_bounds"), F.greatest(mid, F.lit(1))),
+    def step(lo, hi, bounds_col, key_col):
+        # non-nullable integer arithmetic: no not-null filter gets inferred
+        mid = F.shiftright(lo + hi + F.lit(1), 1)
+        ok = F.coalesce(key_col >= F.element_at(bounds_col, F.greatest(mid, F.lit(1))),
                         F.lit(False))
         go = lo < hi
-        return F.struct(F.when(go & ok, mid).otherwise(lo).alias("lo"),
-                        F.when(go & ~ok, mid - 1).otherwise(hi).alias("hi"))
-
-    init = F.struct(F.lit(0).alias("lo"), F.lit(nb).alias("hi"))
-    bucket = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
-    return (df.withColumn("_bounds", arr).withColumn("_bucket", bucket).drop("_bounds"),
-            nb + 1)
+        return F.when(go & ok, mid).otherwise(lo), F.when(go & ~ok, mid - 1).otherwise(hi)
+
+    out = df.withColumns({"_bounds": arr, "_key": key})
+    if steps <= UNROLL_STEPS:
+        # few buckets (every input below a few million rows): the search is
+        # unrolled into one projection per step and stays in codegen
+        out = out.withColumns({"_lo": F.lit(0), "_hi": F.lit(nb)})
+        for _ in range(steps):
+            lo, hi = step(F.col("_lo"), F.col("_hi"), F.col("_bounds"), F.col("_key"))
+            out = out.withColumns({"_lo": lo, "_hi": hi})
+        bucket = F.col("_lo")
+    else:
+        # many buckets: one fixed-size fold over log2(n) steps (an unrolled
+        # chain would grow the optimizer's expression trees with the steps)
+        def fold(acc, _):
+            lo, hi = step(acc["lo"], acc["hi"], F.col("_bounds"), F.col("_key"))
+            return F.struct(lo.alias("lo"), hi.alias("hi"))
+        init = F.struct(F.lit(0).alias("lo"), F.lit(nb).alias("hi"))
+        bucket = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, fold)["lo"]
+    return (out.withColumn("_bucket", bucket).drop("_bounds", "_key", "_lo", "_hi"), nb + 1)
 
 
 def _null_first_key(t):
