@@ -41,10 +41,24 @@ def stream_sheet_lines(spark: SparkSession, landing: str, pattern: str = "*.csv"
         .select(FILE, (F.col("_pos") + 1).cast("long").alias(ROW_NO), "value")
 
 
+def stream_checkpoint(spark: SparkSession, out_dir: str) -> str:
+    """Default checkpoint location of a stream writing ``out_dir``: a folder
+    named after the output under the session's ``spark.checkpoint.dir`` (the
+    cluster's shared folder), stable across restarts so a restarted stream
+    resumes where it stopped."""
+    import hashlib
+
+    from ..session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/streams/{hashlib.sha1(out_dir.encode()).hexdigest()[:16]}"
+
+
 def start_incremental_fill(spark: SparkSession, landing: str, catalog: Mapping[str, DataFrame],
-                           out_dir: str, checkpoint: str, n_cols: int, sep: str = ",",
+                           out_dir: str, checkpoint: str | None, n_cols: int, sep: str = ",",
                            req: FillRequest = FillRequest(), available_now: bool = True):
-    """Start T1; returns the StreamingQuery."""
+    """Start T1; returns the StreamingQuery. ``checkpoint=None`` uses
+    ``stream_checkpoint(spark, out_dir)``."""
+    checkpoint = checkpoint or stream_checkpoint(spark, out_dir)
     scan = (spark.readStream.format("text").option("pathGlobFilter", "*.csv").load(landing)
             .select(F.col("_metadata.file_path").alias(FILE),
                     F.col("_metadata.file_block_start").alias("_blk"), "value"))

@@ -155,3 +155,11 @@ def test_per_sheet_order_across_many_parts(spark, tmpdir_path):
     assert len(parts) > 1
     text = "".join(open(p).read() for p in parts).splitlines()
     assert text == ["c0,c1"] + rows
+
+
+def test_stream_checkpoint_default_under_session_dir(spark):
+    from sheetrecon.session import ensure_checkpoint_dir
+    from sheetrecon.streaming.incremental import stream_checkpoint
+    a = stream_checkpoint(spark, "/data/out/a")
+    assert a.startswith(ensure_checkpoint_dir(spark).rstrip("/") + "/streams/")
+    assert a == stream_checkpoint(spark, "/data/out/a") != stream_checkpoint(spark, "/data/out/b")
