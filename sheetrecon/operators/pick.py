@@ -95,21 +95,33 @@ def number_within_key(df: DataFrame, key: str, order: Sequence[str],
                       checkpoint_input: bool = True) -> DataFrame:
     """Ordinal of each row inside its key; key text only on the first.
 
-    Built on global positions in (key, order...) so that a hot key is not
-    numbered by a single task: ordinal = position - first position of the
-    key + 1 (the first position per key is a partial-aggregated minimum).
-    The input is read several times (bounds, counts, ranks), so by default
-    it is checkpointed once first.
+    Rows get range buckets on (key, order...) so that a hot key spans many
+    buckets and tasks. ordinal = rank inside (bucket, key) + rows of the
+    same key in earlier buckets. Those counts are one row per (bucket, key)
+    (a hot key has at most one per bucket); their running sum per key is a
+    small window, and they join back on the (bucket, key) partitioning the
+    rank window already has, so only the small side moves. Null keys form
+    their own group. The input is read several times (bounds, counts,
+    ranks), so by default it is checkpointed once first.
     """
     if checkpoint_input:
         df = materialize(df)
-    pos = ordered_with_position(df, [key, *order], "_pos")
-    first = pos.groupBy(key).agg(F.min("_pos").alias("_first"))
-    return (pos.join(first, key)
-            .withColumn("n_in_key", F.col("_pos") - F.col("_first") + 1)
+    t, _ = range_buckets(df, [key, *order])
+    # the key wrapped in a non-null struct: equal for two null keys, and the
+    # same expression partitions the rank window and the join (no reshuffle)
+    t = t.withColumn("_kj", F.struct(F.col(key).alias("k")))
+    local = t.withColumn("_local", F.row_number().over(
+        Window.partitionBy("_bucket", "_kj").orderBy(*_asc(order))))
+    earlier = Window.partitionBy("_kj").orderBy("_bucket").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = (t.groupBy("_bucket", "_kj").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_bucket", "_kj",
+                       F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
+    return (local.join(offsets, ["_bucket", "_kj"])
+            .withColumn("n_in_key", F.col("_before") + F.col("_local"))
             .withColumn("key_display", F.when(F.col("n_in_key") == 1, F.col(key).cast("string"))
                         .otherwise(F.lit("")))
-            .drop("_pos", "_first"))
+            .drop("_bucket", "_kj", "_local", "_before"))
 
 
 def _order_struct(order: Sequence[str | Column]) -> Column:

@@ -128,3 +128,19 @@ def test_hot_key_spreads_over_buckets_and_stays_exact(spark):
     plan = picked._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert {r.k: r.v for r in picked.collect()}["HOT"] == 0
+
+
+def test_number_within_key_null_and_hot_keys_across_buckets(spark):
+    # a third of the rows share one key, a sixth have no key; many buckets
+    rows = [("HOT" if i % 3 == 0 else (None if i % 6 == 1 else f"k{i % 40}"), i % 97, i)
+            for i in range(2400)]
+    df = spark.createDataFrame(rows, "k string, v int, i int")
+    got = pk.number_within_key(df, "k", ["v", "i"], checkpoint_input=False).collect()
+    assert len(got) == len(rows)
+    want = {}
+    for k in {r[0] for r in rows}:
+        grp = sorted((r for r in rows if r[0] == k), key=lambda r: (r[1], r[2]))
+        want.update({r[2]: n for n, r in enumerate(grp, start=1)})
+    assert {r.i: r.n_in_key for r in got} == want
+    assert all((r.key_display == (r.k if r.n_in_key == 1 else "")) or
+               (r.k is None and r.n_in_key == 1) for r in got)
