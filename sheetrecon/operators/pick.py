@@ -261,21 +261,24 @@ def running_aggregate(df: DataFrame, value: str, order: Sequence[str], partition
     """
     keys = [*partition, *order]
     t, nb = range_buckets(df, keys, num_buckets)
-    inner = (Window.partitionBy("_bucket", *partition).orderBy(*_asc(order))
+    # partition values wrapped in a non-null struct: null values form their
+    # own group, and window and join share one partitioning expression
+    t = t.withColumn("_pj", F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate(partition)]))
+    inner = (Window.partitionBy("_bucket", "_pj").orderBy(*_asc(order))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = (t.withColumn("_ls", F.sum(value).over(inner))
              .withColumn("_ln", F.count(F.lit(1)).over(inner)))
-    tot = t.groupBy("_bucket", *partition).agg(F.sum(value).alias("_bs"), F.count(F.lit(1)).alias("_bn"))
-    prior = (Window.partitionBy(*partition).orderBy("_bucket")
+    tot = t.groupBy("_bucket", "_pj").agg(F.sum(value).alias("_bs"), F.count(F.lit(1)).alias("_bn"))
+    prior = (Window.partitionBy("_pj").orderBy("_bucket")
              .rowsBetween(Window.unboundedPreceding, -1))
-    offs = tot.select("_bucket", *partition,
+    offs = tot.select("_bucket", "_pj",
                       F.coalesce(F.sum("_bs").over(prior), F.lit(0).cast(tot.schema["_bs"].dataType))
                       .alias("_os"),
                       F.coalesce(F.sum("_bn").over(prior), F.lit(0)).alias("_on"))
-    out = local.join(offs, ["_bucket", *[c for c in partition]], "inner")
+    out = local.join(offs, ["_bucket", "_pj"], "inner")
     return (out.withColumn("_run_sum", F.col("_os") + F.col("_ls"))
             .withColumn("_run_n", F.col("_on") + F.col("_ln"))
-            .drop("_bucket", "_ls", "_ln", "_os", "_on"))
+            .drop("_bucket", "_pj", "_ls", "_ln", "_os", "_on"))
 
 
 def small_ordinal(df: DataFrame, order: Sequence[str | Column], pos: str = "pos") -> DataFrame:

@@ -144,3 +144,18 @@ def test_number_within_key_null_and_hot_keys_across_buckets(spark):
     assert {r.i: r.n_in_key for r in got} == want
     assert all((r.key_display == (r.k if r.n_in_key == 1 else "")) or
                (r.k is None and r.n_in_key == 1) for r in got)
+
+
+@pytest.mark.parametrize("partition", [[], ["g"]])
+def test_running_aggregate_null_group_and_global(spark, partition):
+    rows = [("A" if i % 3 == 0 else (None if i % 3 == 1 else "B"), i, float(i % 7)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "g string, o int, x double")
+    got = {r.o: (r._run_sum, r._run_n)
+           for r in pk.running_aggregate(df, "x", ["o"], partition, num_buckets=12).collect()}
+    want, acc = {}, {}
+    for g, o, x in sorted(rows, key=lambda r: r[1]):
+        grp = g if partition else "all"
+        s, n = acc.get(grp, (0.0, 0))
+        acc[grp] = (s + x, n + 1)
+        want[o] = acc[grp]
+    assert got == want
