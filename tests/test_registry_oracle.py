@@ -55,6 +55,8 @@ def con():
 def test_all_registered_queries_match_oracle(spark, entry, con):
     failures = []
     for name, fn in entry.queries().items():
+        if name not in entry.oracle_sql():
+            continue  # not expressible in SQL; tested against brute force elsewhere
         df = fn(spark, SF)
         got = _bag(df.columns, [tuple(r) for r in df.collect()])
         res = con.execute(entry.oracle_sql()[name])
