@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import quality, simhash
 from .common import table
 
 
@@ -13,8 +13,13 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op6_quality_rules": op6_quality_rules,
 }
 
 ORACLE: dict[str, str] = {}
