@@ -2,7 +2,7 @@
 
 Base rules count words, symbols, repeated lines and repeated eight-word
 windows. A byte 4-gram modified Kneser-Ney model for each language, counted by
-Spark over all documents, gives each text a perplexity per byte; texts outside
+Spark over all documents, gives each text a perplexity per character; texts outside
 their language's band (quartiles of the texts that pass the base rules, plus or
 minus a multiple of the interquartile range) are rejected.
 """
@@ -20,7 +20,7 @@ from .common import materialize, text_bytes, words
 
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 #: Interquartile ranges below and above the quartiles that a text may lie.
-BELOW, ABOVE = 3.0, 3.0
+BELOW, ABOVE = 6.0, 6.0
 FACTORS = np.random.default_rng(8).integers(1, 1 << 62, WINDOW, dtype=np.int64) * 2 + 1
 
 
@@ -77,7 +77,7 @@ def base_failed() -> Column:
 def judged(docs: DataFrame, keep: dict[str, Column], text_col: str = "text", lang_col: str = "lang",
            below: float = BELOW, above: float = ABOVE) -> DataFrame:
     """Columns ``keep`` of every row, with m (the base measures), base_failed,
-    perplexity (per byte; null without words), kept.
+    perplexity (per character; null without words), kept.
 
     Null text: no words, hence base_failed. A null language is a language of its
     own. A language all of whose texts fail has no band, and rejects nothing more.
@@ -88,7 +88,7 @@ def judged(docs: DataFrame, keep: dict[str, Column], text_col: str = "text", lan
     lang, text = F.col(lang_col).cast("string"), F.col(text_col)
     rows = docs.select(*[c.alias(n) for n, c in keep.items()], lang.alias("grp"), measured(text).alias("m"),
                        kneser_ney.score(lang, text, arrays).alias("lp"))
-    # a byte for each word character ... the model sees the words, a blank between two, and the end
+    # the model predicts the words, a blank between two, and the end
     rows = materialize(rows.withColumn("base_failed", base_failed())
                        .withColumn("perplexity", F.when(F.col("m.n_words") > 0, F.pow(
                            F.lit(10.0), -F.col("lp") / (F.col("m.word_chars") + F.col("m.n_words"))))), "judged")
