@@ -4,11 +4,17 @@ production parameters to the whole table and returns the whole result."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality, simhash
+from . import fuzzy_lines, quality, simhash, suffixes
 from .common import table
 
 
+def op2_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -17,9 +23,15 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op2_fuzzy_line_dedup": op2_fuzzy_line_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
 }
 
 ORACLE: dict[str, str] = {}
