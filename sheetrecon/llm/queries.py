@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fuzzy_lines, quality, simhash, suffixes
+from . import byte_bpe, fuzzy_lines, id_files, quality, simhash, suffixes
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.token_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -27,11 +31,17 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return suffixes.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_files.id_files(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_fuzzy_line_dedup": op2_fuzzy_line_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_byte_level_bpe": op4_byte_level_bpe,
     "op6_quality_rules": op6_quality_rules,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_token_id_files": op8_token_id_files,
 }
 
 ORACLE: dict[str, str] = {}
