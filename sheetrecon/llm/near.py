@@ -113,9 +113,9 @@ def beyond(one, two, four, over, radius: int) -> np.ndarray:
     return more
 
 
-def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Runs of equal ``key`` of more than one row from a sorted stream of
-    batches, also across batch ends."""
+def grouped(batches: Iterator[pa.RecordBatch], key: str, least: int = 2) -> Iterator[pa.Table]:
+    """Runs of equal ``key`` of ``least`` (1 or 2) rows or more from a sorted
+    stream of batches, also across batch ends."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
@@ -128,9 +128,9 @@ def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
             held = []
         if len(starts) > 2:
             first = batch.slice(0, int(starts[1]))
-            if held or first.num_rows > 1:
+            if held or first.num_rows >= least:
                 yield pa.Table.from_batches([*held, first])
-            for i in np.flatnonzero(np.diff(starts[1:-1]) > 1) + 1:
+            for i in np.flatnonzero(np.diff(starts[1:-1]) >= least) + 1:
                 yield pa.Table.from_batches([batch.slice(int(starts[i]), int(starts[i + 1] - starts[i]))])
             held = [batch.slice(int(starts[-2]))]
         else:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fuzzy_lines, id_files, quality, simhash, suffixes
+from . import byte_bpe, fuzzy_lines, id_files, quality, simhash, suffixes, superkmers
 from .common import table
 
 
@@ -35,6 +35,11 @@ def op8_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.id_files(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = superkmers.dedup_substrings(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_fuzzy_line_dedup": op2_fuzzy_line_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
@@ -42,6 +47,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_token_id_files": op8_token_id_files,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {}
