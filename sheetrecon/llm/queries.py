@@ -6,10 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fuzzy_lines, id_files, quality, simhash, suffixes, superkmers
+from . import byte_bpe, fuzzy_lines, id_files, quality, simhash, suffixes, superkmers, warc
 from .common import table
 
 
+def op1_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
@@ -41,6 +45,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_bundles": op1_warc_bundles,
     "op2_fuzzy_line_dedup": op2_fuzzy_line_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_byte_level_bpe": op4_byte_level_bpe,
