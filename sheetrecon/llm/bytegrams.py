@@ -48,9 +48,9 @@ def group_hash(name: str | None) -> int:
     return xxhash.xxh32_intdigest("\x00" if name is None else name)
 
 
-def keyed(codes: np.ndarray, group) -> np.ndarray:
-    """Uniform 64-bit keys, one to one with (group hash, code of four bytes)."""
-    return (codes.astype(np.uint64) | np.uint64(group) << np.uint64(32)) * MIX
+def keyed(codes: np.ndarray, groups: np.ndarray, order: int) -> np.ndarray:
+    """Uniform 64-bit keys of (group hash, n-gram); one to one up to four bytes."""
+    return (codes.astype(np.uint64) | groups << np.uint64(8 * order)) * MIX
 
 
 class HashArray:

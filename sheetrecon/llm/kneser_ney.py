@@ -130,23 +130,20 @@ def log_probs(grams: DataFrame, model: Model) -> DataFrame:
     return rows.select("grp", "gram", F.log10(p).alias("lp"))
 
 
-def hash_arrays(values: DataFrame) -> list:
+def hash_arrays(values: DataFrame, order: int):
     """(grp, gram, lp) -> broadcast hash arrays of about ENTRIES entries each,
-    built one after the other; every n-gram lies in exactly one."""
-    values = materialize(values, "values")
+    made one after the other; every n-gram lies in exactly one."""
+    values = materialize(values.select("grp", "gram", "lp"), "values")
     shards = max(1, -(-values.count() // bytegrams.ENTRIES))
-    sent = []
     for i in range(shards):
         rows = values.where(F.pmod(F.xxhash64("grp", "gram"), F.lit(shards)) == i).toPandas()
         hashes = {g: bytegrams.group_hash(g) for g in rows["grp"].unique().tolist()}
-        codes = np.array([hashes[g] for g in rows["grp"].tolist()], np.uint64)
-        keys = (rows["gram"].to_numpy(np.int64).astype(np.uint64) | codes << np.uint64(32)) * bytegrams.MIX
-        sent.append(values.sparkSession.sparkContext.broadcast(
-            bytegrams.HashArray(keys, rows["lp"].to_numpy())))
-    return sent
+        groups = np.array([hashes[g] for g in rows["grp"].tolist()], np.uint64)
+        keys = bytegrams.keyed(rows["gram"].to_numpy(np.int64), groups, order)
+        yield values.sparkSession.sparkContext.broadcast(bytegrams.HashArray(keys, rows["lp"].to_numpy()))
 
 
-def score_udf(array, order: int = ORDER):
+def score_udf(array, order: int):
     """Column function (group, text) -> sum of the values of the text's n-grams
     that lie in one hash array."""
     @F.arrow_udf("double")
@@ -155,7 +152,7 @@ def score_udf(array, order: int = ORDER):
         for texts in text_bytes(text):
             codes, counts = bytegrams.gram_codes([bytegrams.framed(t, order) for t in texts], order)
             names = np.repeat(np.array(groups[at:at + len(texts)], np.uint64), counts)
-            lp = array.value.get((codes.astype(np.uint64) | names << np.uint64(32)) * bytegrams.MIX, 0.0)
+            lp = array.value.get(bytegrams.keyed(codes, names, order), 0.0)
             found.append(bytegrams.doc_sums(lp, counts))
             at += len(texts)
         return pa.array(np.concatenate(found) if found else np.zeros(0))
@@ -163,9 +160,13 @@ def score_udf(array, order: int = ORDER):
     return run
 
 
-def score(group: Column, text: Column, arrays: list, order: int = ORDER) -> Column:
-    """log10 probability of a text: one term per array (a pass over the text each)."""
-    total = F.lit(0.0)
-    for array in arrays:
-        total = total + score_udf(array, order)(group, text)
-    return total
+def with_scores(rows: DataFrame, values: DataFrame, group: Column, text: Column, order: int = ORDER) -> DataFrame:
+    """``rows`` with lp, the log10 probability of each text: a pass for each hash
+    array, so that a task holds one at a time whatever the size of the model."""
+    rows, last = rows.withColumn("lp", F.lit(0.0)), None
+    for array in hash_arrays(values, order):
+        if last is not None:
+            rows = materialize(rows, "scored")
+            last.unpersist()
+        rows, last = rows.withColumn("lp", F.col("lp") + score_udf(array, order)(group, text)), array
+    return rows

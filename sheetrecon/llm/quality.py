@@ -83,17 +83,15 @@ def judged(docs: DataFrame, keep: dict[str, Column], text_col: str = "text", lan
     own. A language all of whose texts fail has no band, and rejects nothing more.
     """
     model = kneser_ney.train(kneser_ney.counted_grams(docs, lang_col, text_col))
-    top = model.probs[-1]
-    arrays = kneser_ney.hash_arrays(top.select("grp", "gram", F.log10("p").alias("lp")))
-    lang, text = F.col(lang_col).cast("string"), F.col(text_col)
-    rows = docs.select(*[c.alias(n) for n, c in keep.items()], lang.alias("grp"), measured(text).alias("m"),
-                       kneser_ney.score(lang, text, arrays).alias("lp"))
+    values = model.probs[-1].select("grp", "gram", F.log10("p").alias("lp"))
+    lang, text = F.col("grp"), F.col("text")
+    rows = docs.select(*[c.alias(n) for n, c in keep.items()], F.col(lang_col).cast("string").alias("grp"),
+                       F.col(text_col).alias("text"))
+    rows = kneser_ney.with_scores(rows, values, lang, text).withColumn("m", measured(text)).drop("text")
     # the model predicts the words, a blank between two, and the end
     rows = materialize(rows.withColumn("base_failed", base_failed())
                        .withColumn("perplexity", F.when(F.col("m.n_words") > 0, F.pow(
                            F.lit(10.0), -F.col("lp") / (F.col("m.word_chars") + F.col("m.n_words"))))), "judged")
-    for array in arrays:
-        array.unpersist()
     bands = kneser_ney.bounded(
         rows.where(~F.col("base_failed")).groupBy("grp")
         .agg(F.percentile_approx(F.log10("perplexity"), [0.25, 0.75], 10_000).alias("q"))

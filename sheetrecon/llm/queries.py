@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fuzzy_lines, id_files, quality, simhash, suffixes, superkmers, warc
+from . import byte_bpe, fuzzy_lines, html_tree, id_files, quality, simhash, suffixes, superkmers, warc
 from .common import table
 
 
@@ -44,6 +44,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_tree.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_warc_bundles": op1_warc_bundles,
     "op2_fuzzy_line_dedup": op2_fuzzy_line_dedup,
@@ -52,6 +56,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_token_id_files": op8_token_id_files,
+    "op9_html_extraction": op9_html_extraction,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
