@@ -64,7 +64,7 @@ def train(grams: DataFrame, order: int = ORDER) -> Model:
     number of distinct bytes that precede an n-gram; three discounts for each
     order and group come from the counts of counts (0.5, 1, 1.5 where those
     leave them undefined); the unigrams are mixed with 1/256."""
-    levels = [grams.select("grp", "gram", F.col("n").alias("c"))]
+    levels = [materialize(grams.select("grp", "gram", F.col("n").alias("c")), "grams")]
     for k in range(order - 1, 0, -1):
         levels.append(levels[-1].groupBy("grp", low_bytes("gram", k).alias("gram"))
                       .agg(F.count("*").alias("c")))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fuzzy_lines, html_tree, id_files, quality, simhash, suffixes, superkmers, warc
+from . import byte_bpe, fuzzy_lines, html_tree, id_files, ppm, quality, simhash, suffixes, superkmers, warc
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op4_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.token_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scores(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op2_fuzzy_line_dedup": op2_fuzzy_line_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_byte_level_bpe": op4_byte_level_bpe,
+    "op5_ppm_scoring": op5_ppm_scoring,
     "op6_quality_rules": op6_quality_rules,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_token_id_files": op8_token_id_files,
