@@ -69,3 +69,35 @@ def segment_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(values)])
     ends = np.cumsum(lengths)
     return total[ends] - total[ends - lengths]
+
+
+class Bits:
+    """A set of 64-bit hashes as a bit table of bounded size: ``has`` is true for
+    every member and for few others (for more, the fuller the table)."""
+
+    #: 2 ** 27 bits, 16 MB, whatever the number of members.
+    SIZE = 27
+
+    def __init__(self, members: DataFrame, column: str):
+        slot = F.shiftrightunsigned(F.col(column), 64 - self.SIZE)
+        rows = (members.select(slot.alias("slot"))
+                .groupBy(F.shiftright("slot", 6).cast("int").alias("word"))
+                .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toPandas())
+        words = np.zeros(1 << self.SIZE - 6, np.int64)
+        words[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+        self.sent = members.sparkSession.sparkContext.broadcast(words)
+
+    @staticmethod
+    def has(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        slot = (hashes.view(np.uint64) >> np.uint64(64 - Bits.SIZE)).astype(np.int64)
+        return (words[slot >> 6] >> (slot & 63) & 1).astype(bool)
+
+    def column(self, name: str):
+        """Column function: may the hash in ``name`` be a member?"""
+        sent = self.sent
+
+        @F.arrow_udf("boolean")
+        def run(hashes: pa.Array) -> pa.Array:
+            return pa.array(Bits.has(sent.value, hashes.to_numpy(zero_copy_only=False)))
+
+        return run(F.col(name))

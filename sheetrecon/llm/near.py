@@ -25,6 +25,10 @@ from .common import materialize
 
 #: Fingerprints in one chunk of a hot key; a cell holds two chunks at most.
 CELL = 1024
+#: One fingerprint in so many estimates the sizes of keys.
+SAMPLE = 64
+#: Cells of up to so many rows may be compared many at a time.
+SMALL = 64
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -40,22 +44,26 @@ def cells(items: DataFrame, radius: int, pick: int) -> DataFrame:
     """``items`` (fp long, more columns) -> rows of ``items`` with ``cell``.
 
     A row appears once per block combination, and once per chunk of its key
-    where the key is hot.
+    where the key is hot. Key sizes are estimated from one fingerprint in
+    SAMPLE (by hash); the estimate only sizes cells, every pair meets anyway.
     """
     signed = [m - (1 << 64) if m >> 63 else m for m in block_masks(radius, pick)]
-    keys = F.array(*[F.struct(F.lit(i).alias("no"), F.col("fp").bitwiseAND(F.lit(m).cast("long"))
-                              .alias("bits")) for i, m in enumerate(signed)])
-    keyed = items.withColumn("k", F.explode(keys)).withColumn("key", F.xxhash64("k.no", "k.bits")).drop("k")
-    hot = (keyed.groupBy("key").count().where(F.col("count") > CELL)
-           .select("key", F.ceil(F.col("count") / CELL).cast("int").alias("chunks")))
-    # xxhash64 of other columns of the row spreads equal fingerprints too
-    chunk = F.pmod(F.xxhash64(*[F.col(c) for c in items.columns], F.lit(7)), F.col("chunks")).cast("int")
-    return (keyed.join(hot, "key", "left")
-            .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-            .withColumn("mine", chunk)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-            .withColumn("cell", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")))
-            .drop("key", "chunks", "mine", "other"))
+    keys = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m).cast("long")))
+                     for i, m in enumerate(signed)])
+    keyed = items.withColumn("cell", F.explode(keys))
+    few = items.where(F.pmod(F.xxhash64("fp", F.lit(3)), F.lit(SAMPLE)) == 0).select(F.explode(keys).alias("cell"))
+    hot = materialize(few.groupBy("cell").count().where(F.col("count") * SAMPLE > CELL)
+                      .select("cell", F.ceil(F.col("count") * SAMPLE / CELL).cast("int").alias("chunks")), "hot-keys")
+    if hot.isEmpty():
+        return keyed
+    # the other columns of the row spread equal fingerprints too
+    mine = F.pmod(F.xxhash64(*[F.col(c) for c in items.columns], F.lit(7)), F.col("chunks")).cast("int")
+    return (keyed.join(hot, "cell", "left").withColumn("mine", mine)
+            .withColumn("other", F.explode(F.when(F.col("chunks").isNull(), F.array(F.lit(-1)))
+                                           .otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))))
+            .withColumn("cell", F.when(F.col("chunks").isNull(), F.col("cell")).otherwise(
+                F.xxhash64("cell", F.least("mine", "other"), F.greatest("mine", "other"))))
+            .drop("chunks", "mine", "other"))
 
 
 def bit_sliced(fps: np.ndarray, radius: int) -> np.ndarray:
@@ -143,38 +151,81 @@ def in_cells(celled: DataFrame, work: Callable[[pa.Table], pa.Table | None], sch
     """``work`` on the rows of each cell that holds more than one; the cells are
     bounded, and sorting brings them together without a Python group each."""
     def run(batches):
-        done = [t for t in (work(g) for g in grouped(batches, "cell") if g.num_rows > 1) if t is not None]
-        for t in done:
-            yield from t.to_batches()
+        for cell in grouped(batches, "cell"):
+            if cell.num_rows > 1 and (done := work(cell)) is not None:
+                yield from done.to_batches()
 
     return celled.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, schema)
 
 
-def smallest_linked(near: np.ndarray) -> np.ndarray:
-    """For each row the smallest index in its connected group of ``near``."""
-    m = len(near)
+def smallest_linked(rows: np.ndarray, cols: np.ndarray, m: int) -> np.ndarray:
+    """For each of ``m`` items the smallest index in its connected group of the
+    pairs (rows, cols)."""
     label = np.arange(m)
-    rows, cols = np.nonzero(near)
     while True:
         least = label.copy()
         np.minimum.at(least, rows, label[cols])
+        np.minimum.at(least, cols, label[rows])
         least = least[least]
         if (least == label).all():
             return label
         label = least
 
 
-def fingerprint_links(fps: DataFrame, radius: int, pick: int = 2) -> DataFrame:
+def tree_links(fp: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> pa.Table | None:
+    label = smallest_linked(rows, cols, len(fp))
+    linked = np.flatnonzero(fp[label] != fp)
+    if len(linked):
+        pair = fp[linked], fp[label[linked]]
+        return pa.table({"u": np.maximum(*pair), "v": np.minimum(*pair)})
+
+
+def small_cells(cell: np.ndarray, fp: np.ndarray, radius: int) -> pa.Table | None:
+    """Links inside each run of equal ``cell`` (of SMALL rows at most), many runs at
+    a time: each row against the next, the next but one, and so on."""
+    rows, cols, at = [], [], np.arange(len(cell))
+    for shift in range(1, SMALL):
+        at = at[at + shift < len(cell)]
+        at = at[cell[at] == cell[at + shift]]
+        if not len(at):
+            break
+        near = at[np.bitwise_count(fp[at].view(np.uint64) ^ fp[at + shift].view(np.uint64)) <= radius]
+        rows.append(near)
+        cols.append(near + shift)
+    return tree_links(fp, np.concatenate(rows), np.concatenate(cols)) if rows else None
+
+
+def fingerprint_links(fps: DataFrame, radius: int, pick: int = 2, sliced: bool = True) -> DataFrame:
     """Distinct ``fps`` (fp long) -> links (u, v), u > v, a spanning forest of
-    each cell's pairs within ``radius`` bits (never all pairs of a cell)."""
+    each cell's pairs within ``radius`` bits (never all pairs of a cell). Cells
+    are compared bit-sliced; with ``sliced`` false only those above SMALL rows."""
     def work(cell: pa.Table):
         fp = np.unique(cell.column("fp").to_numpy())
-        label = smallest_linked(bit_sliced(fp.view(np.uint64), radius))
-        linked = np.flatnonzero(label != np.arange(len(fp)))
-        if len(linked):
-            return pa.table({"u": fp[linked], "v": fp[label[linked]]})
+        return tree_links(fp, *np.nonzero(bit_sliced(fp.view(np.uint64), radius)))
+
+    def run(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def done():
+            found = small_cells(*map(np.concatenate, zip(*held)), radius)
+            return [] if found is None else found.to_batches()
+
+        for cell in grouped(batches, "cell"):
+            if cell.num_rows > SMALL:
+                found = work(cell)
+                yield from [] if found is None else found.to_batches()
+                continue
+            held.append((cell.column("cell").to_numpy(), cell.column("fp").to_numpy()))
+            if len(held) >= 1 << 14:
+                yield from done()
+                held = []
+        if held:
+            yield from done()
 
-    return in_cells(cells(fps, radius, pick), work, "u long, v long")
+    celled = cells(fps, radius, pick)
+    if sliced:
+        return in_cells(celled, work, "u long, v long")
+    return celled.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "u long, v long")
 
 
 def components(links: DataFrame) -> DataFrame:
