@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_bytes
+from .common import batched, text_bytes
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Distinct pieces that a task keeps before it forgets them all.
@@ -153,7 +153,7 @@ def token_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Per row: doc_id, n_tokens, ids_sha256 and decoded_sha256 of the encoded
     and decoded whole text (null: empty). Other columns are ignored; repeated
     rows give repeated results."""
-    return docs.select(F.col(id_col).alias("doc_id"), digest_udf(path)(F.col(text_col)).alias("t")).select(
+    return batched(docs).select(F.col(id_col).alias("doc_id"), digest_udf(path)(F.col(text_col)).alias("t")).select(
         "doc_id", "t.*")
 
 
@@ -173,7 +173,7 @@ def encoded(docs: DataFrame, text_col: str = "text", path: str = RANKS, with_off
         return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.list_(pa.int32()))
                                            for i in range(len(names))], names)
 
-    return docs.withColumn("tokens", run(F.col(f"`{text_col}`")))
+    return batched(docs).withColumn("tokens", run(F.col(f"`{text_col}`")))
 
 
 def decoded(rows: DataFrame, ids_col: str = "tokens.ids", path: str = RANKS) -> DataFrame:
@@ -183,4 +183,4 @@ def decoded(rows: DataFrame, ids_col: str = "tokens.ids", path: str = RANKS) ->
         coder = codec(path)
         return pa.array([None if x is None else coder.decode(x) for x in ids.to_pylist()], pa.binary())
 
-    return rows.withColumn("decoded", run(F.col(ids_col)))
+    return batched(rows).withColumn("decoded", run(F.col(ids_col)))

@@ -15,6 +15,8 @@ from ..session import ensure_checkpoint_dir
 
 #: Text bytes that one step inside a task works on at a time.
 STEP_BYTES = 2 << 20
+#: Rows of an Arrow batch.
+BATCH_ROWS = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +37,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def batched(docs: DataFrame) -> DataFrame:
+    """``docs``, after bounding the Arrow batches of its session: texts are long,
+    and a task holds a batch on both sides of the Python boundary."""
+    conf = docs.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 * STEP_BYTES))
+    return docs
+
+
 def text_bytes(column: pa.Array) -> Iterator[list[bytes]]:
     """The texts of an Arrow string array as UTF-8 bytes (null: empty), in
     lists of about STEP_BYTES at most (a longer text alone)."""

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import batched
+
 #: Labelled pages that the fit takes at most, and bytes of one at most.
 TRAIN_PAGES, TRAIN_BYTES = 300, 200_000
 STEPS, RATE, PULL = 12, 0.5, 0.02
@@ -292,6 +294,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     def run(html: pa.Array) -> pa.Array:
         return pa.array([main_text(x.as_py() or "", weights) for x in html], pa.string())
 
-    return (pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
+    return (batched(pages).select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                          run(F.col(html_col)).alias("text"))
             .withColumn("n_chars", F.char_length("text").cast("long")))

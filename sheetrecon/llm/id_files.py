@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import scratch, text_bytes
+from .common import batched, scratch, text_bytes
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -108,7 +108,7 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """Write doc_id, part (number of the range), ids, in ascending doc_id order
     over and within the parts; null ids first, ties by text hash. A null text is
     empty: its ids are the end id."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+    rows = batched(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("tie"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (rows.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bytegrams, kneser_ney
-from .common import materialize, text_bytes, words
+from .common import batched, materialize, text_bytes, words
 
 #: Bytes of an n-gram: contexts of up to four bytes.
 ORDER = 5
@@ -164,7 +164,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     others (null ids too) train. A null text is empty: one token, the end; the byte
     model gives it 0. Repeated rows each count. Without training texts all counts are 0.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    rows = batched(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 10 != 0, F.lit(True))
                        .alias("train"))
     values = code_lengths(corpus_grams(rows))

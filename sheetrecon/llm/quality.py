@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kneser_ney
-from .common import materialize, text_bytes, words
+from .common import batched, materialize, text_bytes, words
 
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 #: Interquartile ranges below and above the quartiles that a text may lie.
@@ -82,7 +82,7 @@ def judged(docs: DataFrame, keep: dict[str, Column], text_col: str = "text", lan
     Null text: no words, hence base_failed. A null language is a language of its
     own. A language all of whose texts fail has no band, and rejects nothing more.
     """
-    model = kneser_ney.train(kneser_ney.counted_grams(docs, lang_col, text_col))
+    model = kneser_ney.train(kneser_ney.counted_grams(batched(docs), lang_col, text_col))
     values = model.probs[-1].select("grp", "gram", F.log10("p").alias("lp"))
     lang, text = F.col("grp"), F.col("text")
     rows = docs.select(*[c.alias(n) for n, c in keep.items()], F.col(lang_col).cast("string").alias("grp"),

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import near
-from .common import materialize, text_bytes, words
+from .common import batched, materialize, text_bytes, words
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 
@@ -68,7 +68,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     null ids only has a null component_id. Other columns are ignored. An empty
     table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), fingerprint_udf(shingle)(F.col(text_col)).alias("fp"))
+    rows = batched(docs).select(F.col(id_col).alias("doc_id"), fingerprint_udf(shingle)(F.col(text_col)).alias("fp"))
     rows = materialize(rows, "fingerprints")
     named = component_of(rows, radius)
     return (rows.join(named, "fp").select(
@@ -90,7 +90,7 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each group: the smallest id (null ids last; of
     repeated ids the least text hash). All columns stay as they are."""
-    columns = docs.columns
+    columns = batched(docs).columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
                        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                        fingerprint_udf(shingle)(F.col(text_col)).alias("fp"))

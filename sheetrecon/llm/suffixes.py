@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, text_bytes
+from .common import batched, materialize, text_bytes
 
 WINDOW = 13
 #: Bytes of benchmark text in one broadcast block.
@@ -211,7 +211,7 @@ def judged(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_c
            item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """row (the columns of docs), n_words, n_hit, n_items, items_sha256, contaminated."""
     text = F.col(f"row.`{text_col}`")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = batched(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     names = []
     for i, block in enumerate(benchmark_blocks(benchmark, item_col, item_text_col, window)):
         names.append(f"found{i}")
@@ -245,7 +245,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     ``depth``), item_word and doc_word (where it starts)."""
     blocks = benchmark_blocks(benchmark, "item_id", "text", WINDOW)
     kind = docs.schema[id_col].dataType.simpleString()
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    plain = batched(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run_for(block):
         def run(batches):

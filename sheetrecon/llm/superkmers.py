@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import doc_key, materialize, text_bytes, words
+from .common import batched, doc_key, materialize, text_bytes, words
 from .near import grouped
 
 WINDOW, MINIMISER = 20, 3
@@ -309,7 +309,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     are one document. Null texts have no words. Texts below WINDOW words lose
     nothing.
     """
-    rows = docs.select(doc_key(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"),
+    rows = batched(docs).select(doc_key(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"),
                        F.col(text_col).alias("text"), F.col(id_col).alias("doc_id"))
     runs = repeated_runs(rows.select("key", "id", "text"))
     return (rows.join(runs, "key", "left").select("doc_id", stays("text", "runs").alias("s"))

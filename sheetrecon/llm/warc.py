@@ -22,7 +22,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch
+from .common import batched, materialize, scratch
 
 #: Equal payloads of fewer bytes are each stored.
 MIN_SHARED = 1000
@@ -146,7 +146,7 @@ def read_record(path: str, frame_at: int, frame_bytes: int, at: int, size: int):
 def judged(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """page_id, url, html, digest, kind, refers_to. The payload of a group is
     joined by its digest; only groups of more than one row are."""
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
+    rows = batched(pages).select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(html_col), F.lit("")).alias("html")).withColumn("digest", F.sha1("html"))
     shared = (rows.where(F.octet_length("html") >= MIN_SHARED).groupBy("digest")
               .agg(F.max("page_id").alias("holder"), F.count("*").alias("n")).where("n > 1").drop("n"))
