@@ -93,9 +93,9 @@ class Bits:
         slot = F.shiftrightunsigned(F.col(column), 64 - self.SIZE)
         rows = (members.select(slot.alias("slot"))
                 .groupBy(F.shiftright("slot", 6).cast("int").alias("word"))
-                .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toPandas())
+                .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toArrow())
         words = np.zeros(1 << self.SIZE - 6, np.int64)
-        words[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+        words[rows["word"].to_numpy()] = rows["bits"].to_numpy()
         self.sent = members.sparkSession.sparkContext.broadcast(words)
 
     @staticmethod
@@ -104,7 +104,7 @@ class Bits:
         return (words[slot >> 6] >> (slot & 63) & 1).astype(bool)
 
     def column(self, name: str):
-        """Column function: may the hash in ``name`` be a member?"""
+        """Column: may the hash in ``name`` be a member?"""
         sent = self.sent
 
         @F.arrow_udf("boolean")
@@ -112,3 +112,48 @@ class Bits:
             return pa.array(Bits.has(sent.value, hashes.to_numpy(zero_copy_only=False)))
 
         return run(F.col(name))
+
+
+#: Base of the word hash and its inverse modulo 2 ** 64.
+BASE = 0x9E3779B97F4A7C15
+UNBASE = pow(BASE, -1, 1 << 64)
+#: Bytes that one pass of the word hash takes (a longer word alone).
+PIECE = 1 << 20
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n - 1, base, np.uint64)]))
+
+
+class WordHash:
+    """64-bit hashes of all words of a buffer at once: a polynomial of the bytes,
+    from prefix sums, and a mix of the result."""
+
+    def __init__(self):
+        self.up, self.down = powers(BASE, PIECE), powers(UNBASE, PIECE)
+
+    def __call__(self, line: bytes) -> np.ndarray:
+        """Hashes of words that single blanks separate."""
+        data = np.frombuffer(line, np.uint8)
+        if not len(data):
+            return np.zeros(0, np.uint64)
+        ends = np.append(np.flatnonzero(data == 32), len(data))
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        out, i = np.empty(len(ends), np.uint64), 0
+        while i < len(ends):
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE, "right")))
+            out[i:j] = self.piece(data[starts[i]:ends[j - 1]], starts[i:j] - starts[i], ends[i:j] - starts[i])
+            i = j
+        return out
+
+    def piece(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(data) > len(self.up):
+            self.up, self.down = powers(BASE, 2 * len(data)), powers(UNBASE, 2 * len(data))
+        prefix = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[:len(data)], out=prefix[1:])
+        h = (prefix[ends] - prefix[starts]) * self.down[np.minimum(starts, len(self.down) - 1)]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        return h ^ (h >> np.uint64(32))

@@ -12,7 +12,7 @@ its chunk; later ones are repeats as a whole. So a passage that many documents
 share reaches its bucket once a chunk. Words around such a passage do not gather in
 its bucket either, as frequent sequences are minimisers only of windows that
 hold nothing else; how frequent they are is counted over all texts, in a table
-of SLOTS counters.
+of 2 ** SLOT_BITS counters.
 """
 
 from __future__ import annotations
@@ -20,13 +20,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batched, doc_key, materialize, text_bytes, words
+from .common import WordHash, batched, doc_key, text_bytes, words
 from .near import grouped
 
 WINDOW, MINIMISER = 20, 3
@@ -36,23 +35,10 @@ SLOT_BITS, FREQUENT = 17, 4
 CHUNK_BYTES = 8 << 20
 #: Buckets for each shuffle partition (evens out their sizes).
 BUCKETS = 4
-CACHE = 1 << 19
 NULL_ID = np.iinfo(np.int64).min
 ODD = np.random.default_rng(20).integers(1, 1 << 62, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = value = xxhash.xxh64_digest(word)
-        return value
-
-
-def word_values(tokens: list[bytes], hashes: WordHashes) -> np.ndarray:
-    return np.frombuffer(b"".join(map(hashes.__getitem__, tokens)), np.uint64)
-
-
 def sequences(values: np.ndarray, length: int, odd: np.ndarray) -> np.ndarray:
     """A mixed 64-bit value of each run of ``length`` words."""
     n = len(values) - length + 1
@@ -90,19 +76,19 @@ def windows_hash(values: np.ndarray, length: int, odd: int) -> np.ndarray:
 def slot_counts(docs: DataFrame) -> np.ndarray:
     """How many three-word sequences of all texts fall into each slot."""
     def run(batches):
-        hashes, count = WordHashes(), np.zeros(1 << SLOT_BITS, np.int64)
+        hashes, count = WordHash(), np.zeros(1 << SLOT_BITS, np.int64)
         for batch in batches:
             for texts in text_bytes(batch.column(0)):
                 # sequences across two texts count too: a few more of any slot
-                mixed = sequences(word_values(words(b"\n".join(texts)), hashes), MINIMISER, ODD)
+                mixed = sequences(hashes(b" ".join(words(b"\n".join(texts)))), MINIMISER, ODD)
                 count += np.bincount((mixed >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(count))
         used = np.flatnonzero(count)
         yield pa.record_batch({"slot": pa.array(used.astype(np.int32)), "n": pa.array(count[used])})
 
     counted = docs.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    rows = counted.toPandas()  # SLOTS rows at most
+    rows = counted.toArrow()  # a row per slot at most
     total = np.zeros(1 << SLOT_BITS, np.int64)
-    total[rows["slot"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    total[rows["slot"].to_numpy()] = rows["n"].to_numpy()
     return total
 
 
@@ -123,7 +109,7 @@ def minimisers(values: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def packed(ids: np.ndarray, keys: np.ndarray, texts: list[bytes], frequent: np.ndarray, buckets: int,
-           hashes: WordHashes):
+           hashes: WordHash):
     """One chunk of documents -> (rows for the buckets, repeats found already).
 
     Documents are taken in ascending order, so that the first of equal
@@ -133,11 +119,12 @@ def packed(ids: np.ndarray, keys: np.ndarray, texts: list[bytes], frequent: np.n
     order = one[np.lexsort((keys[one], ids[one]))]
     cut = [words(texts[i]) for i in order.tolist()]
     counts = np.array([len(w) for w in cut], np.int64)
-    tokens = [w for c in cut for w in c]
-    values = word_values(tokens, hashes)
+    line = b" ".join([b" ".join(c) for c in cut if c])
+    del cut
+    values = hashes(line)
     ends = np.cumsum(counts)
-    start = np.arange(max(len(tokens) - WINDOW + 1, 0))
-    doc = np.repeat(np.arange(len(cut)), counts)[:len(start)]
+    start = np.arange(max(len(values) - WINDOW + 1, 0))
+    doc = np.repeat(np.arange(len(counts)), counts)[:len(start)]
     least = minimisers(values, frequent)
     inside = start + WINDOW <= ends[doc] if len(start) else np.zeros(0, bool)
     start, doc, least = start[inside], doc[inside], least[inside]
@@ -148,8 +135,7 @@ def packed(ids: np.ndarray, keys: np.ndarray, texts: list[bytes], frequent: np.n
     head = np.flatnonzero(new)
     n = np.diff(np.append(head, len(start)))
     doc, least, start = doc[head], least[head], start[head]
-    line = b" ".join(tokens)
-    at = np.concatenate([[0], np.cumsum(np.array([len(w) for w in tokens], np.int64) + 1)])
+    at = np.concatenate([[0], np.flatnonzero(np.frombuffer(line, np.uint8) == 32) + 1, [len(line) + 1]])
     strings = [line[a:b - 1] for a, b in zip(at[start].tolist(), at[start + n + WINDOW - 1].tolist())]
     seen: set[bytes] = set()
     first = np.array([s not in seen and not seen.add(s) for s in strings], bool)
@@ -167,11 +153,15 @@ def packed(ids: np.ndarray, keys: np.ndarray, texts: list[bytes], frequent: np.n
     return out, again
 
 
+ROWS = "bucket int, strings binary, meta binary, again array<struct<key:long,a:int,b:int>>"
+
+
 def packed_rows(docs: DataFrame, frequent, buckets: int) -> DataFrame:
-    """docs (key, id, text) -> bucket rows (bucket, strings, meta) and, with a
-    null bucket, repeats found within a chunk (key, a, b: words [a, b))."""
+    """docs (key, id, text) -> rows (bucket, strings, meta) and, without strings,
+    repeats found within a chunk (again: key and words [a, b)), in any bucket."""
+    run_type = pa.struct([("key", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
     schema = pa.schema([("bucket", pa.int32()), ("strings", pa.binary()), ("meta", pa.binary()),
-                        ("again", pa.list_(pa.struct([("key", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])))])
+                        ("again", pa.list_(run_type))])
 
     def batches_of(rows, again):
         if rows:
@@ -181,11 +171,14 @@ def packed_rows(docs: DataFrame, frequent, buckets: int) -> DataFrame:
         if again is not None and len(again[0]):
             runs = pa.StructArray.from_arrays([pa.array(again[0]), pa.array(again[1].astype(np.int32)),
                                                pa.array(again[2].astype(np.int32))], ["key", "a", "b"])
-            yield pa.record_batch([pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
-                                   pa.ListArray.from_arrays(pa.array([0, len(runs)], pa.int32()), runs)], schema=schema)
+            cuts = np.append(np.arange(0, len(runs), 1 << 12), len(runs))
+            n = len(cuts) - 1
+            yield pa.record_batch([pa.array(np.abs(again[0][cuts[:-1]] % buckets).astype(np.int32)),
+                                   pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
+                                   pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), runs)], schema=schema)
 
     def run(batches):
-        hashes, held, size = WordHashes(), [], 0
+        hashes, held, size = WordHash(), [], 0
 
         def done():
             ids, keys = (np.concatenate([h[i] for h in held]) for i in (0, 1))
@@ -204,16 +197,16 @@ def packed_rows(docs: DataFrame, frequent, buckets: int) -> DataFrame:
         if held:
             yield from done()
 
-    return docs.mapInArrow(run, "bucket int, strings binary, meta binary, again array<struct<key:long,a:int,b:int>>")
+    return docs.mapInArrow(run, ROWS)
 
 
-def repeats(rows: pa.Table, hashes: WordHashes) -> pa.RecordBatch | None:
+def repeats(rows: pa.Table, hashes: WordHash) -> pa.RecordBatch | None:
     """The super-k-mers of one bucket -> repeats (key, a, b): its windows are
     sorted by word sequence (128 bits) and place."""
     open_ = zstandard.ZstdDecompressor()
     strings, ids, keys, place = [], [], [], []
     for s, m in zip(rows.column("strings").to_pylist(), rows.column("meta").to_pylist()):
-        strings += open_.decompress(s).split(b"\n")
+        strings.append(open_.decompress(s))
         meta = open_.decompress(m)
         n = len(meta) // 20
         ids.append(np.frombuffer(meta, np.int64, n))
@@ -223,10 +216,12 @@ def repeats(rows: pa.Table, hashes: WordHashes) -> pa.RecordBatch | None:
     by = np.lexsort((keys, ids))
     doc = np.empty(len(ids), np.int64)  # rank of the document
     doc[by] = np.cumsum(np.concatenate([[0], (np.diff(ids[by]) != 0) | (np.diff(keys[by]) != 0)]))
-    cut = [s.split(b" ") for s in strings]
-    counts = np.array([len(c) for c in cut], np.int64)
-    values = word_values([w for c in cut for w in c], hashes)
-    del strings, cut
+    line = b"\n".join(strings)
+    del strings
+    data = np.frombuffer(line, np.uint8)
+    gaps = data[(data == 32) | (data == 10)]  # after each word but the last
+    counts = np.diff(np.concatenate([[-1], np.flatnonzero(gaps == 10), [len(gaps)]]))
+    values = hashes(line.replace(b"\n", b" "))
     n = counts - WINDOW + 1
     piece = np.repeat(np.arange(len(n)), n)
     offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -256,19 +251,19 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     frequent = spark.sparkContext.broadcast(count > FREQUENT * max(1.0, count.mean()))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = packed_rows(docs, frequent, BUCKETS * partitions)
-    rows = materialize(rows, "super-k-mers")
 
     def run(batches):
-        hashes = WordHashes()
+        hashes = WordHash()
         for bucket in grouped(batches, "bucket", 1):
-            if (found := repeats(bucket, hashes)) is not None:
+            at_once = bucket.column("again").combine_chunks().flatten()
+            if len(at_once):
+                yield pa.RecordBatch.from_struct_array(at_once)
+            sent = bucket.filter(pa.compute.is_valid(bucket.column("strings")))
+            if sent.num_rows and (found := repeats(sent, hashes)) is not None:
                 yield found
 
-    sent = rows.where("bucket is not null").select("bucket", "strings", "meta")
-    sorted_out = (sent.repartition(partitions, "bucket").sortWithinPartitions("bucket")
-                  .mapInArrow(run, "key long, a int, b int"))
-    at_once = rows.where("bucket is null").select(F.explode("again").alias("r")).select("r.*")
-    return (sorted_out.unionByName(at_once).groupBy("key")
+    return (rows.repartition(partitions, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(run, "key long, a int, b int").groupBy("key")
             .agg(F.collect_set(F.struct("a", "b")).alias("runs")))
 
 
