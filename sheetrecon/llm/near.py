@@ -204,23 +204,27 @@ def fingerprint_links(fps: DataFrame, radius: int, pick: int = 2, sliced: bool =
         return tree_links(fp, *np.nonzero(bit_sliced(fp.view(np.uint64), radius)))
 
     def run(batches):
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def done():
-            found = small_cells(*map(np.concatenate, zip(*held)), radius)
-            return [] if found is None else found.to_batches()
-
-        for cell in grouped(batches, "cell"):
-            if cell.num_rows > SMALL:
-                found = work(cell)
-                yield from [] if found is None else found.to_batches()
+        cell, fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            cell = np.concatenate([cell, batch.column("cell").to_numpy()])
+            fp = np.concatenate([fp, batch.column("fp").to_numpy()])
+            if not len(cell):
                 continue
-            held.append((cell.column("cell").to_numpy(), cell.column("fp").to_numpy()))
-            if len(held) >= 1 << 14:
-                yield from done()
-                held = []
-        if held:
-            yield from done()
+            whole = int(np.searchsorted(cell, cell[-1]))  # the last run may go on
+            yield from found(cell[:whole], fp[:whole])
+            cell, fp = cell[whole:], fp[whole:]
+        yield from found(cell, fp)
+
+    def found(cell, fp):
+        if len(cell) > 1:
+            starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+            sizes = np.diff(np.append(starts, len(cell)))
+            few = np.repeat((sizes > 1) & (sizes <= SMALL), sizes)
+            links = [small_cells(cell[few], fp[few], radius)]
+            for i in np.flatnonzero(sizes > SMALL).tolist():
+                links.append(work(pa.table({"fp": fp[starts[i]:starts[i] + sizes[i]]})))
+            for t in links:
+                yield from [] if t is None else t.to_batches()
 
     celled = cells(fps, radius, pick)
     if sliced:
