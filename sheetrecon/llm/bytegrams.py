@@ -59,11 +59,11 @@ class HashArray:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order].astype(np.float32)
+        self.keys, self.values = keys[order], values[order]
         bits = max(1, int(len(keys)).bit_length() + 1)
         self.shift = np.uint64(64 - bits)
         self.start = np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << self.shift)
-        self.start = np.append(self.start, len(keys)).astype(np.int64)
+        self.start = np.append(self.start, len(keys)).astype(np.int32)
 
     def get(self, keys: np.ndarray, missing: float) -> np.ndarray:
         out = np.full(len(keys), missing, np.float32)

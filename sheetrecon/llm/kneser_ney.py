@@ -136,11 +136,13 @@ def hash_arrays(values: DataFrame, order: int):
     values = materialize(values.select("grp", "gram", "lp"), "values")
     shards = max(1, -(-values.count() // bytegrams.ENTRIES))
     for i in range(shards):
-        rows = values.where(F.pmod(F.xxhash64("grp", "gram"), F.lit(shards)) == i).toPandas()
-        hashes = {g: bytegrams.group_hash(g) for g in rows["grp"].unique().tolist()}
-        groups = np.array([hashes[g] for g in rows["grp"].tolist()], np.uint64)
-        keys = bytegrams.keyed(rows["gram"].to_numpy(np.int64), groups, order)
-        yield values.sparkSession.sparkContext.broadcast(bytegrams.HashArray(keys, rows["lp"].to_numpy()))
+        rows = values.where(F.pmod(F.xxhash64("grp", "gram"), F.lit(shards)) == i).toArrow()
+        names = rows.column("grp").combine_chunks().dictionary_encode("encode")
+        hashes = np.array([bytegrams.group_hash(g) for g in names.dictionary.to_pylist()], np.uint64)
+        groups = hashes[names.indices.to_numpy()] if len(rows) else np.zeros(0, np.uint64)
+        keys = bytegrams.keyed(rows.column("gram").to_numpy(), groups, order)
+        yield values.sparkSession.sparkContext.broadcast(
+            bytegrams.HashArray(keys, rows.column("lp").to_numpy().astype(np.float32)))
 
 
 def score_udf(array, order: int):

@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 from . import bytegrams, kneser_ney
 from .common import batched, materialize, text_bytes, words
 
-#: Bytes of an n-gram: contexts of up to four bytes.
-ORDER = 5
+#: Bytes of an n-gram: contexts of up to five bytes.
+ORDER = 6
 #: Blocks of texts for each shuffle partition.
 BLOCKS = 2
 ALPHA = 0.1
@@ -81,15 +81,16 @@ def code_lengths(grams: DataFrame, order: int = ORDER) -> DataFrame:
         rows = rows.join(small(nodes[k].withColumnRenamed("c", f"c{k}"), k), "sub", "left")
         stats = contexts[k].select("ctx", *[F.col(c).alias(f"{c}{k}") for c in "ntm"])
         rows = rows.join(small(stats, k - 1), "ctx", "left").drop("sub", "ctx")
-    lp = -F.log10(256 - F.coalesce("t0", F.lit(0)))  # bytes that the empty context has not seen are alike
+    # bytes that the empty context has not seen are alike
+    lp = F.when(F.coalesce(*[F.col(f"c{k}") for k in range(order)]).isNull(),
+                -F.log10(256 - F.coalesce("t0", F.lit(0)))).otherwise(0.0)
     for k in range(order):
-        out_n, out_t = (F.coalesce(f"m{k + 1}", F.lit(0)), F.coalesce(f"t{k + 1}", F.lit(0))) if k + 1 < order \
-            else (F.lit(0), F.lit(0))
+        longer = [F.col(f"c{j}") for j in range(k + 1, order)]
+        reached = F.coalesce(*longer).isNull() if longer else F.lit(True)
+        out_n, out_t = (F.coalesce(f"{c}{k + 1}", F.lit(0)) if longer else F.lit(0) for c in "mt")
         t = F.col(f"t{k}") - out_t
-        total = F.col(f"n{k}") - out_n + t
-        lp = (F.when(F.col(f"n{k}").isNull() | (t <= 0), lp)
-              .when(F.col(f"c{k}").isNotNull(), F.log10(F.col(f"c{k}") / total))
-              .otherwise(F.log10(t / total) + lp))
+        taken = F.coalesce(f"c{k}", t)  # the byte's count, or else the escape
+        lp = lp + F.when(reached & (t > 0), F.log10(taken / (F.col(f"n{k}") - out_n + t))).otherwise(0.0)
     return rows.select(F.lit(None).cast("string").alias("grp"), "gram", lp.alias("lp"))
 
 
