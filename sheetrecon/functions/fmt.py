@@ -42,13 +42,12 @@ def bank_code(c: Column | str) -> Column:
 
 
 def blank_if_falsy(c: Column | str) -> Column:
-    """Null, '' and numeric 0 become ''; anything else its text."""
+    """Null, '' and numeric 0 become ''; anything else its text. A text '0' is
+    not a zero: what counts is the column's type."""
     col = _c(c)
-    dt_num = col.cast("string").try_cast("double")
-    return (F.when(col.isNull(), F.lit(""))
-            .when(F.coalesce(dt_num == 0, F.lit(False)) & ~col.cast("string").rlike("[A-Za-z]"),
-                  F.lit(""))
-            .otherwise(col.cast("string")))
+    is_number = ~F.typeof(col).isin("string", "binary", "date", "timestamp", "boolean")
+    zero = is_number & F.coalesce(col.cast("string").try_cast("double") == 0, F.lit(False))
+    return F.when(col.isNull() | zero, F.lit("")).otherwise(col.cast("string"))
 
 
 def zero_if_falsy(c: Column | str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import FILLABLE_TOKENS, is_fillable, is_loose_key, is_strict_key, strip
-from ..sources.sheet import ROW_NO
+from ..sources.sheet import FILE, ROW_NO
 
 # Fixed values that must match the reference's behaviour.
 UNMATCHED_MESSAGE = "No se encontró datos para propuesta: "
@@ -154,12 +154,12 @@ def unmatched_keys(keys: DataFrame, lookup: DataFrame, key_col: str = "legajo")
 
 
 def unmatched_sample(unmatched: DataFrame, n: int = 3) -> DataFrame:
-    """First ``n`` unmatched messages by row position, plus how many more."""
+    """First ``n`` unmatched messages by file and row, plus how many more."""
     from .pick import small_ordinal
-    top = unmatched.select(ROW_NO, "message").orderBy(ROW_NO).limit(n)  # top-k, no full sort
-    pos = small_ordinal(top, [ROW_NO], "pos")
+    top = unmatched.select(FILE, ROW_NO, "message").orderBy(FILE, ROW_NO).limit(n)  # top-k, no full sort
+    pos = small_ordinal(top, [FILE, ROW_NO], "pos")
     total = unmatched.agg(F.count(F.lit(1))).scalar()  # scalar subquery, one value
-    return pos.select("pos", ROW_NO, "message",
+    return pos.select("pos", FILE, ROW_NO, "message",
                       F.greatest(total - F.lit(n), F.lit(0)).alias("more"))
 
 
@@ -208,10 +208,10 @@ def holder_stats(filled: DataFrame) -> DataFrame:
 
 def batch_counts(keys: DataFrame, lookup: DataFrame, batch_size: int = 100,
                  key_col: str = "legajo") -> DataFrame:
-    """Per batch of ``batch_size`` key occurrences (in row order), how
+    """Per batch of ``batch_size`` key occurrences (by file and row), how
     many keys were sent and how many distinct keys matched."""
     from .pick import ordered_with_position
-    pos = ordered_with_position(keys.select(ROW_NO, "key"), [ROW_NO], "pos")
+    pos = ordered_with_position(keys.select(FILE, ROW_NO, "key"), [FILE, ROW_NO], "pos")
     b = pos.withColumn("batch", F.floor((F.col("pos") - 1) / batch_size).cast("long") + 1)
     lk = lookup.select(F.col(key_col).alias("key")).distinct().withColumn("_hit", F.lit(True))
     return (b.join(lk, "key", "left")

@@ -19,7 +19,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .safety import broadcast_if_small, widen
+from ..functions.fmt import bank_code
+from .safety import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -58,9 +59,6 @@ def run_chain(catalog: Mapping[str, DataFrame], root: tuple[str, str],
     df = qualify(catalog[table], alias)
     if keys is not None:
         df = restrict_to_keys(df, keys, q(key_ref))
-    if links:
-        # a root narrower than the cluster is spread on the first join key
-        df = widen(df, F.col(q(links[0].on[0][0])))
     for link in links:
         right = qualify(catalog[link.table], link.alias)
         cond = reduce(lambda a, b: a & b,
@@ -112,16 +110,23 @@ FILTERS = (
     Link("ec", "estados_contratos", (("ct.cod_estado_contrato", "cod_estado_contrato"),), "left_semi"),
     Link("tp", "tipos_propuestas", (("p.cod_tipo_propuesta", "cod_tipo_propuesta"),), "left_semi"),
     Link("tc", "tipos_contratos", (("ct.cod_tipo_contrato", "cod_tipo_contrato"),), "left_semi"),
+    # a contract needs a seller, and the seller a team
+    Link("vg", "vendedor", (("ct.cod_vendedor", "cod_vendedor"),)),
+    Link("eq", "equipo_vendedores", (("vg.cod_equipo", "cod_equipo"),), "left_semi"),
 )
-# Every table of the widest query, 12 inner + 16 left.
+# Every table of the widest query, 12 inner + 16 left. The four facts that
+# share the proposal key come first, before the party and payment fan-out, so
+# one partitioning on that key serves all of them.
 FULL_INNER = (
     Link("ct", "contratos", (("p.cod_propuesta", "cod_propuesta"),)),
+    Link("cr", "creditos", (("p.cod_propuesta", "cod_propuesta"),)),
+    Link("tx", "tarjeta_oxxo", (("p.cod_propuesta", "cod_propuesta"),), "left"),
+    Link("cb", "clabe_bancaria", (("p.cod_propuesta", "cod_propuesta"),), "left"),
     Link("tp", "tipos_propuestas", (("p.cod_tipo_propuesta", "cod_tipo_propuesta"),)),
     Link("ec", "estados_contratos", (("ct.cod_estado_contrato", "cod_estado_contrato"),)),
     Link("tc", "tipos_contratos", (("ct.cod_tipo_contrato", "cod_tipo_contrato"),)),
     Link("vg", "vendedor", (("ct.cod_vendedor", "cod_vendedor"),)),
     Link("eq", "equipo_vendedores", (("vg.cod_equipo", "cod_equipo"),)),
-    Link("cr", "creditos", (("p.cod_propuesta", "cod_propuesta"),)),
     Link("s", "sucursales", (("cr.cod_sucursal", "cod_sucursal"),)),
     Link("ed", "estados_deudas", (("cr.cod_estado_deuda", "cod_estado_deuda"),)),
     Link("cc", "contratos_clientes", (("ct.cod_contrato", "cod_contrato"),)),
@@ -142,8 +147,6 @@ FULL_LEFT = (
     Link("bar", "barrios", (("dom.cod_barrio", "cod_barrio"),), "left"),
     Link("loc", "localidades", (("dom.cod_localidad", "cod_localidad"),), "left"),
     Link("prv", "provincias", (("loc.cod_provincia", "cod_provincia"),), "left"),
-    Link("tx", "tarjeta_oxxo", (("p.cod_propuesta", "cod_propuesta"),), "left"),
-    Link("cb", "clabe_bancaria", (("p.cod_propuesta", "cod_propuesta"),), "left"),
     Link("mcb", "medios_cobros_bancos", (("mco.cod_medio_cobro", "cod_medio_cobro"),), "left"),
 )
 # J4 + payment methods and their bank holder.
@@ -153,11 +156,6 @@ HOLDER = ROLE + (
 )
 
 
-def bank_code(c: Column) -> Column:
-    """'0' for a missing bank code, else 'C.' + its text."""
-    return F.when(c.isNull(), F.lit("0")).otherwise(F.concat(F.lit("C."), c.cast("string")))
-
-
 # ------------------------------------------------------------ lookups
 def lookup_core(catalog, keys: DataFrame | None = None) -> DataFrame:
     """J1 rows: key, party, party code, branch, amount, contract date."""
@@ -254,37 +252,63 @@ def lookup_by_key(lookup: DataFrame, key: str, order: Sequence[str], key_col: st
             .withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"))
 
 
+#: Codes that a point lookup pushes to the fact scans as literals.
+POINT_CODES = 10_000
+
+
+def point_catalog(catalog: Mapping[str, DataFrame], keys: Sequence[str]) -> Mapping[str, DataFrame]:
+    """The catalog cut to a few literal keys, for point lookups.
+
+    The keys are resolved to proposal and contract codes once; these go to every
+    fact scan as ``IN`` literals, which the reader can use to skip data. Keys that
+    resolve to more than POINT_CODES codes are left to the joins.
+    """
+    def codes(rows: DataFrame, column: str) -> list | None:
+        got = [r[0] for r in rows.select(column).distinct().limit(POINT_CODES + 1).collect()]
+        return got if len(got) <= POINT_CODES else None
+
+    wanted = catalog["propuesta"].where(F.trim(F.col("legajo").cast("string")).isin(list(keys)))
+    out = dict(catalog) | {"propuesta": wanted}
+    proposals = codes(wanted, "cod_propuesta")
+    if proposals is None:
+        return out
+    for name in ("propuesta", "contratos", "creditos"):
+        out[name] = out[name].where(F.col("cod_propuesta").isin(proposals))
+    contracts = codes(out["contratos"], "cod_contrato")
+    if contracts is not None:
+        for name in ("contratos", "contratos_clientes"):
+            out[name] = out[name].where(F.col("cod_contrato").isin(contracts))
+    return out
+
+
 def lookup_by_key_or_first(lookup: DataFrame, key: str, order: Sequence[str],
                            key_col: str = "legajo") -> DataFrame:
     """O3: the point lookup of ``key``; when the key is absent, the first
-    existing key (lowest in key order) stands in. One aggregate decides
-    which key to use; no row is collected."""
-    probe = lookup.agg(F.max(F.when(F.col(key_col) == F.lit(key), F.col(key_col))).alias("_hit"),
-                       F.min(key_col).alias("_first"))
-    target = probe.select(F.coalesce("_hit", "_first").alias("_target"))
-    rows = lookup.join(F.broadcast(target), F.col(key_col) == F.col("_target"), "left_semi")
-    w = Window.partitionBy(key_col).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    existing key (lowest in key order) stands in. One top-1 over the lookup:
+    rows of the key before all others."""
+    first = [F.when(F.col(key_col) == F.lit(key), 0).otherwise(1), F.col(key_col)]
+    return lookup.orderBy(*first, *[F.col(c).asc_nulls_first() for c in order]).limit(1)
 
 
 # ------------------------------------------------------------ combination
+def _best_tier(tiers: Sequence[DataFrame], key_col: str, last_wins: bool) -> DataFrame:
+    """Union of the tiers (numbered from 1) with, per key, the rows of its first
+    or last tier: each tier is evaluated once, and one shuffle on the key
+    follows (with a group limit before it)."""
+    tagged = [t.withColumn("_tier", F.lit(i)) for i, t in enumerate(tiers, start=1)]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    place = F.col("_tier").desc() if last_wins else F.col("_tier").asc()
+    w = Window.partitionBy(key_col).orderBy(place)
+    return rows.withColumn("_rk", F.rank().over(w)).filter("_rk = 1").drop("_rk")
+
+
 def merge_lookups(tiers: Sequence[DataFrame], key_col: str = "legajo") -> DataFrame:
     """Union of lookups where a later tier's row replaces an earlier
     tier's row for the same key (dict.update semantics)."""
-    tagged = [t.withColumn("_tier", F.lit(i)) for i, t in enumerate(tiers)]
-    allrows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    last = allrows.groupBy(key_col).agg(F.max("_tier").alias("_tier"))
-    return allrows.join(last, [key_col, "_tier"], "left_semi").drop("_tier")
+    return _best_tier(tiers, key_col, last_wins=True).drop("_tier")
 
 
 def fallback_lookup(tiers: Sequence[DataFrame], key_col: str = "legajo") -> DataFrame:
-    """Tier 1 rows, then for keys still missing tier 2 rows, and so on.
-
-    Each tier is already one row per key; later tiers only add keys that no
-    earlier tier answered (missing columns become null).
-    """
-    out = tiers[0].withColumn("_tier", F.lit(1))
-    for i, t in enumerate(tiers[1:], start=2):
-        extra = t.join(out.select(key_col), key_col, "left_anti").withColumn("_tier", F.lit(i))
-        out = out.unionByName(extra, allowMissingColumns=True)
-    return out
+    """Tier 1 rows, then for keys still missing tier 2 rows, and so on;
+    ``_tier`` says which answered (missing columns become null)."""
+    return _best_tier(tiers, key_col, last_wins=False)

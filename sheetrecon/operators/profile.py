@@ -94,13 +94,22 @@ def key_profile(sheet: DataFrame, key_cell: str = "c1", start_row: int = 11,
     return counts.join(firsts, FILE, "left")
 
 
+def key_counts(sheet: DataFrame, max_cols: int | None, min_len: int = 4) -> DataFrame:
+    """Per file and column with any: ``n_keys`` strict keys. One aggregate with a
+    counter per column, then a row per column of that one row per file."""
+    cols = cell_columns(sheet)[:max_cols]
+    per_file = sheet.groupBy(FILE).agg(*[F.count_if(is_strict_key(c, min_len)).alias(f"_n{i}")
+                                         for i, c in enumerate(cols)])
+    stacked = F.inline(F.array(*[F.struct(F.lit(i).alias("col_ix"), F.col(f"_n{i}").alias("n_keys"))
+                                 for i in range(len(cols))]))
+    return per_file.select(FILE, stacked).filter("n_keys > 0")
+
+
 def score_key_columns(sheet: DataFrame, first_row: int = 10, last_row: int | None = None,
-                      max_cols: int = 10, min_len: int = 4) -> DataFrame:
+                      max_cols: int | None = None, min_len: int = 4) -> DataFrame:
     """Per file and column, how many cells are strict keys; columns
     sorted by count, the best flagged (lowest column wins ties)."""
-    c = cells(_rows(sheet, first_row, last_row), max_cols, include_nulls=False)
-    scored = (c.filter(is_strict_key("value", min_len))
-              .groupBy(FILE, "col_ix").agg(F.count(F.lit(1)).alias("n_keys")))
+    scored = key_counts(_rows(sheet, first_row, last_row), max_cols, min_len)
     w = Window.partitionBy(FILE).orderBy(F.col("n_keys").desc(), F.col("col_ix"))
     return (scored.withColumn("rank", F.row_number().over(w).cast("long"))
             .withColumn("col_letter", letter(F.col("col_ix")))
@@ -108,19 +117,19 @@ def score_key_columns(sheet: DataFrame, first_row: int = 10, last_row: int | Non
 
 
 def cells_by_column(sheet: DataFrame, first_row: int = 1, last_row: int | None = None,
-                    max_cols: int = 10, per_column: int = 10) -> DataFrame:
+                    max_cols: int | None = None, per_column: int = 10) -> DataFrame:
     """Strict-key cells grouped by column, the first ``per_column`` of
     each, with how many more the column holds."""
-    c = cells(_rows(sheet, first_row, last_row), max_cols, include_nulls=False)
-    hits = c.filter(is_strict_key("value")).select(FILE, ROW_NO, "col_ix", strip("value").alias("value"))
+    rows = _rows(sheet, first_row, last_row)
+    hits = (cells(rows, max_cols, include_nulls=False).filter(is_strict_key("value"))
+            .select(FILE, ROW_NO, "col_ix", strip("value").alias("value")))
     # top-k per column (partial top-k before the shuffle) and totals by a
     # partial aggregate: no column's cells are gathered in one task.
     w = Window.partitionBy(FILE, "col_ix").orderBy(ROW_NO)
     top = hits.withColumn("pos", F.row_number().over(w).cast("long")).filter(F.col("pos") <= per_column)
-    totals = hits.groupBy(FILE, "col_ix").agg(F.count(F.lit(1)).alias("_total"))
-    return (top.join(totals, [FILE, "col_ix"])
-            .withColumn("more", F.greatest(F.col("_total") - per_column, F.lit(0)))
-            .drop("_total"))
+    return (top.join(key_counts(rows, max_cols), [FILE, "col_ix"])
+            .withColumn("more", F.greatest(F.col("n_keys") - per_column, F.lit(0)))
+            .drop("n_keys"))
 
 
 def search_cells(sheet: DataFrame, text: str | None = None, numeric: bool = False,

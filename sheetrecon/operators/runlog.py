@@ -10,9 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.sheet import FILE, ROW_NO
+from .fill import UNMATCHED_MESSAGE
+
 
 def run_log_totals(log: DataFrame, seconds: str = "execution_time", records: str = "records",
                    success: str = "success", group: Sequence[str] = ()) -> DataFrame:
@@ -77,14 +80,18 @@ def table_checks(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
-def run_summary(keys: DataFrame, matched: DataFrame, file_path: str | Column,
-                errors: DataFrame | None = None) -> DataFrame:
-    """K4/A3: one row: success, processed and matched counts, error count."""
-    fp = F.lit(file_path) if isinstance(file_path, str) else file_path
-    # one row from the keys aggregate; the other counts are scalar subqueries
-    m = matched.agg(F.count(F.lit(1))).scalar()
-    e = (errors.agg(F.count(F.lit(1))).scalar() if errors is not None
-         else F.lit(0).cast("long"))
-    return keys.agg(F.count(F.lit(1)).alias("processed_count")).select(
-        F.lit(True).alias("success"), "processed_count", m.alias("matched_count"),
-        e.alias("error_count"), fp.alias("file_path"))
+def run_summary(keys: DataFrame, lookup: DataFrame, key_col: str = "legajo",
+                success: bool = True, execution_time: float | None = None) -> DataFrame:
+    """K4/A3: a row per file: success, processed and matched counts, errors (how
+    many, and the message of the first), seconds. One join of the keys with the
+    lookup's keys and one aggregate; a run that raised passes ``success`` false."""
+    hit = lookup.select(F.col(key_col).alias("key")).distinct().withColumn("_hit", F.lit(True))
+    j = keys.join(hit, "key", "left")
+    miss = F.col("_hit").isNull()
+    return j.groupBy(FILE).agg(
+        F.count(F.lit(1)).alias("processed_count"),
+        F.count_if(~miss).alias("matched_count"),
+        F.count_if(miss).alias("error_count"),
+        F.min_by(F.concat(F.lit(UNMATCHED_MESSAGE), F.col("key")), F.when(miss, F.col(ROW_NO))).alias("first_error"),
+    ).select(F.lit(success).alias("success"), "processed_count", "matched_count", "error_count", "first_error",
+             FILE, F.lit(execution_time).cast("double").alias("execution_time"))

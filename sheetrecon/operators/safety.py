@@ -72,19 +72,3 @@ def planned_partitions(df: DataFrame) -> int | None:
     except Exception:  # noqa: BLE001 - no JVM plan (e.g. Spark Connect)
         return None
 
-
-def widen(df: DataFrame, *keys, min_partitions: int | None = None) -> DataFrame:
-    """Spread a DataFrame that has fewer partitions than the cluster can run.
-
-    A single small file (one row group) is read by one task, and every
-    broadcast join probed by it then runs in that task. Such input is
-    hash-partitioned on ``keys`` (the next join's key, so a following
-    sort-merge join reuses the partitioning) or round-robin without keys.
-    Input already as wide as the cluster - any large input - is returned
-    unchanged, so this costs nothing at scale.
-    """
-    n = min_partitions or parallelism(df.sparkSession)
-    have = planned_partitions(df)
-    if have is None or have >= n:
-        return df
-    return df.repartition(n, *keys) if keys else df.repartition(n)

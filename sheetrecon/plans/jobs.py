@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators.fill import rate
 from ..sources.sheet import FILE, read_sheet
-from ..sources.sinks import write_sheet
+from ..sources.sinks import write_run_log, write_sheet
 from .pipeline import FillRequest, fill_sheet
 
 
@@ -40,7 +40,32 @@ def summarize(filled: DataFrame, req: FillRequest) -> DataFrame:
 def run_fill_job(spark: SparkSession, sheets: str, catalog: Mapping[str, DataFrame], out_dir: str,
                  n_cols: int, req: FillRequest = FillRequest(), sep: str = ",",
                  run_log_dir: str | None = None) -> DataFrame:
+    """Fill, write, summarize. With ``run_log_dir`` one row per run is logged (K4),
+    also when the run fails: then ``success`` is false and the error is kept."""
     t0 = time.time()
+    try:
+        out = _fill_job(spark, sheets, catalog, out_dir, n_cols, req, sep)
+        counts = out.agg(F.coalesce(F.sum("key_cells"), F.lit(0)).alias("processed_count"),
+                         F.coalesce(F.sum("filled"), F.lit(0)).alias("matched_count"))
+        done = counts.select(F.lit(True).alias("success"), "*", F.lit(None).cast("string").alias("first_error"))
+    except Exception as e:
+        done = spark.range(1).select(F.lit(False).alias("success"), F.lit(0).cast("long").alias("processed_count"),
+                                     F.lit(0).cast("long").alias("matched_count"), F.lit(str(e)).alias("first_error"))
+        _log(done, sheets, t0, run_log_dir)
+        raise
+    _log(done, sheets, t0, run_log_dir)
+    return out
+
+
+def _log(done: DataFrame, sheets: str, t0: float, run_log_dir: str | None) -> None:
+    if run_log_dir:
+        write_run_log(done.select(
+            "*", F.col("processed_count").alias("records"), F.lit(sheets).alias("file_path"),
+            F.lit(round(time.time() - t0, 3)).alias("execution_time")), run_log_dir)
+
+
+def _fill_job(spark: SparkSession, sheets: str, catalog: Mapping[str, DataFrame], out_dir: str,
+              n_cols: int, req: FillRequest, sep: str) -> DataFrame:
     sheet = read_sheet(spark, sheets, n_cols, sep)
     staged = f"{out_dir}/_staged"
     fill_sheet(sheet, catalog, req).write.mode("overwrite").parquet(staged)
@@ -48,12 +73,7 @@ def run_fill_job(spark: SparkSession, sheets: str, catalog: Mapping[str, DataFra
     write_sheet(filled, f"{out_dir}/sheets", sep=sep, per_sheet=True)
     summary = summarize(filled, req)
     summary.write.mode("overwrite").parquet(f"{out_dir}/summary")
-    out = spark.read.parquet(f"{out_dir}/summary")
-    if run_log_dir:
-        (out.withColumn("execution_time", F.lit(round(time.time() - t0, 3)))
-         .withColumn("logged_at", F.current_timestamp())
-         .write.mode("append").parquet(run_log_dir))
-    return out
+    return spark.read.parquet(f"{out_dir}/summary")
 
 
 def main(argv=None) -> None:

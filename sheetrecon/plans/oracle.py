@@ -62,8 +62,9 @@ cte("tipos_propuestas", "SELECT * FROM (VALUES ('F'), ('O'), ('P')) t(cod_tipo_p
 cte("tipos_contratos", "SELECT * FROM (VALUES ('1-URGENT', 'CONTADO'), ('2-HIGH', 'CREDITO 12'), "
     "('3-MEDIUM', 'CREDITO 24'), ('4-NOT SPECIFIED', 'CREDITO 36')) t(cod_tipo_contrato, nombre)")
 cte("vendedor", "SELECT c_custkey AS cod_vendedor, c_name AS nombre, c_nationkey AS cod_equipo "
-    "FROM customer")
-cte("equipo_vendedores", "SELECT n_nationkey AS cod_equipo, n_name AS descripcion FROM nation")
+    "FROM customer WHERE c_custkey % 11 <> 3")
+cte("equipo_vendedores", "SELECT n_nationkey AS cod_equipo, n_name AS descripcion FROM nation "
+    "WHERE n_nationkey <> 20")
 cte("planes_ventas_modelos", "SELECT r_regionkey AS cod_plan_venta_modelo, r_name AS nombre "
     "FROM region")
 cte("contratos_parcelas", "SELECT l_orderkey AS cod_contrato_parcela, l_partkey AS cod_parcela "
@@ -99,11 +100,12 @@ cte("medios_cobros_bancos", "SELECT s_suppkey AS cod_medio_cobro, 'CTA-' || s_su
     "WHERE s_acctbal > 0")
 
 # ------------------------------------------------------------ stand-in sheet
+W = 24  # columns of the stand-in sheets
 _K = "CAST(o_orderkey AS VARCHAR)"
 _DATE = "strftime(o_orderdate, '%Y-%m-%d')"
 _AMT = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)"
 cte("sheet", f"""
-SELECT 'standin://orders.csv' AS file_path, CAST(n_nationkey + 1 AS BIGINT) AS row_no,
+SELECT file_path, CAST(n_nationkey + 1 AS BIGINT) AS row_no,
   CASE WHEN n_nationkey = 9 THEN 'ORDEN' ELSE n_name END AS c0,
   CASE WHEN n_nationkey = 9 THEN 'PROPUESTA JKM' WHEN n_nationkey = 8 THEN 'NUMERO'
        ELSE CAST(n_regionkey AS VARCHAR) END AS c1,
@@ -113,10 +115,14 @@ SELECT 'standin://orders.csv' AS file_path, CAST(n_nationkey + 1 AS BIGINT) AS r
   CASE WHEN n_nationkey = 9 THEN 'CLIENTE' END AS c5,
   CASE WHEN n_nationkey = 9 THEN 'ESTADO' END AS c6,
   CASE WHEN n_nationkey = 9 THEN 'FECHA CONTRATO' END AS c7,
-  CASE WHEN n_nationkey = 9 THEN 'IMPORTE ORIGINAL' END AS c8
-FROM nation WHERE n_nationkey < 10
+  CASE WHEN n_nationkey = 9 THEN 'IMPORTE ORIGINAL' END AS c8,
+  {", ".join(f"CAST(NULL AS VARCHAR) AS c{i}" for i in range(9, W))}
+FROM nation, (VALUES ('standin://norte/orders.csv'), ('standin://sur/orders.csv'),
+  ('standin://sur/otros.csv')) f(file_path) WHERE n_nationkey < 10
 UNION ALL
-SELECT 'standin://orders.csv', o_orderkey + 11, CAST(o_orderkey + 1 AS VARCHAR),
+SELECT CASE o_orderkey % 3 WHEN 0 THEN 'standin://norte/orders.csv'
+    WHEN 1 THEN 'standin://sur/orders.csv' ELSE 'standin://sur/otros.csv' END,
+  o_orderkey // 3 + 11, CAST(o_orderkey + 1 AS VARCHAR),
   CASE o_orderkey % 10 WHEN 4 THEN ' ' || {_K} || ' ' WHEN 5 THEN '0' || {_K}
        WHEN 6 THEN NULL WHEN 7 THEN '' WHEN 8 THEN {_K} || 'A'
        WHEN 9 THEN substr({_K}, 1, 1) || '.' || substr({_K}, 2) ELSE {_K} END,
@@ -127,9 +133,10 @@ SELECT 'standin://orders.csv', o_orderkey + 11, CAST(o_orderkey + 1 AS VARCHAR),
        ELSE 'OTRO CLIENTE' END,
   o_orderstatus,
   CASE WHEN o_orderkey % 2 = 1 THEN {_DATE} END,
-  CASE WHEN o_orderkey % 3 = 0 THEN {_AMT} END
+  CASE WHEN o_orderkey % 3 = 0 THEN {_AMT} END,
+  {", ".join({12: _K, 21: f"CASE WHEN o_orderkey % 4 = 0 THEN {_AMT} END"}.get(i, "NULL") for i in range(9, W))}
 FROM orders""")
-_CELLS = [f"c{i}" for i in range(9)]
+_CELLS = [f"c{i}" for i in range(W)]
 # Raw text line of each sheet row: cells joined by ',', trailing null cells
 # left out (no trailing cell is ever an empty string in this sheet).
 cte("lines", "SELECT file_path, row_no, rtrim(concat_ws(',', "
@@ -158,8 +165,11 @@ _FILTER_JOINS = """
 JOIN estados_deudas ed ON cr.cod_estado_deuda = ed.cod_estado_deuda
 JOIN estados_contratos ec ON ct.cod_estado_contrato = ec.cod_estado_contrato
 JOIN tipos_propuestas tp ON p.cod_tipo_propuesta = tp.cod_tipo_propuesta
-JOIN tipos_contratos tc ON ct.cod_tipo_contrato = tc.cod_tipo_contrato"""
-_FILTER_TABLES = ("estados_deudas", "estados_contratos", "tipos_propuestas", "tipos_contratos")
+JOIN tipos_contratos tc ON ct.cod_tipo_contrato = tc.cod_tipo_contrato
+JOIN vendedor vg ON ct.cod_vendedor = vg.cod_vendedor
+JOIN equipo_vendedores eq ON vg.cod_equipo = eq.cod_equipo"""
+_FILTER_TABLES = ("estados_deudas", "estados_contratos", "tipos_propuestas", "tipos_contratos",
+                  "vendedor", "equipo_vendedores")
 _ROLE_COLS = ("trim(p.legajo) AS legajo, c.nombre AS nombre_cliente, cart.nombre AS "
               "caracter_titular, s.nombre AS sucursal, cr.monto, ct.fecha AS fecha_contrato")
 cte("core_rows", "SELECT trim(p.legajo) AS legajo, c.nombre AS nombre_cliente, cc.cod_cliente, "

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from ..operators.fill import fill_gated, sheet_keys
 from ..operators.lookup import lookup_role
 from ..operators.pick import priority_pick
+from ..sources.sheet import require_width
 
 
 @dataclass(frozen=True)
@@ -38,8 +39,11 @@ def pick_parties(catalog: Mapping[str, DataFrame], keys: DataFrame,
 
 def fill_sheet(sheet: DataFrame, catalog: Mapping[str, DataFrame],
                req: FillRequest = FillRequest()) -> DataFrame:
-    """Filled sheet with ``filled`` / ``is_holder`` flags per row."""
-    targets = {k: v for k, v in req.targets.items() if k in sheet.columns}
+    """Filled sheet with ``filled`` / ``is_holder`` flags per row. A sheet without a
+    requested cell is an error."""
+    targets = dict(req.targets)
+    for cell in (req.key_cell, req.gate, *targets):
+        require_width(sheet, int(cell[1:]) + 1)
     keys = sheet_keys(sheet, req.key_cell, req.start_row, req.key_predicate)
     picked = pick_parties(catalog, keys, req.dimension_filters)
     return fill_gated(sheet, picked, targets, gate=req.gate, key_cell=req.key_cell,
@@ -71,16 +75,16 @@ def resolve_column(sheet: DataFrame, spec: str, header_rows: int = 10) -> tuple[
 
 
 def process_sheet(sheet: DataFrame, catalog: Mapping[str, DataFrame],
-                  req: ProcessRequest = ProcessRequest(), file_label: str = ""):
+                  req: ProcessRequest = ProcessRequest()):
     """The request path (F4 with J2): loose keys of the key column, the
     12-field proposal record per key (last row per key in a total order),
     every matched row's target cell set to the client name.
 
-    Returns (filled sheet, one-row result, unmatched messages).
+    Returns (filled sheet, a result row per file, unmatched messages).
     """
     from pyspark.sql import functions as F
 
-    from ..operators.fill import fill_always, matched_keys, sheet_keys, unmatched_keys
+    from ..operators.fill import fill_always, sheet_keys, unmatched_keys
     from ..operators.lookup import lookup_contact
     from ..operators.pick import last_per_key
     from ..operators.runlog import run_summary
@@ -94,5 +98,5 @@ def process_sheet(sheet: DataFrame, catalog: Mapping[str, DataFrame],
                          key_col="cod_propuesta", start_row=req.data_start_row)
     lk = record.select(F.col("cod_propuesta").alias("legajo"))
     unmatched = unmatched_keys(keys, lk)
-    result = run_summary(keys, matched_keys(keys, lk), file_label, unmatched)
+    result = run_summary(keys, lk)
     return filled, result, unmatched

@@ -13,14 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fmt
-from ..functions.symbols import normalize_symbols
+from ..functions.symbols import SYMBOL_TEXT, decode_text, normalize_symbols
 from ..functions.text import clip, is_fillable
 from ..operators import fill as fl
 from ..operators import lookup as lk
 from ..operators import pick as pk
 from ..operators import profile as pr
 from ..operators import runlog as rl
-from ..operators.safety import widen
 from ..sources import sheet as sh
 from . import oracle as o
 from . import standin
@@ -70,7 +69,7 @@ def sheet_scan(spark, d):
 @register("null_token_clean", o.with_ctes(
     "SELECT file_path, row_no, " + ", ".join(
         f"CASE WHEN c{i} IN ('', 'NULL', 'null', '#N/D') THEN NULL ELSE c{i} END AS c{i}"
-        for i in range(9)) + " FROM scan", "scan"))
+        for i in range(o.W)) + " FROM scan", "scan"))
 def null_token_clean(spark, d):
     return sh.clean_null_tokens(sheet_scan(spark, d))
 
@@ -155,13 +154,13 @@ def search_text_cells(spark, d):
 
 @register("search_numeric_cells", o.with_ctes(
     "SELECT file_path, row_no, col_ix, value, chr(65 + col_ix) AS col_letter FROM cells "
-    "WHERE col_ix < 10 AND regexp_full_match(trim(value), '[0-9]{4,}')", "cells"))
+    "WHERE regexp_full_match(trim(value), '[0-9]{4,}')", "cells"))
 def search_numeric_cells(spark, d):
-    return pr.search_cells(_sheet(spark, d), numeric=True, max_cols=10)
+    return pr.search_cells(_sheet(spark, d), numeric=True)
 
 
 @register("find_label_column", o.with_ctes(
-    "SELECT f.file_path, l.label, coalesce(m.col_ix, 9) AS col_ix, m.col_ix IS NULL AS appended "
+    "SELECT f.file_path, l.label, coalesce(m.col_ix, 24) AS col_ix, m.col_ix IS NULL AS appended "
     "FROM (SELECT DISTINCT file_path FROM sheet WHERE row_no = 1) f "
     "CROSS JOIN (VALUES ('CLIENTE'), ('FECHA CONTRATO'), ('TELEFONO')) l(label) "
     "LEFT JOIN (SELECT file_path, value, min(col_ix) AS col_ix FROM cells "
@@ -206,9 +205,10 @@ def lookup_by_keyset(spark, d):
     "fecha_contrato NULLS FIRST) AS rn FROM role_rows WHERE legajo IN ('10153', '116090')) "
     "WHERE rn = 1", "role_rows"))
 def lookup_by_key(spark, d):
-    rows = lk.lookup_role(_cat(spark, d))
-    order = ["nombre_cliente", "caracter_titular", "sucursal", "monto", "fecha_contrato"]
-    return lk.lookup_by_key(rows, "10153", order).unionByName(lk.lookup_by_key(rows, "116090", order))
+    keys = ["10153", "116090"]
+    rows = lk.lookup_role(lk.point_catalog(_cat(spark, d), keys))
+    return pk.first_per_key(rows, "legajo", ["nombre_cliente", "caracter_titular", "sucursal", "monto",
+                                             "fecha_contrato"])
 
 
 @register("lookup_probe_or_first", o.with_ctes(
@@ -336,15 +336,21 @@ def holder_sample(spark, d):
 
 @register("role_values", o.with_ctes(
     "SELECT nombre, row_number() OVER (ORDER BY nombre) AS pos FROM ("
-    "SELECT DISTINCT cart.nombre FROM contratos_clientes cc JOIN caracter_titulares cart "
-    "ON cart.cod_caracter_titular = cc.cod_caracter_titular)",
-    "contratos_clientes", "caracter_titulares"))
+    "SELECT DISTINCT nombre FROM caracter_titulares)", "caracter_titulares"))
 def role_values(spark, d):
+    return pk.small_ordinal(_cat(spark, d)["caracter_titulares"].select("nombre").distinct(), ["nombre"])
+
+
+@register("role_usage", o.with_ctes(
+    "SELECT cart.nombre, count(cc.cod_contrato) AS n_links FROM caracter_titulares cart LEFT JOIN "
+    "contratos_clientes cc ON cart.cod_caracter_titular = cc.cod_caracter_titular GROUP BY cart.nombre",
+    "contratos_clientes", "caracter_titulares"))
+def role_usage(spark, d):
+    """Links per role name, unused roles too: the links are counted by code first."""
     c = _cat(spark, d)
-    j = lk.run_chain(c, ("cc", "contratos_clientes"), (
-        lk.Link("cart", "caracter_titulares", (("cc.cod_caracter_titular", "cod_caracter_titular"),)),))
-    vals = j.select(F.col("cart__nombre").alias("nombre")).distinct()
-    return pk.small_ordinal(vals, ["nombre"])
+    used = c["contratos_clientes"].groupBy("cod_caracter_titular").agg(F.count("cod_contrato").alias("n"))
+    return (c["caracter_titulares"].join(used, "cod_caracter_titular", "left")
+            .groupBy("nombre").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_links")))
 
 
 @register("distinct_parties", o.with_ctes(
@@ -403,8 +409,9 @@ def unmatched_keys(spark, d):
 
 
 @register("unmatched_sample", o.with_ctes(
-    "SELECT pos, row_no, message, greatest(total - 3, 0) AS more FROM ("
-    "SELECT row_no, message, row_number() OVER (ORDER BY row_no) AS pos, count(*) OVER () AS total "
+    "SELECT pos, file_path, row_no, message, greatest(total - 3, 0) AS more FROM ("
+    "SELECT file_path, row_no, message, row_number() OVER (ORDER BY file_path, row_no) AS pos, "
+    "count(*) OVER () AS total "
     f"FROM ({_UNMATCHED_SQL})) WHERE pos <= 3", "keys_strict", "picked"))
 def unmatched_sample(spark, d):
     return fl.unmatched_sample(fl.unmatched_keys(_keys(spark, d), _picked(spark, d)), 3)
@@ -417,6 +424,10 @@ FROM sheet s LEFT JOIN picked p ON s.row_no >= 11 AND trim(s.c1) = p.legajo"""
 o.cte("fill_base", _FILL_BASE, ("sheet", "picked"))
 
 
+_REST = ", ".join(f"c{i}" for i in range(6, o.W))
+_LAST = ", ".join(f"c{i}" for i in range(9, o.W))
+
+
 def _fill_sql(overwrite: bool) -> str:
     action = ("CASE WHEN row_no < 11 THEN NULL WHEN NOT matched THEN 'unmatched' "
               "WHEN fillable THEN 'newly_filled' WHEN trim(c5) IS NOT DISTINCT FROM v "
@@ -424,7 +435,7 @@ def _fill_sql(overwrite: bool) -> str:
               "ELSE 'already_filled' END")
     return (f"SELECT file_path, row_no, c0, c1, c2, c3, c4, "
             f"CASE WHEN a IN ('newly_filled', 'overwritten') THEN v ELSE c5 END AS c5, "
-            f"c6, c7, c8, a AS fill_action FROM (SELECT *, {action} AS a FROM fill_base)")
+            f"{_REST}, a AS fill_action FROM (SELECT *, {action} AS a FROM fill_base)")
 
 
 @register("fill_blank_only", o.with_ctes(_fill_sql(False), "fill_base"))
@@ -437,10 +448,10 @@ def fill_overwrite(spark, d):
     return fl.fill_column(_sheet(spark, d), _picked(spark, d), overwrite=True)
 
 
-_MULTI_SQL = """SELECT file_path, row_no, c0, c1, c2, c3, c4,
+_MULTI_SQL = f"""SELECT file_path, row_no, c0, c1, c2, c3, c4,
   CASE WHEN go THEN v ELSE c5 END AS c5, c6,
   CASE WHEN go THEN strftime(v_fecha, '%Y-%m-%d') ELSE c7 END AS c7,
-  CASE WHEN go THEN CAST(v_monto AS VARCHAR) ELSE c8 END AS c8,
+  CASE WHEN go THEN CAST(v_monto AS VARCHAR) ELSE c8 END AS c8, {_LAST},
   go AS filled, go AND coalesce(contains(upper(role), 'TITULAR'), false) AS is_holder
 FROM (SELECT *, matched AND fillable AND row_no >= 11 AS go FROM fill_base)"""
 o.cte("fill_multi_rows", _MULTI_SQL, ("fill_base",))
@@ -459,7 +470,7 @@ def fill_multi(spark, d):
 @register("fill_always", o.with_ctes(
     "SELECT s.file_path, s.row_no, s.c0, s.c1, s.c2, s.c3, s.c4, "
     "CASE WHEN l.cod_propuesta IS NOT NULL THEN l.nombre_cliente ELSE s.c5 END AS c5, "
-    "s.c6, s.c7, s.c8, l.cod_propuesta IS NOT NULL AS matched FROM sheet s LEFT JOIN ("
+    "s." + _REST.replace(" c", " s.c") + ", l.cod_propuesta IS NOT NULL AS matched FROM sheet s LEFT JOIN ("
     "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cod_propuesta ORDER BY "
     "nombre_cliente DESC NULLS LAST, cod_cliente DESC NULLS LAST, sucursal DESC NULLS LAST, "
     "monto DESC NULLS LAST, fecha_contrato DESC NULLS LAST, estado DESC NULLS LAST, "
@@ -520,7 +531,7 @@ def holder_count(spark, d):
 
 @register("batch_counts", o.with_ctes(
     "SELECT batch, count(*) AS n_keys, count(DISTINCT CASE WHEN hit THEN key END) AS n_matched FROM ("
-    "SELECT key, CAST(floor((row_number() OVER (ORDER BY row_no) - 1) / 100) AS BIGINT) + 1 AS batch, "
+    "SELECT key, CAST(floor((row_number() OVER (ORDER BY file_path, row_no) - 1) / 100) AS BIGINT) + 1 AS batch, "
     "key IN (SELECT legajo FROM picked) AS hit FROM keys_strict) GROUP BY batch",
     "keys_strict", "picked"))
 def batch_counts(spark, d):
@@ -528,20 +539,19 @@ def batch_counts(spark, d):
 
 
 @register("run_summary", o.with_ctes(
-    "SELECT true AS success, (SELECT count(*) FROM keys_loose) AS processed_count, "
-    "(SELECT count(*) FROM keys_loose WHERE key IN (SELECT cod_propuesta FROM contact_rows)) "
-    "AS matched_count, (SELECT count(*) FROM keys_loose WHERE key NOT IN "
-    "(SELECT cod_propuesta FROM contact_rows)) AS error_count, "
-    "'standin://orders.csv' AS file_path", "keys_loose", "contact_rows"))
+    "SELECT true AS success, count(*) AS processed_count, count(*) FILTER (WHERE hit) AS matched_count, "
+    "count(*) FILTER (WHERE NOT hit) AS error_count, min_by('No se encontró datos para propuesta: ' || key, "
+    "row_no) FILTER (WHERE NOT hit) AS first_error, file_path, CAST(NULL AS DOUBLE) AS execution_time "
+    "FROM (SELECT *, key IN (SELECT cod_propuesta FROM contact_rows) AS hit FROM keys_loose) "
+    "GROUP BY file_path", "keys_loose", "contact_rows"))
 def run_summary(spark, d):
     keys = fl.sheet_keys(_sheet(spark, d), "c1", 11, "loose")
     rows = lk.lookup_contact(_cat(spark, d)).select(F.col("cod_propuesta").alias("legajo"))
-    return rl.run_summary(keys, fl.matched_keys(keys, rows), standin.SHEET_FILE,
-                          fl.unmatched_keys(keys, rows))
+    return rl.run_summary(keys, rows)
 
 
 # ------------------------------------------------------------ profile
-_EMPTY_ROW = " + ".join(f"CAST(c{i} IS NULL OR trim(c{i}) = '' AS INTEGER)" for i in range(9))
+_EMPTY_ROW = " + ".join(f"CAST(c{i} IS NULL OR trim(c{i}) = '' AS INTEGER)" for i in range(o.W))
 
 
 @register("quality_score", o.with_ctes(
@@ -550,13 +560,13 @@ _EMPTY_ROW = " + ".join(f"CAST(c{i} IS NULL OR trim(c{i}) = '' AS INTEGER)" for
     "WHEN quality_score >= 50 THEN 'Regular' ELSE 'Necesita revisión' END AS quality_level FROM ("
     "SELECT *, round(greatest(0.0, 100.0 - empty_pct), 4) AS quality_score FROM ("
     "SELECT file_path, CAST(sum(" + _EMPTY_ROW + ") AS BIGINT) AS empty_cells, count(*) AS rows_seen, "
-    "round(sum(" + _EMPTY_ROW + ") * 100.0 / (count(*) * 9), 4) AS empty_pct "
+    "round(sum(" + _EMPTY_ROW + ") * 100.0 / (count(*) * 24), 4) AS empty_pct "
     "FROM sheet GROUP BY file_path))", "sheet"))
 def quality_score(spark, d):
     return pr.quality(_sheet(spark, d))
 
 
-_NN_ROW = " + ".join(f"CAST(c{i} IS NOT NULL AS INTEGER)" for i in range(9))
+_NN_ROW = " + ".join(f"CAST(c{i} IS NOT NULL AS INTEGER)" for i in range(o.W))
 
 
 @register("ragged_check", o.with_ctes(
@@ -583,7 +593,7 @@ def key_profile(spark, d):
 @register("score_key_columns", o.with_ctes(
     "SELECT file_path, col_ix, n_keys, rank, chr(65 + col_ix) AS col_letter, rank = 1 AS is_best FROM ("
     "SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY n_keys DESC, col_ix) AS rank FROM ("
-    "SELECT file_path, col_ix, count(*) AS n_keys FROM cells WHERE row_no >= 10 AND col_ix < 10 "
+    "SELECT file_path, col_ix, count(*) AS n_keys FROM cells WHERE row_no >= 10 "
     "AND regexp_full_match(trim(value), '[0-9]{4,}') GROUP BY file_path, col_ix))", "cells"))
 def score_key_columns(spark, d):
     return pr.score_key_columns(_sheet(spark, d))
@@ -593,7 +603,7 @@ def score_key_columns(spark, d):
     "SELECT file_path, row_no, col_ix, value, pos, greatest(total - 10, 0) AS more FROM ("
     "SELECT file_path, row_no, col_ix, trim(value) AS value, row_number() OVER (PARTITION BY "
     "file_path, col_ix ORDER BY row_no) AS pos, count(*) OVER (PARTITION BY file_path, col_ix) "
-    "AS total FROM cells WHERE col_ix < 10 AND regexp_full_match(trim(value), '[0-9]{4,}')) "
+    "AS total FROM cells WHERE regexp_full_match(trim(value), '[0-9]{4,}')) "
     "WHERE pos <= 10", "cells"))
 def cells_by_column(spark, d):
     return pr.cells_by_column(_sheet(spark, d))
@@ -602,23 +612,28 @@ def cells_by_column(spark, d):
 @register("special_char_check", o.with_ctes(
     "SELECT file_path, count(*) FILTER (WHERE regexp_matches(c1, '[\"\\r\\n]')) AS n_special, "
     "count(*) FILTER (WHERE regexp_matches(c1, '[\"\\r\\n]')) > 0 AS has_special "
-    "FROM sheet WHERE row_no >= 11 GROUP BY file_path", "sheet"))
+    "FROM (SELECT file_path, row_no, CASE row_no % 5 WHEN 1 THEN c1 || chr(34) WHEN 2 THEN c1 || chr(10) "
+    "WHEN 3 THEN chr(13) || c1 ELSE c1 END AS c1 FROM sheet) WHERE row_no >= 11 GROUP BY file_path", "sheet"))
 def special_char_check(spark, d):
-    return pr.special_chars(_sheet(spark, d))
+    """Key cells of which some hold a quote, an LF or a CR."""
+    m = F.col("row_no") % 5
+    cell = (F.when(m == 1, F.concat("c1", F.lit('"'))).when(m == 2, F.concat("c1", F.lit("\n")))
+            .when(m == 3, F.concat(F.lit("\r"), "c1")).otherwise(F.col("c1")))
+    return pr.special_chars(_sheet(spark, d).withColumn("c1", cell))
 
 
 @register("preview_clip", o.with_ctes(
     "SELECT file_path, row_no, " + ", ".join(
         f"CASE WHEN length(coalesce(c{i}, '')) > 20 THEN substr(c{i}, 1, 20) || '...' "
-        f"ELSE coalesce(c{i}, '') END AS {chr(65 + i)}" for i in range(8)) + " FROM sheet", "sheet"))
+        f"ELSE coalesce(c{i}, '') END AS {chr(65 + i)}" for i in range(o.W)) + " FROM sheet", "sheet"))
 def preview_clip(spark, d):
     s = _sheet(spark, d)
-    return s.select("file_path", "row_no", *[clip(f"c{i}", 20).alias(chr(65 + i)) for i in range(8)])
+    return s.select("file_path", "row_no", *[clip(f"c{i}", 20).alias(chr(65 + i)) for i in range(o.W)])
 
 
 # ------------------------------------------------------------ catalog checks
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-           "documents", "labels", "pages", "benchmark", "conversations"]
+           "documents", "embeddings", "labels", "pages", "benchmark", "conversations"]
 
 
 @register("table_counts", " UNION ALL ".join(
@@ -634,7 +649,10 @@ def table_counts(spark, d):
 
 
 _CHECK_TABLES = {"orders": "o_orderkey", "customer": "c_custkey", "supplier": "s_suppkey",
-                 "part": "p_partkey", "lineitem": "l_orderkey"}
+                 "part": "p_partkey", "lineitem": "l_orderkey", "region": "r_regionkey",
+                 "nation": "n_nationkey", "events": "event_id", "documents": "doc_id",
+                 "embeddings": "vec_id", "labels": "doc_id", "pages": "page_id",
+                 "benchmark": "item_id", "conversations": "conv_id"}
 
 
 @register("check_summary", "SELECT count(*) FILTER (WHERE ok) AS passed, "
@@ -690,10 +708,19 @@ def run_log_running_avg(spark, d):
           "WHEN contains(lower(text), 'connection timeout') THEN "
           "'Verificar conectividad de red al servidor Firebird' "
           "ELSE 'Revisar configuración de Firebird y permisos de archivo' END AS suggestion "
-          "FROM documents")
+          "FROM (SELECT doc_id, text || CASE doc_id % 7 WHEN 1 THEN ' Network request to HOST x' "
+          "WHEN 2 THEN ' No such file or directory' WHEN 3 THEN ' Your user name and password' "
+          "WHEN 4 THEN ' connection timeout' WHEN 5 THEN ' connection timeout: no such file or directory' "
+          "ELSE '' END AS text FROM documents)")
 def classify_messages(spark, d):
+    """Document texts that end in an error phrase (none for two in seven)."""
     docs = standin.tables(spark, d)["documents"]
-    return docs.select("doc_id", fmt.classify_message("text").alias("suggestion"))
+    ends = {1: " Network request to HOST x", 2: " No such file or directory", 3: " Your user name and password",
+            4: " connection timeout", 5: " connection timeout: no such file or directory"}
+    tail = F.lit("")
+    for m, text in ends.items():
+        tail = F.when(F.col("doc_id") % 7 == m, F.lit(text)).otherwise(tail)
+    return docs.select("doc_id", fmt.classify_message(F.concat("text", tail)).alias("suggestion"))
 
 
 @register("bank_code_format", o.with_ctes(
@@ -743,16 +770,25 @@ def format_amounts(spark, d):
                           ("monto_2", fmt.thousands(F.col("cr__monto"), 2))])
 
 
+# sizes that reach every tier: a document stands for 1, 10,000 or 100,000 of its like
+_SCALE = "CASE doc_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 10000 ELSE 100000 END"
 _SIZE_MB = "n_chars / 1048576.0"
 
 
+def _scaled_docs(spark, d):
+    docs = standin.tables(spark, d)["documents"]
+    times = F.when(F.col("doc_id") % 3 == 0, 1).when(F.col("doc_id") % 3 == 1, 10000).otherwise(100000)
+    return docs.select("doc_id", (F.col("n_chars") * times).alias("n_chars"))
+
+
 @register("size_strategy", "SELECT doc_id, CASE WHEN s > 100 THEN 'streaming' WHEN s > 10 THEN "
           "'chunked' ELSE 'standard' END AS strategy, CASE WHEN s > 100 THEN 5000 WHEN s > 10 "
           "THEN 10000 ELSE n_chars END AS chunk_size, round(CASE WHEN s > 100 THEN s * 0.3 "
           "WHEN s > 10 THEN s * 0.8 ELSE s * 1.5 END, 1) AS memory_estimate_mb FROM ("
-          f"SELECT doc_id, n_chars, {_SIZE_MB} AS s FROM documents)")
+          f"SELECT doc_id, n_chars, {_SIZE_MB} AS s FROM (SELECT doc_id, n_chars * {_SCALE} AS n_chars "
+          "FROM documents))")
 def size_strategy(spark, d):
-    docs = standin.tables(spark, d)["documents"]
+    docs = _scaled_docs(spark, d)
     st = fmt.size_strategy(F.col("n_chars") / 1048576.0, F.col("n_chars"))
     return docs.select("doc_id", st.alias("s")).select("doc_id", "s.*")
 
@@ -763,17 +799,51 @@ def size_strategy(spark, d):
           "AS VARCHAR) || ' segundos' "
           "WHEN n_chars / 3000.0 < 3600 THEN format('{:,.1f}', round_even(n_chars / 3000.0 / 60, 1)) "
           "|| ' minutos' ELSE format('{:,.1f}', round_even(n_chars / 3000.0 / 3600, 1)) || ' horas' "
-          "END AS human_readable FROM documents")
+          f"END AS human_readable FROM (SELECT doc_id, n_chars * {_SCALE} AS n_chars FROM documents)")
 def time_estimate(spark, d):
-    docs = standin.tables(spark, d)["documents"]
+    docs = _scaled_docs(spark, d)
     return docs.select("doc_id", fmt.time_estimate("n_chars").alias("t")).select("doc_id", "t.*")
 
 
-@register("normalize_symbols", f"SELECT doc_id, {o.symbols_sql('text')} AS text FROM documents")
+_SYMBOLS = "".join(sym for sym, _ in SYMBOL_TEXT)
+_MARKED = f"CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN '{_SYMBOLS}' || text ELSE text || '\U0001F995\U0001F9A9' END"
+
+
+@register("normalize_symbols", f"SELECT doc_id, {o.symbols_sql('text')} AS text FROM "
+          f"(SELECT doc_id, {_MARKED} AS text FROM documents)")
 def normalize_symbols_q(spark, d):
+    """Texts without symbols, with every mapped one, and with other emoji."""
     docs = standin.tables(spark, d)["documents"]
-    # text-heavy single-file test table: spread it over the cores
-    return widen(docs).select("doc_id", normalize_symbols("text").alias("text"))
+    m = F.col("doc_id") % 3
+    text = (F.when(m == 0, F.col("text")).when(m == 1, F.concat(F.lit(_SYMBOLS), "text"))
+            .otherwise(F.concat("text", F.lit("\U0001F995\U0001F9A9"))))
+    return docs.select("doc_id", normalize_symbols(text).alias("text"))
+
+
+@register("decode_text", "SELECT doc_id, CASE doc_id % 3 WHEN 2 THEN 'caf\u00e9 \u00f1' ELSE text END AS text FROM documents")
+def decode_text_q(spark, d):
+    """Bytes of the texts: plain UTF-8, with a byte-order mark, and Latin-1."""
+    docs = standin.tables(spark, d)["documents"]
+    m = F.col("doc_id") % 3
+    raw = (F.when(m == 0, F.col("text").cast("binary"))
+           .when(m == 1, F.concat(F.lit("\ufeff").cast("binary"), F.col("text").cast("binary")))
+           .otherwise(F.encode(F.lit("caf\u00e9 \u00f1"), "ISO-8859-1")))
+    return docs.select("doc_id", decode_text(raw).alias("text"))
+
+
+@register("processed_paths", "SELECT page_id, regexp_extract(p, '[^/]*$') AS name, "
+          "regexp_replace(p, '\\.csv$', '_processed.csv') AS processed FROM (SELECT page_id, "
+          "CASE WHEN page_id % 2 = 0 THEN url || '/sheet.csv' ELSE url END AS p FROM pages)")
+def processed_paths(spark, d):
+    pages = standin.tables(spark, d)["pages"]
+    p = F.when(F.col("page_id") % 2 == 0, F.concat("url", F.lit("/sheet.csv"))).otherwise(F.col("url"))
+    return pages.select("page_id", fmt.basename(p).alias("name"), fmt.processed_path(p).alias("processed"))
+
+
+@register("extract_keys_window", o.with_ctes("SELECT * FROM keys_strict WHERE row_no <= 60", "keys_strict"))
+def extract_keys_window(spark, d):
+    """The scan window as the caller's parameter (the feature)."""
+    return fl.sheet_keys(_sheet(spark, d), "c1", 11, "strict", end_row=60)
 
 
 _PROFILE_SQL = """
@@ -790,7 +860,7 @@ JOIN (SELECT file_path, empty_pct, round(greatest(0.0, 100.0 - empty_pct), 4) AS
                   WHEN round(greatest(0.0, 100.0 - empty_pct), 4) >= 70 THEN 'Buena'
                   WHEN round(greatest(0.0, 100.0 - empty_pct), 4) >= 50 THEN 'Regular'
                   ELSE 'Necesita revisión' END AS quality_level
-      FROM (SELECT file_path, round(sum(EMPTYROW) * 100.0 / (count(*) * 9), 4) AS empty_pct
+      FROM (SELECT file_path, round(sum(EMPTYROW) * 100.0 / (count(*) * 24), 4) AS empty_pct
             FROM sheet GROUP BY file_path)) q ON q.file_path = st.file_path
 LEFT JOIN (SELECT a.file_path, a.valid, a.empty, b.sample_values FROM (
       SELECT file_path, count(*) FILTER (WHERE length(trim(c1)) > 0) AS valid,

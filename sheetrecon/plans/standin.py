@@ -21,10 +21,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.safety import widen
-
-SHEET_WIDTH = 9
-SHEET_FILE = "standin://orders.csv"
+SHEET_WIDTH = 24
+# Several sheets; two share their file name. An order's sheet is its key % 3.
+SHEET_FILES = ("standin://norte/orders.csv", "standin://sur/orders.csv", "standin://sur/otros.csv")
+# Sellers and teams that are missing on purpose: their contracts drop out of every
+# chain that joins them.
+NO_SELLER, NO_TEAM = 3, 20
 
 # The stand-in code tables (small dimensions keyed by the
 # code columns of orders / lineitem).
@@ -39,11 +41,7 @@ CONTRACT_TYPES = [("1-URGENT", "CONTADO"), ("2-HIGH", "CREDITO 12"),
 
 
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-               "events", "documents", "labels", "pages", "benchmark", "conversations")
-
-# Tables spread right at the scan when narrower than the cluster (none:
-# lookup chains spread their own root, see ``lookup.run_chain``).
-WIDENED: tuple[str, ...] = ()
+               "events", "documents", "embeddings", "labels", "pages", "benchmark", "conversations")
 
 # DataFrames are immutable plans, so the ones built here are memoized per
 # (application, directory): building them costs driver time (file listing,
@@ -69,8 +67,6 @@ class _Tables(dict):
         if name not in TABLE_NAMES:
             raise KeyError(name)
         df = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
-        if name in WIDENED:
-            df = widen(df)
         self[name] = df
         return df
 
@@ -134,10 +130,10 @@ def _catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "estados_contratos": code(CONTRACT_STATES, "cod_estado_contrato string, estado string"),
         "tipos_propuestas": code(PROPOSAL_TYPES, "cod_tipo_propuesta string"),
         "tipos_contratos": code(CONTRACT_TYPES, "cod_tipo_contrato string, nombre string"),
-        "vendedor": c.select(F.col("c_custkey").alias("cod_vendedor"),
+        "vendedor": c.filter(F.col("c_custkey") % 11 != NO_SELLER).select(F.col("c_custkey").alias("cod_vendedor"),
                              F.col("c_name").alias("nombre"),
                              F.col("c_nationkey").alias("cod_equipo")),
-        "equipo_vendedores": n.select(F.col("n_nationkey").alias("cod_equipo"),
+        "equipo_vendedores": n.filter(F.col("n_nationkey") != NO_TEAM).select(F.col("n_nationkey").alias("cod_equipo"),
                                       F.col("n_name").alias("descripcion")),
         "planes_ventas_modelos": r.select(F.col("r_regionkey").alias("cod_plan_venta_modelo"),
                                           F.col("r_name").alias("nombre")),
@@ -197,13 +193,14 @@ def sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A 9-column sheet: 10 banner rows (from nation), then one data row per
-    order at row ``o_orderkey + 11``.
+    """24-column sheets: 10 banner rows each (from nation), then one data row per
+    order at row ``o_orderkey / 3 + 11`` of the sheet ``o_orderkey % 3``.
 
     Column B (c1) holds the key in several shapes: plain, space padded,
     leading zero, null, empty, with a letter, with a dot. Column F (c5) is
     the client cell: null, '', spaces, CLIENTE, nan, None, null, a supplier
-    name or another name. H (c7) and I (c8) are date / amount cells.
+    name or another name. H (c7) and I (c8) are date / amount cells, V (c21) is an
+    amount cell. M (c12) holds every key plainly: the best key column is past J.
     """
     t = tables(spark, sf_dir)
     o, n = t["orders"], t["nation"]
@@ -226,25 +223,28 @@ def _sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
           .otherwise(F.lit("OTRO CLIENTE")))
     date_txt = F.date_format("o_orderdate", "yyyy-MM-dd")
     amount_txt = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    extra = {12: k, 21: F.when(F.col("o_orderkey") % 4 == 0, amount_txt)}
     data = o.select(
-        F.lit(SHEET_FILE).alias("file_path"),
-        (F.col("o_orderkey") + 11).alias("row_no"),
+        F.element_at(F.array(*map(F.lit, SHEET_FILES)), (F.col("o_orderkey") % 3 + 1).cast("int")).alias("file_path"),
+        (F.floor(F.col("o_orderkey") / 3) + 11).cast("long").alias("row_no"),
         (F.col("o_orderkey") + 1).cast("string").alias("c0"),
         c1.alias("c1"), date_txt.alias("c2"), F.col("o_orderpriority").alias("c3"),
         amount_txt.alias("c4"), c5.alias("c5"), F.col("o_orderstatus").alias("c6"),
         F.when(F.col("o_orderkey") % 2 == 1, date_txt).alias("c7"),
-        F.when(F.col("o_orderkey") % 3 == 0, amount_txt).alias("c8"))
+        F.when(F.col("o_orderkey") % 3 == 0, amount_txt).alias("c8"),
+        *[extra.get(i, F.lit(None).cast("string")).alias(f"c{i}") for i in range(9, SHEET_WIDTH)])
     label = F.col("n_nationkey") == 9
     lab = lambda text: F.when(label, F.lit(text))
     banner = n.filter(F.col("n_nationkey") < 10).select(
-        F.lit(SHEET_FILE).alias("file_path"),
+        F.explode(F.array(*map(F.lit, SHEET_FILES))).alias("file_path"),
         (F.col("n_nationkey") + 1).cast("long").alias("row_no"),
         F.when(label, F.lit("ORDEN")).otherwise(F.col("n_name")).alias("c0"),
         F.when(label, F.lit("PROPUESTA JKM")).when(F.col("n_nationkey") == 8, F.lit("NUMERO"))
          .otherwise(F.col("n_regionkey").cast("string")).alias("c1"),
         lab("FECHA").alias("c2"), lab("PRIORIDAD").alias("c3"), lab("IMPORTE").alias("c4"),
         lab("CLIENTE").alias("c5"), lab("ESTADO").alias("c6"), lab("FECHA CONTRATO").alias("c7"),
-        lab("IMPORTE ORIGINAL").alias("c8"))
+        lab("IMPORTE ORIGINAL").alias("c8"),
+        *[F.lit(None).cast("string").alias(f"c{i}") for i in range(9, SHEET_WIDTH)])
     return banner.unionByName(data)
 
 

@@ -46,7 +46,6 @@ def get_session(master: str | None = None, app_name: str = "sheetrecon",
             continue  # static, cannot be changed after start
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -87,7 +86,7 @@ def recommended_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
     * broadcast only below 64 MB (size-checked by the optimizer / AQE).
     """
     mb = 1024 * 1024
-    shuffle = max(total_cores * 3, min(200_000, input_bytes // (200 * mb)))
+    shuffle = max(total_cores * 3, input_bytes // (200 * mb))
     return {
         "spark.sql.files.maxPartitionBytes": str(256 * mb),
         "spark.sql.shuffle.partitions": str(int(shuffle)),

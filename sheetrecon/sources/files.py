@@ -26,9 +26,9 @@ def list_sheets(spark: SparkSession, folder: str, pattern: str = "*.csv",
 
 
 def generate_sheet(spark: SparkSession, num_rows: int, banner_rows: int = 10,
-                   n_cols: int = 4) -> DataFrame:
+                   n_cols: int = 4, first_key: int = GENERATED_FIRST_KEY) -> DataFrame:
     """A sheet of ``banner_rows`` banner rows and ``num_rows`` data rows;
-    key i is GENERATED_FIRST_KEY + i in column B, other cells derived text.
+    key i is ``first_key`` + i in column B, other cells derived text.
 
     Distributed: ``spark.range`` spreads the rows over tasks.
     """
@@ -41,7 +41,7 @@ def generate_sheet(spark: SparkSession, num_rows: int, banner_rows: int = 10,
     data = spark.range(num_rows).select(
         F.lit("generated://sheet.csv").alias(FILE), (F.col("id") + banner_rows + 1).alias(ROW_NO),
         *[(F.concat(F.lit("R"), F.col("id")) if i == 0 else
-           (F.col("id") + GENERATED_FIRST_KEY).cast("string") if i == 1 else
+           (F.col("id") + first_key).cast("string") if i == 1 else
            F.lit(None).cast("string")).alias(c) for i, c in enumerate(cols)])
     return banner.unionByName(data)
 

@@ -22,6 +22,11 @@ def sheet_cells(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith("c") and c[1:].isdigit()]
 
 
+def sheet_id(path):
+    """Folder name of a sheet's output: its file name and a hash of its path."""
+    return F.concat_ws("-", basename(path), F.lpad(F.lower(F.hex(F.xxhash64(path))), 16, "0"))
+
+
 def write_sheet(df: DataFrame, out_dir: str, sep: str = ",", header: bool = False,
                 per_sheet: bool = False, num_parts: int | None = None,
                 mode: str = "overwrite") -> None:
@@ -36,7 +41,8 @@ def write_sheet(df: DataFrame, out_dir: str, sep: str = ",", header: bool = Fals
     if per_sheet:
         # The writer needs rows grouped by the partition column; ordering by
         # (sheet, file, row) satisfies that, so it adds no (unstable) sort.
-        keyed = data.withColumn("sheet", basename(F.col(FILE)))
+        # the name alone is not unique: sheets of other folders may share it
+        keyed = data.withColumn("sheet", sheet_id(F.col(FILE)))
         order = ["sheet", FILE, ROW_NO]
         ordered = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order)
         writer = ordered.select("sheet", *cells).write.partitionBy("sheet")

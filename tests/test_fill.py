@@ -116,8 +116,9 @@ def test_small_frame_filters(spark):
 def test_process_request_path(spark):
     from sheetrecon.plans.pipeline import ProcessRequest, process_sheet
     s = _sheet(spark)
-    filled, result, unmatched = process_sheet(s, catalog(spark), ProcessRequest("CLIENTE", 11, "B"), "f")
+    filled, result, unmatched = process_sheet(s, catalog(spark), ProcessRequest("CLIENTE", 11, "B"))
     r = result.first()
+    assert r.success and r.first_error.startswith("No se encontró datos para propuesta: ")
     assert (r.processed_count, r.matched_count, r.error_count) == (8, 5, 3)   # 999, 0123, abc
     rows = {x.row_no: x for x in filled.collect()}
     assert rows[11].c5 == "ZOE" and rows[19].c5 == "ZOE"      # last by name among 10153's parties
@@ -126,3 +127,22 @@ def test_process_request_path(spark):
     assert "c7" in f2.columns
     f3, _, _ = process_sheet(s, catalog(spark), ProcessRequest("NUEVA", 11, "c1"))
     assert "c8" in f3.columns
+
+
+def test_missing_target_cell_is_an_error(spark):
+    import pytest
+    from sheetrecon.plans.pipeline import FillRequest, fill_sheet
+    with pytest.raises(ValueError):
+        fill_sheet(_sheet(spark), catalog(spark), FillRequest(targets={"c21": "monto"}))
+
+
+def test_batches_and_samples_follow_file_and_row(spark):
+    from sheetrecon.operators import fill as fl
+    rows = [(f, i, f"{f}{i}") for f in ("a", "b") for i in (11, 12, 13)]
+    hit = spark.createDataFrame([("a11",), ("a12",), ("b13",)], "legajo string")
+    for order in (rows, rows[::-1]):
+        keys = spark.createDataFrame(order, "file_path string, row_no long, key string")
+        got = {r.batch: r.n_matched for r in fl.batch_counts(keys, hit, 2).collect()}
+        assert got == {1: 2, 2: 0, 3: 1}
+        s = fl.unmatched_sample(fl.unmatched_keys(keys, hit), 2).orderBy("pos").collect()
+        assert [(r.file_path, r.row_no, r.more) for r in s] == [("a", 13, 1), ("b", 11, 1)]

@@ -1,6 +1,8 @@
 import glob
 import os
 
+import pytest
+
 from conftest import write
 from fixtures import catalog
 from sheetrecon.operators import runlog as rl
@@ -28,7 +30,7 @@ def test_per_sheet_header(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "out")
     write_sheet(s, out, header=True, per_sheet=True)
     for n in ("a", "b"):
-        parts = sorted(glob.glob(os.path.join(out, f"sheet={n}.csv", "part-*")))
+        parts = sorted(glob.glob(os.path.join(out, f"sheet={n}.csv-*", "part-*")))
         text = "".join(open(p).read() for p in parts)
         assert text.splitlines() == ["c0,c1", f"{n}1,{n}2", f"{n}3,{n}4"]
 
@@ -117,9 +119,15 @@ def test_batch_fill_job(spark, tmpdir_path):
         run_log_dir=os.path.join(tmpdir_path, "log")).collect()}
     assert (summary["a.csv"].data_rows, summary["a.csv"].filled) == (2, 1)
     assert summary["b.csv"].filled == 1
-    a_text = "".join(open(p).read() for p in sorted(glob.glob(os.path.join(out, "sheets", "sheet=a.csv", "part-*"))))
+    a_text = "".join(open(p).read() for p in sorted(glob.glob(os.path.join(out, "sheets", "sheet=a.csv-*", "part-*"))))
     assert a_text.splitlines()[10] == "1,10153,,,,CARLA"
-    assert spark.read.parquet(os.path.join(tmpdir_path, "log")).count() == 2
+    log = os.path.join(tmpdir_path, "log")
+    assert spark.read.parquet(log).count() == 1
+    with pytest.raises(ValueError):
+        run_fill_job(spark, src, catalog(spark), out, 6, FillRequest(targets={"c21": "monto"}), run_log_dir=log)
+    from sheetrecon.operators.runlog import run_log_totals
+    t = run_log_totals(spark.read.parquet(log)).first()
+    assert (t.runs, t.errors, t.total_records) == (2, 1, 2)
 
 
 def test_incremental_fill_multi_split_file(spark, tmpdir_path):
@@ -151,7 +159,7 @@ def test_per_sheet_order_across_many_parts(spark, tmpdir_path):
     s = sh.read_sheet(spark, tmpdir_path, 2)
     out = os.path.join(tmpdir_path, "out")
     write_sheet(s, out, per_sheet=True, header=True, num_parts=5)
-    parts = sorted(glob.glob(os.path.join(out, "sheet=big.csv", "part-*")))
+    parts = sorted(glob.glob(os.path.join(out, "sheet=big.csv-*", "part-*")))
     assert len(parts) > 1
     text = "".join(open(p).read() for p in parts).splitlines()
     assert text == ["c0,c1"] + rows
@@ -163,3 +171,15 @@ def test_stream_checkpoint_default_under_session_dir(spark):
     a = stream_checkpoint(spark, "/data/out/a")
     assert a.startswith(ensure_checkpoint_dir(spark).rstrip("/") + "/streams/")
     assert a == stream_checkpoint(spark, "/data/out/a") != stream_checkpoint(spark, "/data/out/b")
+
+
+def test_sheets_of_one_name_stay_apart(spark, tmpdir_path):
+    for d in ("x", "y"):
+        os.makedirs(os.path.join(tmpdir_path, d))
+        write(os.path.join(tmpdir_path, d, "a.csv"), f"{d}1,{d}2\n{d}3,{d}4\n")
+    s = sh.read_sheet(spark, os.path.join(tmpdir_path, "*", "a.csv"), 2)
+    out = os.path.join(tmpdir_path, "out")
+    write_sheet(s, out, per_sheet=True)
+    folders = glob.glob(os.path.join(out, "sheet=a.csv-*"))
+    texts = sorted("".join(open(p).read() for p in sorted(glob.glob(os.path.join(f, "part-*")))) for f in folders)
+    assert texts == ["x1,x2\nx3,x4\n", "y1,y2\ny3,y4\n"]

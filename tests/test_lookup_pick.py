@@ -159,3 +159,30 @@ def test_running_aggregate_null_group_and_global(spark, partition):
         acc[grp] = (s + x, n + 1)
         want[o] = acc[grp]
     assert got == want
+
+
+def test_pick_and_full_record_have_the_same_keys(spark):
+    """Sellers and teams that are missing drop their contracts from both."""
+    import os
+
+    from sheetrecon.operators import pick as pk2
+    from sheetrecon.plans import standin
+    if not os.path.exists("/root/testdata/sf0.001"):
+        return
+    cat = standin.catalog(spark, "/root/testdata/sf0.001")
+    picked = {r.legajo for r in pk2.priority_pick(lk.lookup_role(cat, with_filters=True)).select("legajo").collect()}
+    full = {r[0] for r in lk.lookup_full(cat).select("cod_propuesta").distinct().collect()}
+    every = {r[0] for r in pk2.priority_pick(lk.lookup_role(cat)).select("legajo").collect()}
+    assert picked == full and len(picked) < len(every)
+
+
+def test_point_lookup_pushes_codes_to_the_fact_scans(spark):
+    import os
+
+    from sheetrecon.plans import standin
+    if not os.path.exists("/root/testdata/sf0.001"):
+        return
+    cat = lk.point_catalog(standin.catalog(spark, "/root/testdata/sf0.001"), ["1200"])
+    for name in ("contratos", "creditos", "contratos_clientes"):
+        plan = cat[name]._jdf.queryExecution().executedPlan().toString()
+        assert "orderkey" in plan.split("PushedFilters:")[1].split("]")[0]

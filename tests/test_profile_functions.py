@@ -117,3 +117,19 @@ def test_normalize_symbols_every_entry(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = {r.i: r.t for r in df.select("i", normalize_symbols("t").alias("t")).collect()}
     assert [got[i] for i in range(len(texts))] == [expected(t) for t in texts]
+
+
+def test_text_zero_is_not_falsy(spark):
+    df = spark.createDataFrame([("0", 0, 0.0), ("", 7, None)], "a string, b int, c double")
+    got = [tuple(r) for r in df.select(*[fmt.blank_if_falsy(x) for x in "abc"]).collect()]
+    assert got == [("0", "", ""), ("", "7", "")]
+
+
+def test_key_columns_past_the_tenth_are_scored(spark):
+    cells = ", ".join(f"c{i} string" for i in range(15))
+    s = spark.createDataFrame([("f", i, *[None] * 12, str(5000 + i), None, None) for i in range(10, 20)],
+                              "file_path string, row_no long, " + cells)
+    best = pr.score_key_columns(s).first()
+    assert (best.col_ix, best.n_keys, best.col_letter) == (12, 10, "M")
+    plan = pr.score_key_columns(s)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")  # only the row per file is unpivoted
