@@ -145,14 +145,15 @@ def hash_arrays(values: DataFrame, order: int):
             bytegrams.HashArray(keys, rows.column("lp").to_numpy().astype(np.float32)))
 
 
-def score_udf(array, order: int):
+def score_udf(array, order: int, lower: bool):
     """Column function (group, text) -> sum of the values of the text's n-grams
-    that lie in one hash array."""
+    that lie in one hash array; with ``lower`` A-Z count as a-z."""
     @F.arrow_udf("double")
     def run(group: pa.Array, text: pa.Array) -> pa.Array:
         groups, found, at = [bytegrams.group_hash(g) for g in group.to_pylist()], [], 0
         for texts in text_bytes(text):
-            codes, counts = bytegrams.gram_codes([bytegrams.framed(t, order) for t in texts], order)
+            parts = [bytegrams.framed(t.lower() if lower else t, order) for t in texts]
+            codes, counts = bytegrams.gram_codes(parts, order)
             names = np.repeat(np.array(groups[at:at + len(texts)], np.uint64), counts)
             lp = array.value.get(bytegrams.keyed(codes, names, order), 0.0)
             found.append(bytegrams.doc_sums(lp, counts))
@@ -162,7 +163,8 @@ def score_udf(array, order: int):
     return run
 
 
-def with_scores(rows: DataFrame, values: DataFrame, group: Column, text: Column, order: int = ORDER) -> DataFrame:
+def with_scores(rows: DataFrame, values: DataFrame, group: Column, text: Column, order: int = ORDER,
+                lower: bool = False) -> DataFrame:
     """``rows`` with lp, the log10 probability of each text: a pass for each hash
     array, so that a task holds one at a time whatever the size of the model."""
     rows, last = rows.withColumn("lp", F.lit(0.0)), None
@@ -170,5 +172,5 @@ def with_scores(rows: DataFrame, values: DataFrame, group: Column, text: Column,
         if last is not None:
             rows = materialize(rows, "scored")
             last.unpersist()
-        rows, last = rows.withColumn("lp", F.col("lp") + score_udf(array, order)(group, text)), array
+        rows, last = rows.withColumn("lp", F.col("lp") + score_udf(array, order, lower)(group, text)), array
     return rows

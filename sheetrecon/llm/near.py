@@ -29,7 +29,8 @@ CELL = 1024
 SAMPLE = 64
 #: Cells of up to so many rows may be compared many at a time.
 SMALL = 64
-ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+BITS = (1 << 64) - 1
+ALL = np.uint64(BITS)
 
 
 def block_masks(radius: int, pick: int) -> list[int]:

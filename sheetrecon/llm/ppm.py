@@ -1,12 +1,13 @@
 """Language-model scoring by partial matching over bytes (operator 5).
 
 The trie is a set of tables: a node is a context of up to ORDER - 1 bytes, with
-the counts of the bytes that follow it in the training texts. A byte's
+the counts of the bytes that follow it in the training texts; shorter contexts
+count in how many longer ones a byte was seen (update exclusion). A byte's
 probability comes from the longest context seen; where the byte was not seen
-after it, the model escapes (as often as the context has distinct bytes) to the
-next shorter one, in which all bytes that the longer one knows are excluded.
-Spark computes this once for every distinct n-gram of the corpus; a text's code
-length is the sum over its bytes.
+after it, the model escapes to the next shorter one, in which all bytes that the
+longer one knows are excluded. Each distinct byte lends half a count to the
+escape (method D). Spark computes this once for every distinct n-gram of the
+corpus; a text's code length is the sum over its bytes.
 
 The base score needs the training count of every word. Texts are dealt out in
 blocks; each block asks for its distinct words only, so a frequent word costs
@@ -19,7 +20,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import bytegrams, kneser_ney
 from .common import batched, materialize, text_bytes, words
@@ -27,7 +27,7 @@ from .common import batched, materialize, text_bytes, words
 #: Bytes of an n-gram: contexts of up to five bytes.
 ORDER = 6
 #: Blocks of texts for each shuffle partition.
-BLOCKS = 2
+BLOCKS = 1
 ALPHA = 0.1
 
 
@@ -63,10 +63,13 @@ def code_lengths(grams: DataFrame, order: int = ORDER) -> DataFrame:
     context gives to those bytes, which an escape to it excludes).
     """
     grams = materialize(grams, "grams")
-    nodes, contexts = [], []
+    nodes: list[DataFrame] = [None] * order
+    contexts = []
+    nodes[-1] = grams.where("c > 0").select(F.col("gram").alias("sub"), "c")
+    for k in reversed(range(order - 1)):
+        shorter = nodes[k + 1].groupBy(low("sub", k + 1).alias("sub")).agg(F.count("*").alias("c"))
+        nodes[k] = materialize(shorter, f"nodes{k}")
     for k in range(order):
-        seen = grams.where("c > 0").groupBy(low("gram", k + 1).alias("sub")).agg(F.sum("c").alias("c"))
-        nodes.append(materialize(seen, f"nodes{k}"))
         inner = nodes[k].withColumn("ctx", F.shiftright("sub", 8))
         if k:
             shorter = small(nodes[k - 1].select(F.col("sub").alias("tail"), F.col("c").alias("s")), k - 1)
@@ -89,8 +92,8 @@ def code_lengths(grams: DataFrame, order: int = ORDER) -> DataFrame:
         reached = F.coalesce(*longer).isNull() if longer else F.lit(True)
         out_n, out_t = (F.coalesce(f"{c}{k + 1}", F.lit(0)) if longer else F.lit(0) for c in "mt")
         t = F.col(f"t{k}") - out_t
-        taken = F.coalesce(f"c{k}", t)  # the byte's count, or else the escape
-        lp = lp + F.when(reached & (t > 0), F.log10(taken / (F.col(f"n{k}") - out_n + t))).otherwise(0.0)
+        taken = F.coalesce(2 * F.col(f"c{k}") - 1, t)  # the byte, or else the escape
+        lp = lp + F.when(reached & (t > 0), F.log10(taken / (2 * (F.col(f"n{k}") - out_n)))).otherwise(0.0)
     return rows.select(F.lit(None).cast("string").alias("grp"), "gram", lp.alias("lp"))
 
 
@@ -99,18 +102,13 @@ def small(table: DataFrame, k: int) -> DataFrame:
     return F.broadcast(table) if k <= 1 else table
 
 
-@F.arrow_udf(T.StringType())
-def lowered(text: pa.Array) -> pa.Array:
-    return pa.array([t.lower().decode() for part in text_bytes(text) for t in part], pa.string())
-
-
 def block_words(batches):
-    """(block, text, train) -> block, word, n: the distinct words of each block with
-    their training count; the empty word is the end of a text."""
+    """(block, text, train, ...) -> block, word, n: the distinct words of each block
+    with their training count; the empty word is the end of a text."""
     found: dict[int, dict[bytes, int]] = {}
     for batch in batches:
-        blocks, train, at = batch.column(0).to_pylist(), batch.column(2).to_pylist(), 0
-        for texts in text_bytes(batch.column(1)):
+        blocks, train, at = batch.column("block").to_pylist(), batch.column("train").to_pylist(), 0
+        for texts in text_bytes(batch.column("text")):
             for t in texts:
                 counts = found.setdefault(blocks[at], {})
                 if train[at]:
@@ -169,11 +167,12 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                        F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 10 != 0, F.lit(True))
                        .alias("train"))
     values = code_lengths(corpus_grams(rows))
-    rows = kneser_ney.with_scores(rows, values, F.lit(None).cast("string"), lowered("text"), ORDER)
+    rows = kneser_ney.with_scores(rows, values, F.lit(None).cast("string"), F.col("text"), ORDER, lower=True)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(BLOCKS * n)).cast("int")
     dealt = rows.withColumn("block", block).repartition(n, "block")
-    found = dealt.select("block", "text", "train").mapInArrow(block_words, "block int, word binary, n long")
+    # all columns, so that both uses share one exchange
+    found = dealt.mapInArrow(block_words, "block int, word binary, n long")
     same = Window.partitionBy("word")
     first = F.min(F.when(F.col("n") > 0, F.col("block"))).over(same)
     asked = found.select("block", "word", "n", F.sum("n").over(same).alias("c"),

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHash, batched, doc_key, text_bytes, words
+from .common import Bits, WordHash, batched, doc_key, materialize, text_bytes, words
 from .near import grouped
 
 WINDOW, MINIMISER = 20, 3
@@ -144,7 +144,7 @@ def packed(ids: np.ndarray, keys: np.ndarray, texts: list[bytes], frequent: np.n
     bucket = ((least * ODD[10]) >> np.uint64(33)).astype(np.int64) % buckets
     kept = np.flatnonzero(first)
     kept = kept[np.argsort(bucket[kept], kind="stable")]
-    squeeze, out = zstandard.ZstdCompressor(level=1), []
+    squeeze, out = zstandard.ZstdCompressor(level=5), []
     for part in np.split(kept, np.flatnonzero(np.diff(bucket[kept])) + 1):
         d = order[doc[part]]
         meta = ids[d].tobytes() + keys[d].tobytes() + place[part].astype(np.int32).tobytes()
@@ -306,8 +306,11 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     rows = batched(docs).select(doc_key(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"),
                        F.col(text_col).alias("text"), F.col(id_col).alias("doc_id"))
-    runs = repeated_runs(rows.select("key", "id", "text"))
-    return (rows.join(runs, "key", "left").select("doc_id", stays("text", "runs").alias("s"))
-            .select("doc_id", "s.*"))
+    runs = materialize(repeated_runs(rows.select("key", "id", "text")), "repeated-runs")
+    # texts that the bit table excludes repeat nothing and need not be shuffled
+    rows = rows.withColumn("some", Bits(runs, "key").column("key"))
+    joined = rows.where("some").join(runs, "key", "left").select("doc_id", "text", "runs")
+    rest = rows.where("not some").select("doc_id", "text", F.lit(None).cast(runs.schema["runs"].dataType).alias("runs"))
+    return (joined.unionByName(rest).select("doc_id", stays("text", "runs").alias("s")).select("doc_id", "s.*"))
 
 
