@@ -14,6 +14,7 @@ import base64
 import hashlib
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +28,7 @@ from .common import batched, text_bytes
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Distinct pieces that a task keeps before it forgets them all.
-CACHE = 1 << 20
+CACHE = 1 << 19
 #: A blank before a character that is no white space starts a match of the
 #: pattern, whatever comes before it.
 PIECES = re.compile(r" (?=\S)")
@@ -124,27 +125,23 @@ class Codec:
         return starts.tolist(), (np.cumsum(begins)[starts] - 1).tolist() if len(ids) else []
 
 
-@lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
-    return Codec(path)
-
-
 def digest_udf(path: str):
     kind = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
                          T.StructField("decoded_sha256", T.StringType())])
 
     @F.arrow_udf(kind)
-    def run(text: pa.Array) -> pa.Array:
-        coder = codec(path)
-        sizes, of_ids, of_text = [], [], []
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coder = Codec(path)  # its cache ends with the task
         decimal = [str(i) for i in range(len(coder.token_bytes))]
-        for texts in text_bytes(text):
-            for ids in map(np.ndarray.tolist, coder.encode([t.decode() for t in texts])):
-                sizes.append(len(ids))
-                of_ids.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                of_text.append(hashlib.sha256(coder.decode(ids)).hexdigest())
-        return pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(of_ids, pa.string()),
-                                           pa.array(of_text, pa.string())], kind.names)
+        for text in batches:
+            sizes, of_ids, of_text = [], [], []
+            for texts in text_bytes(text):
+                for ids in map(np.ndarray.tolist, coder.encode([t.decode() for t in texts])):
+                    sizes.append(len(ids))
+                    of_ids.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
+                    of_text.append(hashlib.sha256(coder.decode(ids)).hexdigest())
+            yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(of_ids, pa.string()),
+                                              pa.array(of_text, pa.string())], kind.names)
 
     return run
 
@@ -164,14 +161,15 @@ def encoded(docs: DataFrame, text_col: str = "text", path: str = RANKS, with_off
     kind = T.StructType([T.StructField(n, T.ArrayType(T.IntegerType())) for n in names])
 
     @F.arrow_udf(kind)
-    def run(text: pa.Array) -> pa.Array:
-        coder = codec(path)
-        rows: list = []
-        for texts in text_bytes(text):
-            for t, ids in zip(texts, coder.encode([t.decode() for t in texts])):
-                rows.append((ids, *coder.offsets(t, ids)) if with_offsets else (ids,))
-        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.list_(pa.int32()))
-                                           for i in range(len(names))], names)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coder = Codec(path)
+        for text in batches:
+            rows: list = []
+            for texts in text_bytes(text):
+                for t, ids in zip(texts, coder.encode([t.decode() for t in texts])):
+                    rows.append((ids, *coder.offsets(t, ids)) if with_offsets else (ids,))
+            yield pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.list_(pa.int32()))
+                                              for i in range(len(names))], names)
 
     return batched(docs).withColumn("tokens", run(F.col(f"`{text_col}`")))
 
@@ -179,8 +177,9 @@ def encoded(docs: DataFrame, text_col: str = "text", path: str = RANKS, with_off
 def decoded(rows: DataFrame, ids_col: str = "tokens.ids", path: str = RANKS) -> DataFrame:
     """``rows`` with decoded: the bytes that the ids stand for (null: null)."""
     @F.arrow_udf(T.BinaryType())
-    def run(ids: pa.Array) -> pa.Array:
-        coder = codec(path)
-        return pa.array([None if x is None else coder.decode(x) for x in ids.to_pylist()], pa.binary())
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coder = Codec(path)
+        for ids in batches:
+            yield pa.array([None if x is None else coder.decode(x) for x in ids.to_pylist()], pa.binary())
 
     return batched(rows).withColumn("decoded", run(F.col(ids_col)))

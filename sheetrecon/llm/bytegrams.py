@@ -12,6 +12,8 @@ from .common import segment_sums, words
 #: Byte that starts (order - 1 times) and ends a text; words never hold it.
 EDGE = b"\n"
 MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Distinct n-grams of batches that a task holds before it merges them.
+HELD = 1 << 20
 #: Entries of one broadcast array (12 bytes each).
 ENTRIES = 4 << 20
 
@@ -99,7 +101,7 @@ class GramCounter:
             grams, counts = np.unique(codes, return_counts=True)
             self.held.setdefault(group, []).append((grams, counts))
             self.size += len(grams)
-            if self.size > 4 << 20:
+            if self.size > HELD:
                 self.merge()
 
     def merge(self) -> None:
@@ -108,7 +110,6 @@ class GramCounter:
             grams, inverse = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
             counts = np.bincount(inverse, np.concatenate([c for _, c in parts])).astype(np.int64)
             self.held[group] = [(grams, counts)]
-            self.size += len(grams)
 
     def batches(self, group_type: pa.DataType):
         self.merge()

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
@@ -19,51 +21,65 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batched, scratch, text_bytes
+from .common import batched, materialize, scratch, text_bytes
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
+MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
 #: Distinct words that a task keeps before it forgets them all.
-CACHE = 1 << 20
+CACHE = 1 << 19
 ORC = {"orc.compress": "ZSTD", "orc.create.index": "true", "orc.row.index.stride": "1000",
        "orc.stripe.size": str(32 << 20), "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
 
 
+@lru_cache(maxsize=2)
+def tokenizer(path: str):
+    """The model, and which of its ids end a word."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(path)
+    model.encode_special_tokens = True
+    vocab = model.get_vocab()
+    ends = np.zeros(max(vocab.values()) + 1, bool)
+    ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+    return model, ends
+
+
 class WordEncoder:
     """Ids of texts by a tokenizer that lower-cases and drops white space, so
     that a text's ids are those of its words, one after the other."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
-        vocab = self.model.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.model, self.ends = tokenizer(path)
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > CACHE:
             self.known.clear()
         cut = [t.lower().split() for t in texts]
-        new = set().union(*cut).difference(self.known)
-        # a comma or full stop after an ASCII letter is a token of its own
-        tails = {w for w in new if w[-1:] in b".," and w[-2:-1].isalpha()}
-        need = new.difference(tails) | {w[:-1] for w in tails}.difference(self.known)
-        if tails:
-            need |= {b".", b","}.difference(self.known)
+        words = list(chain.from_iterable(cut))
+        ids = list(map(self.known.get, words))
+        if None in ids:
+            self.learn_new({w for w, i in zip(words, ids) if i is None})
+            ids = [self.known[w] if i is None else i for w, i in zip(words, ids)]
+        ends = list(accumulate(map(len, cut)))
+        return [np.frombuffer(b"".join(ids[a:b]), np.uint32) for a, b in zip([0, *ends], ends)]
+
+    def learn_new(self, new: set[bytes]) -> None:
+        """ASCII marks (but not the apostrophe) after an ASCII letter are a token run of
+        their own, so such words are learned in two parts."""
+        parts = {w: (stem, w[len(stem):]) for w in new
+                 if len(stem := w.rstrip(MARKS)) < len(w) and stem[-1:].isalpha()}
+        need = {w for w in new if w not in parts}.union(*parts.values()).difference(self.known)
         plain, other = [], []
         for w in need:
             (plain if (s := w.decode()).isalpha() else other).append(s)
         for at in range(0, len(plain), 1 << 12):
             self.learn(plain[at:at + (1 << 12)])
         self.learn_each(other)
-        for w in tails:
-            self.known[w] = self.known[w[:-1]] + self.known[w[-1:]]
-        ids = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(ids, w)), np.uint32) for w in cut]
+        for w, (stem, marks) in parts.items():
+            self.known[w] = self.known[stem] + self.known[marks]
 
     def learn(self, letters: list[str]) -> None:
         """Words of letters only, as one text: each ends with the only token of it
@@ -84,21 +100,16 @@ class WordEncoder:
                 self.known[word.encode()] = np.array(found.ids, np.uint32).tobytes()
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
-
-
 def ids_udf(path: str, end_id: int):
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def run(text: pa.Array) -> pa.Array:
-        coder, parts = encoder(path), []
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coder = WordEncoder(path)  # its cache ends with the task
         end = np.array([end_id], np.uint32)
-        for texts in text_bytes(text):
-            parts += [np.concatenate([ids, end]) for ids in coder.encode(texts)]
-        sizes = np.cumsum([0, *map(len, parts)])
-        values = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-        return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values.astype(np.int32)))
+        for text in batches:
+            parts = [np.concatenate([ids, end]) for texts in text_bytes(text) for ids in coder.encode(texts)]
+            sizes = np.cumsum([0, *map(len, parts)])
+            values = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+            yield pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values.astype(np.int32)))
 
     return run
 
@@ -141,7 +152,8 @@ def placed_ids(rows: DataFrame) -> DataFrame:
                           crc32_of("ids").alias("ids_crc32"))
     inside = Window.partitionBy("part").orderBy("doc_id", "tie").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (rows.groupBy("part").agg(F.sum(F.size("ids").cast("long")).alias("total"))
+    counted = materialize(counted, "id-counts")
+    totals = (counted.groupBy("part").agg(F.sum("n_tokens").alias("total"))
               .select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base")))
     return (counted.withColumn("within", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
             .join(totals, "part")
