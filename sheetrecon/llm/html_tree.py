@@ -276,11 +276,13 @@ def main_text(page: str, weights: dict[str, float]) -> str:
 
 
 def sample(pages: DataFrame, html_col: str) -> list[str]:
-    """Up to TRAIN_PAGES pages that mark an article, by hash of the page."""
+    """Up to TRAIN_PAGES different pages that mark an article, by hash of the page:
+    first the least hashes (small rows of each task), then their pages."""
     html = F.col(html_col)
     rows = (pages.where(html.rlike("(?i)<(article|main)\\b") & (F.octet_length(html) <= TRAIN_BYTES))
-            .select(html.alias("html"), F.xxhash64(html).alias("place")).orderBy("place", "html").limit(TRAIN_PAGES))
-    return [r.html for r in rows.collect()]
+            .select(html.alias("html"), F.xxhash64(html).alias("place")))
+    least = [r.place for r in rows.groupBy("place").count().orderBy("place").limit(TRAIN_PAGES).collect()]
+    return [r.html for r in rows.where(F.col("place").isin(least)).dropDuplicates(["place"]).orderBy("place").collect()]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",

@@ -65,4 +65,50 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_ITEM_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), " \
+              r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: DuckDB SQL of the queries that SQL can express; the others are tested against
+#: brute force, the libraries themselves, round trips or held-out texts.
+ORACLE: dict[str, str] = {
+    "op1_warc_bundles": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, h, octet_length(encode(h)) AS n, max(page_id) OVER (PARTITION BY h) AS holder FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> holder THEN holder END AS refers_to FROM q""",
+    "op7_benchmark_decontamination": f"""
+WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ITEM_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS win FROM (
+  SELECT item, w, least(13, len(w)) AS k, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS i
+  FROM b WHERE len(w) > 0)),
+dw AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS win FROM (
+  SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+  FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)),
+m AS (SELECT DISTINCT doc_id, i, dw.k, item FROM dw JOIN bw ON dw.k = bw.k AND dw.win = bw.win),
+h AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (
+  SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS pos FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
+  FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(digest, sha256('')) AS items_sha256,
+  coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
+    "op10_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS win FROM (
+  SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d WHERE len(w) >= 20)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS n
+  FROM s) WHERE n > 1),
+g AS (SELECT doc_id, list(DISTINCT pos) AS gone FROM (
+  SELECT doc_id, unnest(generate_series(i, i + 19)) AS pos FROM r) GROUP BY doc_id),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept FROM (
+  SELECT d.doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS pos FROM d) p
+  WHERE NOT EXISTS (SELECT 1 FROM (SELECT doc_id, unnest(gone) AS pos FROM g) z
+                    WHERE z.doc_id = p.doc_id AND z.pos = p.pos) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id) LEFT JOIN k USING (doc_id)""",
+}
