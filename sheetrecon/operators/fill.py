@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from ..functions.text import FILLABLE_TOKENS, is_fillable, is_loose_key, is_strict_key, strip
 from ..sources.sheet import FILE, ROW_NO
+from .pick import HOLDER_MARK
 
 # Fixed values that must match the reference's behaviour.
 UNMATCHED_MESSAGE = "No se encontró datos para propuesta: "
-HOLDER_MARK = "TITULAR"
 
 NEW, SAME, OVER, UNMATCHED = "newly_filled", "already_filled", "overwritten", "unmatched"
 

@@ -129,7 +129,6 @@ def _order_struct(order: Sequence[str | Column]) -> Column:
     return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
 
 
-MAX_BUCKETS = 32768
 UNROLL_STEPS = 4
 MIN_BUCKET_ROWS = 200_000
 
@@ -139,12 +138,12 @@ def range_buckets(df: DataFrame, order: Sequence[str | Column],
     """Add ``_bucket``: the range bucket of each row's full order tuple.
 
     One small job range-partitions the order tuple and returns, per range,
-    its minimum tuple and row count (at most ``MAX_BUCKETS`` small rows
-    reach the driver, as in Spark's own sort sampling). Adjacent ranges are
+    its minimum tuple and row count (one small row per shuffle partition
+    reaches the driver, as in Spark's own sort sampling). Adjacent ranges are
     merged until a bucket holds at least ``MIN_BUCKET_ROWS`` rows (but no
     more than 1/parallelism of the rows, so every core gets a bucket; or
     total / ``num_buckets`` when a count is given), so small inputs get few
-    buckets and large ones up to ``MAX_BUCKETS``.
+    buckets and large ones up to one per shuffle partition.
 
     A row's bucket is the number of bounds not above its tuple, found by a
     binary search (log2(n) projections) in the sorted bounds array: a pure
@@ -158,8 +157,7 @@ def range_buckets(df: DataFrame, order: Sequence[str | Column],
     from .safety import parallelism
     spark = df.sparkSession
     explicit = num_buckets is not None
-    n = num_buckets or min(MAX_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                            parallelism(spark)))
+    n = num_buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), parallelism(spark))
     key = _order_struct(order)
     probe = df.select(key.alias("_k"))
     stats = (probe.repartitionByRange(n, F.col("_k").asc_nulls_first())

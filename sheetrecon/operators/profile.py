@@ -82,18 +82,25 @@ def key_profile(sheet: DataFrame, key_cell: str = "c1", start_row: int = 11,
     """A10: per file over the data rows: non-blank key cells, blank ones,
     and the first ``n_samples`` non-blank values (stripped) by row."""
     src = _rows(sheet, start_row, end_row)
-    v = strip(key_cell)
-    valid = F.coalesce(F.length(v) > 0, F.lit(False))
-    w = Window.partitionBy(FILE).orderBy(ROW_NO)
-    firsts = (src.filter(valid).select(FILE, ROW_NO, v.alias("v"))
-              .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n_samples)
-              .groupBy(FILE).agg(F.sort_array(F.collect_list(F.struct(ROW_NO, "v"))).alias("_s"))
-              .select(FILE, F.transform("_s", lambda s: s["v"]).alias("sample_values")))
+    valid = F.coalesce(F.length(strip(key_cell)) > 0, F.lit(False))
+    firsts = first_keys(sheet, key_cell, start_row, end_row, n_samples)
     counts = src.groupBy(FILE).agg(F.count_if(valid).alias("valid"),
                                    F.count_if(~valid).alias("empty"))
     return counts.join(firsts, FILE, "left")
 
 
+def first_keys(sheet: DataFrame, key_cell: str = "c1", start_row: int = 11,
+               end_row: int | None = None, n_samples: int = 5) -> DataFrame:
+    """Per file the first ``n_samples`` non-blank key cells (stripped) by row."""
+    v = strip(key_cell)
+    w = Window.partitionBy(FILE).orderBy(ROW_NO)
+    return (_rows(sheet, start_row, end_row).filter(F.coalesce(F.length(v) > 0, F.lit(False)))
+            .select(FILE, ROW_NO, v.alias("v"))
+            .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n_samples)
+            .groupBy(FILE).agg(F.sort_array(F.collect_list(F.struct(ROW_NO, "v"))).alias("_s"))
+            .select(FILE, F.transform("_s", lambda s: s["v"]).alias("sample_values")))
+
+
 def key_counts(sheet: DataFrame, max_cols: int | None, min_len: int = 4) -> DataFrame:
     """Per file and column with any: ``n_keys`` strict keys. One aggregate with a
     counter per column, then a row per column of that one row per file."""

@@ -1,8 +1,8 @@
 """Sheet profile and its text report.
 
-``profile`` builds one row per file from a handful of per-file aggregates
-(each partial-aggregated, so a huge sheet is never gathered in one task)
-and ``profile_report`` renders it as text with plain column expressions.
+``profile`` builds one row per file from one aggregate over the sheet, one
+over its lines and the first key samples (all partial, so a huge sheet is
+never gathered in one task) and ``profile_report`` renders it as text with plain column expressions.
 """
 
 from __future__ import annotations
@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fmt
-from ..sources.sheet import FILE
-from .profile import key_profile, quality, ragged_check, special_chars
+from ..functions.text import has_special_chars, strip
+from ..sources.sheet import FILE, ROW_NO
+from .profile import cell_columns, first_keys, quality_level
 
 # Fixed values that must match the reference's behaviour (format warnings).
 RAGGED_WARNING = "[WARNING] Inconsistencia en número de columnas por fila"
@@ -32,14 +33,28 @@ def profile(sheet: DataFrame, lines: DataFrame, key_cell: str = "c1",
     """Per file: size, dimensions, format issues, key analysis, quality,
     strategy and time estimate, as nested structs."""
     st = file_stats(lines).withColumn("file_size_mb", F.col("size_bytes") / (1024.0 * 1024.0))
-    q = quality(sheet)
-    k = key_profile(sheet, key_cell, start_row)
-    rg = ragged_check(sheet).select(FILE, "ragged")
-    sc = special_chars(sheet, key_cell, start_row).select(FILE, "has_special")
+    cols = cell_columns(sheet)
+    data = F.col(ROW_NO) >= start_row
+    valid = F.coalesce(F.length(strip(key_cell)) > 0, F.lit(False))
+    blank = sum((F.col(c).isNull() | (strip(c) == "")).cast("int") for c in cols)
+    width = sum(F.col(c).isNotNull().cast("int") for c in cols)
+    # one aggregate; the set holds at most one entry per column count
+    per_file = sheet.groupBy(FILE).agg(
+        F.sum(blank).alias("empty_cells"), F.count(F.lit(1)).alias("rows_seen"),
+        F.size(F.collect_set(width)).alias("distinct_widths"),
+        F.count_if(data & valid).alias("valid"), F.count_if(data & ~valid).alias("empty"),
+        F.count_if(data & has_special_chars(key_cell)).alias("n_special"))
+    pct = F.round(F.col("empty_cells") * 100.0 / (F.col("rows_seen") * len(cols)), 4)
+    score = F.round(F.greatest(F.lit(0.0), F.lit(100.0) - F.col("empty_pct")), 4)
+    q = (per_file.withColumn("empty_pct", pct).withColumn("quality_score", score)
+         .withColumn("quality_level", quality_level(F.col("quality_score")))
+         .withColumn("ragged", (F.col("rows_seen") > 10) & (F.col("distinct_widths") > 2))
+         .withColumn("has_special", F.col("n_special") > 0))
+    k = first_keys(sheet, key_cell, start_row)
     issues = F.filter(F.array(F.when(F.col("ragged"), F.lit(RAGGED_WARNING)),
                               F.when(F.col("has_special"), F.lit(SPECIAL_WARNING))),
                       lambda x: x.isNotNull())
-    j = st.join(q, FILE).join(k, FILE, "left").join(rg, FILE).join(sc, FILE, "left")
+    j = st.join(q, FILE).join(k, FILE, "left")
     return j.select(
         FILE, "file_size_mb", "total_rows", "total_cols",
         issues.alias("format_issues"),

@@ -103,6 +103,27 @@ def sheet_dims(spark, d):
     return pr.sheet_dims(standin.sheet_lines(spark, d))
 
 
+@register("sheet_row_numbers", "SELECT o_orderkey + 1 AS row_no, CAST(o_orderkey AS VARCHAR) AS value FROM orders")
+def sheet_row_numbers(spark, d):
+    """Row numbers from the scan's splits, over a table stored in key order."""
+    scan = spark.read.parquet(f"{d}/orders.parquet").select(
+        F.col("_metadata.file_path").alias(sh.FILE), F.col("_metadata.file_block_start").alias("_blk"),
+        F.col("o_orderkey").cast("string").alias("value"))
+    return sh.number_text_scan(scan).select("row_no", "value")
+
+
+@register("sheet_summary", o.with_ctes(
+    "SELECT file_path, total_rows, total_cols, n_keys, key_samples FROM (SELECT file_path, count(*) AS total_rows, "
+    "CAST(max(len(string_split(value, ','))) AS INTEGER) AS total_cols FROM lines GROUP BY file_path) "
+    "LEFT JOIN (SELECT file_path, count(*) AS n_keys, list(trim(c1) ORDER BY row_no)[1:2] AS key_samples FROM sheet "
+    "WHERE row_no BETWEEN 11 AND 13 AND length(trim(c1)) > 0 GROUP BY file_path) USING (file_path)",
+    "lines", "sheet"))
+def sheet_summary(spark, d):
+    """A17."""
+    from ..sources.files import sheet_summary as build
+    return build(_sheet(spark, d), standin.sheet_lines(spark, d))
+
+
 # ------------------------------------------------------------ predicates
 @register("data_region", o.with_ctes("SELECT * FROM sheet WHERE row_no >= 11", "sheet"))
 def data_region(spark, d):

@@ -3,8 +3,8 @@
 T1 - incremental fill: new sheets landing in a folder are read as text
 lines with ``_metadata.file_path`` / ``file_block_start``. Each micro-batch
 holds whole files, so inside ``foreachBatch`` the batch is numbered exactly
-as a batch read is (split offsets, no shuffle of the lines, files of any
-size read in parallel splits), parsed, filled against the static lookup and
+as a batch read is (a small table of split offsets is joined to the lines, which
+are read twice for it; files of any size are read in parallel splits), parsed, filled against the static lookup and
 written. The write is keyed by batch id (overwrite of that batch's folder),
 so a retried batch replaces its own output: exactly-once files.
 
