@@ -26,8 +26,8 @@ from .common import batched, materialize, scratch, text_bytes
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
-#: Distinct words that a task keeps before it forgets them all.
-CACHE = 1 << 19
+#: Distinct words that a worker keeps before it forgets all but those of the next step.
+CACHE = 1 << 20
 ORC = {"orc.compress": "ZSTD", "orc.create.index": "true", "orc.row.index.stride": "1000",
        "orc.stripe.size": str(32 << 20), "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
 
@@ -55,10 +55,10 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.known) > CACHE:
-            self.known.clear()
         cut = [t.lower().split() for t in texts]
         words = list(chain.from_iterable(cut))
+        if len(self.known) > CACHE:
+            self.known = {w: self.known[w] for w in set(words).intersection(self.known)}
         ids = list(map(self.known.get, words))
         if None in ids:
             self.learn_new({w for w, i in zip(words, ids) if i is None})
@@ -100,10 +100,15 @@ class WordEncoder:
                 self.known[word.encode()] = np.array(found.ids, np.uint32).tobytes()
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
+
+
 def ids_udf(path: str, end_id: int):
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = WordEncoder(path)  # its cache ends with the task
+        coder = encoder(path)  # words learned in one task serve the next ones of this worker
         end = np.array([end_id], np.uint32)
         for text in batches:
             parts = [np.concatenate([ids, end]) for texts in text_bytes(text) for ids in coder.encode(texts)]
