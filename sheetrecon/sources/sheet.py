@@ -83,40 +83,55 @@ def parse_lines(lines: DataFrame, n_cols: int, sep: str = ",",
                 value_col: str = "value", keep: Iterable[str] = (FILE, ROW_NO)) -> DataFrame:
     """Split each text line into ``c0..c{n_cols-1}`` string cells.
 
-    CSV quoting rules apply inside a line. Missing cells and empty unquoted
+    CSV quoting rules apply inside a record. Missing cells and empty unquoted
     cells are null (as a headerless all-text read gives them), a quoted
     empty cell is ''. Extra cells are dropped, an unparsable line gives
     all-null cells (permissive). A blank line gives all-null cells.
     """
     schema = sheet_schema(n_cols)
-    opts = {"sep": sep, "mode": "PERMISSIVE", "emptyValue": ""}
+    opts = {"sep": sep, "mode": "PERMISSIVE", "emptyValue": "", "escape": '"'}
     parsed = F.from_csv(F.col(value_col), schema.simpleString(), opts)
     keep = [k for k in keep if k in lines.columns]
     return lines.select(*keep, *[parsed.getField(c).alias(c) for c in cell_names(n_cols)])
 
 
+def number_records(lines: DataFrame) -> DataFrame:
+    """Numbered lines -> numbered records: a line break inside quotes does not end
+    one. Files of any size are read in parallel splits.
+
+    Lines with an odd number of quotes open and close such records, in turn within a
+    file (a last one that nothing closes stays a line). They are few: the narrow rows
+    of these lines are numbered within their file, paired, and the lines of each pair
+    put together; all records are numbered anew only where there are any.
+    """
+    from ..operators.pick import number_within_key
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    odd = number_within_key(lines.where(quotes % 2 == 1).select(FILE, ROW_NO), FILE, [ROW_NO])
+    pairs = (odd.groupBy(FILE, F.ceil(F.col("n_in_key") / 2).alias("_pair"))
+             .agg(F.min(ROW_NO).alias("_open"), F.max(ROW_NO).alias("_close"))
+             .where("_close > _open"))
+    if pairs.isEmpty():
+        return lines
+    inner = pairs.select(FILE, F.explode(F.sequence("_open", "_close")).alias(ROW_NO), "_open")
+    marked = lines.join(inner, [FILE, ROW_NO], "left")
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(ROW_NO, "value"))),
+                                    lambda x: x["value"]), "\n")
+    whole = (marked.where("_open is not null").groupBy(FILE, F.col("_open").alias(ROW_NO))
+             .agg(text.alias("value")))
+    records = marked.where("_open is null").select(FILE, ROW_NO, "value").unionByName(whole)
+    return number_within_key(records, FILE, [ROW_NO]).select(FILE, F.col("n_in_key").cast("long").alias(ROW_NO), "value")
+
+
 def read_sheet(spark: SparkSession, path: str | list[str], n_cols: int, sep: str = ",",
-               multi_line: bool = False, path_glob: str | None = None) -> DataFrame:
+               multi_line: bool = True, path_glob: str | None = None) -> DataFrame:
     """Robust sheet scan (no header, all text) with ``file_path, row_no``.
 
-    ``multi_line=True`` uses Spark's multiLine CSV reader so quoted newlines
-    stay inside one cell. Each file is then read by one task, and Spark's CSV
-    reader skips blank lines, so positions count non-blank records.
+    Quoted line breaks stay inside their cell and blank records keep their place.
+    ``multi_line=False`` takes every line as a record and saves the pass that looks
+    for such breaks.
     """
-    if not multi_line:
-        return parse_lines(number_lines(spark, path, path_glob), n_cols, sep)
-    reader = (spark.read.schema(sheet_schema(n_cols))
-              .option("sep", sep).option("header", False).option("multiLine", True)
-              .option("mode", "PERMISSIVE").option("emptyValue", ""))
-    if path_glob:
-        reader = reader.option("pathGlobFilter", path_glob)
-    raw = reader.csv(path).select(
-        F.col("_metadata.file_path").alias(FILE),
-        F.monotonically_increasing_id().alias("_id"), *cell_names(n_cols))
-    first = raw.groupBy(FILE).agg(F.min("_id").alias("_first_id"))
-    return (raw.join(broadcast_if_bounded(first, len(raw.inputFiles())), FILE)
-            .select(FILE, (F.col("_id") - F.col("_first_id") + 1).alias(ROW_NO),
-                    *cell_names(n_cols)))
+    lines = number_lines(spark, path, path_glob)
+    return parse_lines(number_records(lines) if multi_line else lines, n_cols, sep)
 
 
 def infer_width(lines: DataFrame, sep: str = ",", sample_rows: int | None = None) -> int:

@@ -50,7 +50,7 @@ def write_sheet(df: DataFrame, out_dir: str, sep: str = ",", header: bool = Fals
         ordered = data.repartitionByRange(n, FILE, ROW_NO).sortWithinPartitions(FILE, ROW_NO)
         writer = ordered.select(*cells).write
     (writer.mode(mode).option("sep", sep).option("header", False)
-     .option("emptyValue", "").option("nullValue", "").csv(out_dir))
+     .option("escape", '"').option("emptyValue", "").option("nullValue", "").csv(out_dir))
 
 
 def write_run_log(summary: DataFrame, table_dir: str) -> None:

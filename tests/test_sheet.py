@@ -85,6 +85,30 @@ def test_multiline_cells(spark, tmpdir_path):
     assert [(r.row_no, r.c0, r.c1) for r in rows] == [(1, "a", "x\ny"), (2, "b", "c")]
 
 
+def test_quoted_newlines_across_splits_and_blank_records(spark, tmpdir_path):
+    rows = []
+    for i in range(400):
+        rows.append((f"k{i}", f"first {i}\nsecond, \"\"{i}\"\"\n\nlast" if i % 7 == 0 else f"v{i}"))
+        if i % 50 == 3:
+            rows.append(None)
+    text = "".join("\n" if r is None else f'{r[0]},"{r[1]}"\n' for r in rows)
+    p = write(os.path.join(tmpdir_path, "big.csv"), text)
+    write(os.path.join(tmpdir_path, "open.csv"), 'a,b\nc,"d\ne,f\n')
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        got = sh.read_sheet(spark, p, 2).orderBy("row_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r.row_no for r in got] == list(range(1, len(rows) + 1))
+    for r, want in zip(got, rows):
+        assert (r.c0, r.c1) == ((None, None) if want is None else (want[0], want[1].replace('""', '"'))), want
+    unclosed = sh.read_sheet(spark, os.path.join(tmpdir_path, "open.csv"), 2).orderBy("row_no").collect()
+    assert [r.c0 for r in unclosed] == ["a", "c", "e"]
+    plain = sh.read_sheet(spark, p, 2, multi_line=False)
+    assert plain.count() == text.count("\n")
+
+
 def test_typed_scan_with_header(spark, tmpdir_path):
     p = write(os.path.join(tmpdir_path, "sh4.csv"),
               "PROPUESTA JKM / LEGAJO,CLIENTE,COLUMNA3\n123,ANA,x\n456,LUIS,y\n789,EVA,z\n")
