@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batched, text_bytes
+from .common import batched, release, text_bytes
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Distinct pieces that a task keeps before it forgets them all.
-CACHE = 1 << 19
+#: Distinct pieces that a task keeps before it forgets all but those of the next step.
+CACHE = 1 << 18
 #: A blank before a character that is no white space starts a match of the
 #: pattern, whatever comes before it.
 PIECES = re.compile(r" (?=\S)")
@@ -88,10 +88,11 @@ class Codec:
         self.sizes = np.array([len(t) for t in self.token_bytes], np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [PIECES.split(text) for text in texts]
         if len(self.known) + len(self.heads) > CACHE:
-            self.known.clear()
+            last = {p for pieces in cut for p in pieces[1:]}.intersection(self.known)
+            self.known = {p: self.known[p] for p in last}
             self.heads.clear()
-        cut = [PIECES.split(text) for text in texts]
         known, heads = self.known, self.heads
         first = list({pieces[0] for pieces in cut}.difference(heads))
         for piece, found in zip(first, self.model.encode_batch_fast(first, add_special_tokens=False)):
@@ -142,6 +143,8 @@ def digest_udf(path: str):
                     of_text.append(hashlib.sha256(coder.decode(ids)).hexdigest())
             yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(of_ids, pa.string()),
                                               pa.array(of_text, pa.string())], kind.names)
+        del coder
+        release()
 
     return run
 

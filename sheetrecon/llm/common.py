@@ -3,6 +3,7 @@ cluster's shared folder, batches of bounded size, word splitting."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -46,6 +47,16 @@ def batched(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def release() -> None:
+    """Give memory that a finished task freed back to the system: Python workers live on,
+    and their executors count what they keep."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: nothing to trim
+
+
 def text_bytes(column: pa.Array) -> Iterator[list[bytes]]:
     """The texts of an Arrow string array as UTF-8 bytes (null: empty), in
     lists of about STEP_BYTES at most (a longer text alone)."""

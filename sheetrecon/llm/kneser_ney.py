@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bytegrams
-from .common import materialize, text_bytes
+from .common import materialize, release, text_bytes
 
 ORDER = 4
 #: Rows of a table that may be broadcast (a row per language).
@@ -38,6 +38,8 @@ def counted_grams(docs: DataFrame, group_col: str, text_col: str, order: int = O
                     counter.add(group, parts)
                 at += len(texts)
         yield from counter.batches(pa.string())
+        del counter
+        release()
 
     found = (docs.select(F.col(group_col).cast("string").alias("grp"), F.col(text_col).alias("text"))
              .mapInArrow(run, "grp string, gram long, n long"))

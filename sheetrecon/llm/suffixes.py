@@ -153,44 +153,40 @@ def contaminate(texts: list[bytes], block: Block, window: int = WINDOW) -> tuple
     return ranges, items
 
 
-FOUND = "struct<n_words:long,ranges:array<long>,items:array<string>>"
-
-
-def found_udf(block, window: int):
-    """Column function: text -> n_words, hit ranges and items of one block."""
-    @F.arrow_udf(FOUND)
-    def run(text: pa.Array) -> pa.Array:
-        words, ranges, items = [], [], []
+LONGS, STRINGS = T.ArrayType(T.LongType()), T.ArrayType(T.StringType())
+FOUND = T.StructType([T.StructField("ranges", LONGS), T.StructField("items", STRINGS)])
+MERGED = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
+                       T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType())])
+
+
+def merge(flat: list[int], names: list[str]) -> tuple[int, int, str]:
+    """Union of hit ranges and of items: n_hit, n_items, items_sha256."""
+    total, reach = 0, 0
+    for a, b in sorted(zip(flat[::2], flat[1::2])):
+        total += max(0, b - max(a, reach))
+        reach = max(reach, b)
+    names = sorted(set(names))
+    return total, len(names), hashlib.sha256(",".join(names).encode()).hexdigest()
+
+
+def found_udf(block, window: int, last: bool):
+    """Column function: text, and the ranges and items of earlier blocks -> the same with
+    those of this block, or for the last block n_words and what ``merge`` gives."""
+    @F.arrow_udf(MERGED if last else FOUND)
+    def run(text: pa.Array, ranges: pa.Array, items: pa.Array) -> pa.Array:
+        before, names, out = ranges.to_pylist(), items.to_pylist(), []
         for texts in text_bytes(text):
-            got = contaminate(texts, block.value, window)
-            words += [len(item_words(t)) for t in texts]
-            ranges += got[0]
-            items += got[1]
-        return pa.StructArray.from_arrays(
-            [pa.array(words, pa.int64()), pa.array(ranges, pa.list_(pa.int64())),
-             pa.array(items, pa.list_(pa.string()))], ["n_words", "ranges", "items"])
+            for t, r, i in zip(texts, *contaminate(texts, block.value, window)):
+                r, i = before[len(out)] + r, names[len(out)] + i
+                out.append((len(item_words(t)), *merge(r, i)) if last else (r, i))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()] if last else \
+            [pa.list_(pa.int64()), pa.list_(pa.string())]
+        return pa.StructArray.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)],
+                                          (MERGED if last else FOUND).names)
 
     return run
 
 
-@F.arrow_udf(T.StructType([T.StructField("n_hit", T.LongType()), T.StructField("n_items", T.LongType()),
-                           T.StructField("items_sha256", T.StringType())]))
-def merged(ranges: pa.Array, items: pa.Array) -> pa.Array:
-    """Union of the ranges and items of all blocks."""
-    hits, counts, digests = [], [], []
-    for flat, names in zip(ranges.to_pylist(), items.to_pylist()):
-        total, reach = 0, 0
-        for a, b in sorted(zip(flat[::2], flat[1::2])):
-            total += max(0, b - max(a, reach))
-            reach = max(reach, b)
-        names = sorted(set(names))
-        hits.append(total)
-        counts.append(len(names))
-        digests.append(hashlib.sha256(",".join(names).encode()).hexdigest())
-    return pa.StructArray.from_arrays([pa.array(hits, pa.int64()), pa.array(counts, pa.int64()),
-                                       pa.array(digests, pa.string())], ["n_hit", "n_items", "items_sha256"])
-
-
 def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int,
                      block_bytes: int = BLOCK_BYTES) -> list:
     """Broadcast blocks of about ``block_bytes`` of benchmark text, one after the
@@ -212,13 +208,13 @@ def judged(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_c
     """row (the columns of docs), n_words, n_hit, n_items, items_sha256, contaminated."""
     text = F.col(f"row.`{text_col}`")
     rows = batched(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    names = []
-    for i, block in enumerate(benchmark_blocks(benchmark, item_col, item_text_col, window)):
-        names.append(f"found{i}")
-        rows = rows.withColumn(names[-1], found_udf(block, window)(text))
-    rows = rows.withColumn("all", merged(F.concat(*[f"{c}.ranges" for c in names]),
-                                         F.concat(*[f"{c}.items" for c in names])))
-    rows = rows.select("row", f"{names[0]}.n_words", "all.*")
+    blocks = benchmark_blocks(benchmark, item_col, item_text_col, window)
+    found = F.struct(F.array().cast(LONGS).alias("ranges"), F.array().cast(STRINGS).alias("items"))
+    for i, block in enumerate(blocks):
+        last = i + 1 == len(blocks)
+        rows = rows.withColumn("found", found_udf(block, window, last)(text, found["ranges"], found["items"]))
+        found = F.col("found")
+    rows = rows.select("row", "found.*")
     return rows.withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
 
 
