@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 #: Text bytes that one step inside a task works on at a time.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 #: Rows of an Arrow batch.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
