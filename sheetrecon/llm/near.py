@@ -18,7 +18,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -41,16 +41,19 @@ def block_masks(radius: int, pick: int) -> list[int]:
     return [sum(c) for c in combinations(blocks, pick)]
 
 
-def cells(items: DataFrame, radius: int, pick: int) -> DataFrame:
+def block_keys(radius: int, pick: int) -> Column:
+    signed = [m - (1 << 64) if m >> 63 else m for m in block_masks(radius, pick)]
+    return F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m).cast("long")))
+                     for i, m in enumerate(signed)])
+
+
+def cells(items: DataFrame, keys: Column) -> DataFrame:
     """``items`` (fp long, more columns) -> rows of ``items`` with ``cell``.
 
-    A row appears once per block combination, and once per chunk of its key
+    A row appears once per key of ``keys``, and once per chunk of its key
     where the key is hot. Key sizes are estimated from one fingerprint in
     SAMPLE (by hash); the estimate only sizes cells, every pair meets anyway.
     """
-    signed = [m - (1 << 64) if m >> 63 else m for m in block_masks(radius, pick)]
-    keys = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m).cast("long")))
-                     for i, m in enumerate(signed)])
     keyed = items.withColumn("cell", F.explode(keys))
     few = items.where(F.pmod(F.xxhash64("fp", F.lit(3)), F.lit(SAMPLE)) == 0).select(F.explode(keys).alias("cell"))
     hot = materialize(few.groupBy("cell").count().where(F.col("count") * SAMPLE > CELL)
@@ -181,7 +184,8 @@ def tree_links(fp: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> pa.Table |
         return pa.table({"u": np.maximum(*pair), "v": np.minimum(*pair)})
 
 
-def small_cells(cell: np.ndarray, fp: np.ndarray, radius: int) -> pa.Table | None:
+def small_cells(cell: np.ndarray, fp: np.ndarray, radius: int, sizes: np.ndarray | None = None,
+                apart: float = 0) -> pa.Table | None:
     """Links inside each run of equal ``cell`` (of SMALL rows at most), many runs at
     a time: each row against the next, the next but one, and so on."""
     rows, cols, at = [], [], np.arange(len(cell))
@@ -191,11 +195,30 @@ def small_cells(cell: np.ndarray, fp: np.ndarray, radius: int) -> pa.Table | Non
         if not len(at):
             break
         near = at[np.bitwise_count(fp[at].view(np.uint64) ^ fp[at + shift].view(np.uint64)) <= radius]
+        if sizes is not None:
+            near = near[of_like_size(sizes[near], sizes[near + shift], apart)]
         rows.append(near)
         cols.append(near + shift)
     return tree_links(fp, np.concatenate(rows), np.concatenate(cols)) if rows else None
 
 
+def of_like_size(a: np.ndarray, b: np.ndarray, apart: float) -> np.ndarray:
+    return np.abs(a - b) <= apart * np.maximum(a, b) + 1e-9
+
+
+def large_cell(fp: np.ndarray, radius: int, sizes: np.ndarray, apart: float) -> pa.Table | None:
+    """Links inside one cell for any radius: SMALL rows against all later ones at a time."""
+    bits, rows, cols = fp.view(np.uint64), [], []
+    for at in range(0, len(fp), SMALL):
+        some = slice(at, at + SMALL)
+        close = np.bitwise_count(bits[some, None] ^ bits[None, at:]) <= radius
+        close &= of_like_size(sizes[some, None], sizes[None, at:], apart)
+        i, j = np.nonzero(np.triu(close, 1))
+        rows.append(i + at)
+        cols.append(j + at)
+    return tree_links(fp, np.concatenate(rows), np.concatenate(cols))
+
+
 def fingerprint_links(fps: DataFrame, radius: int, pick: int = 2, sliced: bool = True) -> DataFrame:
     """Distinct ``fps`` (fp long) -> links (u, v), u > v, a spanning forest of
     each cell's pairs within ``radius`` bits (never all pairs of a cell). Cells
@@ -204,33 +227,53 @@ def fingerprint_links(fps: DataFrame, radius: int, pick: int = 2, sliced: bool =
         fp = np.unique(cell.column("fp").to_numpy())
         return tree_links(fp, *np.nonzero(bit_sliced(fp.view(np.uint64), radius)))
 
+    celled = cells(fps, block_keys(radius, pick))
+    if sliced:
+        return in_cells(celled, work, "u long, v long")
+    return links_in_cells(celled, lambda cell, fp, _: small_cells(cell, fp, radius),
+                          lambda fp, _: work(pa.table({"fp": fp})))
+
+
+def keyed_links(fps: DataFrame, keys: Column, radius: int, apart: float) -> DataFrame:
+    """``fps`` (fp long, chars int, more columns) -> links (u, v) as above, of pairs that
+    share one of ``keys`` and lie within ``radius`` bits, and whose ``chars`` differ
+    by the share ``apart`` of the larger at most."""
+    return links_in_cells(cells(fps, keys).select("cell", "fp", "chars"),
+                          lambda cell, fp, sizes: small_cells(cell, fp, radius, sizes, apart),
+                          lambda fp, sizes: large_cell(fp, radius, sizes, apart))
+
+
+def links_in_cells(celled: DataFrame, small: Callable, large: Callable) -> DataFrame:
+    """``small`` on many cells of up to SMALL rows at a time, ``large`` on each other one;
+    both take fp and the column after it (or nothing)."""
     def run(batches):
-        cell, fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held = None
         for batch in batches:
-            cell = np.concatenate([cell, batch.column("cell").to_numpy()])
-            fp = np.concatenate([fp, batch.column("fp").to_numpy()])
-            if not len(cell):
+            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            held = new if held is None else [np.concatenate(c) for c in zip(held, new)]
+            if not len(held[0]):
                 continue
-            whole = int(np.searchsorted(cell, cell[-1]))  # the last run may go on
-            yield from found(cell[:whole], fp[:whole])
-            cell, fp = cell[whole:], fp[whole:]
-        yield from found(cell, fp)
+            whole = int(np.searchsorted(held[0], held[0][-1]))  # the last run may go on
+            yield from found(*[c[:whole] for c in held])
+            held = [c[whole:] for c in held]
+        if held is not None:
+            yield from found(*held)
 
-    def found(cell, fp):
+    def found(cell, fp, sizes=None):
         if len(cell) > 1:
             starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-            sizes = np.diff(np.append(starts, len(cell)))
-            few = np.repeat((sizes > 1) & (sizes <= SMALL), sizes)
-            links = [small_cells(cell[few], fp[few], radius)]
-            for i in np.flatnonzero(sizes > SMALL).tolist():
-                links.append(work(pa.table({"fp": fp[starts[i]:starts[i] + sizes[i]]})))
+            counts = np.diff(np.append(starts, len(cell)))
+            few = np.repeat((counts > 1) & (counts <= SMALL), counts)
+            links = [small(cell[few], fp[few], None if sizes is None else sizes[few])]
+            for i in np.flatnonzero(counts > SMALL).tolist():
+                run_of = slice(starts[i], starts[i] + counts[i])
+                links.append(large(fp[run_of], None if sizes is None else sizes[run_of]))
             for t in links:
                 yield from [] if t is None else t.to_batches()
 
-    celled = cells(fps, radius, pick)
-    if sliced:
-        return in_cells(celled, work, "u long, v long")
-    return celled.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "u long, v long")
+    columns = [c for c in ("cell", "fp", "chars") if c in celled.columns]
+    return (celled.select(*columns).repartition("cell").sortWithinPartitions("cell")
+            .mapInArrow(run, "u long, v long"))
 
 
 def components(links: DataFrame) -> DataFrame:
