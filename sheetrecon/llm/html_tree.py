@@ -28,11 +28,16 @@ from .common import batched
 TRAIN_PAGES, TRAIN_BYTES = 300, 200_000
 STEPS, RATE, PULL = 12, 0.5, 0.02
 
-SILENT = frozenset("script style noscript template head title textarea select option button iframe object canvas "
-                   "svg math audio video datalist".split())
+SILENT = frozenset("script style noscript template head title textarea select option button iframe canvas "
+                   "svg audio video datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
-                   "span strike strong sub sup time tt u var".split())
+                   "span strike strong sub sup time tt u var math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt "
+                   "mroot mover munder munderover mstyle semantics".split())
+#: Start tags that may stand in a head; any other one ends it, with or without </head>.
+IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title head html".split())
+#: Elements whose content stays in them, up to their own end tag.
+RAW = frozenset("script style title textarea noscript template".split())
 #: Start tags that end an open element of these names (up to the nearest scope).
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}}
@@ -89,6 +94,8 @@ class Tree(HTMLParser):
         self.close()
 
     def handle_starttag(self, tag, attrs):
+        if self.silent and tag not in IN_HEAD:
+            self.end_head()
         if tag in ("html", "body"):
             return
         if tag in VOID:
@@ -129,6 +136,13 @@ class Tree(HTMLParser):
         if tag not in VOID and tag in ("script", "svg", "iframe"):
             self.handle_endtag(tag)
 
+    def end_head(self):
+        """End an open head, unless one of RAW is open in it."""
+        at = next((i for i in range(1, len(self.open)) if self.open[i][0] == "head"), 0)
+        if at and not any(name in RAW for name, _ in self.open[at + 1:]):
+            while len(self.open) > at:
+                self.pop()
+
     def pop_to(self, tags, scopes):
         """End the nearest open element of ``tags``, unless a scope is nearer."""
         for i in range(len(self.open) - 1, 0, -1):
@@ -161,6 +175,8 @@ class Tree(HTMLParser):
                 self.pop()
 
     def handle_data(self, data):
+        if self.silent and data.strip():
+            self.end_head()
         self.write(data)
 
     def write(self, data):

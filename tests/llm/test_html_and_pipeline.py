@@ -105,3 +105,21 @@ def test_registered_queries():
     for n in range(1, 11):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
+
+
+def test_a_head_ends_without_its_end_tag():
+    weights = html_tree.fit([])
+    article = "<article><h1>Title</h1><p>Some words of an article that is long enough to be one.</p></article>"
+    want = "Title Some words of an article that is long enough to be one."
+    head = "<head><meta charset=u><title>x</title><style>p {}</style><script>a = '<p>no</p>'</script>"
+    for page in (f"<html>{head}<body>{article}", head + article, f"{head}<noscript><img></noscript></head>{article}",
+                 f"<html>{head}</head><body>{article}</body></html>"):
+        assert html_tree.main_text(page, weights) == want
+    assert "loose" in "".join(sum((pieces for _, pieces in html_tree.Tree(head + "loose").runs), []))
+
+
+def test_formulas_and_objects_of_an_article_stay():
+    page = ("<article><p>The sum <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is what we want, and nothing else.</p>"
+            "<object data=x><p>The text that stands for the object, with words enough.</p></object></article>")
+    assert html_tree.main_text(page, html_tree.fit([])) == (
+        "The sum a+b is what we want, and nothing else. The text that stands for the object, with words enough.")
