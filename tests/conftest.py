@@ -19,9 +19,3 @@ def spark():
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="sheetrecon-test-", dir=os.environ.get("TMPDIR", "/tmp"))
-
-
-def write(path, text, encoding="utf-8"):
-    with open(path, "w", encoding=encoding, newline="") as f:
-        f.write(text)
-    return path

@@ -73,3 +73,9 @@ def catalog(spark):
         "medios_cobros_bancos": t([(2, "CTA-2", "MARTA"), (3, "CTA-3", None)],
                                   "cod_medio_cobro int, nro_cuenta string, titular string"),
     }
+
+
+def write(path, text, encoding="utf-8"):
+    with open(path, "w", encoding=encoding, newline="") as f:
+        f.write(text)
+    return path

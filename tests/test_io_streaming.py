@@ -3,7 +3,7 @@ import os
 
 import pytest
 
-from conftest import write
+from fixtures import write
 from fixtures import catalog
 from sheetrecon.operators import runlog as rl
 from sheetrecon.plans.pipeline import FillRequest

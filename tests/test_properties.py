@@ -5,7 +5,7 @@ import os
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import write
+from fixtures import write
 from sheetrecon.functions.text import is_strict_key, strip
 from sheetrecon.sources import sheet as sh
 

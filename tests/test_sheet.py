@@ -1,6 +1,6 @@
 import os
 
-from conftest import write
+from fixtures import write
 from sheetrecon.sources import sheet as sh
 
 # SH1-like: 10 banner rows (rows 4-6 have 5 fields), then 5 data rows.

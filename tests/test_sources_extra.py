@@ -1,6 +1,6 @@
 import os
 
-from conftest import write
+from fixtures import write
 from fixtures import catalog
 from sheetrecon.functions.fmt import basename, processed_path
 from sheetrecon.operators import lookup as lk
