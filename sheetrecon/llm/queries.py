@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fuzzy_lines, html_tree, id_files, ppm, quality, simhash, suffixes, superkmers, warc
+from . import byte_bpe, fuzzy_lines, html_tree, id_files, merkle, ppm, quality, simhash, suffixes, superkmers, warc
 from .common import table
 
 
@@ -52,6 +52,16 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_tree.extract(table(spark, sf_dir, "pages"))
 
 
+def tampered_text():
+    """The text without its line breaks where 2 divides the crc32 of the decimal doc_id."""
+    odd = F.crc32(F.col("`doc_id`").cast("string").cast("binary")) % 2
+    return F.when(odd == 0, F.replace(F.col("`text`"), F.lit("\n"), F.lit(""))).otherwise(F.col("`text`"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"), tampered_text())
+
+
 QUERIES = {
     "op1_warc_bundles": op1_warc_bundles,
     "op2_fuzzy_line_dedup": op2_fuzzy_line_dedup,
@@ -63,6 +73,7 @@ QUERIES = {
     "op8_token_id_files": op8_token_id_files,
     "op9_html_extraction": op9_html_extraction,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
