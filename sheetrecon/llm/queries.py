@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fuzzy_lines, html_tree, id_files, merkle, ppm, quality, simhash, suffixes, superkmers, warc
+from . import byte_bpe, fuzzy_lines, html_tree, id_files, importance, merkle, ppm, quality, simhash, suffixes, superkmers, warc
 from .common import table
 
 
@@ -52,6 +52,10 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_tree.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def tampered_text():
     """The text without its line breaks where 2 divides the crc32 of the decimal doc_id."""
     odd = F.crc32(F.col("`doc_id`").cast("string").cast("binary")) % 2
@@ -73,6 +77,7 @@ QUERIES = {
     "op8_token_id_files": op8_token_id_files,
     "op9_html_extraction": op9_html_extraction,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_importance_resampling": op11_importance_resampling,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
