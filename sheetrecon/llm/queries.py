@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fuzzy_lines, html_tree, id_files, importance, merkle, ppm, quality, simhash, suffixes, superkmers, warc
+from . import (byte_bpe, fuzzy_lines, html_tree, id_files, importance, merkle, ppm, quality, signature_trees, simhash,
+               suffixes, superkmers, warc)
 from .common import table
 
 
@@ -56,6 +57,10 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_trees.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def tampered_text():
     """The text without its line breaks where 2 divides the crc32 of the decimal doc_id."""
     odd = F.crc32(F.col("`doc_id`").cast("string").cast("binary")) % 2
@@ -78,6 +83,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_signature_tree_join": op12_signature_tree_join,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
