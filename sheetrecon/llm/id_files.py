@@ -9,6 +9,7 @@ parallel, and a filter on document ids skips stripes by their metadata.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,34 +29,49 @@ END_ID = 2
 MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
 #: Distinct words that a worker keeps before it forgets all but those of the next step.
 CACHE = 1 << 20
-ORC = {"orc.compress": "ZSTD", "orc.create.index": "true", "orc.row.index.stride": "1000",
+#: The run-length encoding has packed the ids already: a light codec is enough.
+ORC = {"orc.compress": "LZ4", "orc.create.index": "true", "orc.row.index.stride": "1000",
        "orc.stripe.size": str(32 << 20), "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
 
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str):
-    """The model, and which of its ids end a word."""
+    """The model as its file says, which of its ids end a word, and its added tokens."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path)
-    model.encode_special_tokens = True
     vocab = model.get_vocab()
     ends = np.zeros(max(vocab.values()) + 1, bool)
     ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-    return model, ends
+    added = re.compile(b"|".join(re.escape(t.content.lower().encode()) for t in model.get_added_tokens_decoder().values())
+                       or rb"(?!)")
+    return model, ends, added
 
 
 class WordEncoder:
     """Ids of texts by a tokenizer that lower-cases and drops white space, so
-    that a text's ids are those of its words, one after the other."""
+    that a text's ids are those of its words, one after the other. The library cuts out
+    added tokens before that: a text that holds one is given to it whole."""
 
     def __init__(self, path: str):
-        self.model, self.ends = tokenizer(path)
+        self.model, self.ends, self.added = tokenizer(path)
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        cut = [t.lower().split() for t in texts]
+        low = [t.lower() for t in texts]
+        whole = [i for i, t in enumerate(low) if self.added.search(t)]
+        for i in whole:
+            low[i] = b""
+        out = self.of_words(low)
+        if whole:
+            some = self.model.encode_batch([texts[i].decode() for i in whole], add_special_tokens=False)
+            for i, found in zip(whole, some):
+                out[i] = np.array(found.ids, np.uint32)
+        return out
+
+    def of_words(self, texts: list[bytes]) -> list[np.ndarray]:
+        cut = [t.split() for t in texts]
         words = list(chain.from_iterable(cut))
         if len(self.known) > CACHE:
             self.known = {w: self.known[w] for w in set(words).intersection(self.known)}

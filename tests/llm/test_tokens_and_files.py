@@ -60,8 +60,7 @@ def test_digests_and_round_trip(spark):
 def test_word_ids_are_those_of_the_library():
     coder = id_files.WordEncoder(id_files.TOKENIZER)
     model = Tokenizer.from_file(id_files.TOKENIZER)
-    model.encode_special_tokens = True
-    texts = odd_texts()
+    texts = odd_texts() + ["<|endoftext|>", "a <|endoftext|>b <|startoftext|>.", "<|ENDOFTEXT|> X", "<|end", "x<|endoftext|"]
     want = [e.ids for e in model.encode_batch(texts, add_special_tokens=False)]
     assert [x.tolist() for x in coder.encode([t.encode() for t in texts])] == want
 
@@ -71,7 +70,6 @@ def test_id_files(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "ids")
     got = id_files.id_files(docs, path=path).collect()
     model = Tokenizer.from_file(id_files.TOKENIZER)
-    model.encode_special_tokens = True
     want = Counter()
     for i, t in rows:
         ids = model.encode(t or "", add_special_tokens=False).ids + [id_files.END_ID]
