@@ -160,6 +160,7 @@ def score_udf(array, order: int, lower: bool):
             lp = array.value.get(bytegrams.keyed(codes, names, order), 0.0)
             found.append(bytegrams.doc_sums(lp, counts))
             at += len(texts)
+        release()
         return pa.array(np.concatenate(found) if found else np.zeros(0))
 
     return run

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 
 #: Fingerprints in one chunk of a hot key; a cell holds two chunks at most.
 CELL = 1024
@@ -158,6 +158,7 @@ def in_cells(celled: DataFrame, work: Callable[[pa.Table], pa.Table | None], sch
         for cell in grouped(batches, "cell"):
             if cell.num_rows > 1 and (done := work(cell)) is not None:
                 yield from done.to_batches()
+        release()
 
     return celled.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, schema)
 
@@ -258,6 +259,8 @@ def links_in_cells(celled: DataFrame, small: Callable, large: Callable) -> DataF
             held = [c[whole:] for c in held]
         if held is not None:
             yield from found(*held)
+        held = None
+        release()
 
     def found(cell, fp, sizes=None):
         if len(cell) > 1:

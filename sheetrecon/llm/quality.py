@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kneser_ney
-from .common import batched, materialize, text_bytes, words
+from .common import batched, materialize, release, text_bytes, words
 
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 #: Interquartile ranges below and above the quartiles that a text may lie.
@@ -66,6 +66,7 @@ NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 def measured(text: pa.Array) -> pa.Array:
     rows = [measures(t) for part in text_bytes(text) for t in part]
     columns = np.array(rows, np.int64).reshape(-1, len(NAMES))
+    release()
     return pa.StructArray.from_arrays([pa.array(columns[:, i]) for i in range(len(NAMES))], NAMES)
 
 

@@ -14,11 +14,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import near
-from .common import batched, materialize, text_bytes, words
+from .common import Bits, batched, materialize, release, text_bytes, words
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 
@@ -53,6 +53,7 @@ def fingerprint_udf(shingle: int):
     @F.arrow_udf("long")
     def run(text: pa.Array) -> pa.Array:
         found = [fingerprint(t, shingle) for part in text_bytes(text) for t in part]
+        release()
         return pa.array(np.array(found, np.uint64).view(np.int64))
 
     return run
@@ -89,12 +90,29 @@ def component_of(rows: DataFrame, radius: int) -> DataFrame:
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each group: the smallest id (null ids last; of
-    repeated ids the least text hash). All columns stay as they are."""
-    columns = batched(docs).columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
-                       F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
-                       fingerprint_udf(shingle)(F.col(text_col)).alias("fp"))
-    named = component_of(materialize(rows.select("doc_id", "fp"), "fingerprints"), radius)
-    order = Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "text_hash")
-    return (rows.join(named.select("fp", "root"), "fp")
-            .withColumn("place", F.row_number().over(order)).where("place = 1").select("row.*"))
+    repeated ids the least text hash; of rows that repeat both, one). All columns stay as
+    they are. Null and empty texts form one group; an empty table stays empty.
+
+    Fingerprints are taken once, into a table without the texts; there the row of each
+    group is chosen. Only rows that a bounded bit table marks (others of a group, and
+    repeated rows) are joined with the choice; the rest of ``docs`` is not moved.
+    """
+    text = F.col(f"`{text_col}`")
+    name = [F.xxhash64(F.col(f"`{id_col}`"), text).alias("key"), F.xxhash64(F.lit(1), text).alias("other")]
+    rows = materialize(batched(docs).select(F.col(f"`{id_col}`").alias("doc_id"), *name,
+                                            fingerprint_udf(shingle)(text).alias("fp")), "fingerprints")
+    named = component_of(rows, radius).select("fp", "root")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "other", "key")
+    distinct = materialize(rows.groupBy("key", "other", "doc_id", "fp").agg(F.count("*").alias("n"))
+                           .join(named, "fp").withColumn("order", order), "named-rows")
+    best = distinct.groupBy("root").agg(F.min("order").alias("best"))
+    marked = distinct.join(best, "root").withColumn("stays", F.col("order") == F.col("best"))
+    marked = materialize(marked.where("n > 1 or not stays").select("key", "other", "stays"), "marked-rows")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(*name, row).withColumn("some", Bits(marked, "key").column("key"))
+    # a marked row that stays is kept once, a marked row that goes not at all, and a row
+    # that the bit table marks by chance as often as it is there
+    some = keyed.where("some").join(marked, ["key", "other"], "left").select("key", "other", "row", "stays")
+    return (keyed.where("not some").select("row.*")
+            .unionByName(some.where("stays is null").select("row.*"))
+            .unionByName(some.where("stays").dropDuplicates(["key", "other"]).select("row.*")))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batched, materialize, text_bytes
+from .common import batched, materialize, release, text_bytes
 
 WINDOW = 13
 #: Bytes of benchmark text in one broadcast block.
@@ -179,6 +179,7 @@ def found_udf(block, window: int, last: bool):
             for t, r, i in zip(texts, *contaminate(texts, block.value, window)):
                 r, i = before[len(out)] + r, names[len(out)] + i
                 out.append((len(item_words(t)), *merge(r, i)) if last else (r, i))
+        release()
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()] if last else \
             [pa.list_(pa.int64()), pa.list_(pa.string())]
         return pa.StructArray.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)],
