@@ -13,7 +13,9 @@ line gets its 1-based position inside its file:
   the number of splits, not by the data; the join is broadcast only below
   a checked size.
 
-No step shuffles the sheet itself. Blank lines are kept (Spark's CSV reader
+The same table decides the encoding of each file and where quoted cells span
+lines (see ``records``). No step shuffles the sheet itself, but for files with
+records of several lines. Blank lines are kept (Spark's CSV reader
 would drop them and shift positions). Cells are parsed with ``from_csv``:
 short rows are padded with nulls, long rows truncated to ``n_cols``.
 """
@@ -22,11 +24,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.safety import broadcast_if_bounded, split_bound
+from ..operators.safety import split_bound
+from . import records as rc
 
 ROW_NO = "row_no"
 FILE = "file_path"
@@ -50,88 +53,77 @@ def number_lines(spark: SparkSession, path: str | list[str],
     reader = spark.read.format("text")
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
+    scan, bound = raw_scan(reader, path)
+    return number_text_scan(scan, bound)
+
+
+def raw_scan(reader, path: str | list[str]) -> tuple[DataFrame, int]:
+    """``file_path, _blk, value`` of a text reader, and the bound on its splits."""
     raw = reader.load(path)
-    scan = raw.select(F.col("_metadata.file_path").alias(FILE),
-                      F.col("_metadata.file_block_start").alias("_blk"), "value")
-    return number_text_scan(scan, split_bound(raw))
+    return raw.select(F.col("_metadata.file_path").alias(FILE),
+                      F.col("_metadata.file_block_start").alias("_blk"), "value"), split_bound(raw)
 
 
 def number_text_scan(scan: DataFrame, row_bound: int | None = None) -> DataFrame:
-    """Line numbers for a text scan with ``file_path, _blk, value`` columns
-    (a batch read, or one micro-batch of a file stream: every file of a
-    micro-batch is complete, so per-file numbering holds there too).
+    """Line numbers and text (in the encoding of its file) for a text scan with
+    ``file_path, _blk, value`` columns (a batch read, or one micro-batch of a file stream:
+    every file of a micro-batch is complete, so per-file numbering holds there too).
 
     ``row_bound`` bounds the number of (file, split) pairs; when known and
     small, the per-split offsets table is broadcast.
     """
-    lines = scan.select(FILE, "_blk", F.monotonically_increasing_id().alias("_id"), "value")
-    blocks = (lines.groupBy(FILE, "_blk")
-              .agg(F.min("_id").alias("_first_id"), F.count(F.lit(1)).alias("_n")))
-    w = (Window.partitionBy(FILE).orderBy("_blk")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    offsets = blocks.select(FILE, "_blk", "_first_id",
-                            (F.sum("_n").over(w) - F.col("_n")).alias("_before"))
-    if row_bound is not None:
-        offsets = broadcast_if_bounded(offsets, row_bound)
-    return (lines.join(offsets, [FILE, "_blk"], "inner")
-            .select(FILE,
-                    (F.col("_before") + (F.col("_id") - F.col("_first_id")) + 1).alias(ROW_NO),
-                    "value"))
-
-
-def parse_lines(lines: DataFrame, n_cols: int, sep: str = ",",
+    return rc.numbered(rc.text_lines(scan), row_bound).drop("_tab")
+
+
+def parse_lines(lines: DataFrame, n_cols: int, sep: str | None = ",",
                 value_col: str = "value", keep: Iterable[str] = (FILE, ROW_NO)) -> DataFrame:
     """Split each text line into ``c0..c{n_cols-1}`` string cells.
 
     CSV quoting rules apply inside a record. Missing cells and empty unquoted
     cells are null (as a headerless all-text read gives them), a quoted
     empty cell is ''. Extra cells are dropped, an unparsable line gives
-    all-null cells (permissive). A blank line gives all-null cells.
+    all-null cells (permissive). A blank line gives all-null cells. ``sep=None`` takes
+    the separator of each line from its column ``sep`` (a tab or a comma).
     """
-    schema = sheet_schema(n_cols)
-    opts = {"sep": sep, "mode": "PERMISSIVE", "emptyValue": "", "escape": '"'}
-    parsed = F.from_csv(F.col(value_col), schema.simpleString(), opts)
-    keep = [k for k in keep if k in lines.columns]
-    return lines.select(*keep, *[parsed.getField(c).alias(c) for c in cell_names(n_cols)])
+    schema = sheet_schema(n_cols).simpleString()
 
+    def cells(one: str) -> Column:
+        return F.from_csv(F.col(value_col), schema, {"sep": one, "mode": "PERMISSIVE", "emptyValue": "",
+                                                     "escape": '"'})
 
-def number_records(lines: DataFrame) -> DataFrame:
-    """Numbered lines -> numbered records: a line break inside quotes does not end
-    one. Files of any size are read in parallel splits.
+    parsed = cells(sep) if sep is not None else F.when(F.col("sep") == "\t", cells("\t")).otherwise(cells(","))
+    keep = [k for k in keep if k in lines.columns]
+    rows = lines.select(*keep, parsed.alias("_cells"))
+    return rows.select(*keep, *[F.col("_cells").getField(c).alias(c) for c in cell_names(n_cols)])
 
-    Lines with an odd number of quotes open and close such records, in turn within a
-    file (a last one that nothing closes stays a line). They are few: the narrow rows
-    of these lines are numbered within their file, paired, and the lines of each pair
-    put together; all records are numbered anew only where there are any.
-    """
-    from ..operators.pick import number_within_key
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    odd = number_within_key(lines.where(quotes % 2 == 1).select(FILE, ROW_NO), FILE, [ROW_NO])
-    pairs = (odd.groupBy(FILE, F.ceil(F.col("n_in_key") / 2).alias("_pair"))
-             .agg(F.min(ROW_NO).alias("_open"), F.max(ROW_NO).alias("_close"))
-             .where("_close > _open"))
-    if pairs.isEmpty():
-        return lines
-    inner = pairs.select(FILE, F.explode(F.sequence("_open", "_close")).alias(ROW_NO), "_open")
-    marked = lines.join(inner, [FILE, ROW_NO], "left")
-    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(ROW_NO, "value"))),
-                                    lambda x: x["value"]), "\n")
-    whole = (marked.where("_open is not null").groupBy(FILE, F.col("_open").alias(ROW_NO))
-             .agg(text.alias("value")))
-    records = marked.where("_open is null").select(FILE, ROW_NO, "value").unionByName(whole)
-    return number_within_key(records, FILE, [ROW_NO]).select(FILE, F.col("n_in_key").cast("long").alias(ROW_NO), "value")
-
-
-def read_sheet(spark: SparkSession, path: str | list[str], n_cols: int, sep: str = ",",
-               multi_line: bool = True, path_glob: str | None = None) -> DataFrame:
+
+def read_sheet(spark: SparkSession, path: str | list[str], n_cols: int, sep: str | None = ",",
+               multi_line: bool = True, path_glob: str | None = None,
+               max_lines: int = rc.MAX_LINES) -> DataFrame:
     """Robust sheet scan (no header, all text) with ``file_path, row_no``.
 
-    Quoted line breaks stay inside their cell and blank records keep their place.
-    ``multi_line=False`` takes every line as a record and saves the pass that looks
-    for such breaks.
+    Each file is read as UTF-8 if it is that, else as ISO-8859-1. ``sep=None`` takes the
+    separator of each file from its first line. Quoted line breaks stay inside their
+    cell (of ``max_lines`` lines at most) and blank records keep their place.
+    ``multi_line=False`` takes every line as a record.
     """
-    lines = number_lines(spark, path, path_glob)
-    return parse_lines(number_records(lines) if multi_line else lines, n_cols, sep)
+    reader = spark.read.format("text")
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    scan, bound = raw_scan(reader, path)
+    return sheet_of(scan, n_cols, sep, multi_line, bound, max_lines)
+
+
+def sheet_of(scan: DataFrame, n_cols: int, sep: str | None = ",", multi_line: bool = True,
+             row_bound: int | None = None, max_lines: int = rc.MAX_LINES) -> DataFrame:
+    """``read_sheet`` of a text scan (``file_path, _blk, value``; or with ``_id``)."""
+    lines = scan if "_id" in scan.columns else rc.text_lines(scan)
+    if multi_line:
+        return parse_lines(rc.records(lines, sep, row_bound, max_lines), n_cols, sep)
+    rows = rc.numbered(lines, row_bound)
+    if sep is None:
+        rows = rows.withColumn("sep", F.when(F.col("_tab"), F.lit("\t")).otherwise(F.lit(",")))
+    return parse_lines(rows, n_cols, sep)
 
 
 def infer_width(lines: DataFrame, sep: str = ",", sample_rows: int | None = None) -> int:
