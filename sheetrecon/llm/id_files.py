@@ -13,7 +13,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +27,7 @@ from .common import batched, materialize, scratch, text_bytes
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
-#: Distinct words that a worker keeps before it forgets all but those of the next step.
+#: Distinct words that a worker keeps before it forgets the older half.
 CACHE = 1 << 20
 #: The run-length encoding has packed the ids already: a light codec is enough.
 ORC = {"orc.compress": "LZ4", "orc.create.index": "true", "orc.row.index.stride": "1000",
@@ -60,7 +60,7 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         low = [t.lower() for t in texts]
-        whole = [i for i, t in enumerate(low) if self.added.search(t)]
+        whole = [i for i, t in enumerate(low) if b"<" in t and self.added.search(t)]
         for i in whole:
             low[i] = b""
         out = self.of_words(low)
@@ -74,7 +74,7 @@ class WordEncoder:
         cut = [t.split() for t in texts]
         words = list(chain.from_iterable(cut))
         if len(self.known) > CACHE:
-            self.known = {w: self.known[w] for w in set(words).intersection(self.known)}
+            self.known = dict(islice(self.known.items(), CACHE // 2, None))
         ids = list(map(self.known.get, words))
         if None in ids:
             self.learn_new({w for w, i in zip(words, ids) if i is None})
