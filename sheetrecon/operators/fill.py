@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import FILLABLE_TOKENS, is_fillable, is_loose_key, is_strict_key, strip
@@ -123,12 +123,23 @@ def fill_gated(sheet: DataFrame, lookup: DataFrame, targets: Mapping[str, str],
 
 def fill_always(sheet: DataFrame, lookup: DataFrame, target: str = "c5", key_cell: str = "c1",
                 value: str = "nombre_cliente", key_col: str = "legajo",
-                start_row: int = 11) -> DataFrame:
-    """every matched data row gets the looked-up value (loose keys)."""
+                start_row: int = 11, with_key: bool = False) -> DataFrame:
+    """every matched data row gets the looked-up value (loose keys). ``with_key`` adds
+    the row's key (null where there is none), so that all figures of the run follow
+    from the filled rows."""
     j = _attach(sheet, lookup, key_cell, start_row, key_col, {"value": value})
+    key = F.when((F.col(ROW_NO) >= start_row) & is_loose_key(key_cell), strip(key_cell))
     cols = [F.when(F.col("_matched"), F.col("_v_value").cast("string")).otherwise(F.col(c)).alias(c)
             if c == target else F.col(c) for c in sheet.columns]
-    return j.select(*cols, F.col("_matched").alias("matched"))
+    return j.select(*cols, F.col("_matched").alias("matched"), *([key.alias("key")] if with_key else []))
+
+
+def observed(filled: DataFrame, **figures: Column) -> tuple[DataFrame, Observation]:
+    """``filled`` with aggregates that the job which writes it collects on its way (no
+    distinct counts); read them with ``Observation.get`` once it is written."""
+    figures = {k: v.alias(k) for k, v in figures.items()}
+    watch = Observation()
+    return filled.observe(watch, *figures.values()), watch
 
 
 def as_sheet_text(v: Column, dtype) -> Column:

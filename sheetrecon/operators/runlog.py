@@ -86,9 +86,15 @@ def run_summary(keys: DataFrame, lookup: DataFrame, key_col: str = "legajo",
     many, and the message of the first), seconds. One join of the keys with the
     lookup's keys and one aggregate; a run that raised passes ``success`` false."""
     hit = lookup.select(F.col(key_col).alias("key")).distinct().withColumn("_hit", F.lit(True))
-    j = keys.join(hit, "key", "left")
-    miss = F.col("_hit").isNull()
-    return j.groupBy(FILE).agg(
+    rows = keys.join(hit, "key", "left").withColumn("matched", F.col("_hit").isNotNull())
+    return summary_of(rows, success, execution_time)
+
+
+def summary_of(rows: DataFrame, success: bool = True, execution_time: float | None = None) -> DataFrame:
+    """``run_summary`` of key occurrences (file_path, row_no, key) that are marked ``matched``
+    already, such as the rows of a filled sheet: no lookup is evaluated again."""
+    miss = ~F.col("matched")
+    return rows.groupBy(FILE).agg(
         F.count(F.lit(1)).alias("processed_count"),
         F.count_if(~miss).alias("matched_count"),
         F.count_if(miss).alias("error_count"),

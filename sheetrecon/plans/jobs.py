@@ -19,7 +19,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.fill import rate
+from ..operators.fill import observed, rate
 from ..sources.sheet import FILE, read_sheet
 from ..sources.sinks import write_run_log, write_sheet
 from .pipeline import FillRequest, fill_sheet
@@ -38,16 +38,16 @@ def summarize(filled: DataFrame, req: FillRequest) -> DataFrame:
 
 
 def run_fill_job(spark: SparkSession, sheets: str, catalog: Mapping[str, DataFrame], out_dir: str,
-                 n_cols: int, req: FillRequest = FillRequest(), sep: str = ",",
+                 n_cols: int, req: FillRequest = FillRequest(), sep: str | None = ",",
                  run_log_dir: str | None = None) -> DataFrame:
     """Fill, write, summarize. With ``run_log_dir`` one row per run is logged (K4),
     also when the run fails: then ``success`` is false and the error is kept."""
     t0 = time.time()
     try:
-        out = _fill_job(spark, sheets, catalog, out_dir, n_cols, req, sep)
-        counts = out.agg(F.coalesce(F.sum("key_cells"), F.lit(0)).alias("processed_count"),
-                         F.coalesce(F.sum("filled"), F.lit(0)).alias("matched_count"))
-        done = counts.select(F.lit(True).alias("success"), "*", F.lit(None).cast("string").alias("first_error"))
+        out, figures = _fill_job(spark, sheets, catalog, out_dir, n_cols, req, sep)
+        done = spark.range(1).select(F.lit(True).alias("success"), *[F.lit(v or 0).cast("long").alias(k)
+                                                                     for k, v in figures.items()],
+                                     F.lit(None).cast("string").alias("first_error"))
     except Exception as e:
         done = spark.range(1).select(F.lit(False).alias("success"), F.lit(0).cast("long").alias("processed_count"),
                                      F.lit(0).cast("long").alias("matched_count"), F.lit(str(e)).alias("first_error"))
@@ -65,15 +65,21 @@ def _log(done: DataFrame, sheets: str, t0: float, run_log_dir: str | None) -> No
 
 
 def _fill_job(spark: SparkSession, sheets: str, catalog: Mapping[str, DataFrame], out_dir: str,
-              n_cols: int, req: FillRequest, sep: str) -> DataFrame:
+              n_cols: int, req: FillRequest, sep: str | None) -> tuple[DataFrame, dict]:
+    """The summary, and the run's figures as the job that writes the staged sheet saw them."""
+    from ..functions.text import is_strict_key
     sheet = read_sheet(spark, sheets, n_cols, sep)
     staged = f"{out_dir}/_staged"
-    fill_sheet(sheet, catalog, req).write.mode("overwrite").parquet(staged)
+    is_key = (F.col("row_no") >= req.start_row) & is_strict_key(req.key_cell)
+    rows, watch = observed(fill_sheet(sheet, catalog, req),
+                           processed_count=F.count_if(is_key), matched_count=F.count_if("filled"))
+    rows.write.mode("overwrite").parquet(staged)
+    figures = watch.get
     filled = spark.read.parquet(staged)
-    write_sheet(filled, f"{out_dir}/sheets", sep=sep, per_sheet=True)
+    write_sheet(filled, f"{out_dir}/sheets", sep=sep or ",", per_sheet=True)
     summary = summarize(filled, req)
     summary.write.mode("overwrite").parquet(f"{out_dir}/summary")
-    return spark.read.parquet(f"{out_dir}/summary")
+    return spark.read.parquet(f"{out_dir}/summary"), figures
 
 
 def main(argv=None) -> None:

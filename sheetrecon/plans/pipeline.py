@@ -75,19 +75,22 @@ def resolve_column(sheet: DataFrame, spec: str, header_rows: int = 10) -> tuple[
 
 
 def process_sheet(sheet: DataFrame, catalog: Mapping[str, DataFrame],
-                  req: ProcessRequest = ProcessRequest()):
+                  req: ProcessRequest = ProcessRequest(), stage: str | None = None):
     """The request path (F4 with J2): loose keys of the key column, the
     12-field proposal record per key (last row per key in a total order),
     every matched row's target cell set to the client name.
 
-    Returns (filled sheet, a result row per file, unmatched messages).
+    Returns (filled sheet, a result row per file, unmatched messages). All three follow
+    from the filled rows, so each evaluates the lookup once; with ``stage`` (a shared
+    folder) the rows are written there and every table is read once for all three.
     """
     from pyspark.sql import functions as F
 
-    from ..operators.fill import fill_always, sheet_keys, unmatched_keys
+    from ..operators.fill import UNMATCHED_MESSAGE, fill_always, sheet_keys
     from ..operators.lookup import lookup_contact
     from ..operators.pick import last_per_key
-    from ..operators.runlog import run_summary
+    from ..operators.runlog import summary_of
+    from ..sources.sheet import FILE, ROW_NO
 
     sheet, target = resolve_column(sheet, req.target_column)
     _, key_cell = resolve_column(sheet, req.propuesta_column)
@@ -95,8 +98,11 @@ def process_sheet(sheet: DataFrame, catalog: Mapping[str, DataFrame],
     rows = lookup_contact(catalog, keys)
     record = last_per_key(rows, "cod_propuesta", [c for c in rows.columns if c != "cod_propuesta"])
     filled = fill_always(sheet, record, target=target, key_cell=key_cell,
-                         key_col="cod_propuesta", start_row=req.data_start_row)
-    lk = record.select(F.col("cod_propuesta").alias("legajo"))
-    unmatched = unmatched_keys(keys, lk)
-    result = run_summary(keys, lk)
-    return filled, result, unmatched
+                         key_col="cod_propuesta", start_row=req.data_start_row, with_key=True)
+    if stage is not None:
+        filled.write.mode("overwrite").parquet(stage)
+        filled = sheet.sparkSession.read.schema(filled.schema).parquet(stage)
+    rows = filled.where("key is not null").select(FILE, ROW_NO, "key", "matched")
+    unmatched = rows.where("not matched").select("key", FILE, ROW_NO, F.concat(
+        F.lit(UNMATCHED_MESSAGE), F.col("key")).alias("message"))
+    return filled.drop("key"), summary_of(rows), unmatched

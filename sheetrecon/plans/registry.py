@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fmt
@@ -20,6 +20,7 @@ from ..operators import lookup as lk
 from ..operators import pick as pk
 from ..operators import profile as pr
 from ..operators import runlog as rl
+from ..sources import records as rc
 from ..sources import sheet as sh
 from . import oracle as o
 from . import standin
@@ -841,17 +842,56 @@ def normalize_symbols_q(spark, d):
     return docs.select("doc_id", normalize_symbols(text).alias("text"))
 
 
-@register("decode_text", "SELECT doc_id, CASE doc_id % 3 WHEN 2 THEN 'caf\u00e9 \u00f1' ELSE text END AS text FROM documents")
+_LATIN = "regexp_replace(text, '[^\\x{0}-\\x{FF}]', '?', 'g')"
+
+
+def _latin_bytes(text):
+    """ISO-8859-1 bytes of a text; what the encoding lacks is a question mark."""
+    return F.encode(F.regexp_replace(text, "[^\\x{0}-\\x{FF}]", "?"), "ISO-8859-1")
+
+
+@register("decode_text", f"SELECT doc_id, CASE doc_id % 3 WHEN 2 THEN {_LATIN} ELSE text END AS text FROM documents")
 def decode_text_q(spark, d):
     """Bytes of the texts: plain UTF-8, with a byte-order mark, and Latin-1."""
     docs = standin.tables(spark, d)["documents"]
     m = F.col("doc_id") % 3
     raw = (F.when(m == 0, F.col("text").cast("binary"))
            .when(m == 1, F.concat(F.lit("\ufeff").cast("binary"), F.col("text").cast("binary")))
-           .otherwise(F.encode(F.lit("caf\u00e9 \u00f1"), "ISO-8859-1")))
+           .otherwise(_latin_bytes(F.col("text"))))
     return docs.select("doc_id", decode_text(raw).alias("text"))
 
 
+@register("decode_files", "SELECT source || '/' || (doc_id // 500) AS file_path, doc_id || ' ' || "
+          f"CASE WHEN doc_id // 500 % 2 = 1 THEN {_LATIN} ELSE text END AS value FROM documents")
+def decode_files(spark, d):
+    """C17 with S1: files of texts, every other one in ISO-8859-1, the rest in UTF-8; the
+    encoding is decided for each file from all its bytes."""
+    docs = standin.tables(spark, d)["documents"]
+    file = F.expr("doc_id div 500")
+    raw = F.when(file % 2 == 1, _latin_bytes(F.col("text"))).otherwise(F.col("text").cast("binary"))
+    lines = docs.select(F.concat("source", F.lit("/"), file.cast("string")).alias(sh.FILE),
+                        F.expr("doc_id div 50").alias("_blk"), F.col("doc_id").alias("_id"),
+                        F.concat(F.concat(F.col("doc_id").cast("string"), F.lit(" ")).cast("binary"), raw)
+                        .cast("string").alias("value"))
+    return rc.numbered(lines).select(sh.FILE, "value")
+
+
+@register("sheet_records", "SELECT source || '/' || (doc_id // 500) AS file_path, row_number() OVER "
+          "(PARTITION BY source || '/' || (doc_id // 500) ORDER BY doc_id) AS row_no, "
+          "CAST(doc_id AS VARCHAR) AS c0, text AS c1 FROM documents")
+def sheet_records(spark, d):
+    """Documents as records of two cells, the text quoted over all its lines; the files
+    are cut into splits of 300 lines."""
+    docs = standin.tables(spark, d)["documents"]
+    record = F.concat(F.col("doc_id").cast("string"), F.lit(',"'), F.replace("text", F.lit('"'), F.lit('""')),
+                      F.lit('"'))
+    file = F.concat("source", F.lit("/"), F.expr("doc_id div 500").cast("string"))
+    lines = docs.select(file.alias(sh.FILE), "doc_id", F.posexplode(F.split(record, "\n", -1)).alias("pos", "value"))
+    nth = F.row_number().over(Window.partitionBy(sh.FILE).orderBy("doc_id", "pos")).cast("long")
+    lines = lines.withColumn("_id", nth).withColumn("_blk", F.expr("(_id - 1) div 300"))
+    return sh.sheet_of(lines.select(sh.FILE, "_blk", "_id", "value"), 2, max_lines=1_000_000)
+
+
 @register("processed_paths", "SELECT page_id, regexp_extract(p, '[^/]*$') AS name, "
           "regexp_replace(p, '\\.csv$', '_processed.csv') AS processed FROM (SELECT page_id, "
           "CASE WHEN page_id % 2 = 0 THEN url || '/sheet.csv' ELSE url END AS p FROM pages)")

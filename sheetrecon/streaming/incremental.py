@@ -2,9 +2,9 @@
 
 T1 - incremental fill: new sheets landing in a folder are read as text
 lines with ``_metadata.file_path`` / ``file_block_start``. Each micro-batch
-holds whole files, so inside ``foreachBatch`` the batch is numbered exactly
-as a batch read is (a small table of split offsets is joined to the lines, which
-are read twice for it; files of any size are read in parallel splits), parsed, filled against the static lookup and
+holds whole files, so inside ``foreachBatch`` the batch is staged once (its lines as bytes, with their splits) and
+then read exactly as a batch read is: records over quoted line breaks, the encoding
+and the separator of each file, line numbers. It is filled against the static lookup and
 written. The write is keyed by batch id (overwrite of that batch's folder),
 so a retried batch replaces its own output: exactly-once files.
 
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from ..operators.runlog import run_log_totals
 from ..plans.pipeline import FillRequest, fill_sheet
-from ..sources.sheet import FILE, ROW_NO, number_text_scan, parse_lines
+from ..sources.records import text_lines
+from ..sources.sheet import FILE, ROW_NO, sheet_of
 
 
 def stream_sheet_lines(spark: SparkSession, landing: str, pattern: str = "*.csv",
@@ -54,7 +55,7 @@ def stream_checkpoint(spark: SparkSession, out_dir: str) -> str:
 
 
 def start_incremental_fill(spark: SparkSession, landing: str, catalog: Mapping[str, DataFrame],
-                           out_dir: str, checkpoint: str | None, n_cols: int, sep: str = ",",
+                           out_dir: str, checkpoint: str | None, n_cols: int, sep: str | None = ",",
                            req: FillRequest = FillRequest(), available_now: bool = True):
     """Start T1; returns the StreamingQuery. ``checkpoint=None`` uses
     ``stream_checkpoint(spark, out_dir)``."""
@@ -64,7 +65,12 @@ def start_incremental_fill(spark: SparkSession, landing: str, catalog: Mapping[s
                     F.col("_metadata.file_block_start").alias("_blk"), "value"))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        sheet = parse_lines(number_text_scan(batch), n_cols, sep)
+        # the batch before is committed: two staging folders serve all batches
+        staged = f"{checkpoint}/staged/{batch_id % 2}"
+        lines = text_lines(batch).withColumn("value", F.col("value").cast("binary"))
+        lines.write.mode("overwrite").parquet(staged)
+        lines = batch.sparkSession.read.schema(lines.schema).parquet(staged)
+        sheet = sheet_of(lines.withColumn("value", F.col("value").cast("string")), n_cols, sep)
         filled = fill_sheet(sheet, catalog, req)
         filled.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
@@ -73,6 +79,11 @@ def start_incremental_fill(spark: SparkSession, landing: str, catalog: Mapping[s
     return w.start()
 
 
-def running_totals(log_stream: DataFrame, **kw) -> DataFrame:
-    """Streaming run-log totals (use outputMode 'complete')."""
+def running_totals(log_stream: DataFrame, run_id: str | None = None, event_time: str = "logged_at",
+                   watermark: str = "1 hour", **kw) -> DataFrame:
+    """Streaming run-log totals (output mode 'complete' or 'update'). With ``run_id`` a
+    run counts once, however often its row comes again within ``watermark`` (a file that is
+    delivered twice); the ids kept for that are dropped as the watermark passes."""
+    if run_id is not None:
+        log_stream = log_stream.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([run_id])
     return run_log_totals(log_stream, **kw)

@@ -1,3 +1,6 @@
+import os
+import tempfile
+
 from fixtures import catalog
 from sheetrecon.operators import fill as fl
 from sheetrecon.operators import lookup as lk
@@ -123,6 +126,10 @@ def test_process_request_path(spark):
     rows = {x.row_no: x for x in filled.collect()}
     assert rows[11].c5 == "ZOE" and rows[19].c5 == "ZOE"      # last by name among 10153's parties
     assert rows[14].c5 == "CLIENTE"                            # 999 unmatched
+    stage = os.path.join(tempfile.mkdtemp(prefix="sheetrecon-test-"), "stage")
+    staged = process_sheet(s, catalog(spark), ProcessRequest("CLIENTE", 11, "B"), stage)
+    for one, two in zip((filled, result, unmatched), staged):
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
     f2, _, _ = process_sheet(s, catalog(spark), ProcessRequest("H", 11, "B"))
     assert "c7" in f2.columns
     f3, _, _ = process_sheet(s, catalog(spark), ProcessRequest("NUEVA", 11, "c1"))

@@ -183,3 +183,37 @@ def test_sheets_of_one_name_stay_apart(spark, tmpdir_path):
     folders = glob.glob(os.path.join(out, "sheet=a.csv-*"))
     texts = sorted("".join(open(p).read() for p in sorted(glob.glob(os.path.join(f, "part-*")))) for f in folders)
     assert texts == ["x1,x2\nx3,x4\n", "y1,y2\ny3,y4\n"]
+
+
+def test_stream_reads_records_and_encodings_as_batch_does(spark, tmpdir_path):
+    landing = os.path.join(tmpdir_path, "landing")
+    os.makedirs(landing)
+    banner = "".join("banner,,,,,\n" for _ in range(10))
+    body = '1,10153,"two\nlines",,,\n2,10153,Peña 12" x,,,\n3,999,,,,\n'
+    write(os.path.join(landing, "utf8.csv"), banner + body)
+    write(os.path.join(landing, "latin.csv"), banner + body, encoding="latin-1")
+    out = os.path.join(tmpdir_path, "out")
+    req = FillRequest(targets={"c5": "nombre_cliente"}, dimension_filters=False)
+    q = start_incremental_fill(spark, landing, catalog(spark), out, os.path.join(tmpdir_path, "ck"), n_cols=6, req=req)
+    q.awaitTermination(300)
+    got = spark.read.parquet(out).where("row_no > 10").orderBy("file_path", "row_no").collect()
+    assert [(r.row_no, r.c0, r.c2, r.c5) for r in got] == 2 * [
+        (11, "1", "two\nlines", "CARLA"), (12, "2", 'Peña 12" x', "CARLA"), (13, "3", None, None)]
+
+
+def test_running_totals_count_a_run_once(spark, tmpdir_path):
+    import datetime
+
+    from sheetrecon.streaming.incremental import running_totals
+    src = os.path.join(tmpdir_path, "log")
+    at = datetime.datetime(2024, 1, 1, 12)
+    rows = [("a", at, 10, 2.5, True), ("b", at, 20, 1.5, False)]
+    schema = "run string, logged_at timestamp, records long, execution_time double, success boolean"
+    for _ in range(2):  # the same rows arrive in a second file
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (running_totals(stream, run_id="run").writeStream.outputMode("complete").format("memory")
+         .queryName("once_t").trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    r = spark.sql("SELECT * FROM once_t").first()
+    assert (r.runs, r.total_records, r.errors) == (2, 30, 1)
