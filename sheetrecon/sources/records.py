@@ -72,8 +72,11 @@ def split_table(lines: DataFrame, seps: tuple[str, ...], quotes: bool) -> DataFr
         event = F.struct("_id", reduce(lambda a, b: a + b, bits).alias("bits"))
         found.append(F.collect_list(F.when(F.col("value").contains('"'), event)).alias("_events"))
     table = lines.groupBy(FILE, "_blk").agg(*found)
-    # every use asks for the events, so that all of them share one exchange
-    return table.where(F.size("_events") >= 0) if quotes else table
+    if not quotes:
+        return table
+    # every use asks for all columns, so that all of them share one exchange
+    flags = F.col("_utf8").cast("int") + F.col("_tab").cast("int")
+    return table.where((F.size("_events") + F.col("_n") + flags >= 0) & (F.col("_first") >= 0))
 
 
 def file_facts(table: DataFrame) -> DataFrame:
@@ -144,19 +147,22 @@ def spans(table: DataFrame, detect: bool, max_lines: int) -> DataFrame:
 
 
 def renumbered(table: DataFrame, inner: DataFrame) -> DataFrame:
-    """Line numbers of the files with records of several lines -> file_path, row_no,
-    _record (number of the line's record in its file). Only numbers: no text is read."""
-    touched = table.join(inner.select(FILE).distinct(), FILE, "left_semi")
-    rows = touched.select(FILE, "_blk", F.explode(F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_n")))
-                          .alias(ROW_NO))
-    rows = (rows.join(inner, [FILE, ROW_NO], "left")
+    """Line numbers of the files with quotes -> file_path, row_no, _record (number of the
+    line's record in its file), _several (has the record more lines?), only where these
+    differ from a line of its own. No text is read."""
+    quoted = F.max(F.size("_events")).over(Window.partitionBy(FILE))
+    rows = (table.withColumn("_quoted", quoted).where("_quoted > 0")
+            .select(FILE, "_blk", F.explode(F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_n")))
+                    .alias(ROW_NO)))
+    rows = (rows.join(inner, [FILE, ROW_NO], "left").withColumn("_several", F.col("_open").isNotNull())
             .withColumn("_more", F.coalesce((F.col("_open") < F.col(ROW_NO)).cast("long"), F.lit(0))))
     totals = rows.groupBy(FILE, "_blk").agg(F.sum("_more").alias("_total"))
     before = Window.partitionBy(FILE).orderBy("_blk").rowsBetween(FIRST, -1)
     totals = totals.select(FILE, "_blk", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_earlier"))
     upto = Window.partitionBy(FILE, "_blk").orderBy(ROW_NO).rowsBetween(FIRST, 0)
     return (rows.withColumn("_more", F.sum("_more").over(upto)).join(totals, [FILE, "_blk"])
-            .select(FILE, ROW_NO, (F.col(ROW_NO) - F.col("_more") - F.col("_earlier")).alias("_record")))
+            .select(FILE, ROW_NO, (F.col(ROW_NO) - F.col("_more") - F.col("_earlier")).alias("_record"), "_several")
+            .where(f"_several or _record <> {ROW_NO}"))
 
 
 def numbered(lines: DataFrame, row_bound: int | None = None, table: DataFrame | None = None,
@@ -187,12 +193,14 @@ def records(lines: DataFrame, sep: str | None = ",", row_bound: int | None = Non
     found = spans(facts, sep is None, max_lines)
     inner = found.select(FILE, F.explode(F.sequence("_open", "_close")).alias(ROW_NO), "_open")
     numbers = renumbered(facts, inner)
-    rows = numbered(lines, row_bound, table).join(numbers, [FILE, ROW_NO], "left")
-    rows = rows.withColumn("_record", F.coalesce("_record", ROW_NO))
-    single = rows.join(inner.select(FILE, ROW_NO), [FILE, ROW_NO], "left_anti")
+    rows = numbered(lines, row_bound, table)
+    single = (rows.join(numbers, [FILE, ROW_NO], "left").where(~F.coalesce("_several", F.lit(False)))
+              .withColumn("_record", F.coalesce("_record", ROW_NO)))
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(ROW_NO, "value"))),
                                     lambda x: x["value"]), "\n")
-    several = (rows.join(inner.select(FILE, ROW_NO), [FILE, ROW_NO]).groupBy(FILE, "_record")
+    # lines that no record of several lines holds are dropped before they are numbered
+    several = (rows.join(inner.select(FILE, ROW_NO), [FILE, ROW_NO], "left_semi")
+               .join(numbers, [FILE, ROW_NO]).groupBy(FILE, "_record")
                .agg(text.alias("value"), F.first("_tab").alias("_tab")))
     columns = [FILE, F.col("_record").alias(ROW_NO), "value", "_tab"]
     chosen = F.when(F.col("_tab"), F.lit("\t")).otherwise(F.lit(",")) if sep is None else F.lit(sep)
