@@ -13,14 +13,14 @@ key lets the sheet's key set cut the fact tables before the big joins.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fmt import bank_code
-from .safety import broadcast_if_small
+from .safety import broadcast_if_small, maybe_member
 
 
 @dataclass(frozen=True)
@@ -56,6 +56,8 @@ def run_chain(catalog: Mapping[str, DataFrame], root: tuple[str, str],
     key side is broadcast only when its estimated size is small.
     """
     alias, table = root
+    if root == ROOT:
+        links = co_located(catalog, links)
     df = qualify(catalog[table], alias)
     if keys is not None:
         df = restrict_to_keys(df, keys, q(key_ref))
@@ -67,11 +69,28 @@ def run_chain(catalog: Mapping[str, DataFrame], root: tuple[str, str],
     return df
 
 
+def co_located(catalog: Mapping[str, DataFrame], links: Sequence[Link]) -> list[Link]:
+    """Links for a catalog whose contract links carry the proposal code
+    (``sources.tables.export_co_located``): they join on it too, and come while the rows
+    are still dealt by it. For other catalogs the links as they are."""
+    first, rest = [], []
+    for link in links:
+        own = link.on[0][0] == "p.cod_propuesta"
+        if link.on[0][0] == "ct.cod_contrato" and "cod_propuesta" in catalog[link.table].columns:
+            link, own = replace(link, on=(("p.cod_propuesta", "cod_propuesta"), *link.on)), True
+        (first if own else rest).append(link)
+    return first + rest
+
+
 def restrict_to_keys(df: DataFrame, keys: DataFrame, col: str) -> DataFrame:
-    """Rows of ``df`` whose ``col`` (as trimmed text) is in ``keys.key``."""
+    """Rows of ``df`` whose ``col`` (as trimmed text) is in ``keys.key``. A key side too
+    large to broadcast first cuts the rows by a bit table of bounded size, so that only
+    rows that may match are shuffled."""
     k = keys.select(F.col("key").cast("string").alias("_k")).distinct()
-    return df.join(broadcast_if_small(k), F.trim(F.col(col).cast("string")) == F.col("_k"),
-                   "left_semi")
+    side, text = broadcast_if_small(k), F.trim(F.col(col).cast("string"))
+    if side is k:
+        df = maybe_member(df, text, k, F.col("_k"))
+    return df.join(side, text == F.col("_k"), "left_semi")
 
 
 def project(df: DataFrame, cols: Sequence[tuple[str, str | Column]]) -> DataFrame:

@@ -7,7 +7,7 @@ to a broadcast at run time from real sizes).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
@@ -51,6 +51,30 @@ def broadcast_if_bounded(df: DataFrame, row_bound: int, row_bytes: int = 256,
     return df
 
 
+#: Bits of a key set's table: 4,096 bitmaps of 4 KB, 16 MB whatever the number of keys.
+TABLE_BITS = 27
+
+
+def maybe_member(df: DataFrame, col: Column, keys: DataFrame, key: Column) -> DataFrame:
+    """Rows of ``df`` whose ``col`` may be one of ``key`` of ``keys`` (none that is goes; few
+    others stay, the fuller the table the more): the hash of every key sets a bit in bitmaps
+    of bounded size, which are broadcast, so the rows are cut before any shuffle. Null keys
+    and null ``col`` match nothing."""
+    def slot(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(1 << TABLE_BITS))
+
+    table = (keys.where(key.isNotNull()).select(slot(key).alias("_slot"))
+             .groupBy(F.bitmap_bucket_number("_slot").alias("_bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits")))
+    columns = df.columns
+    tested = df.where(col.isNotNull()).withColumn("_slot", slot(col))
+    place = F.bitmap_bit_position("_slot")
+    byte = F.conv(F.hex(F.substring("_bits", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.getbit(byte, place.bitwiseAND(7).cast("int")) == 1
+    return (tested.join(F.broadcast(table), F.bitmap_bucket_number("_slot") == F.col("_bucket"))
+            .where(hit).select(*columns))
+
+
 def split_bound(scan: DataFrame) -> int:
     """Upper bound on the number of (file, block) splits of a file scan.
 
