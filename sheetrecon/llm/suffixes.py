@@ -3,11 +3,12 @@
 
 Each step of a task turns its documents into one shard: the word sequence of
 all its texts (documents apart) with its suffix array. Every suffix of every
-benchmark item is looked up in the shard by binary search, which gives its
-longest verbatim match, the places of the matches of a whole window, and so
-the words of each document that a benchmark window covers. The benchmark is
-taken in blocks of bounded size, a broadcast and a narrow pass each; nothing
-is shuffled.
+benchmark item is looked up in the shard by binary search, which gives the
+places of the matches of a whole window, and so the words of each document that
+a benchmark window covers. Windows that match one after the other, in the item as
+in the document, are one longer match: its length and place follow without a
+limit. The benchmark is taken in blocks of bounded size, a broadcast and a narrow
+pass each, with a written table between; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -64,12 +65,15 @@ class Block:
     starts: np.ndarray
     spans: np.ndarray
     owner: np.ndarray
+    #: Where each item's words start, and its place among the names in order.
+    first: np.ndarray
+    rank: np.ndarray
 
 
 def block_of(rows: list, window: int = WINDOW) -> Block:
     """Items (name, text) -> block. A window is ``window`` words, or the whole of
     a shorter item; items without words have none."""
-    names, vocabulary, ids, starts, spans, owner = [], {}, [], [], [], []
+    names, vocabulary, ids, starts, spans, owner, first = [], {}, [], [], [], [], []
     for name, text in rows:
         tokens = item_words((text or "").encode())
         if tokens:
@@ -78,10 +82,13 @@ def block_of(rows: list, window: int = WINDOW) -> Block:
                 starts.append(len(ids) + i)
                 spans.append(span)
                 owner.append(len(names))
+            first.append(len(ids))
             ids += [vocabulary.setdefault(w, len(vocabulary)) for w in tokens]
             names.append(name)
     to_array = lambda x: np.array(x, np.int64)
-    return Block(names, vocabulary, to_array(ids), to_array(starts), to_array(spans), to_array(owner))
+    order = {name: i for i, name in enumerate(sorted(set(names)))}
+    return Block(names, vocabulary, to_array(ids), to_array(starts), to_array(spans), to_array(owner),
+                 to_array(first), to_array([order[n] for n in names]))
 
 
 def narrowed(text: np.ndarray, order: np.ndarray, low: np.ndarray, high: np.ndarray, at: int,
@@ -104,9 +111,8 @@ def narrowed(text: np.ndarray, order: np.ndarray, low: np.ndarray, high: np.ndar
 def shard_matches(texts: list[bytes], block: Block, window: int = WINDOW):
     """One shard of whole texts against a block.
 
-    Returns the word counts, and for each match of a whole window (position in
-    the shard's word sequence, window words, item number), and per benchmark
-    suffix its longest verbatim match (in words, up to the window) in the shard.
+    Returns the word counts, and for each match of a whole window the position in
+    the shard's word sequence and the number of the benchmark suffix.
     """
     unknown = len(block.vocabulary)
     find = block.vocabulary.get
@@ -129,12 +135,46 @@ def shard_matches(texts: list[bytes], block: Block, window: int = WINDOW):
     sizes = high[whole] - low[whole]
     inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     places = order[np.repeat(low[whole], sizes) + inside]
-    return counts, places, np.repeat(block.spans[whole], sizes), np.repeat(block.owner[whole], sizes), longest
+    return counts, places, np.repeat(whole, sizes)
+
+
+def match_runs(places: np.ndarray, suffixes: np.ndarray, block: Block) -> np.ndarray:
+    """Longest extents of matches, a column each: where it starts in the shard and in
+    the block's words, how many words it has, and the item's number. Windows that start
+    one word later each on both sides are one match; no document or item is left, as no
+    window reaches beyond either."""
+    starts, owner = block.starts[suffixes], block.owner[suffixes]
+    order = np.lexsort((places, places - starts, owner))
+    places, starts, owner, spans = places[order], starts[order], owner[order], block.spans[suffixes][order]
+    new = np.ones(len(places), bool)
+    new[1:] = (np.diff(places) != 1) | (np.diff(starts) != 1) | (np.diff(owner) != 0)
+    head = np.flatnonzero(new)
+    size = np.diff(np.append(head, len(places)))
+    return np.stack([places[head], starts[head], spans[head] + size - 1, owner[head]])
+
+
+def best_runs(counts: np.ndarray, runs: np.ndarray, block: Block, by_item: bool = False) -> dict:
+    """Document number (with ``by_item``: and item number) -> its longest match (words,
+    item, first word in the document, in the item); of equals the smallest item, then
+    the earliest in the document, then in the item."""
+    ends = np.cumsum(counts + 1)
+    place, start, words, owner = runs
+    doc = np.searchsorted(ends, place, "right")
+    order = np.lexsort((start, place, block.rank[owner], -words, *([owner] if by_item else []), doc))
+    key = np.stack([doc[order], owner[order] if by_item else np.zeros(len(order), np.int64)])
+    first = order[np.concatenate([[True], (np.diff(key) != 0).any(0)])] if len(order) else order
+    out = {}
+    for d, p, s, n, o in zip(doc[first].tolist(), *runs[:, first].tolist()):
+        found = (n, block.items[o], p - int(ends[d] - counts[d] - 1), s - int(block.first[o]))
+        out[(d, o) if by_item else d] = found
+    return out
 
 
-def contaminate(texts: list[bytes], block: Block, window: int = WINDOW) -> tuple[list, list]:
-    """Per text: the hit words as ranges [start, end), and the items found."""
-    counts, places, spans, owners, _ = shard_matches(texts, block, window)
+def contaminate(texts: list[bytes], block: Block, window: int = WINDOW) -> tuple[list, list, list]:
+    """Per text: the hit words as ranges [start, end), the items found, and the longest
+    match (see ``best_runs``; None without one)."""
+    counts, places, suffixes = shard_matches(texts, block, window)
+    spans, owners = block.spans[suffixes], block.owner[suffixes]
     ends = np.cumsum(counts + 1)
     cover = np.zeros(int(ends[-1]) + 1 if len(ends) else 1, np.int64)
     np.add.at(cover, places, 1)
@@ -150,13 +190,20 @@ def contaminate(texts: list[bytes], block: Block, window: int = WINDOW) -> tuple
     doc = np.searchsorted(ends, places, "right")
     for d, i in sorted(set(zip(doc.tolist(), owners.tolist()))):
         items[d].append(block.items[i])
-    return ranges, items
+    best = best_runs(counts, match_runs(places, suffixes, block), block)
+    return ranges, items, [best.get(d) for d in range(len(texts))]
 
 
 LONGS, STRINGS = T.ArrayType(T.LongType()), T.ArrayType(T.StringType())
-FOUND = T.StructType([T.StructField("ranges", LONGS), T.StructField("items", STRINGS)])
+MATCH = T.StructType([T.StructField("longest_words", T.LongType()), T.StructField("longest_item", T.StringType()),
+                      T.StructField("longest_word", T.LongType()), T.StructField("longest_item_word", T.LongType())])
+FOUND = T.StructType([T.StructField("ranges", LONGS), T.StructField("items", STRINGS), *MATCH])
 MERGED = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
-                       T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType())])
+                       T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType()), *MATCH])
+KINDS = {T.LongType(): pa.int64(), T.StringType(): pa.string(), LONGS: pa.list_(pa.int64()),
+         STRINGS: pa.list_(pa.string())}
+#: No match: no words, and no place.
+NONE = (0, None, None, None)
 
 
 def merge(flat: list[int], names: list[str]) -> tuple[int, int, str]:
@@ -169,51 +216,61 @@ def merge(flat: list[int], names: list[str]) -> tuple[int, int, str]:
     return total, len(names), hashlib.sha256(",".join(names).encode()).hexdigest()
 
 
+def longer(a: tuple, b: tuple) -> tuple:
+    """The longer of two matches; of equals the smaller by item and place."""
+    return a if not b[0] or (a[0] and (-a[0], *a[1:]) <= (-b[0], *b[1:])) else b
+
+
 def found_udf(block, window: int, last: bool):
-    """Column function: text, and the ranges and items of earlier blocks -> the same with
-    those of this block, or for the last block n_words and what ``merge`` gives."""
-    @F.arrow_udf(MERGED if last else FOUND)
-    def run(text: pa.Array, ranges: pa.Array, items: pa.Array) -> pa.Array:
-        before, names, out = ranges.to_pylist(), items.to_pylist(), []
+    """Column function: text, and what earlier blocks found (FOUND) -> the same with
+    this block, or for the last block n_words, what ``merge`` gives and the longest match."""
+    kind = MERGED if last else FOUND
+
+    @F.arrow_udf(kind)
+    def run(text: pa.Array, found: pa.Array) -> pa.Array:
+        before, out = found.to_pylist(), []
         for texts in text_bytes(text):
-            for t, r, i in zip(texts, *contaminate(texts, block.value, window)):
-                r, i = before[len(out)] + r, names[len(out)] + i
-                out.append((len(item_words(t)), *merge(r, i)) if last else (r, i))
+            for t, r, i, best in zip(texts, *contaminate(texts, block.value, window)):
+                old = before[len(out)]
+                r, i = old["ranges"] + r, old["items"] + i
+                best = longer(tuple(old[c] for c in MATCH.names), best or NONE)
+                out.append((len(item_words(t)), *merge(r, i), *best) if last else (r, i, *best))
         release()
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()] if last else \
-            [pa.list_(pa.int64()), pa.list_(pa.string())]
-        return pa.StructArray.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)],
-                                          (MERGED if last else FOUND).names)
+        return pa.StructArray.from_arrays([pa.array([x[k] for x in out], KINDS[f.dataType])
+                                           for k, f in enumerate(kind)], kind.names)
 
     return run
 
 
 def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int,
-                     block_bytes: int = BLOCK_BYTES) -> list:
-    """Broadcast blocks of about ``block_bytes`` of benchmark text, one after the
-    other; a block is the only part of the benchmark that the driver holds."""
+                     block_bytes: int = BLOCK_BYTES):
+    """Yields (broadcast block, is it the last?): about ``block_bytes`` of benchmark text
+    each, made one after the other; a block is the only part of the benchmark that the
+    driver holds, and it is given up when the next one is asked for."""
     items = materialize(benchmark.select(F.col(item_col).cast("string").alias("name"),
                                          F.col(text_col).alias("text")), "benchmark")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
-    sent = []
     for i in range(n):
         part = items.where(F.pmod(F.xxhash64("name", "text"), F.lit(n)) == i).where("name is not null")
         block = block_of([(r.name, r.text) for r in part.select("name", "text").toLocalIterator()], window)
-        sent.append(benchmark.sparkSession.sparkContext.broadcast(block))
-    return sent
+        sent = benchmark.sparkSession.sparkContext.broadcast(block)
+        yield sent, i + 1 == n
+        if i + 1 < n:
+            sent.unpersist()
 
 
 def judged(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
            item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """row (the columns of docs), n_words, n_hit, n_items, items_sha256, contaminated."""
+    """row (the columns of docs), n_words, n_hit, n_items, items_sha256, MATCH, contaminated."""
     text = F.col(f"row.`{text_col}`")
     rows = batched(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    blocks = benchmark_blocks(benchmark, item_col, item_text_col, window)
-    found = F.struct(F.array().cast(LONGS).alias("ranges"), F.array().cast(STRINGS).alias("items"))
-    for i, block in enumerate(blocks):
-        last = i + 1 == len(blocks)
-        rows = rows.withColumn("found", found_udf(block, window, last)(text, found["ranges"], found["items"]))
+    found = F.struct(F.array().cast(LONGS).alias("ranges"), F.array().cast(STRINGS).alias("items"),
+                     *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(NONE, MATCH)])
+    for block, last in benchmark_blocks(benchmark, item_col, item_text_col, window):
+        rows = rows.withColumn("found", found_udf(block, window, last)(text, found))
+        if not last:  # a task holds one block
+            rows = materialize(rows, "found")
         found = F.col("found")
     rows = rows.select("row", "found.*")
     return rows.withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
@@ -221,13 +278,20 @@ def judged(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_c
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """Per row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the
+    longest verbatim match of a window or more with an item: longest_words (0: none),
+    longest_item, longest_word and longest_item_word (where it starts in the document and
+    in the item, from 0); of equals the smallest item, then the earliest place.
 
     Null and empty texts have no words; items with a null id or text are no
-    items; items that repeat an id count as one item with the windows of both.
+    items; items that repeat an id count as one item with the windows of both, and
+    matches do not go on from one to the other. Repeated rows are judged alike; a null
+    doc_id is returned; other columns are ignored. Without items nothing is hit; an
+    empty table gives an empty result.
     """
     return judged(docs, benchmark, text_col).select(
-        F.col(f"row.`{id_col}`").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+        F.col(f"row.`{id_col}`").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+        *MATCH.names)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
@@ -235,12 +299,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     return judged(docs, benchmark, text_col).where("not contaminated").select("row.*")
 
 
-def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    depth: int = 64) -> DataFrame:
-    """Per benchmark item and document that share at least one word sequence of
-    WINDOW words: item_id, doc_id, n_words (longest verbatim match, up to
-    ``depth``), item_word and doc_word (where it starts)."""
-    blocks = benchmark_blocks(benchmark, "item_id", "text", WINDOW)
+def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """Per benchmark item and document that share at least one window: item_id, doc_id,
+    n_words (longest verbatim match, however long), item_word and doc_word (where it starts)."""
     kind = docs.schema[id_col].dataType.simpleString()
     plain = batched(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -249,42 +311,24 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
             for batch in batches:
                 at = 0
                 for texts in text_bytes(batch.column(1)):
-                    yield located(batch.column(0).slice(at, len(texts)), texts, block.value, depth)
+                    yield located(batch.column(0).slice(at, len(texts)), texts, block.value)
                     at += len(texts)
 
         return run
 
-    parts = [plain.mapInArrow(run_for(b), f"item_id string, doc_id {kind}, n_words long, item_word long, doc_word long")
-             for b in blocks]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    schema = f"item_id string, doc_id {kind}, n_words long, item_word long, doc_word long"
+    out = None
+    for block, _ in benchmark_blocks(benchmark, "item_id", "text", WINDOW):
+        part = materialize(plain.mapInArrow(run_for(block), schema), "matches")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
-def located(ids: pa.Array, texts: list[bytes], block: Block, depth: int) -> pa.RecordBatch:
-    best: dict = {}
-    first = np.searchsorted(block.owner, np.arange(len(block.items)))
-    tokens = [item_words(t) for t in texts]
-    counts, places, _, owners, _ = shard_matches(texts, block)
-    ends = np.cumsum(counts + 1)
-    numbers = {i: w for w, i in block.vocabulary.items()}
-    limit = np.append(block.starts[first[1:]], len(block.ids)) if len(block.items) else first
-    matched: dict = {}
-    for place, owner in zip(places.tolist(), owners.tolist()):
-        matched.setdefault((int(np.searchsorted(ends, place, "right")), owner), []).append(place)
-    for (doc, owner), found in matched.items():
-        begin = int(ends[doc] - counts[doc] - 1)
-        item = [numbers[i] for i in block.ids[block.starts[first[owner]]:limit[owner]].tolist()]
-        for place in found:
-            for i in range(len(item)):
-                n, word = 0, place - begin
-                while n < depth and i + n < len(item) and word + n < counts[doc] and item[i + n] == tokens[doc][word + n]:
-                    n += 1
-                if n > best.get((doc, owner), (0,))[0]:
-                    best[doc, owner] = (n, i, word)
-    docs = [d for d, _ in best]
-    return pa.record_batch({
-        "item_id": pa.array([block.items[o] for _, o in best], pa.string()), "doc_id": ids.take(pa.array(docs, pa.int64())),
-        **{name: pa.array([v[k] for v in best.values()], pa.int64())
-           for k, name in enumerate(("n_words", "item_word", "doc_word"))}})
+def located(ids: pa.Array, texts: list[bytes], block: Block) -> pa.RecordBatch:
+    counts, places, suffixes = shard_matches(texts, block)
+    best = best_runs(counts, match_runs(places, suffixes, block), block, by_item=True)
+    found = list(best.values())
+    numbers = {c: pa.array([f[k] for f in found], pa.int64())
+               for c, k in (("n_words", 0), ("item_word", 3), ("doc_word", 2))}
+    return pa.record_batch({"item_id": pa.array([f[1] for f in found], pa.string()),
+                            "doc_id": ids.take(pa.array([d for d, _ in best], pa.int64())), **numbers})

@@ -88,6 +88,31 @@ def contamination(rows, items, size=13):
     return Counter(out)
 
 
+def longest(rows, items, size=13):
+    """(id, words, item, word, item word) of the longest match of a window or more, by
+    the word-by-word table of common runs."""
+    items = [(str(n), ITEM_WORD.findall((t or "").translate(LOWER))) for n, t in items if n is not None]
+    out = []
+    for i, text in rows:
+        w = ITEM_WORD.findall((text or "").translate(LOWER))
+        best = None
+        for name, v in items:
+            if not v or not set(v) & set(w):
+                continue
+            before = {}
+            for a in range(len(w)):
+                now = {}
+                for b in range(len(v)):
+                    if w[a] == v[b]:
+                        now[b] = n = before.get(b - 1, 0) + 1
+                        if n >= min(size, len(v)):
+                            key = (-n, name, a - n + 1, b - n + 1)
+                            best = min(best, key) if best else key
+                before = now
+        out.append((i, -best[0], *best[1:]) if best else (i, 0, None, None, None))
+    return Counter(out)
+
+
 def substrings(rows, order, size=20):
     """``order``: position of each row; rows of equal position are one document."""
     first = {}

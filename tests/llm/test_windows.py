@@ -21,9 +21,12 @@ def test_contamination(spark, monkeypatch, block_bytes):
     monkeypatch.setattr(suffixes.benchmark_blocks, "__defaults__", (block_bytes,))
     rows, docs = data.corpus(spark)
     bench = spark.createDataFrame(items(), "item_id string, text string").withColumn("name", F.lit("clash"))
-    got = Counter(tuple(r) for r in suffixes.contamination(docs, bench).collect())
+    found = suffixes.contamination(docs, bench).collect()
+    got = Counter(tuple(r[:6]) for r in found)
     want = brute.contamination(rows, items())
     assert got == want
+    assert Counter((r[0], *r[6:]) for r in found) == brute.longest(rows, items())
+    assert max(r.longest_words for r in found) > suffixes.WINDOW
     kept = suffixes.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns
     assert Counter(r.doc_id for r in kept.collect()) == Counter(k[0] for k in want.elements() if not k[5])
@@ -36,6 +39,17 @@ def test_longest_matches(spark):
     assert [tuple(r) for r in suffixes.longest_matches(docs, bench).collect()] == [("q", 1, 20, 2, 7)]
 
 
+def test_matches_end_where_they_end(spark):
+    say = lambda a, b: " ".join(f"t{i}" for i in range(a, b))
+    docs = spark.createDataFrame([(1, "x " + say(0, 500) + " y"), (2, say(100, 120) + " z " + say(100, 120)),
+                                  (3, say(480, 499)), (4, "rep " * 40), (5, "s1"), (6, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([("q", say(0, 500)), ("r", "rep " * 20), ("s", "s1"), ("t", say(100, 120))],
+                                  "item_id string, text string")
+    got = {r.doc_id: tuple(r[6:]) for r in suffixes.contamination(docs, bench).collect()}
+    assert got == {1: (500, "q", 1, 0), 2: (20, "q", 0, 100), 3: (19, "q", 0, 480), 4: (20, "r", 0, 0),
+                   5: (1, "s", 0, 0), 6: (0, None, None, None)}
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id string, text string")
     rows, docs = data.corpus(spark, 5)
