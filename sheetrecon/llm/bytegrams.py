@@ -18,10 +18,11 @@ HELD = 1 << 20
 ENTRIES = 4 << 20
 
 
-def framed(text: bytes, order: int) -> bytes:
-    """Words joined by one space between edge bytes (no word: empty)."""
+def framed(text: bytes, order: int, bare: bool = False) -> bytes:
+    """Words joined by one space between edge bytes (no word: empty, or with ``bare``
+    the edges)."""
     tokens = words(text)
-    return EDGE * (order - 1) + b" ".join(tokens) + EDGE if tokens else b""
+    return EDGE * (order - 1) + b" ".join(tokens) + EDGE if tokens or bare else b""
 
 
 def gram_codes(parts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +52,8 @@ def group_hash(name: str | None) -> int:
 
 
 def keyed(codes: np.ndarray, groups: np.ndarray, order: int) -> np.ndarray:
-    """Uniform 64-bit keys of (group hash, n-gram); one to one up to four bytes."""
+    """Uniform 64-bit keys of (group hash, n-gram); one to one while the groups' hashes
+    differ in the bits that the n-gram leaves (24 of them for five bytes)."""
     return (codes.astype(np.uint64) | groups << np.uint64(8 * order)) * MIX
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from . import bytegrams
 from .common import materialize, release, text_bytes
 
-ORDER = 4
+ORDER = 5
 #: Rows of a table that may be broadcast (a row per language).
 GROUPS = 100_000
 
@@ -102,7 +102,7 @@ def joined(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner")
 
 def discounts(level: DataFrame) -> DataFrame:
     n = [F.sum(F.when(F.col("c") == i, 1).otherwise(0)).alias(f"n{i}") for i in range(1, 5)]
-    y = F.expr("n1 / (n1 + 2 * n2)")
+    y = F.expr("n1 / nullif(n1 + 2 * n2, 0)")
 
     def one(i: int, default: float) -> Column:
         found = F.lit(i) - (i + 1) * y * F.col(f"n{i + 1}") / F.expr(f"nullif(n{i}, 0)")
@@ -149,12 +149,13 @@ def hash_arrays(values: DataFrame, order: int):
 
 def score_udf(array, order: int, lower: bool):
     """Column function (group, text) -> sum of the values of the text's n-grams
-    that lie in one hash array; with ``lower`` A-Z count as a-z."""
+    that lie in one hash array; with ``lower`` A-Z count as a-z, and a text without
+    words is its end."""
     @F.arrow_udf("double")
     def run(group: pa.Array, text: pa.Array) -> pa.Array:
         groups, found, at = [bytegrams.group_hash(g) for g in group.to_pylist()], [], 0
         for texts in text_bytes(text):
-            parts = [bytegrams.framed(t.lower() if lower else t, order) for t in texts]
+            parts = [bytegrams.framed(t.lower() if lower else t, order, lower) for t in texts]
             codes, counts = bytegrams.gram_codes(parts, order)
             names = np.repeat(np.array(groups[at:at + len(texts)], np.uint64), counts)
             lp = array.value.get(bytegrams.keyed(codes, names, order), 0.0)

@@ -41,7 +41,7 @@ def corpus_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
             for texts in text_bytes(batch.column(0)):
                 by: dict[bool, list[bytes]] = {True: [], False: []}
                 for t, known in zip(texts, train[at:at + len(texts)]):
-                    by[known].append(bytegrams.framed(t.lower(), order))
+                    by[known].append(bytegrams.framed(t.lower(), order, True))
                 for known, parts in by.items():
                     counter.add(known, parts)
                 at += len(texts)
@@ -160,8 +160,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     between two, and the end).
 
     Texts whose crc32 of the id as text leaves remainder 0 by 10 are held out, all
-    others (null ids too) train. A null text is empty: one token, the end; the byte
-    model gives it 0. Repeated rows each count. Without training texts all counts are 0.
+    others (null ids too) train. A null or empty text is one token, the end, for both
+    models. An empty table gives an empty result; other columns are ignored. Repeated rows each count. Without training texts all counts are 0.
     """
     rows = batched(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 10 != 0, F.lit(True))

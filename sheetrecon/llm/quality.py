@@ -1,10 +1,13 @@
 """Quality rules with n-gram perplexity (operator 6).
 
 Base rules count words, symbols, repeated lines and repeated eight-word
-windows. A byte 4-gram modified Kneser-Ney model for each language, counted by
+windows. A byte 5-gram modified Kneser-Ney model for each language, counted by
 Spark over all documents, gives each text a perplexity per character; texts outside
-their language's band (quartiles of the texts that pass the base rules, plus or
-minus a multiple of the interquartile range) are rejected.
+their language's band are rejected. The log perplexity of a text is a mean over its
+characters, so it strays from the language's median by the inverse root of their
+number: the band is set on the deviation times that root (quartiles of the texts that
+pass the base rules, plus or minus a multiple of the interquartile range), and is
+narrower for longer texts.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from .common import batched, materialize, release, text_bytes, words
 
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 #: Interquartile ranges below and above the quartiles that a text may lie.
-BELOW, ABOVE = 6.0, 6.0
+BELOW, ABOVE = 2.5, 2.5
 FACTORS = np.random.default_rng(8).integers(1, 1 << 62, WINDOW, dtype=np.int64) * 2 + 1
 
 
@@ -78,7 +81,8 @@ def base_failed() -> Column:
 def judged(docs: DataFrame, keep: dict[str, Column], text_col: str = "text", lang_col: str = "lang",
            below: float = BELOW, above: float = ABOVE) -> DataFrame:
     """Columns ``keep`` of every row, with m (the base measures), base_failed,
-    perplexity (per character; null without words), kept.
+    perplexity (per character; null without words), low and high (the band for a text
+    of this length), kept.
 
     Null text: no words, hence base_failed. A null language is a language of its
     own. A language all of whose texts fail has no band, and rejects nothing more.
@@ -93,14 +97,20 @@ def judged(docs: DataFrame, keep: dict[str, Column], text_col: str = "text", lan
     rows = materialize(rows.withColumn("base_failed", base_failed())
                        .withColumn("perplexity", F.when(F.col("m.n_words") > 0, F.pow(
                            F.lit(10.0), -F.col("lp") / (F.col("m.word_chars") + F.col("m.n_words"))))), "judged")
+    passed, log = ~F.col("base_failed"), F.log10("perplexity")
+    middle = kneser_ney.bounded(rows.where(passed).groupBy("grp").agg(F.percentile_approx(log, 0.5, 10_000).alias("middle")))
+    root = F.sqrt(F.when(F.col("m.n_words") > 0, F.col("m.word_chars") + F.col("m.n_words")))
+    rows = kneser_ney.joined(rows, middle, [], "left")
     bands = kneser_ney.bounded(
-        rows.where(~F.col("base_failed")).groupBy("grp")
-        .agg(F.percentile_approx(F.log10("perplexity"), [0.25, 0.75], 10_000).alias("q"))
-        .select("grp", F.expr(f"power(10, q[0] - {below} * (q[1] - q[0]))").alias("low"),
-                F.expr(f"power(10, q[1] + {above} * (q[1] - q[0]))").alias("high")))
+        rows.where(passed).groupBy("grp")
+        .agg(F.percentile_approx((log - F.col("middle")) * root, [0.25, 0.75], 10_000).alias("q"))
+        .select("grp", F.expr(f"q[0] - {below} * (q[1] - q[0])").alias("least"),
+                F.expr(f"q[1] + {above} * (q[1] - q[0])").alias("most")))
     inside = F.col("low").isNull() | F.col("perplexity").between(F.col("low"), F.col("high"))
-    return (kneser_ney.joined(rows, bands, [], "left")
-            .withColumn("kept", ~F.col("base_failed") & inside).drop("grp", "lp"))
+    edges = {name: F.pow(F.lit(10.0), F.col("middle") + F.col(edge) / root)
+             for name, edge in (("low", "least"), ("high", "most"))}
+    return (kneser_ney.joined(rows, bands, [], "left").withColumns(edges)
+            .withColumn("kept", passed & inside).drop("grp", "lp", "middle", "least", "most"))
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -132,7 +132,7 @@ def substrings(rows, order, size=20):
 
 def framed(text, order):
     w = (text or "").translate(LOWER).encode().split()
-    return b"\n" * (order - 1) + b" ".join(w) + b"\n" if w else b""
+    return b"\n" * (order - 1) + b" ".join(w) + b"\n"
 
 
 def ppm(rows, order):
@@ -174,6 +174,50 @@ def ppm(rows, order):
     return result
 
 
+def kneser_ney(rows, order):
+    """rows (group, text) -> perplexity per character of each text (None without words)
+    in its group's modified Kneser-Ney model over the bytes of the words."""
+    frames = [b"\n" * (order - 1) + b" ".join(w) + b"\n" if (w := (t or "").encode().split()) else b"" for _, t in rows]
+    models = {}
+    for name in {g for g, _ in rows}:
+        counts = [Counter() for _ in range(order + 1)]
+        for (g, _), b in zip(rows, frames):
+            if g == name:
+                counts[order].update(b[i:i + order] for i in range(len(b) - order + 1))
+        for k in range(order - 1, 0, -1):
+            counts[k].update(gram[1:] for gram in counts[k + 1])
+        models[name] = [None]
+        for k in range(1, order + 1):
+            n = [sum(c == i for c in counts[k].values()) for i in range(5)]
+            y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else None
+            cut = []
+            for i, default in ((1, 0.5), (2, 1.0), (3, 1.5)):
+                d = i - (i + 1) * y * n[i + 1] / n[i] if y is not None and n[i] else -1
+                cut.append(d if 0 <= d <= i else default)
+            total, mass = Counter(), Counter()
+            for gram, c in counts[k].items():
+                total[gram[:-1]] += c
+                mass[gram[:-1]] += cut[min(c, 3) - 1]
+            models[name].append((counts[k], cut, total, mass))
+
+    def p(model, gram):
+        if not gram:
+            return 1 / 256
+        counts, cut, total, mass = model[len(gram)]
+        lower = p(model, gram[1:])
+        if gram[:-1] not in total:
+            return lower
+        c, n = counts.get(gram, 0), total[gram[:-1]]
+        return (c - cut[min(c, 3) - 1] if c else 0) / n + mass[gram[:-1]] / n * lower
+
+    out = []
+    for (g, t), b in zip(rows, frames):
+        lp = sum(math.log10(p(models[g], b[i:i + order])) for i in range(len(b) - order + 1))
+        chars = sum(len(w) + 1 for w in words(t))
+        out.append(10 ** (-lp / chars) if b else None)
+    return out
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

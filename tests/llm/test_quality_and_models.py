@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 import data
@@ -42,6 +43,41 @@ def test_verdict_follows_the_bands(spark):
     assert sum(r.kept for r in rows) > 100
 
 
+def test_perplexity_and_verdict_follow_the_definition(spark):
+    rows, _ = data.corpus(spark, 30)
+    rows += [(500 + i, "aaaa " * 30) for i in range(4)]  # a language whose counts of counts are all zero
+    langs = ["xx" if 500 <= (i or 0) < 504 else (None, "en", "fr")[k % 3] for k, (i, _) in enumerate(rows)]
+    docs = spark.createDataFrame([(k, t, g) for k, ((_, t), g) in enumerate(zip(rows, langs))],
+                                 "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.quality_rules(docs).collect()}
+    want = brute.kneser_ney([(g, t) for g, (_, t) in zip(langs, rows)], kneser_ney.ORDER)
+    off = defaultdict(list)
+    for k, p in enumerate(want):
+        assert got[k].perplexity == (p if p is None else pytest.approx(p, rel=1e-4))
+        if not got[k].base_failed:
+            off[langs[k]].append(k)
+    for ks in off.values():
+        pick = lambda v, q: sorted(v)[max(0, math.ceil(q * len(v)) - 1)]
+        logs = {k: math.log10(got[k].perplexity) for k in ks}
+        middle = pick(logs.values(), 0.5)
+        root = {k: math.sqrt(got[k].word_chars + got[k].n_words) for k in ks}
+        z = {k: (logs[k] - middle) * root[k] for k in ks}
+        a, b = pick(z.values(), 0.25), pick(z.values(), 0.75)
+        for k in ks:
+            low, high = a - quality.BELOW * (b - a), b + quality.ABOVE * (b - a)
+            assert got[k].low == pytest.approx(10 ** (middle + low / root[k]), rel=1e-6)
+            assert got[k].high == pytest.approx(10 ** (middle + high / root[k]), rel=1e-6)
+            assert got[k].kept == (got[k].low <= got[k].perplexity <= got[k].high)
+
+
+def test_junk_goes_and_clean_texts_stay(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    found = quality.quality_rules(docs).where("not base_failed").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    kept = {r.quality: r.kept for r in found.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert kept[1] > 0.99 and kept[0] < 0.8
+
+
 def test_gibberish_is_rejected_and_clean_text_kept(spark):
     r = np.random.default_rng(3)
     junk = " ".join("".join(map(chr, r.integers(0x21, 0x7e, 9))) for _ in range(40))
