@@ -103,18 +103,18 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
     "op7_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
 b AS (SELECT row_number() OVER () AS nth, CAST(item_id AS VARCHAR) AS item, {_ITEM_WORDS} AS w FROM benchmark),
-bw AS (SELECT nth, item, k, i AS at, array_to_string(w[i:i + k - 1], ' ') AS win FROM (
+bw AS (SELECT nth, item, k, i AS b_i, array_to_string(w[i:i + k - 1], ' ') AS win FROM (
   SELECT nth, item, w, least(13, len(w)) AS k, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS i
   FROM b WHERE len(w) > 0)),
 dw AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS win FROM (
   SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
   FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)),
-m AS (SELECT doc_id, i, dw.k, nth, item, at FROM dw JOIN bw ON dw.k = bw.k AND dw.win = bw.win),
-r AS (SELECT doc_id, item, min(i) AS i, min(at) AS at, count(*) + k - 1 AS n FROM (
-  SELECT *, i - row_number() OVER (PARTITION BY doc_id, nth, i - at ORDER BY i) AS run FROM m)
-  GROUP BY doc_id, nth, item, k, i - at, run),
-l AS (SELECT doc_id, item AS longest_item, i - 1 AS longest_word, at - 1 AS longest_item_word, n FROM r
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, item, i, at) = 1),
+m AS (SELECT doc_id, i, dw.k, nth, item, b_i FROM dw JOIN bw ON dw.k = bw.k AND dw.win = bw.win),
+r AS (SELECT doc_id, item, min(i) AS i, min(b_i) AS b_i, count(*) + k - 1 AS n FROM (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, nth, i - b_i ORDER BY i) AS g FROM m)
+  GROUP BY doc_id, nth, item, k, i - b_i, g),
+l AS (SELECT doc_id, item AS longest_item, i - 1 AS longest_word, b_i - 1 AS longest_item_word, n FROM r
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, item, i, b_i) = 1),
 h AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (
   SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS pos FROM m) GROUP BY doc_id),
 t AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
