@@ -222,7 +222,7 @@ def _null_first_key(t):
 
 
 def ordered_with_position(df: DataFrame, order: Sequence[str | Column], pos: str = "pos",
-                          num_buckets: int | None = None) -> DataFrame:
+                          num_buckets: int | None = None, checkpoint_input: bool = True) -> DataFrame:
     """O1/O2: a listing with its 1-based position in ``order`` (nulls first).
 
     ``row_number`` over an unpartitioned window would pull every row into one
@@ -231,10 +231,14 @@ def ordered_with_position(df: DataFrame, order: Sequence[str | Column], pos: str
     bucket) and the bucket's offset (running count of earlier buckets, one
     row per bucket, broadcast). Nothing depends on task or partition ids,
     so retries and lost executors reproduce the same positions. ``order``
-    must be total for positions to be unique among distinct rows.
+    must be total for positions to be unique among distinct rows. The input is
+    read several times (bounds, counts, ranks), so by default it is checkpointed
+    once first: what makes it (scans, joins) runs once.
     """
     from .safety import broadcast_if_bounded
 
+    if checkpoint_input:
+        df = materialize(df)
     spec = _asc(order)
     t, nb = range_buckets(df, order, num_buckets)
     local = t.withColumn("_local", F.row_number().over(Window.partitionBy("_bucket").orderBy(*spec)))
@@ -247,7 +251,7 @@ def ordered_with_position(df: DataFrame, order: Sequence[str | Column], pos: str
 
 
 def running_aggregate(df: DataFrame, value: str, order: Sequence[str], partition: Sequence[str],
-                      num_buckets: int | None = None) -> DataFrame:
+                      num_buckets: int | None = None, checkpoint_input: bool = True) -> DataFrame:
     """Running sum (decimal-exact when ``value`` is decimal) and count of
     ``value`` per ``partition`` in ``order``, as ``_run_sum`` / ``_run_n``.
 
@@ -255,8 +259,11 @@ def running_aggregate(df: DataFrame, value: str, order: Sequence[str], partition
     inside (bucket, partition); per (bucket, partition) totals - at most
     #partitions + #buckets rows - get a running offset over earlier buckets
     of the same partition; the offset is joined back. A partition holding a
-    third of all rows is spread over many buckets and tasks.
+    third of all rows is spread over many buckets and tasks. The input is
+    checkpointed once first, as in ``ordered_with_position``.
     """
+    if checkpoint_input:
+        df = materialize(df)
     keys = [*partition, *order]
     t, nb = range_buckets(df, keys, num_buckets)
     # partition values wrapped in a non-null struct: null values form their

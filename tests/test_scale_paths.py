@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fixtures import catalog, write
 from sheetrecon.operators import lookup as lk
+from sheetrecon.operators import pick as pk
 from sheetrecon.operators import safety
 from sheetrecon.sources import sheet as sh
 from sheetrecon.sources import sinks
@@ -169,3 +170,18 @@ def test_manifest_per_sheet(spark, tmpdir_path):
     assert len(sheets) == 2
     got = {whole_bytes(sinks.sheet_parts(spark, out, s)).decode() for s in sheets}
     assert got == set(texts.values())
+
+
+def test_ordered_inputs_are_made_once(spark, tmp_path):
+    """Bounds, counts and ranks read the checkpointed input, not what made it."""
+    rows = [(i % 7, f"n{i:03d}", i) for i in range(200)]
+    spark.createDataFrame(rows, "k int, name string, v long").write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t").filter("v >= 20")
+    listed = pk.ordered_with_position(t, ["k", "name"])
+    running = pk.running_aggregate(t, "v", ["name"], ["k"])
+    for out in (listed, running):
+        assert "FileScan" not in out._jdf.queryExecution().executedPlan().toString()
+    want = sorted((k, n) for k, n, v in rows if v >= 20)
+    assert [(r.k, r.name) for r in sorted(listed.collect(), key=lambda r: r.pos)] == want
+    total = {k: sum(v for j, _, v in rows if j == k and v >= 20) for k in range(7)}
+    assert {k: max(r._run_sum for r in running.collect() if r.k == k) for k in range(7)} == total
