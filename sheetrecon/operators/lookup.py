@@ -29,6 +29,7 @@ class Link:
     table: str
     on: tuple[tuple[str, str], ...]  # ("leftalias.col", "rightcol")
     how: str = "inner"
+    links: tuple[Link, ...] = ()  # joined to the table before the table itself is joined
 
 
 def q(ref: str) -> str:
@@ -61,14 +62,24 @@ def run_chain(catalog: Mapping[str, DataFrame], root: tuple[str, str],
     df = qualify(catalog[table], alias)
     if keys is not None:
         df = restrict_to_keys(df, keys, q(key_ref))
+    return _fold(catalog, df, links)
+
+
+def _fold(catalog: Mapping[str, DataFrame], df: DataFrame, links: Sequence[Link]) -> DataFrame:
     for link in links:
-        right = qualify(catalog[link.table], link.alias)
+        right = _fold(catalog, qualify(catalog[link.table], link.alias), link.links)
         cond = reduce(lambda a, b: a & b,
                       [F.col(q(left)) == F.col(f"{link.alias}__{rc}") for left, rc in link.on])
         df = df.join(right, cond, link.how)
     return df
 
 
+def flat(links: Sequence[Link]) -> list[Link]:
+    """The links one after the other, none joined to another's table first. The same rows
+    when links inside a left link are left links too."""
+    return [one for link in links for one in (replace(link, links=()), *flat(link.links))]
+
+
 def co_located(catalog: Mapping[str, DataFrame], links: Sequence[Link]) -> list[Link]:
     """Links for a catalog whose contract links carry the proposal code
     (``sources.tables.export_co_located``): they join on it too, and come while the rows
@@ -133,32 +144,41 @@ FILTERS = (
     Link("vg", "vendedor", (("ct.cod_vendedor", "cod_vendedor"),)),
     Link("eq", "equipo_vendedores", (("vg.cod_equipo", "cod_equipo"),), "left_semi"),
 )
-# Every table of the widest query, 12 inner + 16 left. The four facts that
-# share the proposal key come first, before the party and payment fan-out, so
-# one partitioning on that key serves all of them.
-FULL_INNER = (
-    Link("ct", "contratos", (("p.cod_propuesta", "cod_propuesta"),)),
-    Link("cr", "creditos", (("p.cod_propuesta", "cod_propuesta"),)),
+# Every table of the widest query, 12 inner + 16 left, in three parts that meet on
+# columns of the result. The plot of a contract: rows of its own until the contract has it.
+FULL_PLOT = (
+    Link("cp", "contratos_parcelas", (("ct.cod_contrato", "cod_contrato_parcela"),), "left", (
+        Link("pa", "parcela", (("cp.cod_parcela", "cod_parcela"),), "left"),
+        Link("ep", "estados_parcela", (("pa.cod_estado", "cod_estado_parcela"),), "left"),
+        Link("ma", "manzana", (("pa.cod_manzana", "cod_manzana"),), "left"),
+        Link("zp", "zonas_parques", (("ma.cod_zona_parque", "cod_zona_parque"),), "left"),
+    )),
+)
+# The sale, from the proposal: contract and credit get what belongs to them while they are
+# narrow, then all facts that share the proposal key are joined on it.
+FULL_SALE = (
+    Link("ct", "contratos", (("p.cod_propuesta", "cod_propuesta"),), links=(
+        *FULL_PLOT,
+        Link("ec", "estados_contratos", (("ct.cod_estado_contrato", "cod_estado_contrato"),)),
+        Link("tc", "tipos_contratos", (("ct.cod_tipo_contrato", "cod_tipo_contrato"),)),
+        Link("pvm", "planes_ventas_modelos", (("ct.cod_plan_venta_modelo", "cod_plan_venta_modelo"),), "left"),
+        Link("vg", "vendedor", (("ct.cod_vendedor", "cod_vendedor"),)),
+        Link("eq", "equipo_vendedores", (("vg.cod_equipo", "cod_equipo"),)),
+    )),
+    Link("cr", "creditos", (("p.cod_propuesta", "cod_propuesta"),), links=(
+        Link("s", "sucursales", (("cr.cod_sucursal", "cod_sucursal"),)),
+        Link("ed", "estados_deudas", (("cr.cod_estado_deuda", "cod_estado_deuda"),)),
+    )),
     Link("tx", "tarjeta_oxxo", (("p.cod_propuesta", "cod_propuesta"),), "left"),
     Link("cb", "clabe_bancaria", (("p.cod_propuesta", "cod_propuesta"),), "left"),
     Link("tp", "tipos_propuestas", (("p.cod_tipo_propuesta", "cod_tipo_propuesta"),)),
-    Link("ec", "estados_contratos", (("ct.cod_estado_contrato", "cod_estado_contrato"),)),
-    Link("tc", "tipos_contratos", (("ct.cod_tipo_contrato", "cod_tipo_contrato"),)),
-    Link("vg", "vendedor", (("ct.cod_vendedor", "cod_vendedor"),)),
-    Link("eq", "equipo_vendedores", (("vg.cod_equipo", "cod_equipo"),)),
-    Link("s", "sucursales", (("cr.cod_sucursal", "cod_sucursal"),)),
-    Link("ed", "estados_deudas", (("cr.cod_estado_deuda", "cod_estado_deuda"),)),
-    Link("cc", "contratos_clientes", (("ct.cod_contrato", "cod_contrato"),)),
-    Link("c", "clientes", (("cc.cod_cliente", "cod_cliente"),)),
+)
+# The parties of a contract, from the contract link.
+FULL_PARTY = (
     Link("cart", "caracter_titulares", (("cc.cod_caracter_titular", "cod_caracter_titular"),)),
 )
-FULL_LEFT = (
-    Link("cp", "contratos_parcelas", (("ct.cod_contrato", "cod_contrato_parcela"),), "left"),
-    Link("pa", "parcela", (("cp.cod_parcela", "cod_parcela"),), "left"),
-    Link("ep", "estados_parcela", (("pa.cod_estado", "cod_estado_parcela"),), "left"),
-    Link("ma", "manzana", (("pa.cod_manzana", "cod_manzana"),), "left"),
-    Link("zp", "zonas_parques", (("ma.cod_zona_parque", "cod_zona_parque"),), "left"),
-    Link("pvm", "planes_ventas_modelos", (("ct.cod_plan_venta_modelo", "cod_plan_venta_modelo"),), "left"),
+# What is known of a client, from the client.
+FULL_CLIENT = (
     Link("mco", "medios_cobros", (("c.cod_cliente", "cod_cliente"),), "left"),
     Link("zc", "zona_cobranza", (("mco.cod_zona_cobranza", "cod_zona_cobranza"),), "left"),
     Link("mcd", "medios_cobros_domicilios", (("mco.cod_medio_cobro", "cod_medio_cobro"),), "left"),
@@ -228,32 +248,60 @@ def lookup_contact(catalog, keys: DataFrame | None = None) -> DataFrame:
         ("direccion", "dom.direccion"), ("asesor", "vg.nombre")]).distinct()
 
 
-FULL_COLUMNS = [
-    ("cod_propuesta", lambda: key_text("p.legajo")), ("nombre_cliente", "c.nombre"),
-    ("cod_cliente", "cc.cod_cliente"), ("sucursal", "s.nombre"), ("monto", "cr.monto"),
-    ("fecha_contrato", "ct.fecha"), ("nombre_anterior", "pvm.nombre"),
-    ("cod_contrato", "cc.cod_contrato"), ("estado", "ec.estado"), ("tipo_contrato", "tc.nombre"),
-    ("estado_credito", "ed.estado"), ("equipo", "eq.descripcion"), ("asesor", "vg.nombre"),
-    ("caracter_titular", "cart.nombre"), ("telefono", "c.telefono"),
-    ("telefono_movil", "c.telefono_movil"), ("telefono_laboral", "c.telefono_laboral"),
-    ("ubicacion", "pa.legajo"), ("dir_cliente", "dom.cod_domicilio"),
+SALE_COLUMNS = [
+    ("cod_propuesta", lambda: key_text("p.legajo")), ("sucursal", "s.nombre"), ("monto", "cr.monto"),
+    ("fecha_contrato", "ct.fecha"), ("nombre_anterior", "pvm.nombre"), ("estado", "ec.estado"),
+    ("tipo_contrato", "tc.nombre"), ("estado_credito", "ed.estado"), ("equipo", "eq.descripcion"),
+    ("asesor", "vg.nombre"), ("ubicacion", "pa.legajo"), ("cod_usuario_alta", "tx.cod_usuario_alta"),
+    ("cod_barra_oxxo", "tx.codigo_barra"), ("clabe_banco", "cb.clabe"),
+]
+PARTY_COLUMNS = [
+    ("cod_cliente", "cc.cod_cliente"), ("cod_contrato", "cc.cod_contrato"), ("caracter_titular", "cart.nombre"),
+]
+CLIENT_COLUMNS = [
+    ("nombre_cliente", "c.nombre"), ("telefono", "c.telefono"), ("telefono_movil", "c.telefono_movil"),
+    ("telefono_laboral", "c.telefono_laboral"), ("dir_cliente", "dom.cod_domicilio"),
     ("medio_cobro", "mco.descripcion"), ("cod_cobrador_asignado", "mco.cod_cobrador_asignado"),
     ("cod_modalidad_cobranza", "zc.cod_modalidad_cobranza"), ("zona_cobranza", "zc.descripcion"),
     ("codigo_cobro_dom", "mcd.cod_domicilio"), ("direccion", "dom.direccion"),
     ("barrio", "bar.nombre"), ("localidad", "loc.nombre"), ("provinca", "prv.nombre"),
-    ("manzana", "dom.manzana"), ("cod_usuario_alta", "tx.cod_usuario_alta"),
-    ("cod_barra_oxxo", "tx.codigo_barra"), ("clabe_banco", "cb.clabe"),
-    ("tipo_documento", "c.tipo_documento"), ("nro_documento", "c.nro_documento"),
-    ("rfc1", "c.cuit"), ("medio_cobro_cuenta", "mcb.nro_cuenta"),
+    ("manzana", "dom.manzana"), ("tipo_documento", "c.tipo_documento"),
+    ("nro_documento", "c.nro_documento"), ("rfc1", "c.cuit"), ("medio_cobro_cuenta", "mcb.nro_cuenta"),
     ("titular_cobro", "mcb.titular"),
-    ("clabe_banco_formatted", lambda: bank_code(F.col("cb__clabe"))),
 ]
+FULL_COLUMNS = (
+    "cod_propuesta", "nombre_cliente", "cod_cliente", "sucursal", "monto", "fecha_contrato",
+    "nombre_anterior", "cod_contrato", "estado", "tipo_contrato", "estado_credito", "equipo", "asesor",
+    "caracter_titular", "telefono", "telefono_movil", "telefono_laboral", "ubicacion", "dir_cliente",
+    "medio_cobro", "cod_cobrador_asignado", "cod_modalidad_cobranza", "zona_cobranza",
+    "codigo_cobro_dom", "direccion", "barrio", "localidad", "provinca", "manzana", "cod_usuario_alta",
+    "cod_barra_oxxo", "clabe_banco", "tipo_documento", "nro_documento", "rfc1", "medio_cobro_cuenta",
+    "titular_cobro",
+)
 
 
 def lookup_full(catalog, keys: DataFrame | None = None) -> DataFrame:
-    """The 29-table, 38-column record, DISTINCT."""
-    df = run_chain(catalog, ROOT, FULL_INNER + FULL_LEFT, keys)
-    return project(df, FULL_COLUMNS).distinct()
+    """The 29-table, 38-column record, DISTINCT.
+
+    Sales, parties and clients meet on the contract and client codes, which are columns
+    of the record, and every other column comes from one of the three: a record stands
+    for one row of each, so that DISTINCT is taken of the three before they meet. Wide
+    records are dealt out once, by client. Co-located tables keep their dealing by
+    proposal up to the parties; there sales and parties are made distinct together.
+    """
+    clients = project(run_chain(catalog, ("c", "clientes"), FULL_CLIENT),
+                      [("_cliente", "c.cod_cliente"), *CLIENT_COLUMNS]).distinct()
+    if "cod_propuesta" in catalog["contratos_clientes"].columns:
+        party = Link("cc", "contratos_clientes", (("ct.cod_contrato", "cod_contrato"),), links=FULL_PARTY)
+        links = flat((*FULL_SALE, party))
+        rows = project(run_chain(catalog, ROOT, links, keys), SALE_COLUMNS + PARTY_COLUMNS).distinct()
+    else:
+        sales = project(run_chain(catalog, ROOT, FULL_SALE, keys),
+                        [("_contrato", "ct.cod_contrato"), *SALE_COLUMNS]).distinct()
+        parties = project(run_chain(catalog, ("cc", "contratos_clientes"), FULL_PARTY), PARTY_COLUMNS).distinct()
+        rows = parties.join(sales, F.col("cod_contrato") == F.col("_contrato"))
+    return (rows.join(clients, F.col("cod_cliente") == F.col("_cliente"))
+            .select(*FULL_COLUMNS, bank_code(F.col("clabe_banco")).alias("clabe_banco_formatted")))
 
 
 def holder_rows(catalog, keys: DataFrame | None = None) -> DataFrame:

@@ -185,3 +185,24 @@ def test_ordered_inputs_are_made_once(spark, tmp_path):
     assert [(r.k, r.name) for r in sorted(listed.collect(), key=lambda r: r.pos)] == want
     total = {k: sum(v for j, _, v in rows if j == k and v >= 20) for k in range(7)}
     assert {k: max(r._run_sum for r in running.collect() if r.k == k) for k in range(7)} == total
+
+
+def test_full_records_are_dealt_once_and_distinct(spark, no_broadcast):
+    """No exchange deals out the 38 columns, and one deals sales and parties out by client;
+    repeated rows of any part still give one record."""
+    cat = catalog(spark)
+    dealt = exchanged(lk.lookup_full(cat))
+    assert max(map(len, dealt)) <= 21
+    assert dealt.count({"cod_cliente"}) == 1
+    flat = lk.flat((*lk.FULL_SALE, lk.Link("cc", "contratos_clientes", (("ct.cod_contrato", "cod_contrato"),)),
+                    *lk.FULL_PARTY, lk.Link("c", "clientes", (("cc.cod_cliente", "cod_cliente"),)), *lk.FULL_CLIENT))
+    columns = dict(lk.SALE_COLUMNS + lk.PARTY_COLUMNS + lk.CLIENT_COLUMNS)
+    twice = dict(cat)
+    for name in ("contratos", "contratos_clientes", "contratos_parcelas", "clientes", "medios_cobros", "barrios"):
+        twice[name] = cat[name].unionByName(cat[name])
+    want = lk.project(lk.run_chain(twice, lk.ROOT, flat), [(c, columns[c]) for c in lk.FULL_COLUMNS]).distinct()
+    got = lk.lookup_full(twice)
+    assert got.columns[:-1] == want.columns and len(got.columns) == 38
+    rows = sorted(map(repr, got.drop("clabe_banco_formatted").collect()))
+    assert rows == sorted(map(repr, want.collect())) and rows
+    assert rows == sorted(map(repr, lk.lookup_full(cat).drop("clabe_banco_formatted").collect()))
