@@ -130,9 +130,17 @@ def _order_struct(order: Sequence[str | Column]) -> Column:
 
 
 UNROLL_STEPS = 4
+#: ``monotonically_increasing_id`` counts a part's rows in its lower 33 bits.
+PLACES = 1 << 33
 MIN_BUCKET_ROWS = 200_000
 
 
+def _ranges(df: DataFrame, num_buckets: int | None = None) -> int:
+    from .safety import parallelism
+    return num_buckets or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                              parallelism(df.sparkSession))
+
+
 def range_buckets(df: DataFrame, order: Sequence[str | Column],
                   num_buckets: int | None = None) -> tuple[DataFrame, int]:
     """Add ``_bucket``: the range bucket of each row's full order tuple.
@@ -226,13 +234,13 @@ def ordered_with_position(df: DataFrame, order: Sequence[str | Column], pos: str
     """O1/O2: a listing with its 1-based position in ``order`` (nulls first).
 
     ``row_number`` over an unpartitioned window would pull every row into one
-    task. Instead rows get deterministic range buckets on the order tuple
-    (``range_buckets``), a rank inside the bucket (``row_number`` over the
-    bucket) and the bucket's offset (running count of earlier buckets, one
-    row per bucket, broadcast). Nothing depends on task or partition ids,
-    so retries and lost executors reproduce the same positions. ``order``
+    task. Instead rows are dealt out by ranges of the order tuple, sorted inside their
+    range and checkpointed: from then on a row's range is the number of the checkpoint's
+    part and its place in the range the place in the part, whatever task reads it, so
+    retries and lost executors reproduce the same positions. The position is that place
+    plus the rows of earlier ranges (one row per range, broadcast). ``order``
     must be total for positions to be unique among distinct rows. The input is
-    read several times (bounds, counts, ranks), so by default it is checkpointed
+    read twice (Spark's sort sampling, dealing out), so by default it is checkpointed
     once first: what makes it (scans, joins) runs once.
     """
     from .safety import broadcast_if_bounded
@@ -240,14 +248,16 @@ def ordered_with_position(df: DataFrame, order: Sequence[str | Column], pos: str
     if checkpoint_input:
         df = materialize(df)
     spec = _asc(order)
-    t, nb = range_buckets(df, order, num_buckets)
-    local = t.withColumn("_local", F.row_number().over(Window.partitionBy("_bucket").orderBy(*spec)))
-    counts = t.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.select("_bucket", (F.sum("_n").over(w) - F.col("_n")).alias("_before"))
-    return (local.join(broadcast_if_bounded(offsets, nb), "_bucket")
-            .withColumn(pos, F.col("_before") + F.col("_local"))
-            .drop("_bucket", "_local", "_before"))
+    dealt = df.repartitionByRange(num_buckets, *spec) if num_buckets else df.repartitionByRange(*spec)
+    t = materialize(dealt.sortWithinPartitions(*spec)).withColumns({
+        "_part": F.spark_partition_id(),
+        "_place": F.monotonically_increasing_id().bitwiseAND(F.lit(PLACES - 1)) + 1})
+    counts = t.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = counts.select("_part", (F.sum("_n").over(w) - F.col("_n")).alias("_before"))
+    return (t.join(broadcast_if_bounded(offsets, _ranges(df, num_buckets)), "_part")
+            .withColumn(pos, F.col("_before") + F.col("_place"))
+            .drop("_part", "_place", "_before"))
 
 
 def running_aggregate(df: DataFrame, value: str, order: Sequence[str], partition: Sequence[str],

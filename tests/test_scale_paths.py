@@ -206,3 +206,17 @@ def test_full_records_are_dealt_once_and_distinct(spark, no_broadcast):
     rows = sorted(map(repr, got.drop("clabe_banco_formatted").collect()))
     assert rows == sorted(map(repr, want.collect())) and rows
     assert rows == sorted(map(repr, lk.lookup_full(cat).drop("clabe_banco_formatted").collect()))
+
+
+def test_positions_come_from_sorted_parts_without_another_shuffle(spark, tmp_path):
+    rows = [(i * 37 % 50 if i % 9 else None, f"n{i:04d}") for i in range(1000)]
+    t = spark.createDataFrame(rows, "k int, name string")
+    for listed, whole in ((pk.ordered_with_position(t, ["k", "name"]), t),
+                          (pk.ordered_with_position(t, ["k", "name"], checkpoint_input=False), t),
+                          (pk.ordered_with_position(t.where("k < 0"), ["k", "name"]), t.where("k < 0"))):
+        assert listed.columns == ["k", "name", "pos"] and dict(listed.dtypes)["pos"] == "bigint"
+        assert all(columns == {"_part"} for columns in exchanged(listed))
+        got = [(r.k, r.name) for r in sorted(listed.collect(), key=lambda r: r.pos)]
+        want = sorted(((r.k, r.name) for r in whole.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        assert got == want
+        assert [r.pos for r in sorted(listed.collect(), key=lambda r: r.pos)] == list(range(1, len(want) + 1))
