@@ -95,30 +95,39 @@ def number_within_key(df: DataFrame, key: str, order: Sequence[str],
                       checkpoint_input: bool = True) -> DataFrame:
     """Ordinal of each row inside its key; key text only on the first.
 
-    Rows get range buckets on (key, order...) so that a hot key spans many
-    buckets and tasks. ordinal = rank inside (bucket, key) + rows of the
-    same key in earlier buckets. Those counts are one row per (bucket, key)
-    (a hot key has at most one per bucket); their running sum per key is a
-    small window, and they join back on the (bucket, key) partitioning the
-    rank window already has, so only the small side moves. Null keys form
-    their own group. The input is read several times (bounds, counts,
-    ranks), so by default it is checkpointed once first.
+    Rows are ranked inside their key, one shuffle on it. Keys that hold more rows than a
+    range of the sampled order (``order_bounds``) are hot: their rows get range buckets on
+    (key, order...) so that such a key spans many buckets and tasks, and ordinal = rank
+    inside (bucket, key) + rows of the same key in earlier buckets. Only a key that a bound
+    names can lie in two buckets, so those counts are at most one row per bucket. Null keys
+    form their own group. The input is read several times (bounds, counts, ranks), so by
+    default it is checkpointed once first.
     """
+    from .safety import broadcast_if_bounded
+
     if checkpoint_input:
         df = materialize(df)
-    t, _ = range_buckets(df, [key, *order])
+    bounds = order_bounds(df, [key, *order])
+    named = [b[0] for b in bounds]
+    hot = {k for k, next_k in zip(named, named[1:]) if k == next_k}
+    bounds = [b for b in bounds if b[0] in hot]
     # the key wrapped in a non-null struct: equal for two null keys, and the
     # same expression partitions the rank window and the join (no reshuffle)
-    t = t.withColumn("_kj", F.struct(F.col(key).alias("k")))
+    t = in_buckets(df, [key, *order], bounds).withColumn("_kj", F.struct(F.col(key).alias("k")))
     local = t.withColumn("_local", F.row_number().over(
         Window.partitionBy("_bucket", "_kj").orderBy(*_asc(order))))
-    earlier = Window.partitionBy("_kj").orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = (t.groupBy("_bucket", "_kj").agg(F.count(F.lit(1)).alias("_n"))
-               .select("_bucket", "_kj",
-                       F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
-    return (local.join(offsets, ["_bucket", "_kj"])
-            .withColumn("n_in_key", F.col("_before") + F.col("_local"))
+    if hot:
+        earlier = Window.partitionBy("_kj").orderBy("_bucket").rowsBetween(
+            Window.unboundedPreceding, -1)
+        is_hot = F.col(key).isin([k for k in hot if k is not None])
+        if None in hot:
+            is_hot = is_hot | F.col(key).isNull()
+        offsets = (t.where(is_hot).groupBy("_bucket", "_kj").agg(F.count(F.lit(1)).alias("_n"))
+                   .select("_bucket", "_kj", F.sum("_n").over(earlier).alias("_before")))
+        local = local.join(broadcast_if_bounded(offsets, len(bounds) + len(hot)), ["_bucket", "_kj"], "left")
+    else:
+        local = local.withColumn("_before", F.lit(None).cast("long"))
+    return (local.withColumn("n_in_key", F.coalesce("_before", F.lit(0)) + F.col("_local"))
             .withColumn("key_display", F.when(F.col("n_in_key") == 1, F.col(key).cast("string"))
                         .otherwise(F.lit("")))
             .drop("_bucket", "_kj", "_local", "_before"))
@@ -135,59 +144,64 @@ PLACES = 1 << 33
 MIN_BUCKET_ROWS = 200_000
 
 
+#: Order tuples that are sampled for each range (as Spark's own sort does for a partition).
+SAMPLED = 20
+
+
 def _ranges(df: DataFrame, num_buckets: int | None = None) -> int:
     from .safety import parallelism
     return num_buckets or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
                               parallelism(df.sparkSession))
 
 
+def order_bounds(df: DataFrame, order: Sequence[str | Column],
+                 num_buckets: int | None = None) -> list[tuple]:
+    """Ascending lower bounds that part the rows into ranges of like size in ``order``.
+
+    One pass draws ``SAMPLED`` order tuples per range at random; they reach the driver, as
+    in Spark's own sort sampling. The sample only says where ranges end: every row is still
+    dealt, counted and ranked. A range holds about ``MIN_BUCKET_ROWS`` rows or more (but no
+    more than 1/parallelism of the rows, so every core gets one; or total / ``num_buckets``
+    when a count is given), so small inputs get few ranges and large ones up to one per
+    shuffle partition.
+    """
+    from .safety import parallelism
+    n = _ranges(df, num_buckets)
+    drawn = (df.select(_order_struct(order).alias("_k"), F.rand(0).alias("_r"))
+             .orderBy("_r").limit(SAMPLED * n).orderBy(F.col("_k").asc_nulls_first()).collect())
+    if not drawn:
+        return []
+    total = len(drawn) if len(drawn) < SAMPLED * n else len(drawn) / max(max(r["_r"] for r in drawn), 1e-12)
+    target = total / n
+    if num_buckets is None:  # big enough to be worth a task, small enough to keep every core busy
+        target = max(target, min(MIN_BUCKET_ROWS, math.ceil(total / parallelism(df.sparkSession))))
+    step = max(1, math.ceil(target * len(drawn) / total))
+    return [tuple(r["_k"]) for r in drawn[step::step]]
+
+
 def range_buckets(df: DataFrame, order: Sequence[str | Column],
                   num_buckets: int | None = None) -> tuple[DataFrame, int]:
-    """Add ``_bucket``: the range bucket of each row's full order tuple.
-
-    One small job range-partitions the order tuple and returns, per range,
-    its minimum tuple and row count (one small row per shuffle partition
-    reaches the driver, as in Spark's own sort sampling). Adjacent ranges are
-    merged until a bucket holds at least ``MIN_BUCKET_ROWS`` rows (but no
-    more than 1/parallelism of the rows, so every core gets a bucket; or
-    total / ``num_buckets`` when a count is given), so small inputs get few
-    buckets and large ones up to one per shuffle partition.
-
-    A row's bucket is the number of bounds not above its tuple, found by a
-    binary search (log2(n) projections) in the sorted bounds array: a pure
-    function of the row, so every re-evaluation agrees. The array reaches
-    the tasks as a one-value scalar subquery over the bounds (one small
-    local relation), not as thousands of plan literals.
-    Bounds are on the whole tuple, so one hot leading value (a key holding
+    """Add ``_bucket``: the range bucket of each row's full order tuple, by the bounds of
+    ``order_bounds``. Bounds are on the whole tuple, so one hot leading value (a key holding
     a third of all rows) still spreads over many buckets.
     Returns (DataFrame, number of buckets).
     """
-    from .safety import parallelism
-    spark = df.sparkSession
-    explicit = num_buckets is not None
-    n = num_buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), parallelism(spark))
-    key = _order_struct(order)
-    probe = df.select(key.alias("_k"))
-    stats = (probe.repartitionByRange(n, F.col("_k").asc_nulls_first())
-             .groupBy(F.spark_partition_id().alias("_p"))
-             .agg(F.min("_k").alias("_m"), F.count(F.lit(1)).alias("_c"))
-             .collect())
-    ktype = probe.schema["_k"].dataType
-    ranges = sorted(((tuple(r["_m"]), r["_c"]) for r in stats), key=lambda t: _null_first_key(t[0]))
-    total = sum(c for _, c in ranges)
-    if explicit:
-        target = max(1, math.ceil(total / n))
-    else:  # big enough to be worth a task, small enough to keep every core busy
-        target = max(math.ceil(total / n),
-                     min(MIN_BUCKET_ROWS, math.ceil(total / parallelism(spark))), 1)
-    bounds, acc = [], 0
-    for i, (m, c) in enumerate(ranges):
-        if i > 0 and acc >= target and (not bounds or m != bounds[-1]):
-            bounds.append(m)
-            acc = 0
-        acc += c
+    bounds = list(dict.fromkeys(order_bounds(df, order, num_buckets)))
+    return in_buckets(df, order, bounds), len(bounds) + 1
+
+
+def in_buckets(df: DataFrame, order: Sequence[str | Column], bounds: Sequence[tuple]) -> DataFrame:
+    """Add ``_bucket``: the number of ``bounds`` (ascending) not above the row's order tuple.
+
+    Found by a binary search (log2(n) projections) in the sorted bounds array: a pure
+    function of the row, so every re-evaluation agrees. The array reaches the tasks as a
+    one-value scalar subquery over the bounds (one small local relation), not as thousands
+    of plan literals.
+    """
     if not bounds:
-        return df.withColumn("_bucket", F.lit(0)), 1
+        return df.withColumn("_bucket", F.lit(0))
+    spark, key = df.sparkSession, _order_struct(order)
+    ktype = df.select(key.alias("_k")).schema["_k"].dataType
     from pyspark.sql.types import IntegerType, StructField, StructType
     bdf = spark.createDataFrame(list(enumerate(bounds)),
                                 StructType([StructField("_i", IntegerType()),
@@ -222,11 +236,7 @@ def range_buckets(df: DataFrame, order: Sequence[str | Column],
             return F.struct(lo.alias("lo"), hi.alias("hi"))
         init = F.struct(F.lit(0).alias("lo"), F.lit(nb).alias("hi"))
         bucket = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, fold)["lo"]
-    return (out.withColumn("_bucket", bucket).drop("_bounds", "_key", "_lo", "_hi"), nb + 1)
-
-
-def _null_first_key(t):
-    return tuple((v is not None, v if v is not None else 0) for v in t)
+    return out.withColumn("_bucket", bucket).drop("_bounds", "_key", "_lo", "_hi")
 
 
 def ordered_with_position(df: DataFrame, order: Sequence[str | Column], pos: str = "pos",

@@ -220,3 +220,29 @@ def test_positions_come_from_sorted_parts_without_another_shuffle(spark, tmp_pat
         want = sorted(((r.k, r.name) for r in whole.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
         assert got == want
         assert [r.pos for r in sorted(listed.collect(), key=lambda r: r.pos)] == list(range(1, len(want) + 1))
+
+
+def test_ordinals_shuffle_rows_once_and_search_no_bounds_without_hot_keys(spark, no_broadcast):
+    rows = [(i % 500 if i % 500 else None, f"n{i:04d}") for i in range(2000)]
+    t = spark.createDataFrame(rows, "k int, name string")
+    numbered = pk.number_within_key(t, "k", ["name"])
+    assert exchanged(numbered) == [{"_kj"}]
+    assert "_bounds" not in numbered._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.k, r.name): r.n_in_key for r in numbered.collect()}
+    want = {}
+    for k in {r[0] for r in rows}:
+        want.update({(k, n): i for i, n in enumerate(sorted(n for j, n in rows if j == k), start=1)})
+    assert got == want
+    assert pk.number_within_key(t.where("k < 0"), "k", ["name"]).collect() == []
+
+
+def test_bounds_part_the_rows_evenly(spark, monkeypatch):
+    """Also from a sample that is a small part of the rows."""
+    monkeypatch.setattr(pk, "MIN_BUCKET_ROWS", 500)
+    monkeypatch.setattr(pk, "_ranges", lambda df, num_buckets=None: num_buckets or 10)
+    t = spark.range(0, 20_000, 1, 4).selectExpr("id * 7919 % 20000 as k")
+    b, n = pk.range_buckets(t, ["k"])
+    sizes = [r["count"] for r in b.groupBy("_bucket").count().collect()]
+    assert 8 <= n <= 12 and len(sizes) == n and max(sizes) < 2 * 20_000 / 10 + 1_000
+    ends = b.groupBy("_bucket").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).orderBy("_bucket").collect()
+    assert all(a.hi < c.lo for a, c in zip(ends, ends[1:]))
