@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bytegrams
-from .common import materialize, release, text_bytes
+from .common import discard, materialize, release, text_bytes
 
 ORDER = 5
 #: Rows of a table that may be broadcast (a row per language).
@@ -171,10 +171,12 @@ def with_scores(rows: DataFrame, values: DataFrame, group: Column, text: Column,
                 lower: bool = False) -> DataFrame:
     """``rows`` with lp, the log10 probability of each text: a pass for each hash
     array, so that a task holds one at a time whatever the size of the model."""
-    rows, last = rows.withColumn("lp", F.lit(0.0)), None
+    rows, last, held = rows.withColumn("lp", F.lit(0.0)), None, []
     for array in hash_arrays(values, order):
         if last is not None:
             rows = materialize(rows, "scored")
+            discard(*held)
             last.unpersist()
+            held = [rows]
         rows, last = rows.withColumn("lp", F.col("lp") + score_udf(array, order, lower)(group, text)), array
     return rows
